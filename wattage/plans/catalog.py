@@ -13,11 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import calendar, dims, facts, marts, staging
+import datetime as dt
+
+from ..functions.time import day_start, ts_literal
+from ..operators import calendar, diagnostics, dims, facts, forecast, history, marts, quality, staging, upsert
 from ..operators.keys import dense_key
+from ..schemas import FORECAST_KEY, METRIC_KEY, RAW_KEY
 from ..session import configure
-from ..sources import fixtures
-from ..sources.fixtures import AS_OF
+from ..sources import fixtures, pages
+from ..sources.fixtures import AS_OF, RUN_DATE, SNAPSHOT_T1, SNAPSHOT_T2
+from ..sources.tables import RAW_UPDATE_COLS
 
 # The fixture's National region (FIXTURES.md: `click` plays it).
 FIXTURE_NATIONAL = "click"
@@ -111,6 +116,329 @@ def q_demand_summary(spark, sf_dir):
     return _round(df, ["total_demand", "avg_demand", "max_demand", "min_demand", "demand_variance"])
 
 
+# -- sources -----------------------------------------------------------------
+
+ACCEPTED_REGIONS = ("click", "purchase", "signup", "view")
+
+
+def q_only_regions(spark, sf_dir):
+    configure(spark)
+    return pages.only_regions(fixtures.raw_readings(spark, sf_dir), ACCEPTED_REGIONS)
+
+
+def q_newest_per_region(spark, sf_dir):
+    configure(spark)
+    return pages.newest_per_region(fixtures.raw_readings(spark, sf_dir), n=100)
+
+
+def q_normalise(spark, sf_dir):
+    configure(spark)
+    return pages.normalise(fixtures.service_readings(spark, sf_dir))
+
+
+def q_rejects(spark, sf_dir):
+    _, bad = pages.split_rejects(q_normalise(spark, sf_dir))
+    return bad
+
+
+# -- upserts -----------------------------------------------------------------
+
+def _batch(spark, sf_dir):
+    src = fixtures.upsert_batch_source(spark, sf_dir)
+    return upsert.dedupe_batch(src, RAW_KEY, ["loaded_at"])
+
+
+def q_dedupe_batch(spark, sf_dir):
+    configure(spark)
+    return _batch(spark, sf_dir)
+
+
+def q_upsert_readings(spark, sf_dir):
+    configure(spark)
+    target = fixtures.raw_readings(spark, sf_dir)
+    batch = _batch(spark, sf_dir).drop("loaded_at")
+    stamp = ts_literal(AS_OF)
+    return upsert.upsert(
+        target, batch, RAW_KEY, RAW_UPDATE_COLS,
+        on_match={"loaded_at": stamp}, on_insert={"loaded_at": stamp}, bucket=day_start("period_date"),
+    )
+
+
+# The six seed regions of the setup script, in insert order.
+SEED_REGIONS = (
+    ("US48", "United States Lower 48", "National"),
+    ("CISO", "California Independent System Operator", "Regional"),
+    ("TEXA", "Electric Reliability Council of Texas", "Regional"),
+    ("MISO", "Midcontinent Independent System Operator", "Regional"),
+    ("NYISO", "New York Independent System Operator", "Regional"),
+    ("PJM", "PJM Interconnection", "Regional"),
+)
+
+
+def seed_regions(spark: SparkSession) -> DataFrame:
+    rows = [(i + 1, *r) for i, r in enumerate(SEED_REGIONS)]
+    seed = spark.createDataFrame(rows, "seed_order int, respondent string, respondent_name string, region_type string")
+    return seed.withColumn("created_at", ts_literal(AS_OF)).withColumn("region_key", F.lit(None).cast("long"))
+
+
+def q_insert_absent_regions(spark, sf_dir):
+    _, dr, _ = _dims(spark, sf_dir)
+    return upsert.insert_absent(dr, seed_regions(spark), ["respondent"], key_col="region_key", insert_order=["seed_order"])
+
+
+def q_insert_absent_dates(spark, sf_dir):
+    stg = _stg(spark, sf_dir)
+    dd = calendar.dim_date(spark)
+    seen = stg.select(F.col("date_value").cast("date").alias("date_value")).distinct()
+    target = dd.join(seen, "date_value", "left_semi")
+    return upsert.insert_absent(target, dd, ["date_value"])
+
+
+# -- type-2 history ----------------------------------------------------------
+
+def q_region_history_input(spark, sf_dir):
+    configure(spark)
+    return history.region_history_input(fixtures.raw_readings(spark, sf_dir), AS_OF)
+
+
+def q_region_history(spark, sf_dir):
+    configure(spark)
+    first, second = fixtures.region_snapshots(spark, sf_dir)
+    h1 = history.scd2(None, history.region_history_input(first, SNAPSHOT_T1), "respondent", as_of=SNAPSHOT_T1)
+    return history.scd2(h1, history.region_history_input(second, SNAPSHOT_T2), "respondent", as_of=SNAPSHOT_T2)
+
+
+def q_history_as_of(spark, sf_dir):
+    return history.as_of_view(q_region_history(spark, sf_dir), dt.datetime(2024, 1, 20))
+
+
+# -- data quality --------------------------------------------------------------
+
+def q_dq_not_null(spark, sf_dir):
+    configure(spark)
+    return quality.check_not_null(fixtures.raw_readings(spark, sf_dir), "value")
+
+
+def q_dq_unique(spark, sf_dir):
+    return quality.check_unique(q_region_history(spark, sf_dir), "respondent")
+
+
+def q_dq_accepted(spark, sf_dir):
+    return quality.check_accepted(_stg(spark, sf_dir), "respondent", ACCEPTED_REGIONS)
+
+
+def q_dq_relationship(spark, sf_dir):
+    stg, dr, dd = _dims(spark, sf_dir)
+    fct = facts.fct_hourly_rows(stg, dr, dd).drop("data_type", "respondent")
+    return quality.check_relationship(fct, "region_key", dr, "region_key")
+
+
+def q_dq_keys(spark, sf_dir):
+    configure(spark)
+    return quality.check_unique(fixtures.upsert_batch_source(spark, sf_dir), *RAW_KEY)
+
+
+def q_dq_counts(spark, sf_dir):
+    _, dr, dd = _dims(spark, sf_dir)
+    return quality.check_count(dd, 1461, "dim_date").unionByName(quality.check_count(dr, 4, "dim_region"))
+
+
+def reference_checks(raw, stg, by_region, dr, fct) -> list:
+    """The 17 column checks of the reference's model YAML, on our tables."""
+    C = quality.Check
+    nn = quality.check_not_null
+    return [
+        C("not_null", "raw_readings", "period_date", nn(raw, "period_date")),
+        C("not_null", "raw_readings", "respondent", nn(raw, "respondent")),
+        C("not_null", "raw_readings", "value", nn(raw, "value")),
+        C("not_null", "stg_hourly", "period_date", nn(stg, "period_date")),
+        C("not_null", "stg_hourly", "demand_value", nn(stg, "demand_value")),
+        C("not_null", "stg_hourly", "respondent", nn(stg, "respondent")),
+        C("accepted_values", "stg_hourly", "respondent", quality.check_accepted(stg, "respondent", ACCEPTED_REGIONS)),
+        C("not_null", "stg_by_region", "period_date", nn(by_region, "period_date")),
+        C("not_null", "stg_by_region", "respondent", nn(by_region, "respondent")),
+        C("not_null", "stg_by_region", "total_demand", nn(by_region, "total_demand")),
+        C("not_null", "dim_region", "region_key", nn(dr, "region_key")),
+        C("unique", "dim_region", "region_key", quality.check_unique(dr, "region_key")),
+        C("not_null", "dim_region", "respondent", nn(dr, "respondent")),
+        C("unique", "dim_region", "respondent", quality.check_unique(dr, "respondent")),
+        C("not_null", "fct_hourly", "demand_value", nn(fct, "demand_value")),
+        C("not_null", "fct_hourly", "region_key", nn(fct, "region_key")),
+        C("relationships", "fct_hourly", "region_key", quality.check_relationship(fct, "region_key", dr, "region_key")),
+    ]
+
+
+def q_dq_report(spark, sf_dir):
+    configure(spark)
+    raw = fixtures.raw_readings(spark, sf_dir)
+    stg = staging.stg_hourly(raw)
+    dr = dims.dim_region(stg, AS_OF, national=FIXTURE_NATIONAL)
+    fct = facts.fct_hourly_rows(stg, dr, calendar.dim_date(spark))
+    return quality.quality_report(reference_checks(raw, stg, staging.demand_by_region(stg), dr, fct))
+
+
+# -- diagnostics -----------------------------------------------------------------
+
+def _fct_rows(spark, sf_dir):
+    stg, dr, dd = _dims(spark, sf_dir)
+    return stg, dr, facts.fct_hourly_rows(stg, dr, dd)
+
+
+def q_region_counts(spark, sf_dir):
+    _, dr, fct = _fct_rows(spark, sf_dir)
+    return diagnostics.region_counts(fct, dr)
+
+
+def q_coverage_raw(spark, sf_dir):
+    configure(spark)
+    raw = fixtures.raw_readings(spark, sf_dir)
+    return diagnostics.coverage(raw, "respondent", "period_date", "raw_count", "earliest_date", "latest_date")
+
+
+def q_coverage_fact(spark, sf_dir):
+    _, dr, fct = _fct_rows(spark, sf_dir)
+    j = fct.select("region_key", "period_date").join(dr.select("region_key", "respondent"), "region_key")
+    return diagnostics.coverage(j, "respondent", "period_date", "fact_count", "earliest_date", "latest_date")
+
+
+def _train(spark, sf_dir, run=RUN_DATE):
+    _, dr, fct = _fct_rows(spark, sf_dir)
+    return forecast.train_daily(fct, dr, run, 90)
+
+
+def q_coverage_train(spark, sf_dir):
+    return diagnostics.coverage(_train(spark, sf_dir), "region", "date", "training_records", "earliest_date", "latest_date")
+
+
+def _forecast(spark, sf_dir, run=RUN_DATE, interval=0.95):
+    return forecast.forecast_run(_train(spark, sf_dir, run), run, 7, interval)
+
+
+def q_coverage_forecast(spark, sf_dir):
+    fc = _forecast(spark, sf_dir)
+    return diagnostics.coverage(fc, "region", "forecast_date", "forecast_count", "first_forecast", "last_forecast")
+
+
+def q_key_counts(spark, sf_dir):
+    return diagnostics.key_counts(_stg(spark, sf_dir), "respondent", "staging_count")
+
+
+def q_layer_counts(spark, sf_dir):
+    configure(spark)
+    raw = fixtures.raw_readings(spark, sf_dir)
+    stg = staging.stg_hourly(raw)
+    dr = dims.dim_region(stg, AS_OF, national=FIXTURE_NATIONAL)
+    dd = calendar.dim_date(spark)
+    fct = facts.fct_hourly_rows(stg, dr, dd)
+    return diagnostics.layer_counts({"raw_readings": raw, "stg_hourly": stg, "dim_region": dr, "dim_date": dd, "fct_hourly": fct})
+
+
+def q_layer_dropoff(spark, sf_dir):
+    configure(spark)
+    raw = fixtures.raw_readings(spark, sf_dir)
+    stg = staging.stg_hourly(raw)
+    dr = dims.dim_region(stg, AS_OF, national=FIXTURE_NATIONAL)
+    fct = facts.fct_hourly_rows(stg, dr, calendar.dim_date(spark))
+    return diagnostics.layer_dropoff(raw, stg, fct, dr)
+
+
+def q_trailing_days(spark, sf_dir):
+    configure(spark)
+    return forecast.trailing_days(fixtures.raw_readings(spark, sf_dir), "period_date", RUN_DATE, 14)
+
+
+def q_loaded_on(spark, sf_dir):
+    configure(spark)
+    return diagnostics.loaded_on(fixtures.raw_readings(spark, sf_dir), dt.date(2024, 1, 15))
+
+
+FORECAST_DOUBLES = ["forecast", "lower_bound", "upper_bound"]
+RUNS = (dt.datetime(2024, 1, 17), dt.datetime(2024, 1, 24), RUN_DATE)
+
+
+def _results(spark, sf_dir, runs=RUNS[1:], interval=0.95):
+    out = None
+    for run in runs:
+        part = forecast.as_results(_forecast(spark, sf_dir, run, interval), AS_OF)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_run_rows(spark, sf_dir):
+    return _round(diagnostics.run_rows(_results(spark, sf_dir), RUN_DATE), FORECAST_DOUBLES)
+
+
+# -- forecast ------------------------------------------------------------------
+
+def q_train_daily(spark, sf_dir):
+    return _round(_train(spark, sf_dir), ["avg_demand_mw"])
+
+
+def q_usable_series(spark, sf_dir):
+    return _round(forecast.usable_series(_train(spark, sf_dir)), ["avg_demand_mw"])
+
+
+def q_forecast_fit(spark, sf_dir):
+    model = forecast.fit_trend_weekday(forecast.usable_series(_train(spark, sf_dir)))
+    return _round(model.series, ["slope", "intercept", "sigma"])
+
+
+def q_forecast_weekday(spark, sf_dir):
+    model = forecast.fit_trend_weekday(forecast.usable_series(_train(spark, sf_dir)))
+    return _round(model.weekday, ["effect"])
+
+
+def q_forecast_steps(spark, sf_dir):
+    model = forecast.fit_trend_weekday(forecast.usable_series(_train(spark, sf_dir)))
+    return _round(forecast.predict(model, 7, 0.95), FORECAST_DOUBLES)
+
+
+def q_forecast_7d(spark, sf_dir):
+    return _round(_forecast(spark, sf_dir), FORECAST_DOUBLES)
+
+
+def q_forecast_metrics(spark, sf_dir):
+    return _round(forecast.evaluate(_train(spark, sf_dir), RUN_DATE, 7), ["metric_value"])
+
+
+def q_forecast_count_metrics(spark, sf_dir):
+    return forecast.forecast_count_metrics(_forecast(spark, sf_dir), RUN_DATE)
+
+
+def q_forecast_with_actuals(spark, sf_dir):
+    run = RUNS[1]
+    rows = _forecast(spark, sf_dir, run)
+    daily = marts.daily_demand(_stg(spark, sf_dir))
+    return _round(forecast.with_actuals(rows, daily), [*FORECAST_DOUBLES, "actual", "prediction_error"])
+
+
+def q_history_with_forecast(spark, sf_dir):
+    daily = marts.daily_demand(_stg(spark, sf_dir))
+    return _round(forecast.history_with_forecast(daily, _forecast(spark, sf_dir)), ["value", "lower_bound", "upper_bound"])
+
+
+def q_forecast_preview(spark, sf_dir):
+    return _round(forecast.forecast_preview(_forecast(spark, sf_dir), 10), FORECAST_DOUBLES)
+
+
+def q_upsert_forecasts(spark, sf_dir):
+    target = _results(spark, sf_dir, RUNS[1:])
+    batch = _forecast(spark, sf_dir, RUNS[2], 0.8).unionByName(_forecast(spark, sf_dir, RUNS[0]))
+    merged = upsert.upsert(target, batch, FORECAST_KEY, FORECAST_DOUBLES, on_insert={"loaded_at": ts_literal(AS_OF)})
+    return _round(merged, FORECAST_DOUBLES)
+
+
+def q_upsert_metrics(spark, sf_dir):
+    target = forecast.forecast_count_metrics(_forecast(spark, sf_dir, RUNS[1]), RUNS[1]).unionByName(
+        forecast.evaluate(_train(spark, sf_dir, RUNS[1]), RUNS[1])
+    )
+    batch = forecast.evaluate(_train(spark, sf_dir, RUNS[1]), RUNS[1], holdout_days=5).unionByName(
+        forecast.forecast_count_metrics(_forecast(spark, sf_dir, RUNS[2]), RUNS[2])
+    ).drop("created_at")
+    merged = upsert.upsert(target, batch, METRIC_KEY, ["metric_value"], on_insert={"created_at": ts_literal(AS_OF)})
+    return _round(merged, ["metric_value"])
+
+
 QUERIES: dict[str, Query] = {
     "stg_hourly": q_stg_hourly,
     "demand_by_region": q_demand_by_region,
@@ -124,4 +452,46 @@ QUERIES: dict[str, Query] = {
     "fct_hourly": q_fct_hourly,
     "fct_dense_key_orders": q_fct_dense_key_orders,
     "demand_summary": q_demand_summary,
+    "only_regions": q_only_regions,
+    "newest_per_region": q_newest_per_region,
+    "normalise": q_normalise,
+    "rejects": q_rejects,
+    "dedupe_batch": q_dedupe_batch,
+    "upsert_readings": q_upsert_readings,
+    "insert_absent_regions": q_insert_absent_regions,
+    "insert_absent_dates": q_insert_absent_dates,
+    "region_history_input": q_region_history_input,
+    "region_history": q_region_history,
+    "history_as_of": q_history_as_of,
+    "dq_not_null": q_dq_not_null,
+    "dq_unique": q_dq_unique,
+    "dq_accepted": q_dq_accepted,
+    "dq_relationship": q_dq_relationship,
+    "dq_keys": q_dq_keys,
+    "dq_counts": q_dq_counts,
+    "dq_report": q_dq_report,
+    "region_counts": q_region_counts,
+    "coverage_raw": q_coverage_raw,
+    "coverage_fact": q_coverage_fact,
+    "coverage_train": q_coverage_train,
+    "coverage_forecast": q_coverage_forecast,
+    "key_counts": q_key_counts,
+    "layer_counts": q_layer_counts,
+    "layer_dropoff": q_layer_dropoff,
+    "trailing_days": q_trailing_days,
+    "loaded_on": q_loaded_on,
+    "run_rows": q_run_rows,
+    "train_daily": q_train_daily,
+    "usable_series": q_usable_series,
+    "forecast_fit": q_forecast_fit,
+    "forecast_weekday": q_forecast_weekday,
+    "forecast_steps": q_forecast_steps,
+    "forecast_7d": q_forecast_7d,
+    "forecast_metrics": q_forecast_metrics,
+    "forecast_count_metrics": q_forecast_count_metrics,
+    "forecast_with_actuals": q_forecast_with_actuals,
+    "history_with_forecast": q_history_with_forecast,
+    "forecast_preview": q_forecast_preview,
+    "upsert_forecasts": q_upsert_forecasts,
+    "upsert_metrics": q_upsert_metrics,
 }

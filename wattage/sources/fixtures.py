@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import hour_start
+from ..functions.time import hour_start, ts_literal
 
 # Fixed values of the mapping: data type codes by ``user_id % 4``.
 DATA_TYPES = ("D", "DF", "NG", "TI")
@@ -48,11 +48,11 @@ def newest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
-def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as raw readings (one row per (period_date, respondent, data_type))."""
+def mapped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` mapped row by row onto readings (keys repeat; ``event_id`` kept)."""
     ev = table(spark, sf_dir, "events")
     code = F.col("user_id") % 4
-    mapped = ev.select(
+    return ev.select(
         hour_start("ts").alias("period_date"),
         F.col("event_type").alias("respondent"),
         F.concat(F.lit("Region "), F.col("event_type")).alias("respondent_name"),
@@ -66,10 +66,79 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("loaded_at"),
         F.col("event_id"),
     )
-    deduped = newest_per_key(mapped, ["period_date", "respondent", "data_type"], "event_id")
-    return deduped.select(
-        "period_date", "respondent", "respondent_name", "data_type", "data_type_name", "value", "value_units", "loaded_at"
+
+
+RAW_COLUMNS = ("period_date", "respondent", "respondent_name", "data_type", "data_type_name", "value", "value_units", "loaded_at")
+
+
+def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as raw readings (one row per (period_date, respondent, data_type))."""
+    deduped = newest_per_key(mapped_events(spark, sf_dir), ["period_date", "respondent", "data_type"], "event_id")
+    return deduped.select(*RAW_COLUMNS)
+
+
+# A re-fetch: readings of the last three days again with corrected values, and
+# the last two days once more 40 days later (keys the raw table does not have).
+REFETCH_FROM = dt.datetime(2024, 1, 28)
+SHIFT_FROM = dt.datetime(2024, 1, 29)
+SHIFT_DAYS = 40
+
+
+def upsert_batch_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch rows before de-duplication (several rows per key)."""
+    m = mapped_events(spark, sf_dir).drop("event_id")
+    fixed = m.filter(F.col("period_date") >= ts_literal(REFETCH_FROM)).withColumn("value", F.col("value") + 1)
+    later = m.filter(F.col("period_date") >= ts_literal(SHIFT_FROM)).select(
+        *[
+            (F.col(c) + F.make_interval(days=F.lit(SHIFT_DAYS))).alias(c) if c in ("period_date", "loaded_at") else F.col(c)
+            for c in m.columns
+        ]
+    )
+    return fixed.unionByName(later)
+
+
+def service_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as readings in the service's text form (hyphenated fields).
+
+    Periods are mostly hourly (``2024-01-05T07``), some daily (``2024-01-05``) and
+    some unusable (``n/a``); some values are not numbers, some units are missing.
+    """
+    ev = table(spark, sf_dir, "events")
+    code = F.col("user_id") % 4
+    kind = F.col("user_id") % 10
+    return ev.select(
+        F.when(kind == 0, F.date_format("ts", "yyyy-MM-dd"))
+        .when(kind == 1, F.lit("n/a"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH"))
+        .alias("period"),
+        F.col("event_type").alias("respondent"),
+        F.concat(F.lit("Region "), F.col("event_type")).alias("respondent-name"),
+        _data_type(code).alias("type"),
+        F.concat(F.lit("Type "), _data_type(code)).alias("type-name"),
+        F.when(F.col("event_id") % 50 == 0, F.lit("N/A")).otherwise(F.col("value").cast("string")).alias("value"),
+        F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("string")).otherwise(F.lit("MWh")).alias("value-units"),
+    )
+
+
+# Two snapshots of the regions: T1 from readings loaded before it; at T2 the
+# `view` region has a new name, `error` is gone and `signup` also reports under
+# the new code `signup2`.
+SNAPSHOT_T1 = dt.datetime(2024, 1, 16)
+SNAPSHOT_T2 = dt.datetime(2024, 1, 31)
+
+
+def region_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    raw = raw_readings(spark, sf_dir)
+    first = raw.filter(F.col("loaded_at") < ts_literal(SNAPSHOT_T1))
+    second = raw.filter(F.col("loaded_at") >= ts_literal(SNAPSHOT_T1)).filter(F.col("respondent") != "error")
+    renamed = second.withColumn(
+        "respondent_name",
+        F.when(F.col("respondent") == "view", F.concat(F.col("respondent_name"), F.lit(" (renamed)"))).otherwise(
+            F.col("respondent_name")
+        ),
     )
+    extra = second.filter(F.col("respondent") == "signup").withColumn("respondent", F.lit("signup2"))
+    return first, renamed.unionByName(extra)
 
 
 def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
