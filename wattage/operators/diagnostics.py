@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_literal
-from .sizing import small_side
 
 
 def coverage(df: DataFrame, key: str, ts: str, count_name: str = "n_rows", first_name: str = "earliest", last_name: str = "latest") -> DataFrame:
@@ -23,9 +22,9 @@ def key_counts(df: DataFrame, key: str, count_name: str = "n_rows") -> DataFrame
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
 
 
-def region_counts(fct: DataFrame, dr: DataFrame, dims_materialised: bool = False) -> DataFrame:
+def region_counts(fct: DataFrame, dr: DataFrame) -> DataFrame:
     """Fact rows per region (inner join to the dimension), largest first."""
-    regions = small_side(dr.select("region_key", "respondent"), materialised=dims_materialised)
+    regions = dr.select("region_key", "respondent")
     return (
         fct.select("region_key")
         .join(regions, "region_key", "inner")
@@ -44,9 +43,9 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def layer_dropoff(raw: DataFrame, stg: DataFrame, fct: DataFrame, dr: DataFrame, dims_materialised: bool = False) -> DataFrame:
+def layer_dropoff(raw: DataFrame, stg: DataFrame, fct: DataFrame, dr: DataFrame) -> DataFrame:
     """Rows per region in raw, staging and fact (via the dimension): where rows are lost."""
-    regions = small_side(dr.select("region_key", "respondent"), materialised=dims_materialised)
+    regions = dr.select("region_key", "respondent")
     r = key_counts(raw, "respondent", "raw_count")
     s = key_counts(stg, "respondent", "staging_count")
     f = key_counts(fct.select("region_key").join(regions, "region_key", "inner"), "respondent", "fact_count")

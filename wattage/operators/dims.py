@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_literal
-from .keys import dense_key
+from .keys import dense_key_counted
+from .sizing import BROADCAST_ROW_LIMIT
 
 # Fixed value: the one region code labelled National; every other one is Regional.
 NATIONAL_REGION = "US48"
@@ -36,9 +37,16 @@ def dim_region(
     one_row_per_respondent: bool = False,
     national: str = NATIONAL_REGION,
 ) -> DataFrame:
-    """region_key (by respondent, then name), respondent, name, type, created_at."""
+    """region_key (by respondent, then name), respondent, name, type, created_at.
+
+    Numbering counts the regions on the way, so the dimension carries a broadcast
+    hint only when that count is at most ``BROADCAST_ROW_LIMIT``; otherwise its
+    joins fall back to shuffle joins.
+    """
     pairs = region_pairs(stg, one_row_per_respondent).withColumn("region_type", region_type(national=national))
-    keyed = dense_key(pairs, ["respondent", "respondent_name"], name="region_key")
+    keyed, n = dense_key_counted(pairs, ["respondent", "respondent_name"], name="region_key")
+    if n <= BROADCAST_ROW_LIMIT:
+        keyed = F.broadcast(keyed)
     return keyed.select(
         "region_key", "respondent", "respondent_name", "region_type", ts_literal(as_of).alias("created_at")
     )

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .keys import dense_key
-from .sizing import small_side
 
 FACT_COLUMNS = ("period_date", "date_key", "region_key", "hour", "demand_value", "demand_units", "loaded_at")
 
@@ -16,14 +15,15 @@ FACT_COLUMNS = ("period_date", "date_key", "region_key", "hour", "demand_value",
 FACT_ORDER = ("period_date", "region_key", "data_type", "respondent")
 
 
-def fct_hourly_rows(stg: DataFrame, dr: DataFrame, dd: DataFrame, dims_materialised: bool = False) -> DataFrame:
+def fct_hourly_rows(stg: DataFrame, dr: DataFrame, dd: DataFrame) -> DataFrame:
     """Fact rows without the surrogate key (keeps ``data_type``/``respondent`` for ordering).
 
-    Both dimensions are left-joined by broadcast: the calendar is bounded by its
-    date range, the region dimension is counted first (``small_side``). The day
-    of the reading is cast to ``date`` once so the calendar join compares dates.
+    The calendar is broadcast (its size is bounded by its date range). The region
+    dimension is broadcast when it says so: ``dim_region`` hints it after counting
+    it, a stored dimension is sized by its files; a larger one is shuffle-joined.
+    The day of the reading is cast to ``date`` once so the calendar join compares dates.
     """
-    regions = small_side(dr.select("respondent", "region_key"), materialised=dims_materialised)
+    regions = dr.select("respondent", "region_key")
     days = F.broadcast(dd.select(F.col("date_value").alias("_day"), "date_key"))
     return (
         stg.select(
@@ -42,8 +42,8 @@ def fct_hourly_rows(stg: DataFrame, dr: DataFrame, dd: DataFrame, dims_materiali
     )
 
 
-def fct_hourly(stg: DataFrame, dr: DataFrame, dd: DataFrame, dims_materialised: bool = False) -> DataFrame:
+def fct_hourly(stg: DataFrame, dr: DataFrame, dd: DataFrame) -> DataFrame:
     """demand_key (dense, by period then region), then the fact columns."""
-    rows = fct_hourly_rows(stg, dr, dd, dims_materialised)
+    rows = fct_hourly_rows(stg, dr, dd)
     keyed = dense_key(rows, list(FACT_ORDER), name="demand_key")
     return keyed.select("demand_key", *FACT_COLUMNS)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import day_of_week0, day_start, model_version, ts_literal
-from .sizing import small_side
+from ..session import ensure_checkpoint_dir
 
 # Day numbers count from this origin (keeps the regression sums small).
 DAY_ORIGIN = dt.date(2000, 1, 1)
@@ -40,12 +40,12 @@ def trailing_days(df: DataFrame, c: str, run_date: dt.datetime, days: int = 90)
     return df.filter((F.col(c) >= start) & (F.col(c) < run))
 
 
-def train_daily(fct: DataFrame, dr: DataFrame, run_date: dt.datetime, days: int = 90, dims_materialised: bool = False) -> DataFrame:
+def train_daily(fct: DataFrame, dr: DataFrame, run_date: dt.datetime, days: int = 90) -> DataFrame:
     """Daily mean demand per region over the ``days`` before ``run_date`` (date, avg_demand_mw, region).
 
     Facts without a region in the dimension drop out (inner join), as in the reference.
     """
-    regions = small_side(dr.select("region_key", F.col("respondent").alias("region")), materialised=dims_materialised)
+    regions = dr.select("region_key", F.col("respondent").alias("region"))
     window = trailing_days(fct.select("period_date", "region_key", "demand_value"), "period_date", run_date, days)
     return (
         window.join(regions, "region_key", "inner")
@@ -72,8 +72,16 @@ class TrendWeekdayModel:
 
 
 def fit_trend_weekday(train: DataFrame) -> TrendWeekdayModel:
-    """Fit line + weekday effect per series; ``train`` has (date, avg_demand_mw, region)."""
-    pts = train.select("region", "date", _day_number("date").alias("x"), F.col("avg_demand_mw").alias("y"), day_of_week0("date").alias("day_of_week"))
+    """Fit line + weekday effect per series; ``train`` has (date, avg_demand_mw, region).
+
+    The (series, day) points are few (series x days) but are read by three
+    aggregates; they are checkpointed once so the facts behind them are scanned
+    once, not once per aggregate.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+    pts = train.select(
+        "region", "date", _day_number("date").alias("x"), F.col("avg_demand_mw").alias("y"), day_of_week0("date").alias("day_of_week")
+    ).checkpoint(eager=True)
     line = pts.groupBy("region").agg(
         F.regr_slope("y", "x").alias("slope"),
         F.regr_intercept("y", "x").alias("intercept"),
@@ -154,6 +162,8 @@ def evaluate(train: DataFrame, run_date: dt.datetime, holdout_days: int = 7, int
     One row per (region, metric) in the metrics table layout: MAE, RMSE, MAPE
     (in percent) and R2 over the held-out days.
     """
+    ensure_checkpoint_dir(train.sparkSession)
+    train = train.checkpoint(eager=True)
     last = train.groupBy("region").agg(F.max("date").alias("_last"))
     tagged = train.join(last, "region").withColumn(
         "_hold", F.col("date") > F.date_add(F.col("_last").cast("date"), -holdout_days).cast("timestamp_ntz")

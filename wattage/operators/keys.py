@@ -9,16 +9,17 @@ A global ``row_number() OVER (ORDER BY ...)`` moves every row into one task.
 2. checkpoint that once into the session's reliable checkpoint folder, so the
    partition contents and the row positions are fixed even if an executor is lost
    and a stage is recomputed;
-3. count rows per partition (one row per partition reaches the small offsets
-   table) and add the running offset to each row's position in its partition.
-
-The offsets table has exactly as many rows as there are partitions, which is the
-proven size bound that allows the broadcast.
+3. count rows per partition; the counts (one number per partition, a bound set
+   by the caller) reach the driver, and each row's key is its partition's
+   running offset plus its position inside the partition: a narrow projection,
+   no join and no second shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -29,6 +30,34 @@ def _order_column(c: str | Column, descending: bool = False) -> Column:
     return col.desc_nulls_last() if descending else col.asc_nulls_first()
 
 
+def dense_key_counted(
+    df: DataFrame,
+    order: list[str | Column],
+    name: str = "key",
+    partitions: int | None = None,
+    descending: bool = False,
+) -> tuple[DataFrame, int]:
+    """``dense_key`` plus the number of rows (known for free from the offsets)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [_order_column(c, descending) for c in order]
+    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    sizes = dict(
+        (r[0], r[1])
+        for r in ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1))).collect()
+    )
+    parts = ordered.rdd.getNumPartitions()
+    counts = [sizes.get(p, 0) for p in range(parts)]
+    starts = [0, *accumulate(counts)][:-1]
+    offsets = F.create_map(*[x for p, s in enumerate(starts) for x in (F.lit(p), F.lit(s).cast("long"))]) if parts else None
+    pid = F.spark_partition_id()
+    # monotonically_increasing_id = (partition id << 33) + row index inside the partition.
+    within = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    key = (F.element_at(offsets, pid) + within + 1).cast("long") if parts else F.lit(None).cast("long")
+    return ordered.select(key.alias(name), *[F.col(c) for c in df.columns]), sum(counts)
+
+
 def dense_key(
     df: DataFrame,
     order: list[str | Column],
@@ -41,22 +70,4 @@ def dense_key(
     ``order`` must be a total order (add tie-break columns); with ties the
     numbering among equal rows is arbitrary, as with any row_number.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [_order_column(c, descending) for c in order]
-    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    positioned = ordered.select(
-        "*",
-        F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
-    sizes = positioned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
-    # _mid = (partition id << 33) + row index inside the partition.
-    within = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    keyed = positioned.join(F.broadcast(offsets), "_pid").select(
-        (F.col("_off") + within + 1).cast("long").alias(name), *[F.col(c) for c in df.columns]
-    )
-    return keyed
+    return dense_key_counted(df, order, name, partitions, descending)[0]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.time import day_start, ts_literal
 from .keys import dense_key
-from .sizing import small_side
 
 
 def daily_demand(stg: DataFrame) -> DataFrame:
@@ -36,14 +35,13 @@ def demand_summary(
     dd: DataFrame,
     as_of: dt.datetime,
     keep_record_count: bool = False,
-    dims_materialised: bool = False,
 ) -> DataFrame:
     """Hour x region x calendar: sum, avg, max, min, sample variance (+ summary_key).
 
     ``fct`` needs ``period_date, region_key, date_key, hour, demand_value``; the
     fact key is not needed, so pass ``fct_hourly_rows`` to skip numbering facts.
     """
-    regions = small_side(dr.select("region_key", F.col("respondent").alias("region")), materialised=dims_materialised)
+    regions = dr.select("region_key", F.col("respondent").alias("region"))
     days = F.broadcast(dd.select("date_key", "day_of_week", "is_weekend"))
     v = F.col("demand_value")
     grouped = (
