@@ -73,6 +73,44 @@ def quality_report(checks: Iterable[Check]) -> DataFrame:
     return out
 
 
+def column_checks(
+    df: DataFrame,
+    table: str,
+    not_null: Sequence[str] = (),
+    accepted: dict[str, Sequence] | None = None,
+) -> DataFrame:
+    """Row-level checks of one table in a single pass: one aggregate counts the
+    failures of every not_null and accepted_values check, then the counts are
+    unpivoted to report rows (check, table_name, column_name, failures)."""
+    accepted = accepted or {}
+    counts, labels = [], []
+    for c in not_null:
+        counts.append(F.count_if(F.col(c).isNull()).alias(f"nn_{c}"))
+        labels.append(("not_null", c, f"nn_{c}"))
+    for c, values in accepted.items():
+        counts.append(F.count_if(~F.col(c).isin(list(values))).alias(f"av_{c}"))
+        labels.append(("accepted_values", c, f"av_{c}"))
+    totals = df.agg(*counts)
+    rows = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(k).alias("check"), F.lit(col).alias("column_name"), F.col(name).cast("long").alias("failures"))
+                for k, col, name in labels
+            ]
+        )
+    )
+    return totals.select(rows.alias("r")).select(
+        F.col("r.check").alias("check"), F.lit(table).alias("table_name"), F.col("r.column_name").alias("column_name"), F.col("r.failures").alias("failures")
+    )
+
+
+def union_reports(*reports: DataFrame) -> DataFrame:
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 def assert_passes(report: DataFrame) -> None:
     """Raise if any check of ``report`` has failures (the gate before history)."""
     bad = report.filter(F.col("failures") > 0).limit(20).collect()

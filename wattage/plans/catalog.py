@@ -243,29 +243,27 @@ def q_dq_counts(spark, sf_dir):
     return quality.check_count(dd, 1461, "dim_date").unionByName(quality.check_count(dr, 4, "dim_region"))
 
 
-def reference_checks(raw, stg, by_region, dr, fct) -> list:
-    """The 17 column checks of the reference's model YAML, on our tables."""
+def reference_checks(raw, stg, by_region, dr, fct) -> DataFrame:
+    """The 17 column checks of the reference's model YAML, on our tables.
+
+    Row-level checks of a table share one aggregate pass; unique and
+    relationship checks need their own shuffle each.
+    """
     C = quality.Check
-    nn = quality.check_not_null
-    return [
-        C("not_null", "raw_readings", "period_date", nn(raw, "period_date")),
-        C("not_null", "raw_readings", "respondent", nn(raw, "respondent")),
-        C("not_null", "raw_readings", "value", nn(raw, "value")),
-        C("not_null", "stg_hourly", "period_date", nn(stg, "period_date")),
-        C("not_null", "stg_hourly", "demand_value", nn(stg, "demand_value")),
-        C("not_null", "stg_hourly", "respondent", nn(stg, "respondent")),
-        C("accepted_values", "stg_hourly", "respondent", quality.check_accepted(stg, "respondent", ACCEPTED_REGIONS)),
-        C("not_null", "stg_by_region", "period_date", nn(by_region, "period_date")),
-        C("not_null", "stg_by_region", "respondent", nn(by_region, "respondent")),
-        C("not_null", "stg_by_region", "total_demand", nn(by_region, "total_demand")),
-        C("not_null", "dim_region", "region_key", nn(dr, "region_key")),
-        C("unique", "dim_region", "region_key", quality.check_unique(dr, "region_key")),
-        C("not_null", "dim_region", "respondent", nn(dr, "respondent")),
-        C("unique", "dim_region", "respondent", quality.check_unique(dr, "respondent")),
-        C("not_null", "fct_hourly", "demand_value", nn(fct, "demand_value")),
-        C("not_null", "fct_hourly", "region_key", nn(fct, "region_key")),
-        C("relationships", "fct_hourly", "region_key", quality.check_relationship(fct, "region_key", dr, "region_key")),
-    ]
+    return quality.union_reports(
+        quality.column_checks(raw, "raw_readings", ["period_date", "respondent", "value"]),
+        quality.column_checks(stg, "stg_hourly", ["period_date", "demand_value", "respondent"], {"respondent": ACCEPTED_REGIONS}),
+        quality.column_checks(by_region, "stg_by_region", ["period_date", "respondent", "total_demand"]),
+        quality.column_checks(dr, "dim_region", ["region_key", "respondent"]),
+        quality.column_checks(fct, "fct_hourly", ["demand_value", "region_key"]),
+        quality.quality_report(
+            [
+                C("unique", "dim_region", "region_key", quality.check_unique(dr, "region_key")),
+                C("unique", "dim_region", "respondent", quality.check_unique(dr, "respondent")),
+                C("relationships", "fct_hourly", "region_key", quality.check_relationship(fct, "region_key", dr, "region_key")),
+            ]
+        ),
+    )
 
 
 def q_dq_report(spark, sf_dir):
@@ -274,7 +272,7 @@ def q_dq_report(spark, sf_dir):
     stg = staging.stg_hourly(raw)
     dr = dims.dim_region(stg, AS_OF, national=FIXTURE_NATIONAL)
     fct = facts.fct_hourly_rows(stg, dr, calendar.dim_date(spark))
-    return quality.quality_report(reference_checks(raw, stg, staging.demand_by_region(stg), dr, fct))
+    return reference_checks(raw, stg, staging.demand_by_region(stg), dr, fct)
 
 
 # -- diagnostics -----------------------------------------------------------------
