@@ -19,7 +19,9 @@ from ..functions.time import day_start, ts_literal
 from ..operators import calendar, diagnostics, dims, facts, forecast, history, marts, quality, staging, upsert
 from ..operators.keys import dense_key
 from ..schemas import FORECAST_KEY, METRIC_KEY, RAW_KEY
-from ..session import configure
+from ..session import configure, scratch_path
+from ..sources import tables
+from ..streaming.ingest import ingest_stream
 from ..sources import fixtures, pages
 from ..sources.fixtures import AS_OF, RUN_DATE, SNAPSHOT_T1, SNAPSHOT_T2
 from ..sources.tables import RAW_UPDATE_COLS
@@ -141,6 +143,37 @@ def q_rejects(spark, sf_dir):
     return bad
 
 
+def q_ingest_json(spark, sf_dir):
+    """Readings landed as JSON pages, read back with the page schema, normalised."""
+    configure(spark)
+    path = scratch_path(spark, "pages")
+    pages.write_pages(fixtures.service_readings(spark, sf_dir), path)
+    return pages.normalise(pages.read_pages(spark, path))
+
+
+def q_write_raw(spark, sf_dir):
+    """Raw readings written by day partition and scanned back with the declared schema."""
+    configure(spark)
+    path = scratch_path(spark, "raw")
+    tables.write_raw(fixtures.raw_readings(spark, sf_dir), path)
+    return tables.scan_raw(spark, path).drop(tables.PARTITION)
+
+
+def q_ingest_stream(spark, sf_dir):
+    """Two landings of pages (readings before / from the first snapshot day), each
+    loaded by its own run of the incremental stream into one raw table; the second
+    run sees only the new files (the stream's checkpoint remembers the first)."""
+    configure(spark)
+    landing, raw, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "raw"), scratch_path(spark, "stream-ckpt")
+    service = fixtures.service_readings(spark, sf_dir)
+    cut = F.col("period") < F.lit(SNAPSHOT_T1.strftime("%Y-%m-%d"))
+    pages.write_pages(service.filter(cut), f"{landing}/a")
+    ingest_stream(spark, f"{landing}/*", raw, ckpt, as_of=AS_OF)
+    pages.write_pages(service.filter(~cut), f"{landing}/b")
+    ingest_stream(spark, f"{landing}/*", raw, ckpt, as_of=AS_OF)
+    return tables.scan_raw(spark, raw).drop(tables.PARTITION)
+
+
 # -- upserts -----------------------------------------------------------------
 
 def _batch(spark, sf_dir):
@@ -453,6 +486,9 @@ QUERIES: dict[str, Query] = {
     "only_regions": q_only_regions,
     "newest_per_region": q_newest_per_region,
     "normalise": q_normalise,
+    "ingest_json": q_ingest_json,
+    "write_raw": q_write_raw,
+    "ingest_stream": q_ingest_stream,
     "rejects": q_rejects,
     "dedupe_batch": q_dedupe_batch,
     "upsert_readings": q_upsert_readings,

@@ -645,3 +645,24 @@ FROM tgt t FULL OUTER JOIN bat s
   ON t.model_version = s.model_version AND t.region = s.region AND t.metric_name = s.metric_name""",
     }
 )
+
+
+STREAMED = f"""
+SELECT period_date, respondent, respondent_name, data_type, data_type_name, value, value_units, {AS_OF_SQL} AS loaded_at
+FROM (
+    SELECT *, row_number() OVER (
+        PARTITION BY period_date, respondent, data_type
+        ORDER BY respondent_name DESC NULLS LAST, data_type_name DESC NULLS LAST, value DESC NULLS LAST,
+                 value_units DESC NULLS LAST) AS rn
+    FROM normalised
+    WHERE period_date IS NOT NULL AND respondent IS NOT NULL AND respondent <> ''
+      AND data_type IS NOT NULL AND data_type <> ''
+) WHERE rn = 1"""
+
+ORACLE.update(
+    {
+        "ingest_json": _with(SERVICE) + "SELECT * FROM normalised",
+        "write_raw": _with(RAW_READINGS_SQL) + "SELECT * FROM raw_readings",
+        "ingest_stream": _with(SERVICE) + STREAMED,
+    }
+)

@@ -31,6 +31,24 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     return open_pages(spark.read.schema(PAGE).json(path, multiLine=multi_line))
 
 
+def write_pages(readings: DataFrame, path: str, page_size: int = 5000) -> None:
+    """Land readings (service text form) as pages of at most ``page_size`` readings,
+    one JSON page per line.
+
+    A page is a run of consecutive rows of one input partition, so every group
+    is bounded by ``page_size`` by construction, whatever the key skew.
+    """
+    fields = [F.col(f"`{c}`") for c in readings.columns]
+    pid = F.spark_partition_id()
+    index = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    rows = readings.select(
+        pid.alias("_part"), F.floor(index / page_size).alias("_page"), F.struct(*fields).alias("_r")
+    )
+    pages = rows.groupBy("_part", "_page").agg(F.collect_list("_r").alias("data"), F.count(F.lit(1)).alias("_n"))
+    out = pages.select(F.struct(F.col("_n").cast("string").alias("total"), F.col("data")).alias("response"))
+    out.write.mode("overwrite").json(path)
+
+
 def only_regions(df: DataFrame, regions: Sequence[str] = REQUESTED_REGIONS, col: str = "respondent") -> DataFrame:
     return df.filter(F.col(col).isin(list(regions)))
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.time import day_start, ts_literal
 from ..operators.upsert import dedupe_batch, upsert
 from ..schemas import RAW_KEY, RAW_READINGS
+from ..session import path_exists
 
 PARTITION = "period_day"
 RAW_STORED = T.StructType([*RAW_READINGS.fields, T.StructField(PARTITION, T.DateType(), True)])
@@ -70,7 +71,7 @@ def upsert_raw(
     as_of: dt.datetime,
     keys: Sequence[str] = RAW_KEY,
     order: Sequence[str] = ("period_date",),
-    exists: bool = True,
+    exists: bool | None = None,
 ) -> DataFrame:
     """Merge a batch of readings into the raw table at ``path``.
 
@@ -81,6 +82,8 @@ def upsert_raw(
     """
     batch = dedupe_batch(batch.drop("loaded_at") if "loaded_at" in batch.columns else batch, keys, order)
     stamp = ts_literal(as_of)
+    if exists is None:
+        exists = path_exists(spark, path)
     if not exists:
         write_raw(batch.withColumn("loaded_at", stamp), path)
         return scan_raw(spark, path)

@@ -32,27 +32,23 @@ def ingest_stream(
     as_of: dt.datetime | None = None,
     regions: tuple[str, ...] | None = None,
     rejects_path: str | None = None,
+    max_files_per_trigger: int | None = None,
 ):
     """Run the load over all files available now and stop (``availableNow``).
 
     Returns the finished ``StreamingQuery``. ``as_of`` stamps ``loaded_at``
     (default: the start of each micro-batch).
     """
-    from pathlib import Path
-
-    readings = normalise(open_pages(page_stream(spark, in_dir)))
+    readings = normalise(open_pages(page_stream(spark, in_dir, max_files_per_trigger)))
     if regions:
         readings = only_regions(readings, regions)
-    state = {"exists": Path(raw_path).exists() if "://" not in raw_path else True}
-
     def merge(batch: DataFrame, batch_id: int) -> None:
         good, bad = split_rejects(batch)
         if rejects_path:
             bad.write.mode("append").parquet(rejects_path)
         if good.isEmpty():
             return
-        upsert_raw(spark, raw_path, good, as_of or dt.datetime.now(), exists=state["exists"])
-        state["exists"] = True
+        upsert_raw(spark, raw_path, good, as_of or dt.datetime.now())
 
     query = (
         readings.writeStream.foreachBatch(merge)
