@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import datetime as dt
 
 from ..functions.time import day_start, ts_literal
-from ..operators import calendar, diagnostics, dims, facts, forecast, history, marts, quality, staging, upsert
+from ..operators import boosted, calendar, diagnostics, dims, facts, forecast, history, marts, quality, staging, upsert
 from ..operators.keys import dense_key
 from ..schemas import FORECAST_KEY, METRIC_KEY, RAW_KEY
 from ..session import configure, scratch_path
@@ -470,6 +470,22 @@ def q_upsert_metrics(spark, sf_dir):
     return _round(merged, ["metric_value"])
 
 
+def _gbt(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    return boosted.fit_gbt(train), train
+
+
+def q_fit_gbt(spark, sf_dir):
+    """One-day-ahead fitted values of the pooled boosted-tree model (rows only)."""
+    model, train = _gbt(spark, sf_dir)
+    return boosted.gbt_fitted(model, train)
+
+
+def q_feature_importance(spark, sf_dir):
+    model, _ = _gbt(spark, sf_dir)
+    return boosted.feature_importance(model, RUN_DATE)
+
+
 QUERIES: dict[str, Query] = {
     "stg_hourly": q_stg_hourly,
     "demand_by_region": q_demand_by_region,
@@ -528,4 +544,6 @@ QUERIES: dict[str, Query] = {
     "forecast_preview": q_forecast_preview,
     "upsert_forecasts": q_upsert_forecasts,
     "upsert_metrics": q_upsert_metrics,
+    "fit_gbt": q_fit_gbt,
+    "feature_importance": q_feature_importance,
 }
