@@ -60,6 +60,16 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
 replace_table = materialise
 
 
+def stage_and_replace(df: DataFrame, path: str) -> DataFrame:
+    """Replace the table at ``path`` with ``df`` even when ``df`` reads ``path``:
+    write to a staging folder first, then copy the staged rows over the table."""
+    spark = df.sparkSession
+    staging = _staging_path(path)
+    df.write.mode("overwrite").parquet(staging)
+    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _staging_path(path: str) -> str:
     return f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
 
