@@ -46,6 +46,11 @@ def train_daily(fct: DataFrame, dr: DataFrame, run_date: dt.datetime, days: int
     Facts without a region in the dimension drop out (inner join), as in the reference.
     """
     regions = dr.select("region_key", F.col("respondent").alias("region"))
+    if "date_key" in fct.columns:
+        # Same window on the calendar key as well: a fact stored by date_key then
+        # reads only the folders of those days (NULL keys: readings past the calendar).
+        lo = int((run_date - dt.timedelta(days=days)).strftime("%Y%m%d"))
+        fct = fct.filter(F.col("date_key").isNull() | F.col("date_key").between(lo, int(run_date.strftime("%Y%m%d"))))
     window = trailing_days(fct.select("period_date", "region_key", "demand_value"), "period_date", run_date, days)
     return (
         window.join(regions, "region_key", "inner")

@@ -69,7 +69,7 @@ def build_marts(
 
     dr = tables.materialise(dims.dim_region(stg, as_of, one_row_per_respondent), _t(warehouse, "dim_region"))
     dd = tables.materialise(calendar.dim_date(spark), _t(warehouse, "dim_date"))
-    fct = tables.materialise(facts.fct_hourly(stg, dr, dd), _t(warehouse, "fct_hourly"))
+    fct = tables.materialise(facts.fct_hourly(stg, dr, dd), _t(warehouse, "fct_hourly"), partition_by="date_key")
     tables.materialise(marts.demand_summary(fct, dr, dd, as_of), _t(warehouse, "demand_summary"))
     tables.materialise(marts.daily_demand(stg), _t(warehouse, "fct_daily"))
     by_region = tables.materialise(staging.demand_by_region(stg), _t(warehouse, "stg_by_region"))

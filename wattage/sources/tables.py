@@ -51,9 +51,15 @@ def write_raw(df: DataFrame, path: str, as_of: dt.datetime | None = None) -> Non
     )
 
 
-def materialise(df: DataFrame, path: str) -> DataFrame:
-    """Full rebuild of a mart or work table; returns the stored table for reuse."""
-    df.write.mode("overwrite").parquet(path)
+def materialise(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Full rebuild of a mart or work table; returns the stored table for reuse.
+
+    ``partition_by`` splits the folder by a column (the fact by ``date_key``) so
+    day-bounded readers prune folders."""
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
