@@ -37,17 +37,6 @@ def _data_type(code: Column) -> Column:
     )
 
 
-def newest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per key, the one with the largest ``order`` value.
-
-    Written as ``max_by`` so the map side already keeps one row per key and task:
-    a key that holds a third of all rows still ships one row per map task.
-    """
-    others = [c for c in df.columns if c not in keys]
-    packed = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order)).alias("_row")
-    return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
-
-
 def mapped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` mapped row by row onto readings (keys repeat; ``event_id`` kept)."""
     ev = table(spark, sf_dir, "events")
@@ -69,12 +58,34 @@ def mapped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RAW_COLUMNS = ("period_date", "respondent", "respondent_name", "data_type", "data_type_name", "value", "value_units", "loaded_at")
+KEY = ["period_date", "respondent", "data_type"]
+
+
+def _newest_numbers(df: DataFrame, order: str) -> DataFrame:
+    """Newest ``value`` and ``loaded_at`` per key by ``order``.
+
+    Only these two vary inside a key (names and unit follow from the key), and both
+    are fixed-width, so ``max_by`` runs as a hash aggregate with a map-side
+    partial step: a hot key leaves each map task as one row.
+    """
+    return df.groupBy(*KEY).agg(
+        F.max_by("value", order).alias("value"), F.max_by("loaded_at", order).alias("loaded_at")
+    )
 
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw readings (one row per (period_date, respondent, data_type))."""
-    deduped = newest_per_key(mapped_events(spark, sf_dir), ["period_date", "respondent", "data_type"], "event_id")
-    return deduped.select(*RAW_COLUMNS)
+    m = mapped_events(spark, sf_dir).select(*KEY, "value", "loaded_at", "event_id")
+    return _newest_numbers(m, "event_id").select(
+        "period_date",
+        "respondent",
+        F.concat(F.lit("Region "), F.col("respondent")).alias("respondent_name"),
+        "data_type",
+        F.concat(F.lit("Type "), F.col("data_type")).alias("data_type_name"),
+        "value",
+        F.lit("MWh").alias("value_units"),
+        "loaded_at",
+    )
 
 
 # A re-fetch: readings of the last three days again with corrected values, and
@@ -154,17 +165,20 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = li.select(
         (F.col("l_shipdate").cast("timestamp_ntz") + F.make_interval(hours=hours.cast("int"))).alias("period_date"),
         F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("respondent"),
-        F.concat(F.lit("Region "), F.col("l_returnflag"), F.col("l_linestatus")).alias("respondent_name"),
         _data_type(code).alias("data_type"),
-        F.concat(F.lit("Type "), _data_type(code)).alias("data_type_name"),
         F.col("l_extendedprice").alias("value"),
-        F.lit("MWh").alias("value_units"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("loaded_at"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event_id"),
     )
-    deduped = newest_per_key(mapped, ["period_date", "respondent", "data_type"], "event_id")
-    return deduped.select(
-        "period_date", "respondent", "respondent_name", "data_type", "data_type_name", "value", "value_units", "loaded_at"
+    return _newest_numbers(mapped, "event_id").select(
+        "period_date",
+        "respondent",
+        F.concat(F.lit("Region "), F.col("respondent")).alias("respondent_name"),
+        "data_type",
+        F.concat(F.lit("Type "), F.col("data_type")).alias("data_type_name"),
+        "value",
+        F.lit("MWh").alias("value_units"),
+        "loaded_at",
     )
 
 

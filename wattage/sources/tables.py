@@ -42,8 +42,11 @@ def write_raw(df: DataFrame, path: str, as_of: dt.datetime | None = None) -> Non
     if "loaded_at" not in df.columns:
         df = df.withColumn("loaded_at", ts_literal(as_of or dt.datetime.now()))
     out = with_partition(df.select(*[f.name for f in RAW_READINGS.fields]))
+    # Range partitions over (day, region, hour): each task writes a few day folders
+    # (few files), and a day holding a third of all rows is split over many tasks
+    # instead of landing in one as hash partitioning by day would do.
     (
-        out.repartition(PARTITION)
+        out.repartitionByRange(PARTITION, "respondent", "period_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
