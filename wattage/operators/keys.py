@@ -40,9 +40,12 @@ def dense_key_counted(
     """``dense_key`` plus the number of rows (known for free from the offsets)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_order_column(c, descending) for c in order]
-    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    # Without an explicit count the range exchange has spark.sql.shuffle.partitions
+    # partitions and AQE may merge neighbours; merged ranges stay contiguous, so
+    # the order across partitions holds either way.
+    spread = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ordered = spread.sortWithinPartitions(*keys).checkpoint(eager=True)
     sizes = dict(
         (r[0], r[1])
         for r in ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1))).collect()
@@ -50,11 +53,15 @@ def dense_key_counted(
     parts = ordered.rdd.getNumPartitions()
     counts = [sizes.get(p, 0) for p in range(parts)]
     starts = [0, *accumulate(counts)][:-1]
-    offsets = F.create_map(*[x for p, s in enumerate(starts) for x in (F.lit(p), F.lit(s).cast("long"))]) if parts else None
     pid = F.spark_partition_id()
-    # monotonically_increasing_id = (partition id << 33) + row index inside the partition.
+    # monotonically_increasing_id = (partition id << 33) + row index inside the partition;
+    # the offsets are one array literal indexed by partition id (O(1) per row).
     within = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    key = (F.element_at(offsets, pid) + within + 1).cast("long") if parts else F.lit(None).cast("long")
+    if parts:
+        offsets = F.lit(starts).cast("array<bigint>")
+        key = (F.element_at(offsets, pid + 1) + within + 1).cast("long")
+    else:
+        key = F.lit(None).cast("long")
     return ordered.select(key.alias(name), *[F.col(c) for c in df.columns]), sum(counts)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 # Rows above which a dimension is joined by shuffle instead of broadcast.
-BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_ROW_LIMIT = 200_000  # about 20 MB for a dimension row of ~100 bytes
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, materialised: bool = False) -> DataFrame:

@@ -86,22 +86,25 @@ def newest_per_region(df: DataFrame, n: int = 50_000, col: str = "respondent", t
     """The ``n`` newest readings of each region (period descending, then ``tie``).
 
     A region can hold a third of all rows, so no window runs over a whole region:
-    rows are counted per (region, hour), a running count over that small table
-    finds each region's cut hour, hours before it are kept whole, and only the
-    rows of the one cut hour per region are ranked.
+    rows are counted per (region, hour bucket of ``ts``), a running count over that
+    small table (regions x hours, whatever the timestamp precision) finds each
+    region's cut hour, hours before it are kept whole, and only the rows of the
+    one cut hour per region are ranked.
     """
-    per_hour = df.groupBy(col, ts).agg(F.count(F.lit(1)).alias("_n"))
-    newer_first = Window.partitionBy(col).orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    cum = per_hour.select(col, ts, "_n", F.coalesce(F.sum("_n").over(newer_first), F.lit(0)).alias("_before")).filter(
+    hour = F.date_trunc("HOUR", F.col(ts)).cast("timestamp_ntz")
+    tagged = df.withColumn("_hour", hour)
+    per_hour = tagged.groupBy(col, "_hour").agg(F.count(F.lit(1)).alias("_n"))
+    newer_first = Window.partitionBy(col).orderBy(F.col("_hour").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    cum = per_hour.select(col, "_hour", "_n", F.coalesce(F.sum("_n").over(newer_first), F.lit(0)).alias("_before")).filter(
         F.col("_before") < n
     )
     # Hours fully inside the cap, and the cut hour with the number of rows still allowed.
-    marks = cum.select(col, ts, F.when(F.col("_before") + F.col("_n") <= n, F.lit(None)).otherwise(F.lit(n) - F.col("_before")).alias("_room"))
-    kept = df.join(small_side(marks), [col, ts], "inner")
-    whole = kept.filter(F.col("_room").isNull()).drop("_room")
+    marks = cum.select(col, "_hour", F.when(F.col("_before") + F.col("_n") <= n, F.lit(None)).otherwise(F.lit(n) - F.col("_before")).alias("_room"))
+    kept = tagged.join(small_side(marks), [col, "_hour"], "inner")
+    whole = kept.filter(F.col("_room").isNull())
     cut = kept.filter(F.col("_room").isNotNull())
-    rank = F.row_number().over(Window.partitionBy(col, ts).orderBy(*[F.col(c).desc() for c in tie]))
-    part = cut.withColumn("_rk", rank).filter(F.col("_rk") <= F.col("_room")).drop("_rk", "_room")
+    rank = F.row_number().over(Window.partitionBy(col, "_hour").orderBy(F.col(ts).desc(), *[F.col(c).desc() for c in tie]))
+    part = cut.withColumn("_rk", rank).filter(F.col("_rk") <= F.col("_room")).drop("_rk")
     return whole.unionByName(part).select(*df.columns)
 
 
