@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from ..functions.time import ts_literal
 from .dims import region_type
 
-VALIDITY = ("valid_from", "valid_to", "is_current")
-
-
 def region_history_input(raw: DataFrame, as_of: dt.datetime, label_from_code: bool = False) -> DataFrame:
     """Regions seen in the raw readings: code, name, type, stamp.
 

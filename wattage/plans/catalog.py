@@ -8,23 +8,21 @@ matching DuckDB text of every entry lives in ``oracle.py``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import datetime as dt
-
 from ..functions.time import day_start, ts_literal
 from ..operators import boosted, calendar, diagnostics, dims, facts, forecast, history, marts, quality, staging, upsert
 from ..operators.keys import dense_key
 from ..schemas import FORECAST_KEY, METRIC_KEY, RAW_KEY
 from ..session import configure, scratch_path
-from ..sources import tables
-from ..streaming.ingest import ingest_stream
-from ..sources import fixtures, pages
+from ..sources import fixtures, pages, tables
 from ..sources.fixtures import AS_OF, RUN_DATE, SNAPSHOT_T1, SNAPSHOT_T2
 from ..sources.tables import RAW_UPDATE_COLS
+from ..streaming.ingest import ingest_stream
 
 # The fixture's National region (FIXTURES.md: `click` plays it).
 FIXTURE_NATIONAL = "click"
@@ -95,6 +93,12 @@ def q_dim_region(spark, sf_dir):
     return dr
 
 
+def q_region_list(spark, sf_dir):
+    """The region dimension in key order (a small, ordered report)."""
+    _, dr, _ = _dims(spark, sf_dir)
+    return dr.select("region_key", "respondent", "respondent_name", "region_type").orderBy("region_key")
+
+
 def q_dim_region_latest(spark, sf_dir):
     stg = _stg(spark, sf_dir)
     return dims.dim_region(stg, AS_OF, one_row_per_respondent=True, national=FIXTURE_NATIONAL)
@@ -496,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "calendar_head": q_calendar_head,
     "dim_region": q_dim_region,
     "dim_region_latest": q_dim_region_latest,
+    "region_list": q_region_list,
     "fct_hourly": q_fct_hourly,
     "fct_dense_key_orders": q_fct_dense_key_orders,
     "demand_summary": q_demand_summary,

@@ -666,3 +666,7 @@ ORACLE.update(
         "ingest_stream": _with(SERVICE) + STREAMED,
     }
 )
+
+ORACLE["region_list"] = (
+    _with(RAW_READINGS_SQL, STG, DR) + "SELECT region_key, respondent, respondent_name, region_type FROM dr ORDER BY region_key"
+)
