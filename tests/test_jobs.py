@@ -38,3 +38,16 @@ def test_load_transform_forecast(spark, sf_dir, tmp_path):
     res = spark.read.parquet(f"{wh}/forecast_results")
     assert res.count() == n  # idempotent merge on (region, date, generated_at)
     assert spark.read.parquet(f"{wh}/model_metrics").filter("metric_name = 'FORECAST_PERIODS'").count() == n // 7
+
+
+def test_daily_from_hourly_equals_daily(spark, sf_dir):
+    from wattage.operators import marts, staging
+
+    stg = staging.stg_hourly(fixtures.raw_readings(spark, sf_dir))
+    a = marts.daily_demand(stg)
+    b = marts.daily_from_hourly(staging.demand_by_region(stg))
+    keys = ["period_day", "respondent", "respondent_name"]
+    j = a.alias("a").join(b.alias("b"), keys, "full_outer")
+    cols = ["avg_demand_mw", "min_demand_mw", "max_demand_mw", "total_demand_mwh", "hourly_record_count"]
+    bad = j.filter(" OR ".join(f"abs(a.{c} - b.{c}) > 1e-6 OR a.{c} IS NULL OR b.{c} IS NULL" for c in cols))
+    assert a.count() == b.count() and bad.count() == 0
