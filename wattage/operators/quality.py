@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sizing import small_side
+
 
 def check_not_null(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNull())
@@ -31,8 +33,12 @@ def check_accepted(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 
 def check_relationship(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose non-NULL ``col`` has no parent row (left anti join)."""
-    keys = parent.select(F.col(parent_col).alias(col)).distinct()
+    """Child rows whose non-NULL ``col`` has no parent row (left anti join).
+
+    The parent's distinct keys are counted and broadcast when small, so the
+    child (a fact where one key may hold a third of the rows) is not shuffled.
+    """
+    keys = small_side(parent.select(F.col(parent_col).alias(col)).distinct())
     return child.filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
 
 
