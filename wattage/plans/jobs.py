@@ -102,7 +102,8 @@ def build_marts(
 
 
 def _same_rows(a: DataFrame, b: DataFrame) -> bool:
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    """Whether two small frames hold the same rows (one job)."""
+    return a.exceptAll(b).unionByName(b.exceptAll(a)).isEmpty()
 
 
 def refresh_marts(
@@ -134,9 +135,10 @@ def refresh_marts(
     by_keep = spark.read.parquet(by_path).filter(F.col("period_date") < start)
     by_region = tables.stage_and_replace(by_keep.unionByName(staging.demand_by_region(stg_new)), by_path)
 
-    cols = ["region_key", "respondent", "respondent_name", "region_type"]
+    # The keys rank the (code, name) pairs, so equal pairs mean an equal dimension.
     dr = spark.read.parquet(_t(warehouse, "dim_region"))
-    if not _same_rows(dims.dim_region(by_region, as_of).select(cols), dr.select(cols)):
+    pairs = ["respondent", "respondent_name"]
+    if not _same_rows(dims.region_pairs(by_region), dr.select(pairs)):
         return build_marts(spark, warehouse, as_of, accepted=accepted, gate=gate)
     dd = spark.read.parquet(_t(warehouse, "dim_date"))
 
@@ -147,9 +149,8 @@ def refresh_marts(
     offset = stored.filter(earlier).count()
     keyed, _ = dense_key_counted(facts.fct_hourly_rows(stg_new, dr, dd), list(facts.FACT_ORDER), "demand_key")
     fresh = keyed.select((F.col("demand_key") + F.lit(offset)).alias("demand_key"), *facts.FACT_COLUMNS)
-    new_days = {r[0] for r in fresh.select("date_key").distinct().collect()}
-    old_days = {r[0] for r in stored.filter(F.col("date_key") >= k_since).select("date_key").distinct().collect()}
-    if not old_days <= new_days:
+    old_days = stored.filter(F.col("date_key") >= k_since).select("date_key").distinct()
+    if not old_days.join(fresh.select("date_key").distinct(), "date_key", "left_anti").isEmpty():
         return build_marts(spark, warehouse, as_of, accepted=accepted, gate=gate)
     # The folder of readings outside the calendar (NULL key) holds rows on both
     # sides of `since`; its earlier rows go along so the folder is rewritten whole.
