@@ -365,7 +365,10 @@ def q_layer_counts(spark, sf_dir):
     dr = dims.dim_region(stg, AS_OF, national=FIXTURE_NATIONAL)
     dd = calendar.dim_date(spark)
     fct = facts.fct_hourly_rows(stg, dr, dd)
-    return diagnostics.layer_counts({"raw_readings": raw, "stg_hourly": stg, "dim_region": dr, "dim_date": dd, "fct_hourly": fct})
+    rows = forecast.forecast_run(forecast.train_daily(fct, dr, RUN_DATE, 90), RUN_DATE)
+    return diagnostics.layer_counts(
+        {"raw_readings": raw, "stg_hourly": stg, "dim_region": dr, "dim_date": dd, "fct_hourly": fct, "forecast_results": rows}
+    )
 
 
 def q_layer_dropoff(spark, sf_dir):

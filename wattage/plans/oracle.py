@@ -569,12 +569,13 @@ ORACLE.update(
         "coverage_forecast": _with(*BASE, *_forecast("a", R31))
         + "SELECT region, count(*) AS forecast_count, min(forecast_date) AS first_forecast, max(forecast_date) AS last_forecast FROM rows_a GROUP BY region",
         "key_counts": _with(RAW_READINGS_SQL, STG) + "SELECT respondent, count(*) AS staging_count FROM stg GROUP BY respondent",
-        "layer_counts": _with(*BASE)
+        "layer_counts": _with(*BASE, *_forecast("a", R31))
         + """SELECT 'raw_readings' AS layer, count(*) AS n_rows FROM raw_readings
 UNION ALL SELECT 'stg_hourly', count(*) FROM stg
 UNION ALL SELECT 'dim_region', count(*) FROM dr
 UNION ALL SELECT 'dim_date', count(*) FROM dd
-UNION ALL SELECT 'fct_hourly', count(*) FROM fct_rows""",
+UNION ALL SELECT 'fct_hourly', count(*) FROM fct_rows
+UNION ALL SELECT 'forecast_results', count(*) FROM rows_a""",
         "layer_dropoff": _with(*BASE)
         + """, r AS (SELECT respondent, count(*) AS raw_count FROM raw_readings GROUP BY respondent),
 s AS (SELECT respondent, count(*) AS staging_count FROM stg GROUP BY respondent),
