@@ -97,9 +97,18 @@ def test_incremental_refresh_equals_full_build(spark, sf_dir, tmp_path, monkeypa
     monkeypatch.setattr(jobs, "build_marts", no_fallback)
     jobs.refresh_marts(spark, inc, out["first_day"], AS_OF, accepted=FIXTURE_REGIONS, gate=False)
     full_build(spark, full, AS_OF, accepted=FIXTURE_REGIONS, gate=False)
-    for name in ("stg_by_region", "dim_region", "fct_hourly", "demand_summary", "fct_daily"):
+    for name in ("stg_by_region", "dim_region", "fct_hourly", "demand_summary", "fct_daily", "raw_region_days", "snap_region"):
         a, b = spark.read.parquet(f"{inc}/{name}"), spark.read.parquet(f"{full}/{name}")
         if name == "fct_daily":  # roll-up sums may differ in the last bits
             a = a.withColumn("avg_demand_mw", F.round("avg_demand_mw", 6)).withColumn("total_demand_mwh", F.round("total_demand_mwh", 6))
             b = b.withColumn("avg_demand_mw", F.round("avg_demand_mw", 6)).withColumn("total_demand_mwh", F.round("total_demand_mwh", 6))
         assert _same(a, b), name
+
+
+def test_region_days_give_the_same_history_input(spark, sf_dir):
+    from wattage.operators import history
+
+    raw = fixtures.raw_readings(spark, sf_dir)
+    a = history.region_history_input(raw, AS_OF)
+    b = history.region_history_input(jobs.region_days(raw), AS_OF)
+    assert _same(a, b)
