@@ -109,3 +109,19 @@ def test_require_rows(spark):
     with pytest.raises(ValueError):
         require_rows(spark.range(0), "empty")
     assert require_rows(spark.range(3), "x").count() == 3
+
+
+def test_stage_and_replace_swaps_and_recovers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    t = spark.read.parquet(path)
+    tables.stage_and_replace(t.union(spark.range(3, 5)), path)  # reads its own target
+    assert spark.read.parquet(path).count() == 5
+    # a run that stopped between the two renames: only the previous copy is left
+    import os
+
+    os.rename(path, path + "__previous")
+    assert tables.restore_table(spark, path)
+    assert spark.read.parquet(path).count() == 5
+    leftovers = [p for p in os.listdir(tmp_path) if p != "t"]
+    assert leftovers == []

@@ -21,7 +21,7 @@ from ..operators import calendar, dims, facts, forecast, history, marts, quality
 from ..operators.keys import dense_key_counted
 from ..operators.upsert import upsert
 from ..schemas import FORECAST_KEY, FORECAST_RESULTS, METRIC_KEY, MODEL_METRICS
-from ..session import configure, path_exists
+from ..session import configure
 from ..sources import pages, tables
 from ..sources.pages import REQUESTED_REGIONS
 
@@ -146,6 +146,8 @@ def refresh_marts(
     raw_new = tables.scan_raw(spark, _t(warehouse, "raw_readings")).filter(F.col(tables.PARTITION) >= F.lit(since)).drop(tables.PARTITION)
     stg_new = staging.stg_hourly(raw_new)
 
+    for name in ("stg_by_region", "demand_summary", "fct_daily", "raw_region_days"):
+        tables.restore_table(spark, _t(warehouse, name))
     by_path = _t(warehouse, "stg_by_region")
     by_keep = spark.read.parquet(by_path).filter(F.col("period_date") < start)
     by_region = tables.stage_and_replace(by_keep.unionByName(staging.demand_by_region(stg_new)), by_path)
@@ -179,6 +181,7 @@ def refresh_marts(
         .partitionBy("date_key")
         .parquet(fct_path)
     )
+    tables.drop_folder(spark, staging_path)
 
     sum_path = _t(warehouse, "demand_summary")
     sum_keep = spark.read.parquet(sum_path).filter(F.col("period_date") < start)
@@ -221,7 +224,7 @@ def snapshot_regions(spark: SparkSession, warehouse: str, raw: DataFrame, as_of:
     readings or ``region_days`` of them: both give the same (code, name) pairs)."""
     path = _t(warehouse, "snap_region")
     current = history.region_history_input(raw, as_of)
-    previous = spark.read.parquet(path) if path_exists(spark, path) else None
+    previous = spark.read.parquet(path) if tables.restore_table(spark, path) else None
     return tables.stage_and_replace(history.scd2(previous, current, "respondent", as_of=as_of), path)
 
 
@@ -247,13 +250,13 @@ def daily_forecast(
     quality.require_rows(rows, "no forecasts generated")
 
     res_path = _t(warehouse, "forecast_results")
-    target = spark.read.parquet(res_path) if path_exists(spark, res_path) else spark.createDataFrame([], FORECAST_RESULTS)
+    target = spark.read.parquet(res_path) if tables.restore_table(spark, res_path) else spark.createDataFrame([], FORECAST_RESULTS)
     stamp = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     merged = upsert(target, rows, FORECAST_KEY, ["forecast", "lower_bound", "upper_bound"], on_insert={"loaded_at": stamp})
     tables.stage_and_replace(merged, res_path)
 
     met_path = _t(warehouse, "model_metrics")
     metrics = forecast.forecast_count_metrics(rows, run_date).unionByName(forecast.evaluate(train, run_date)).drop("created_at")
-    mtarget = spark.read.parquet(met_path) if path_exists(spark, met_path) else spark.createDataFrame([], MODEL_METRICS)
+    mtarget = spark.read.parquet(met_path) if tables.restore_table(spark, met_path) else spark.createDataFrame([], MODEL_METRICS)
     tables.stage_and_replace(upsert(mtarget, metrics, METRIC_KEY, ["metric_value"], on_insert={"created_at": stamp}), met_path)
     return rows

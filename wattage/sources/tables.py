@@ -69,18 +69,60 @@ def materialise(df: DataFrame, path: str, partition_by: str | None = None) -> Da
 replace_table = materialise
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _previous(path: str) -> str:
+    return f"{path.rstrip('/')}__previous"
+
+
+def restore_table(spark: SparkSession, path: str) -> bool:
+    """Whether the table at ``path`` exists, after undoing a swap that stopped
+    between its two renames (the previous, complete table is put back)."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return True
+    prev = _fs(spark, _previous(path))[1]
+    if fs.exists(prev):
+        fs.rename(prev, p)
+        return True
+    return False
+
+
 def stage_and_replace(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path`` with ``df`` even when ``df`` reads ``path``:
-    write to a staging folder first, then copy the staged rows over the table."""
+    """Replace the table at ``path`` with ``df``, also when ``df`` reads ``path``.
+
+    The new rows are written completely to a staging folder; then two renames
+    swap it in (table -> previous, staging -> table) and the previous copy is
+    removed. The table is never deleted before its replacement is whole; a run
+    that stops between the renames is undone by ``restore_table``.
+    """
     spark = df.sparkSession
+    restore_table(spark, path)
     staging = _staging_path(path)
     df.write.mode("overwrite").parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    fs, p = _fs(spark, path)
+    prev = _fs(spark, _previous(path))[1]
+    if fs.exists(prev):  # left by a swap that finished its renames but not its clean-up
+        fs.delete(prev, True)
+    if fs.exists(p):
+        fs.rename(p, prev)
+    fs.rename(_fs(spark, staging)[1], p)
+    fs.delete(prev, True)
     return spark.read.parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder this library wrote."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _staging_path(path: str) -> str:
-    return f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
+    return f"{path.rstrip('/')}__staging-{uuid.uuid4().hex}"
 
 
 def upsert_raw(
@@ -113,5 +155,8 @@ def upsert_raw(
     )
     staging = _staging_path(path)
     write_raw(merged, staging)
+    # Dynamic overwrite replaces only the staged days; replaying the same batch
+    # after a failure merges the same rows again, so the result does not change.
     write_raw(scan_raw(spark, staging).drop(PARTITION), path)
+    drop_folder(spark, staging)
     return scan_raw(spark, path)
