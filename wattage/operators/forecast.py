@@ -13,7 +13,7 @@ import datetime as dt
 from dataclasses import dataclass
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import day_of_week0, day_start, model_version, ts_literal
@@ -60,9 +60,13 @@ def train_daily(fct: DataFrame, dr: DataFrame, run_date: dt.datetime, days: int
 
 
 def usable_series(train: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
-    """Training rows of series with at least ``min_points`` days (others are skipped)."""
-    ok = train.groupBy("region").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_points)
-    return train.join(ok.select("region"), "region", "left_semi")
+    """Training rows of series with at least ``min_points`` days (others are skipped).
+
+    A count over each series' rows (at most one per day, so every window is
+    small) keeps this to one pass over the training set.
+    """
+    n = F.count(F.lit(1)).over(Window.partitionBy("region"))
+    return train.withColumn("_n", n).filter(F.col("_n") >= min_points).drop("_n")
 
 
 def skipped_series(train: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
