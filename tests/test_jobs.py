@@ -112,3 +112,13 @@ def test_region_days_give_the_same_history_input(spark, sf_dir):
     a = history.region_history_input(raw, AS_OF)
     b = history.region_history_input(jobs.region_days(raw), AS_OF)
     assert _same(a, b)
+
+
+def test_initial_setup_is_idempotent(spark, tmp_path):
+    wh = str(tmp_path / "wh")
+    for _ in range(2):
+        jobs.initial_setup(spark, wh, AS_OF)
+        dr = spark.read.parquet(f"{wh}/dim_region")
+        assert dr.count() == 6 and spark.read.parquet(f"{wh}/dim_date").count() == 1461
+    keys = {r.respondent: r.region_key for r in dr.collect()}
+    assert keys == {"US48": 1, "CISO": 2, "TEXA": 3, "MISO": 4, "NYISO": 5, "PJM": 6}

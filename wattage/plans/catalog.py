@@ -23,6 +23,7 @@ from ..sources import fixtures, pages, tables
 from ..sources.fixtures import AS_OF, RUN_DATE, SNAPSHOT_T1, SNAPSHOT_T2
 from ..sources.tables import RAW_UPDATE_COLS
 from ..streaming.ingest import ingest_stream
+from . import jobs
 
 # The fixture's National region (FIXTURES.md: `click` plays it).
 FIXTURE_NATIONAL = "click"
@@ -201,21 +202,8 @@ def q_upsert_readings(spark, sf_dir):
     )
 
 
-# The six seed regions of the setup script, in insert order.
-SEED_REGIONS = (
-    ("US48", "United States Lower 48", "National"),
-    ("CISO", "California Independent System Operator", "Regional"),
-    ("TEXA", "Electric Reliability Council of Texas", "Regional"),
-    ("MISO", "Midcontinent Independent System Operator", "Regional"),
-    ("NYISO", "New York Independent System Operator", "Regional"),
-    ("PJM", "PJM Interconnection", "Regional"),
-)
-
-
 def seed_regions(spark: SparkSession) -> DataFrame:
-    rows = [(i + 1, *r) for i, r in enumerate(SEED_REGIONS)]
-    seed = spark.createDataFrame(rows, "seed_order int, respondent string, respondent_name string, region_type string")
-    return seed.withColumn("created_at", ts_literal(AS_OF)).withColumn("region_key", F.lit(None).cast("long"))
+    return jobs.seed_regions(spark, AS_OF)
 
 
 def q_insert_absent_regions(spark, sf_dir):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.time import ts_literal
 from ..operators import calendar, dims, facts, forecast, history, marts, quality, staging
 from ..operators.keys import dense_key_counted
-from ..operators.upsert import upsert
+from ..operators.upsert import insert_absent, upsert
 from ..schemas import FORECAST_KEY, FORECAST_RESULTS, METRIC_KEY, MODEL_METRICS
 from ..session import configure
 from ..sources import pages, tables
@@ -28,11 +28,45 @@ from ..sources.pages import REQUESTED_REGIONS
 # Fixed value: the regions the staging check accepts.
 ACCEPTED = ("US48", "CISO", "MISO", "PJM")
 
+# The six seed regions of the one-time setup, in insert order.
+SEED_REGIONS = (
+    ("US48", "United States Lower 48", "National"),
+    ("CISO", "California Independent System Operator", "Regional"),
+    ("TEXA", "Electric Reliability Council of Texas", "Regional"),
+    ("MISO", "Midcontinent Independent System Operator", "Regional"),
+    ("NYISO", "New York Independent System Operator", "Regional"),
+    ("PJM", "PJM Interconnection", "Regional"),
+)
+
 
 def _t(warehouse: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{name}"
 
 
+def seed_regions(spark: SparkSession, as_of: dt.datetime) -> DataFrame:
+    """The seed regions as dimension rows (key left empty, ``seed_order`` = insert order)."""
+    rows = [(i + 1, *r) for i, r in enumerate(SEED_REGIONS)]
+    seed = spark.createDataFrame(rows, "seed_order int, respondent string, respondent_name string, region_type string")
+    return seed.withColumn("created_at", ts_literal(as_of)).withColumn("region_key", F.lit(None).cast("long"))
+
+
+def initial_setup(spark: SparkSession, warehouse: str, as_of: dt.datetime) -> None:
+    """One-time setup: seed regions and the calendar, each only where absent, so
+    it can run again safely. A later ``build_marts`` rebuilds the region
+    dimension from the data, as the reference's model build does."""
+    configure(spark)
+    dr_path, dd_path = _t(warehouse, "dim_region"), _t(warehouse, "dim_date")
+    if tables.restore_table(spark, dr_path):
+        dr = spark.read.parquet(dr_path)
+    else:
+        dr = spark.createDataFrame([], "region_key bigint, respondent string, respondent_name string, region_type string, created_at timestamp_ntz")
+    seeded = insert_absent(dr, seed_regions(spark, as_of), ["respondent"], key_col="region_key", insert_order=["seed_order"])
+    tables.stage_and_replace(seeded, dr_path)
+    cal = calendar.dim_date(spark)
+    dd = spark.read.parquet(dd_path) if tables.restore_table(spark, dd_path) else cal.limit(0)
+    tables.stage_and_replace(insert_absent(dd, cal, ["date_value"]), dd_path)
+
+
 def hourly_load(
     spark: SparkSession,
     landing: str,
