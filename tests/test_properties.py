@@ -150,3 +150,15 @@ def test_newest_per_region_matches_window_under_skew(spark):
     w = Window.partitionBy("respondent").orderBy(F.col("period_date").desc(), F.col("data_type").desc())
     ref = base.withColumn("rn", F.row_number().over(w)).filter("rn <= 321").drop("rn")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_dim_region_large_path_equals_small_path(spark, sf_dir, monkeypatch):
+    from wattage.operators import dims
+
+    stg = staging.stg_hourly(fixtures.raw_readings(spark, sf_dir))
+    small = dims.dim_region(stg, T0)
+    monkeypatch.setattr(dims, "BROADCAST_ROW_LIMIT", 2)
+    large = dims.dim_region(stg, T0)
+    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
