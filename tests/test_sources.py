@@ -125,3 +125,11 @@ def test_stage_and_replace_swaps_and_recovers(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
     leftovers = [p for p in os.listdir(tmp_path) if p != "t"]
     assert leftovers == []
+
+
+def test_stream_writes_rejects(spark, tmp_path):
+    land, raw, ck, rej = tmp_path / "land", str(tmp_path / "raw"), str(tmp_path / "ck"), str(tmp_path / "rej")
+    _write(land / "a", _page([_reading("2024-01-05T01"), _reading("n/a"), _reading("2024-01-05T02", kind="")]))
+    ingest_stream(spark, str(land) + "/*", raw, ck, as_of=T0, rejects_path=rej)
+    assert tables.scan_raw(spark, raw).count() == 1
+    assert sorted(r.reason for r in spark.read.parquet(rej).collect()) == ["data_type", "period"]

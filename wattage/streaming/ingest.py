@@ -33,11 +33,15 @@ def ingest_stream(
     regions: tuple[str, ...] | None = None,
     rejects_path: str | None = None,
     max_files_per_trigger: int | None = None,
+    processing_time: str | None = None,
 ):
-    """Run the load over all files available now and stop (``availableNow``).
+    """Run the load over all files available now and stop (``availableNow``), or,
+    with ``processing_time`` (e.g. ``"1 hour"``), keep running and pick up new
+    files on that schedule.
 
-    Returns the finished ``StreamingQuery``. ``as_of`` stamps ``loaded_at``
-    (default: the start of each micro-batch).
+    Returns the ``StreamingQuery`` (finished in the first mode, running in the
+    second). ``as_of`` stamps ``loaded_at`` (default: the start of each micro-batch);
+    rejected rows are appended to ``rejects_path`` with their reason.
     """
     readings = normalise(open_pages(page_stream(spark, in_dir, max_files_per_trigger)))
     if regions:
@@ -50,11 +54,9 @@ def ingest_stream(
             return
         upsert_raw(spark, raw_path, good, as_of or dt.datetime.now())
 
-    query = (
-        readings.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = readings.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
