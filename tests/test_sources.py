@@ -133,3 +133,10 @@ def test_stream_writes_rejects(spark, tmp_path):
     ingest_stream(spark, str(land) + "/*", raw, ck, as_of=T0, rejects_path=rej)
     assert tables.scan_raw(spark, raw).count() == 1
     assert sorted(r.reason for r in spark.read.parquet(rej).collect()) == ["data_type", "period"]
+
+
+def test_full_rebuild_drops_stale_day_folders(spark, tmp_path):
+    path = str(tmp_path / "fct")
+    tables.materialise(spark.createDataFrame([(1, 20240101), (2, 20240102)], "v int, date_key int"), path, "date_key")
+    out = tables.materialise(spark.createDataFrame([(3, 20240102)], "v int, date_key int"), path, "date_key")
+    assert sorted(tuple(r) for r in out.collect()) == [(3, 20240102)]

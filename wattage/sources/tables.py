@@ -59,7 +59,9 @@ def materialise(df: DataFrame, path: str, partition_by: str | None = None) -> Da
 
     ``partition_by`` splits the folder by a column (the fact by ``date_key``) so
     day-bounded readers prune folders."""
-    writer = df.write.mode("overwrite")
+    # A full rebuild replaces every folder (static), so a day with no rows left
+    # does not keep a stale folder; merges pass "dynamic" on their own writes.
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
