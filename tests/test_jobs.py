@@ -55,11 +55,15 @@ def test_daily_from_hourly_equals_daily(spark, sf_dir):
 
 def _second_landing(spark, sf_dir, tmp_path):
     """Events again from 2024-01-20 on: half with doubled values (corrections of
-    loaded hours), half moved a week later (new hours)."""
+    loaded hours), the rest moved a week later (new hours) or past the calendar's
+    end (NULL calendar key)."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").filter(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz"))
     moved = ev.select(
         "event_id",
-        F.when(F.col("user_id") % 2 == 0, F.col("ts") + F.expr("INTERVAL 7 DAYS")).otherwise(F.col("ts")).alias("ts"),
+        F.when(F.col("user_id") % 10 == 4, F.col("ts") + F.expr("INTERVAL 1500 DAYS"))  # past the calendar
+        .when(F.col("user_id") % 2 == 0, F.col("ts") + F.expr("INTERVAL 7 DAYS"))
+        .otherwise(F.col("ts"))
+        .alias("ts"),
         "user_id", "event_type",
         F.when(F.col("user_id") % 2 == 1, F.col("value") * 2).otherwise(F.col("value")).alias("value"),
         "props",
@@ -97,6 +101,7 @@ def test_incremental_refresh_equals_full_build(spark, sf_dir, tmp_path, monkeypa
     monkeypatch.setattr(jobs, "build_marts", no_fallback)
     jobs.refresh_marts(spark, inc, out["first_day"], AS_OF, accepted=FIXTURE_REGIONS, gate=False)
     full_build(spark, full, AS_OF, accepted=FIXTURE_REGIONS, gate=False)
+    assert spark.read.parquet(f"{inc}/fct_hourly").filter("date_key IS NULL").count() > 0
     for name in ("stg_by_region", "dim_region", "fct_hourly", "demand_summary", "fct_daily", "raw_region_days", "snap_region"):
         a, b = spark.read.parquet(f"{inc}/{name}"), spark.read.parquet(f"{full}/{name}")
         if name == "fct_daily":  # roll-up sums may differ in the last bits

@@ -200,12 +200,14 @@ def refresh_marts(
     offset = stored.filter(earlier).count()
     keyed, _ = dense_key_counted(facts.fct_hourly_rows(stg_new, dr, dd), list(facts.FACT_ORDER), "demand_key")
     fresh = keyed.select((F.col("demand_key") + F.lit(offset)).alias("demand_key"), *facts.FACT_COLUMNS)
-    old_days = stored.filter(F.col("date_key") >= k_since).select("date_key").distinct()
-    if not old_days.join(fresh.select("date_key").distinct(), "date_key", "left_anti").isEmpty():
-        return build_marts(spark, warehouse, as_of, accepted=accepted, gate=gate)
     # The folder of readings outside the calendar (NULL key) holds rows on both
     # sides of `since`; its earlier rows go along so the folder is rewritten whole.
     null_kept = stored.filter(F.col("date_key").isNull() & (F.col("period_date") < start)).select(fresh.columns)
+    rewritten = fresh.unionByName(null_kept).select("date_key").distinct()
+    old_days = stored.filter(~earlier).select(F.col("date_key").alias("_k")).distinct()
+    stale = old_days.join(rewritten, old_days["_k"].eqNullSafe(rewritten["date_key"]), "left_anti")
+    if not stale.isEmpty():
+        return build_marts(spark, warehouse, as_of, accepted=accepted, gate=gate)
     staging_path = tables._staging_path(fct_path)
     fresh.unionByName(null_kept).write.mode("overwrite").partitionBy("date_key").parquet(staging_path)
     (
