@@ -78,8 +78,10 @@ def hourly_load(
     """Landed pages -> requested regions -> normalised -> newest N per region ->
     unkeyable rows set aside -> merged into ``raw_readings``. Fails on an empty batch."""
     configure(spark)
-    readings = pages.normalise(pages.read_pages(spark, landing))
-    good, rejects = pages.split_rejects(pages.only_regions(readings, regions))
+    # One run's landing, parsed once: the reject count, the guard, the touched
+    # days and the merge all read this checkpoint instead of the JSON again.
+    readings = pages.only_regions(pages.normalise(pages.read_pages(spark, landing)), regions).checkpoint(eager=True)
+    good, rejects = pages.split_rejects(readings)
     batch = pages.newest_per_region(good, n=newest)
     quality.require_rows(batch, "no readings to load")
     first_day = batch.agg(F.min(F.to_date("period_date"))).first()[0]
