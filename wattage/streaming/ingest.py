@@ -46,13 +46,19 @@ def ingest_stream(
     readings = normalise(open_pages(page_stream(spark, in_dir, max_files_per_trigger)))
     if regions:
         readings = only_regions(readings, regions)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_rejects(batch)
-        if rejects_path:
-            bad.write.mode("append").parquet(rejects_path)
-        if good.isEmpty():
-            return
-        upsert_raw(spark, raw_path, good, as_of or dt.datetime.now())
+        # Several actions read the micro-batch; it is parsed once and kept for
+        # them (lost blocks are recomputed from the batch's fixed file list).
+        batch.persist()
+        try:
+            good, bad = split_rejects(batch)
+            if rejects_path:
+                bad.write.mode("append").parquet(rejects_path)
+            if not good.isEmpty():
+                upsert_raw(spark, raw_path, good, as_of or dt.datetime.now())
+        finally:
+            batch.unpersist()
 
     writer = readings.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if processing_time:
