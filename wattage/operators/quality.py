@@ -79,35 +79,56 @@ def quality_report(checks: Iterable[Check]) -> DataFrame:
     return out
 
 
-def column_checks(
-    df: DataFrame,
-    table: str,
-    not_null: Sequence[str] = (),
-    accepted: dict[str, Sequence] | None = None,
-) -> DataFrame:
-    """Row-level checks of one table in a single pass: one aggregate counts the
-    failures of every not_null and accepted_values check, then the counts are
-    unpivoted to report rows (check, table_name, column_name, failures)."""
-    accepted = accepted or {}
+@dataclass(frozen=True)
+class RowChecks:
+    """Row-level checks of one logical table read from a physical frame:
+    ``where`` selects its rows, ``columns`` maps its column names to the
+    frame's (e.g. a staging view over the raw table)."""
+
+    table: str
+    not_null: Sequence[str] = ()
+    accepted: dict | None = None
+    where: object = None
+    columns: dict | None = None
+
+
+def row_checks(df: DataFrame, *specs: RowChecks) -> DataFrame:
+    """Report rows (check, table_name, column_name, failures) for all ``specs`` from
+    ONE aggregate over ``df``: every not_null / accepted_values failure count is a
+    conditional count, so several tables derived from one scan share the scan."""
     counts, labels = [], []
-    for c in not_null:
-        counts.append(F.count_if(F.col(c).isNull()).alias(f"nn_{c}"))
-        labels.append(("not_null", c, f"nn_{c}"))
-    for c, values in accepted.items():
-        counts.append(F.count_if(~F.col(c).isin(list(values))).alias(f"av_{c}"))
-        labels.append(("accepted_values", c, f"av_{c}"))
+    for i, spec in enumerate(specs):
+        where = spec.where if spec.where is not None else F.lit(True)
+        col = lambda c: F.col((spec.columns or {}).get(c, c))
+        for c in spec.not_null:
+            counts.append(F.count_if(where & col(c).isNull()).alias(f"c{len(counts)}"))
+            labels.append(("not_null", spec.table, c))
+        for c, values in (spec.accepted or {}).items():
+            counts.append(F.count_if(where & ~col(c).isin(list(values))).alias(f"c{len(counts)}"))
+            labels.append(("accepted_values", spec.table, c))
     totals = df.agg(*counts)
     rows = F.explode(
         F.array(
             *[
-                F.struct(F.lit(k).alias("check"), F.lit(col).alias("column_name"), F.col(name).cast("long").alias("failures"))
-                for k, col, name in labels
+                F.struct(
+                    F.lit(k).alias("check"), F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
+                    F.col(f"c{i}").cast("long").alias("failures"),
+                )
+                for i, (k, t, c) in enumerate(labels)
             ]
         )
     )
-    return totals.select(rows.alias("r")).select(
-        F.col("r.check").alias("check"), F.lit(table).alias("table_name"), F.col("r.column_name").alias("column_name"), F.col("r.failures").alias("failures")
-    )
+    return totals.select(rows.alias("r")).select("r.check", "r.table_name", "r.column_name", "r.failures")
+
+
+def column_checks(
+    df: DataFrame,
+    table: str,
+    not_null: Sequence[str] = (),
+    accepted: dict[str, Sequence] | None = None,
+) -> DataFrame:
+    """Row-level checks of one table in a single pass (see ``row_checks``)."""
+    return row_checks(df, RowChecks(table, tuple(not_null), accepted))
 
 
 def union_reports(*reports: DataFrame) -> DataFrame:

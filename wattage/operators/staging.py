@@ -25,6 +25,15 @@ def with_day(df: DataFrame, c: str = "period_date", name: str = "date_value") ->
     return df.withColumn(name, day_start(c))
 
 
+def clean_reading():
+    """The staging filter: value present and positive, period present."""
+    return F.col("value").isNotNull() & (F.col("value") > 0) & F.col("period_date").isNotNull()
+
+
+# Staging columns that are raw columns under another name.
+STG_FROM_RAW = {"demand_value": "value"}
+
+
 def stg_hourly(raw: DataFrame, data_type: str | None = None) -> DataFrame:
     """Clean readings: value present and positive, period present; time parts added.
 
@@ -32,7 +41,7 @@ def stg_hourly(raw: DataFrame, data_type: str | None = None) -> DataFrame:
     reader. Every reading type is kept unless ``data_type`` names one (the
     reference aggregates all types as demand).
     """
-    rows = raw.filter(F.col("value").isNotNull() & (F.col("value") > 0) & F.col("period_date").isNotNull())
+    rows = raw.filter(clean_reading())
     if data_type is not None:
         rows = rows.filter(F.col("data_type") == data_type)
     p = F.col("period_date")

@@ -276,8 +276,15 @@ def reference_checks(raw, stg, by_region, dr, fct) -> DataFrame:
     """
     C = quality.Check
     return quality.union_reports(
-        quality.column_checks(raw, "raw_readings", ["period_date", "respondent", "value"]),
-        quality.column_checks(stg, "stg_hourly", ["period_date", "demand_value", "respondent"], {"respondent": ACCEPTED_REGIONS}),
+        # raw and staging checks share one scan of the raw rows
+        quality.row_checks(
+            raw,
+            quality.RowChecks("raw_readings", ("period_date", "respondent", "value")),
+            quality.RowChecks(
+                "stg_hourly", ("period_date", "demand_value", "respondent"), {"respondent": ACCEPTED_REGIONS},
+                where=staging.clean_reading(), columns=staging.STG_FROM_RAW,
+            ),
+        ),
         quality.column_checks(by_region, "stg_by_region", ["period_date", "respondent", "total_demand"]),
         quality.column_checks(dr, "dim_region", ["region_key", "respondent"]),
         quality.column_checks(fct, "fct_hourly", ["demand_value", "region_key"]),

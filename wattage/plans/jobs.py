@@ -132,8 +132,14 @@ def build_marts(
 
     C = quality.Check
     report = quality.union_reports(
-        quality.column_checks(raw, "raw_readings", ["period_date", "respondent", "value"]),
-        quality.column_checks(stg, "stg_hourly", ["period_date", "demand_value", "respondent"], {"respondent": list(accepted)}),
+        quality.row_checks(  # raw and staging checks share one scan of the raw table
+            raw,
+            quality.RowChecks("raw_readings", ("period_date", "respondent", "value")),
+            quality.RowChecks(
+                "stg_hourly", ("period_date", "demand_value", "respondent"), {"respondent": list(accepted)},
+                where=staging.clean_reading(), columns=staging.STG_FROM_RAW,
+            ),
+        ),
         quality.column_checks(by_region, "stg_by_region", ["period_date", "respondent", "total_demand"]),
         quality.column_checks(dr, "dim_region", ["region_key", "respondent"]),
         quality.column_checks(fct, "fct_hourly", ["demand_value", "region_key"]),
@@ -235,8 +241,14 @@ def refresh_marts(
 
     C = quality.Check
     report = quality.union_reports(
-        quality.column_checks(raw_new, "raw_readings", ["period_date", "respondent", "value"]),
-        quality.column_checks(stg_new, "stg_hourly", ["period_date", "demand_value", "respondent"], {"respondent": list(accepted)}),
+        quality.row_checks(
+            raw_new,
+            quality.RowChecks("raw_readings", ("period_date", "respondent", "value")),
+            quality.RowChecks(
+                "stg_hourly", ("period_date", "demand_value", "respondent"), {"respondent": list(accepted)},
+                where=staging.clean_reading(), columns=staging.STG_FROM_RAW,
+            ),
+        ),
         quality.column_checks(by_region, "stg_by_region", ["period_date", "respondent", "total_demand"]),
         quality.column_checks(dr, "dim_region", ["region_key", "respondent"]),
         quality.column_checks(fresh, "fct_hourly", ["demand_value", "region_key"]),
