@@ -64,3 +64,21 @@ def test_renamed_region_doubles_facts_unless_one_row(spark):
     one = dims.dim_region(stg, dt.datetime(2024, 2, 1), one_row_per_respondent=True)
     assert [r.respondent_name for r in one.collect()] == ["new"]
     assert facts.fct_hourly(stg, one, dd).count() == 2
+
+
+def test_row_checks_share_one_pass(spark):
+    raw = spark.createDataFrame([(1.0, "a"), (None, "a"), (-2.0, None), (3.0, "z")], "value double, respondent string")
+    rep = quality.row_checks(
+        raw,
+        quality.RowChecks("raw", ("value", "respondent")),
+        quality.RowChecks("clean", ("demand_value", "respondent"), {"respondent": ["a"]},
+                          where=F.col("value") > 0, columns={"demand_value": "value"}),
+    )
+    got = {(r.table_name, r.check, r.column_name): r.failures for r in rep.collect()}
+    assert got == {
+        ("raw", "not_null", "value"): 1, ("raw", "not_null", "respondent"): 1,
+        ("clean", "not_null", "demand_value"): 0, ("clean", "not_null", "respondent"): 0,
+        ("clean", "accepted_values", "respondent"): 1,
+    }
+    final = rep._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Scan") == 1
