@@ -48,7 +48,7 @@ class GbtForecaster:
     features: tuple[str, ...] = FEATURES
 
 
-def fit_gbt(train: DataFrame, max_iter: int = 30, max_depth: int = 4, seed: int = 42) -> GbtForecaster:
+def fit_gbt(train: DataFrame, max_iter: int = 20, max_depth: int = 4, seed: int = 42) -> GbtForecaster:
     """Fit one boosted-tree model on the lag/calendar features of all series."""
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed)
