@@ -127,3 +127,26 @@ def test_initial_setup_is_idempotent(spark, tmp_path):
         assert dr.count() == 6 and spark.read.parquet(f"{wh}/dim_date").count() == 1461
     keys = {r.respondent: r.region_key for r in dr.collect()}
     assert keys == {"US48": 1, "CISO": 2, "TEXA": 3, "MISO": 4, "NYISO": 5, "PJM": 6}
+
+
+def test_refresh_with_new_region_falls_back_to_full_build(spark, sf_dir, tmp_path):
+    landing = str(tmp_path / "landing")
+    pages.write_pages(fixtures.service_readings(spark, sf_dir), landing)
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").filter(F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz"))
+    renamed = ev.withColumn("event_type", F.when(F.col("event_type") == "click", F.lit("alpha")).otherwise(F.col("event_type")))
+    src = tmp_path / "sf2"
+    renamed.write.parquet(str(src / "events.parquet"))
+    landing2 = str(tmp_path / "landing2")
+    pages.write_pages(fixtures.service_readings(spark, str(src)), landing2)
+    regions = (*FIXTURE_REGIONS, "alpha")
+    inc, full = str(tmp_path / "inc"), str(tmp_path / "full")
+    for wh in (inc, full):
+        jobs.hourly_load(spark, landing, wh, AS_OF, regions=regions)
+        jobs.build_marts(spark, wh, AS_OF, accepted=regions, gate=False)
+    out = jobs.hourly_load(spark, landing2, inc, AS_OF, regions=regions)
+    jobs.hourly_load(spark, landing2, full, AS_OF, regions=regions)
+    jobs.refresh_marts(spark, inc, out["first_day"], AS_OF, accepted=regions, gate=False)
+    jobs.build_marts(spark, full, AS_OF, accepted=regions, gate=False)
+    assert spark.read.parquet(f"{inc}/dim_region").filter("respondent = 'alpha'").first().region_key == 1
+    for name in ("dim_region", "fct_hourly", "demand_summary", "stg_by_region", "snap_region"):
+        assert _same(spark.read.parquet(f"{inc}/{name}"), spark.read.parquet(f"{full}/{name}")), name
