@@ -150,3 +150,19 @@ def test_refresh_with_new_region_falls_back_to_full_build(spark, sf_dir, tmp_pat
     assert spark.read.parquet(f"{inc}/dim_region").filter("respondent = 'alpha'").first().region_key == 1
     for name in ("dim_region", "fct_hourly", "demand_summary", "stg_by_region", "snap_region"):
         assert _same(spark.read.parquet(f"{inc}/{name}"), spark.read.parquet(f"{full}/{name}")), name
+
+
+def test_command_line_runs_the_jobs(spark, sf_dir, tmp_path):
+    from wattage.plans import run
+
+    landing, wh = str(tmp_path / "landing"), str(tmp_path / "wh")
+    pages.write_pages(fixtures.service_readings(spark, sf_dir), landing)
+    regions = ",".join(FIXTURE_REGIONS)
+    run.main(["setup", "--warehouse", wh, "--as-of", "2024-01-31"], spark)
+    out = run.main(["load", "--warehouse", wh, "--landing", landing, "--as-of", "2024-01-31", "--regions", regions], spark)
+    assert out["first_day"] == "2024-01-01"
+    built = run.main(["build", "--warehouse", wh, "--as-of", "2024-01-31", "--accepted", regions, "--no-gate"], spark)
+    assert "not_null:raw_readings.value" in built["failing_checks"]
+    run.main(["refresh", "--warehouse", wh, "--since", "2024-01-28", "--as-of", "2024-01-31", "--accepted", regions, "--no-gate"], spark)
+    fc = run.main(["forecast", "--warehouse", wh, "--run-date", "2024-01-31"], spark)
+    assert fc["forecast_rows"] > 0 and fc["forecast_rows"] % 7 == 0
