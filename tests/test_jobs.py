@@ -166,3 +166,17 @@ def test_command_line_runs_the_jobs(spark, sf_dir, tmp_path):
     run.main(["refresh", "--warehouse", wh, "--since", "2024-01-28", "--as-of", "2024-01-31", "--accepted", regions, "--no-gate"], spark)
     fc = run.main(["forecast", "--warehouse", wh, "--run-date", "2024-01-31"], spark)
     assert fc["forecast_rows"] > 0 and fc["forecast_rows"] % 7 == 0
+
+
+def test_one_pass_hourly_and_region_days(spark, sf_dir):
+    from wattage.operators import staging
+
+    raw = fixtures.raw_readings(spark, sf_dir)
+    hourly, days = jobs.hourly_and_region_days(raw)
+    want = staging.demand_by_region(staging.stg_hourly(raw))
+    r = lambda df: df.select(
+        "period_date", "respondent", "respondent_name", "record_count",
+        *[F.round(c, 6).alias(c) for c in ("total_demand", "avg_demand", "max_demand", "min_demand")],
+    )
+    assert _same(r(hourly), r(want))
+    assert _same(days, jobs.region_days(raw))

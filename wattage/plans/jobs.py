@@ -96,6 +96,36 @@ def _loaded_on(raw: DataFrame, day: dt.date) -> int:
     return raw.filter(F.to_date("loaded_at") == F.lit(day.isoformat()).cast("date")).count()
 
 
+def hourly_and_region_days(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``demand_by_region(stg_hourly(raw))`` and ``region_days(raw)`` from ONE pass.
+
+    All raw rows are grouped by (hour, code, name); the staging aggregates are
+    conditional on the staging filter, so groups with a clean reading give the
+    hourly mart and all groups give the (day, code, name) table. The grouped
+    table (hours x regions) is checkpointed once and both are read from it.
+    """
+    clean = staging.clean_reading()
+    v = F.when(clean, F.col("value"))
+    grouped = (
+        raw.groupBy("period_date", "respondent", "respondent_name")
+        .agg(
+            F.sum(v).alias("total_demand"),
+            F.avg(v).alias("avg_demand"),
+            F.max(v).alias("max_demand"),
+            F.min(v).alias("min_demand"),
+            F.count_if(clean).alias("record_count"),
+        )
+        .checkpoint(eager=True)
+    )
+    by_region = grouped.filter(F.col("record_count") > 0)
+    days = (
+        grouped.filter(F.col("respondent").isNotNull())
+        .select(F.to_date("period_date").alias("period_day"), "respondent", "respondent_name")
+        .distinct()
+    )
+    return by_region, days
+
+
 def region_days(raw: DataFrame) -> DataFrame:
     """Distinct (day, code, name) of the raw readings: a tiny table from which the
     region history takes its input without scanning the readings again."""
@@ -121,8 +151,10 @@ def build_marts(
     stg = staging.stg_hourly(raw)
 
     # The hour x region aggregate is stored first; the daily mart and the region
-    # dimension (distinct code/name pairs) come from it instead of another scan.
-    by_region = tables.materialise(staging.demand_by_region(stg), _t(warehouse, "stg_by_region"))
+    # dimension (distinct code/name pairs) come from it instead of another scan,
+    # and the (day, code, name) table of the snapshot comes from the same pass.
+    hourly, days_all = hourly_and_region_days(raw)
+    by_region = tables.materialise(hourly, _t(warehouse, "stg_by_region"))
     regions_from = stg if one_row_per_respondent else by_region
     dr = tables.materialise(dims.dim_region(regions_from, as_of, one_row_per_respondent), _t(warehouse, "dim_region"))
     dd = tables.materialise(calendar.dim_date(spark), _t(warehouse, "dim_date"))
@@ -153,7 +185,7 @@ def build_marts(
     ).checkpoint(eager=True)
     if gate:
         quality.assert_passes(report)
-    days = tables.materialise(region_days(raw), _t(warehouse, "raw_region_days"))
+    days = tables.materialise(days_all, _t(warehouse, "raw_region_days"))
     snapshot_regions(spark, warehouse, days, as_of)
     return report
 
@@ -192,7 +224,8 @@ def refresh_marts(
         tables.restore_table(spark, _t(warehouse, name))
     by_path = _t(warehouse, "stg_by_region")
     by_keep = spark.read.parquet(by_path).filter(F.col("period_date") < start)
-    by_region = tables.stage_and_replace(by_keep.unionByName(staging.demand_by_region(stg_new)), by_path)
+    hourly_new, days_new = hourly_and_region_days(raw_new)
+    by_region = tables.stage_and_replace(by_keep.unionByName(hourly_new), by_path)
 
     # The keys rank the (code, name) pairs, so equal pairs mean an equal dimension.
     dr = spark.read.parquet(_t(warehouse, "dim_region"))
@@ -264,7 +297,7 @@ def refresh_marts(
         quality.assert_passes(report)
     days_path = _t(warehouse, "raw_region_days")
     days_keep = spark.read.parquet(days_path).filter(F.col("period_day") < F.lit(since))
-    days = tables.stage_and_replace(days_keep.unionByName(region_days(raw_new)), days_path)
+    days = tables.stage_and_replace(days_keep.unionByName(days_new), days_path)
     snapshot_regions(spark, warehouse, days, as_of)
     return report
 
