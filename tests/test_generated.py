@@ -43,3 +43,27 @@ def test_upsert_matches_dict_merge(spark, target, batch):
         latest[k] = v  # the last row of a key wins (largest seq)
     want.update(latest)
     assert merged == want
+
+
+readings = st.lists(
+    st.tuples(st.sampled_from(["hot", "hot", "hot", "cold"]), st.integers(0, 30), st.sampled_from(["D", "DF", "NG", "TI"])),
+    max_size=80,
+    unique=True,
+)
+
+
+@SETTINGS
+@given(readings, st.integers(1, 40))
+def test_newest_per_region_matches_brute_force(spark, data, n):
+    import datetime as dt
+
+    from wattage.sources.pages import newest_per_region
+
+    rows = [(r, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), t) for r, h, t in data]
+    df = spark.createDataFrame(rows, "respondent string, period_date timestamp_ntz, data_type string") if rows else spark.createDataFrame([], "respondent string, period_date timestamp_ntz, data_type string")
+    got = sorted(tuple(r) for r in newest_per_region(df, n=n).collect())
+    want = []
+    for region in {r for r, _, _ in rows}:
+        mine = sorted((x for x in rows if x[0] == region), key=lambda x: (x[1], x[2]), reverse=True)
+        want += mine[:n]
+    assert got == sorted(want)
