@@ -67,3 +67,30 @@ def test_newest_per_region_matches_brute_force(spark, data, n):
         mine = sorted((x for x in rows if x[0] == region), key=lambda x: (x[1], x[2]), reverse=True)
         want += mine[:n]
     assert got == sorted(want)
+
+
+snapshot = st.dictionaries(st.sampled_from(list("ABCDEF")), st.sampled_from(["x", "y", "z"]), max_size=6)
+
+
+@SETTINGS
+@given(snapshot, snapshot)
+def test_scd2_matches_brute_force(spark, first, second):
+    import datetime as dt
+
+    from wattage.operators.history import scd2
+
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    schema = "respondent string, respondent_name string, created_at timestamp_ntz"
+    a = spark.createDataFrame([(k, v, t1) for k, v in first.items()], schema)
+    b = spark.createDataFrame([(k, v, t2) for k, v in second.items()], schema)
+    got = [tuple(r) for r in scd2(scd2(None, a, "respondent", as_of=t1), b, "respondent", as_of=t2).collect()]
+    want = []
+    for k, v in first.items():
+        if k in second and second[k] != v:
+            want.append((k, v, t1, t1, t2, False))
+        else:  # unchanged, or missing from the second snapshot: stays open
+            want.append((k, v, t1, t1, None, True))
+    for k, v in second.items():
+        if k not in first or first[k] != v:
+            want.append((k, v, t2, t2, None, True))
+    assert sorted(got, key=str) == sorted(want, key=str)
