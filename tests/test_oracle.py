@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from check_oracle import digest, duck
+from check_oracle import digest, duck, type_mismatches
 
 NAMES = sorted(entry.oracle_sql())
 
@@ -15,8 +15,11 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, sf_dir, con, name):
-    got = entry.queries()[name](spark, sf_dir).toPandas()
-    want = con.sql(entry.oracle_sql()[name]).df()
+    sdf = entry.queries()[name](spark, sf_dir)
+    rel = con.sql(entry.oracle_sql()[name])
+    stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    assert type_mismatches(stypes, dict(zip(rel.columns, [str(t) for t in rel.types]))) == {}
+    got, want = sdf.toPandas(), rel.df()
     assert sorted(got.columns) == sorted(want.columns)
     assert digest(got) == digest(want)
 
