@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import find_contamination
+from .neardup import near_duplicates
 from .packing import pack
 from .token_files import token_files
 from .topk import quantised, top_k
@@ -21,6 +22,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), end_id=0, context=2048)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(table(spark, sf_dir, "documents"), k=4, threshold=80)
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select(
@@ -37,6 +43,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
 }
