@@ -7,10 +7,38 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import find_contamination
+from .html_text import extract_text
 from .neardup import near_duplicates
 from .packing import pack
+from .secrets import find_secrets, spans_text
 from .token_files import token_files
 from .topk import quantised, top_k
+from .toxicity import labelled_sample, learn_lexicon, score_toxicity
+from .warc import archive_pages
+
+#: A document at or above this score is toxic.
+TOXIC = 0.7
+
+
+def held_out(doc_id) -> F.Column:
+    """Rows whose labels are never learned from."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = learn_lexicon(labelled_sample(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id"))))
+    rows = score_toxicity(docs, lexicon)
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return rows.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(spans_text("base"), 256).alias("base_sha256"), spans_text("spans").alias("spans"),
+    )
 
 
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +50,15 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), end_id=0, context=2048)
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = archive_pages(table(spark, sf_dir, "pages"), least_bytes=0)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(table(spark, sf_dir, "documents"), k=4, threshold=80)
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
@@ -41,9 +78,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_secret_scan": op2_secret_scan,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_html_text": op5_html_text,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
 }
