@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +88,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB text for the operators that SQL can express on whole tables.

@@ -31,6 +31,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices, stage
 
@@ -250,10 +251,11 @@ def _grammar(learned: tuple) -> Grammar:
     return _GRAMMARS[learned]
 
 
-def score_toxicity(docs: DataFrame, lexicon: list[tuple[str, float]]) -> DataFrame:
-    """One row per document row: doc_id, score, clauses (start, end, weight)."""
+def score_toxicity(docs: DataFrame, lexicon: list[tuple[str, float]], carry: str | None = None) -> DataFrame:
+    """One row per document row: doc_id, score, clauses (start, end, weight); and column ``carry`` as it is."""
     learned = tuple(sorted(lexicon))
     clause = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("weight", pa.float64())])
+    kept = [carry] if carry else []
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = _grammar(learned)
@@ -261,7 +263,11 @@ def score_toxicity(docs: DataFrame, lexicon: list[tuple[str, float]]) -> DataFra
             found = [grammar.clauses(t) for t in batch.column(1).to_pylist()]
             total = [logistic(sum(w for _, _, w in f) - BIAS) for f in found]
             rows = [[{"start": a, "end": b, "weight": w} for a, b, w in f] for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.float64()), pa.array(rows, pa.list_(clause))], names=["doc_id", "score", "clauses"])
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(score, "doc_id long, score double, clauses array<struct<start:int,end:int,weight:double>>")
+            columns = [batch.column(0), pa.array(total, pa.float64()), pa.array(rows, pa.list_(clause)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "clauses", *kept])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *kept)
+    schema = T.StructType().add("doc_id", "long").add("score", "double").add("clauses", "array<struct<start:int,end:int,weight:double>>")
+    for c in kept:
+        schema = schema.add(c, docs.schema[c].dataType)
+    return texts.mapInArrow(score, schema)
