@@ -267,7 +267,8 @@ def score_toxicity(docs: DataFrame, lexicon: list[tuple[str, float]], carry: str
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "clauses", *kept])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *kept)
-    schema = T.StructType().add("doc_id", "long").add("score", "double").add("clauses", "array<struct<start:int,end:int,weight:double>>")
+    spans = T.ArrayType(T.StructType().add("start", "integer").add("end", "integer").add("weight", "double"))
+    schema = T.StructType().add("doc_id", "long").add("score", "double").add("clauses", spans)
     for c in kept:
         schema = schema.add(c, docs.schema[c].dataType)
     return texts.mapInArrow(score, schema)
