@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattage.operators.quality import require_rows
+from wattage.schemas import PAGE
 from wattage.sources import pages, tables
 from wattage.streaming.ingest import ingest_stream
 
@@ -62,7 +63,7 @@ def test_write_pages_bounds_page_size(spark, tmp_path):
         F.col("id").cast("string").alias("value"), F.lit("MWh").alias("value-units"),
     ).repartition(3)
     pages.write_pages(readings, str(tmp_path / "p"), page_size=100)
-    raw = spark.read.schema(pages.PAGE).json(str(tmp_path / "p"))
+    raw = spark.read.schema(PAGE).json(str(tmp_path / "p"))
     sizes = [r[0] for r in raw.select(F.size("response.data")).collect()]
     assert max(sizes) <= 100 and sum(sizes) == 1234
 
@@ -91,18 +92,71 @@ def test_upsert_raw_twice_is_idempotent(spark, tmp_path):
     assert untouched[7] == T0
 
 
-def test_stream_two_files_two_runs_equals_batch(spark, tmp_path):
-    land, raw, ck = tmp_path / "land", str(tmp_path / "raw"), str(tmp_path / "ck")
-    _write(land / "a", _page([_reading(f"2024-01-05T{h:02d}") for h in range(10)]))
-    ingest_stream(spark, str(land) + "/*", raw, ck, as_of=T0)
-    assert tables.scan_raw(spark, raw).count() == 10
-    _write(land / "b", _page([_reading(f"2024-01-05T{h:02d}", value="7") for h in range(5, 15)] + [_reading("bad")]))
-    ingest_stream(spark, str(land) + "/*", raw, ck, as_of=T0)
-    got = {r.period_date.hour: r.value for r in tables.scan_raw(spark, raw).collect()}
-    assert len(got) == 15 and got[3] == 100.5 and got[7] == 7.0 and got[14] == 7.0
-    # a third run without new files changes nothing
-    ingest_stream(spark, str(land) + "/*", raw, ck, as_of=T0)
-    assert tables.scan_raw(spark, raw).count() == 15
+def test_one_stream_run_two_runs_and_the_batch_load_agree(spark, tmp_path):
+    from wattage.plans import jobs
+
+    first = [_page([_reading(f"2024-01-05T{h:02d}") for h in range(10)] + [_reading("bad")])]
+    second = [_page([_reading(f"2024-01-05T{h:02d}", value=v) for h in range(5, 15) for v in ("200", "7")] + [_reading("2024-01-05T09", region="")]),
+              '{"response": {"data": [{"period"', _page([_reading("2024-01-05T06", value="n/a")])]
+    land = tmp_path / "land"
+    raws, rejects = [], []
+    _write(land / "a", *first)
+    ingest_stream(spark, f"{land}/*", str(tmp_path / "raw2"), str(tmp_path / "ck2"), as_of=T0)
+    _write(land / "b", *second)
+    ingest_stream(spark, f"{land}/*", str(tmp_path / "raw2"), str(tmp_path / "ck2"), as_of=T0)
+    ingest_stream(spark, f"{land}/*", str(tmp_path / "raw2"), str(tmp_path / "ck2"), as_of=T0)  # nothing new
+    ingest_stream(spark, f"{land}/*", str(tmp_path / "raw1"), str(tmp_path / "ck1"), as_of=T0)
+    jobs.hourly_load(spark, f"{land}/*", str(tmp_path / "wh"), T0, regions=("PJM",))
+    for raw, bad in (("raw1", "raw1_rejects"), ("raw2", "raw2_rejects"), ("wh/raw_readings", "wh/rejects")):
+        raws.append(sorted((r.period_date.hour, r.value) for r in tables.scan_raw(spark, str(tmp_path / raw)).collect()))
+        rejects.append(sorted((r.reason, r.respondent or "", r.page or "") for r in spark.read.parquet(str(tmp_path / bad)).collect()))
+    assert raws[0] == raws[1] == raws[2] and rejects[0] == rejects[1] == rejects[2]
+    got = dict(raws[0])
+    assert len(got) == 15 and got[3] == 100.5 and got[7] == 7.0 and got[14] == 7.0 and got[6] is None
+    assert [r[0] for r in rejects[0]] == ["page", "period", "respondent"]
+    # a replayed batch (a new checkpoint numbers it as before) adds no reject
+    ingest_stream(spark, f"{land}/*", str(tmp_path / "raw1"), str(tmp_path / "ck3"), as_of=T0)
+    assert spark.read.parquet(str(tmp_path / "raw1_rejects")).count() == 3
+
+
+def test_pages_that_span_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "page.json").write_text(json.dumps(json.loads(_page([_reading("2024-01-05T07")])), indent=1))
+    good, bad = pages.split_rejects(pages.normalise(pages.read_pages(spark, str(tmp_path / "in")), landing=True))
+    assert good.count() == 0 and {r.reason for r in bad.collect()} == {"page"}  # told, not lost
+    good, bad = pages.split_rejects(pages.normalise(pages.read_pages(spark, str(tmp_path / "in"), multi_line=True), landing=True))
+    assert good.count() == 1 and bad.count() == 0
+
+
+def test_a_failed_rename_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.materialise(spark.range(3), path)
+    real = tables._fs
+
+    class Refusing:
+        def __init__(self, fs, allow):
+            self.fs, self.allow = fs, allow
+
+        def rename(self, a, b):
+            self.allow -= 1
+            return self.fs.rename(a, b) if self.allow >= 0 else False
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    for allow in (0, 1):
+        def refusing(s, p, allow=allow):
+            fs, q = real(s, p)
+            return (Refusing(fs, allow) if p == path else fs), q
+
+        monkeypatch.setattr(tables, "_fs", refusing)
+        with pytest.raises(OSError):
+            tables.stage_and_replace(spark.range(9), path)
+        monkeypatch.setattr(tables, "_fs", real)
+        assert tables.restore_table(spark, path) and spark.read.parquet(path).count() == 3
+    import os
+
+    assert os.listdir(tmp_path) == ["t"]
 
 
 def test_require_rows(spark):

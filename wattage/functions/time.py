@@ -61,6 +61,11 @@ def ts_literal(value: dt.datetime | dt.date | str) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
+def utc_now() -> dt.datetime:
+    """The present in UTC, the session's zone, without a zone."""
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+
+
 def date_literal(value: dt.date | str) -> Column:
     if isinstance(value, dt.datetime):
         value = value.date()

@@ -1,9 +1,9 @@
 """Boosted-tree forecaster pooled over all series (MLlib), with feature importance.
 
-Features per (series, day): the previous day's mean, the mean a week earlier,
-the weekday and the day number. Lags come from windows partitioned by series and
-ordered by day over the small daily table (series x days); the trees are fitted
-by MLlib's distributed gradient boosting (Friedman 2001).
+Features per (series, day): the mean of the day before and of the same day a week
+earlier (by date, not by row: a gap gives no lag), the weekday and the day number.
+The trees are fitted by MLlib's distributed gradient boosting (Friedman 2001);
+forecasts are made day by day, each day's forecast being the next day's lag.
 """
 
 from __future__ import annotations
@@ -19,29 +19,34 @@ from pyspark.sql import functions as F
 
 from ..functions.time import day_of_week0, model_version, ts_literal
 from ..session import ensure_checkpoint_dir
-from .forecast import DAY_ORIGIN
+from .forecast import DAY_ORIGIN, MIN_POINTS, forecast_rows, usable_series, z_value
 
 FEATURES = ("lag_1", "lag_7", "day_of_week", "day_number")
 
 
-def gbt_features(train: DataFrame) -> DataFrame:
-    """(region, date, label, lag_1, lag_7, day_of_week, day_number); rows without
-    both lags are left out (the first week of each series)."""
-    by_day = Window.partitionBy("region").orderBy("date")
-    return (
-        train.select(
-            "region",
-            "date",
-            F.col("avg_demand_mw").alias("label"),
-            F.lag("avg_demand_mw", 1).over(by_day).alias("lag_1"),
-            F.lag("avg_demand_mw", 7).over(by_day).alias("lag_7"),
-            day_of_week0("date").cast("double").alias("day_of_week"),
-            F.datediff(F.col("date").cast("date"), F.lit(DAY_ORIGIN.isoformat()).cast("date")).cast("double").alias("day_number"),
-        )
-        .filter(F.col("lag_1").isNotNull() & F.col("lag_7").isNotNull())
+def _with_features(days: DataFrame) -> DataFrame:
+    """(region, date, label) -> the same with the features; lags are those of the dates one and seven days before."""
+    number = F.datediff(F.col("date").cast("date"), F.lit(DAY_ORIGIN.isoformat()).cast("date"))
+    dated = days.withColumn("_n", number)
+    by_day = Window.partitionBy("region").orderBy("_n")  # one row per day of a series
+    return dated.select(
+        "region",
+        "date",
+        "label",
+        F.max("label").over(by_day.rangeBetween(-1, -1)).alias("lag_1"),
+        F.max("label").over(by_day.rangeBetween(-7, -7)).alias("lag_7"),
+        day_of_week0("date").cast("double").alias("day_of_week"),
+        F.col("_n").cast("double").alias("day_number"),
     )
 
 
+def gbt_features(train: DataFrame) -> DataFrame:
+    """(region, date, label, lag_1, lag_7, day_of_week, day_number); days without a
+    reading on both lag dates are left out (the first week, days after a gap)."""
+    rows = _with_features(train.select("region", "date", F.col("avg_demand_mw").alias("label")))
+    return rows.filter(F.col("lag_1").isNotNull() & F.col("lag_7").isNotNull())
+
+
 @dataclass(frozen=True)
 class GbtForecaster:
     model: PipelineModel
@@ -66,6 +71,38 @@ def gbt_fitted(forecaster: GbtForecaster, train: DataFrame) -> DataFrame:
     return scored.select("region", "date", F.col("label").alias("actual"), "prediction")
 
 
+def gbt_forecast(
+    forecaster: GbtForecaster, train: DataFrame, run_date: dt.datetime, horizon: int = 7, interval: float = 0.95, min_points: int = MIN_POINTS
+) -> DataFrame:
+    """Forecast rows (as ``forecast_rows``) for the ``horizon`` days after each usable series' last day.
+
+    Each day is predicted from the days before it, forecasts included. A lag date
+    without a reading takes the series' mean. The interval is normal, its deviation
+    that of the one-day-ahead residuals, growing with the root of the step.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+    known = usable_series(train, min_points).select("region", "date", F.col("avg_demand_mw").alias("label")).checkpoint(eager=True)
+    fitted = gbt_fitted(forecaster, train)
+    sigma = fitted.groupBy("region").agg(F.stddev_samp(F.col("actual") - F.col("prediction")).alias("sigma"))
+    facts = known.groupBy("region").agg(F.max("date").alias("last"), F.avg("label").alias("mean")).join(sigma, "region", "left").checkpoint(eager=True)
+    for step in range(1, horizon + 1):
+        day = facts.select("region", F.date_add(F.col("last").cast("date"), step).cast("timestamp_ntz").alias("date"), F.lit(None).cast("double").alias("label"))
+        near = known.join(facts.select("region", "last"), "region").filter(F.col("date") >= F.date_add(F.col("last").cast("date"), step - 7).cast("timestamp_ntz"))
+        rows = _with_features(near.select("region", "date", "label").unionByName(day)).filter(F.col("label").isNull()).join(facts.select("region", "mean"), "region")
+        rows = rows.withColumn("lag_1", F.coalesce("lag_1", "mean")).withColumn("lag_7", F.coalesce("lag_7", "mean"))
+        made = forecaster.model.transform(rows).select("region", "date", F.col("prediction").alias("label"))
+        # One small table (series x days), stored so that each step reads the last one's forecasts.
+        known = known.unionByName(made).checkpoint(eager=True)
+    ahead = known.join(facts, "region").filter(F.col("date") > F.col("last"))
+    step = F.datediff(F.col("date").cast("date"), F.col("last").cast("date"))
+    half = F.lit(z_value(interval)) * F.col("sigma") * F.sqrt(step)
+    out = ahead.select(
+        F.col("region").alias("series"), F.col("date").alias("ts"), F.col("label").alias("forecast"),
+        (F.col("label") - half).alias("lower_bound"), (F.col("label") + half).alias("upper_bound"),
+    )
+    return forecast_rows(out, run_date)
+
+
 def feature_importance(forecaster: GbtForecaster, run_date: dt.datetime) -> DataFrame:
     """model_version, feature_name, importance_score, rank (1 = most important), created_at.
 

@@ -70,14 +70,28 @@ def calendar_head(dd: DataFrame, n: int = 10) -> DataFrame:
 def calendar_bounds(
     readings: DataFrame,
     c: str = "period_date",
-    start: dt.date | str = CALENDAR_START,
-    end: dt.date | str = CALENDAR_END,
+    start: dt.date | str | None = CALENDAR_START,
+    end: dt.date | str | None = CALENDAR_END,
 ) -> tuple[dt.date, dt.date]:
-    """Calendar range that covers ``[start, end]`` and the data plus one year ahead.
+    """Calendar range that covers ``[start, end]`` and the data plus one year ahead;
+    with ``None`` for both the data alone decides (the default range if it is empty).
 
-    One aggregate job; only the two bounding dates reach the driver.
+    One aggregate job; only the two bounding dates reach the driver. The load rejects
+    periods outside plausible years, so the range has at most some 110,000 days.
     """
     day = F.to_date(F.col(c))
     lo, hi = readings.agg(F.min(day), F.add_months(F.max(day), 12)).first()
-    s, e = _as_date(start), _as_date(end)
-    return (min(s, lo) if lo else s, max(e, hi) if hi else e)
+    if lo is None:
+        return _as_date(start or CALENDAR_START), _as_date(end or CALENDAR_END)
+    return min(lo, _as_date(start or lo)), max(hi, _as_date(end or hi))
+
+
+def extended(dd: DataFrame, start: dt.date, end: dt.date, holidays: DataFrame | None = None) -> DataFrame | None:
+    """``dd`` with the days of ``[start, end]`` it lacks, or None if it has them all.
+
+    Keys are dates written as numbers, so no stored key changes."""
+    lo, hi = dd.agg(F.min("date_value"), F.max("date_value")).first()
+    if lo is not None and lo <= start and end <= hi:
+        return None
+    whole = dim_date(dd.sparkSession, min(start, lo or start), max(end, hi or end), holidays)
+    return dd.unionByName(whole.join(dd.select("date_value"), "date_value", "left_anti").select(dd.columns))

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_literal
-from ..session import ensure_checkpoint_dir
-from .keys import dense_key_counted
-from .sizing import BROADCAST_ROW_LIMIT
+from .keys import dense_key
+from .sizing import small_side
 
 # Fixed value: the one region code labelled National; every other one is Regional.
 NATIONAL_REGION = "US48"
@@ -40,21 +39,11 @@ def dim_region(
 ) -> DataFrame:
     """region_key (by respondent, then name), respondent, name, type, created_at.
 
-    The distinct (code, name) pairs are materialised once in the checkpoint
-    folder and counted. Up to ``BROADCAST_ROW_LIMIT`` pairs (a proven bound) they
-    are numbered by a plain ``row_number`` over that small table and the
-    dimension carries a broadcast hint; above it they are numbered by
-    ``dense_key`` and joined by shuffle.
+    The distinct (code, name) pairs are numbered by ``dense_key``, which stores them
+    once; the dimension carries a broadcast hint where its measured size allows.
     """
-    ensure_checkpoint_dir(stg.sparkSession)
     pairs = region_pairs(stg, one_row_per_respondent).withColumn("region_type", region_type(national=national))
-    pairs = pairs.checkpoint(eager=True)
-    order = ["respondent", "respondent_name"]
-    if pairs.limit(BROADCAST_ROW_LIMIT + 1).count() <= BROADCAST_ROW_LIMIT:
-        rank = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])).cast("long")
-        keyed = F.broadcast(pairs.select(rank.alias("region_key"), *pairs.columns))
-    else:
-        keyed, _ = dense_key_counted(pairs, order, name="region_key")
+    keyed = small_side(dense_key(pairs, ["respondent", "respondent_name"], name="region_key"), materialised=True)
     return keyed.select(
         "region_key", "respondent", "respondent_name", "region_type", ts_literal(as_of).alias("created_at")
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import dense_key
+from .keys import grouped_key
+from .sizing import small_side
 
 FACT_COLUMNS = ("period_date", "date_key", "region_key", "hour", "demand_value", "demand_units", "loaded_at")
 
@@ -18,13 +19,13 @@ FACT_ORDER = ("period_date", "region_key", "data_type", "respondent")
 def fct_hourly_rows(stg: DataFrame, dr: DataFrame, dd: DataFrame) -> DataFrame:
     """Fact rows without the surrogate key (keeps ``data_type``/``respondent`` for ordering).
 
-    The calendar is broadcast (its size is bounded by its date range). The region
+    The calendar (a range or a stored table) is counted before it is broadcast. The region
     dimension is broadcast when it says so: ``dim_region`` hints it after counting
     it, a stored dimension is sized by its files; a larger one is shuffle-joined.
     The day of the reading is cast to ``date`` once so the calendar join compares dates.
     """
     regions = dr.select("respondent", "region_key")
-    days = F.broadcast(dd.select(F.col("date_value").alias("_day"), "date_key"))
+    days = small_side(dd.select(F.col("date_value").alias("_day"), "date_key"), materialised=True)
     return (
         stg.select(
             "period_date",
@@ -45,5 +46,5 @@ def fct_hourly_rows(stg: DataFrame, dr: DataFrame, dd: DataFrame) -> DataFrame:
 def fct_hourly(stg: DataFrame, dr: DataFrame, dd: DataFrame) -> DataFrame:
     """demand_key (dense, by period then region), then the fact columns."""
     rows = fct_hourly_rows(stg, dr, dd)
-    keyed = dense_key(rows, list(FACT_ORDER), name="demand_key")
+    keyed = grouped_key(rows, "period_date", list(FACT_ORDER), name="demand_key")
     return keyed.select("demand_key", *FACT_COLUMNS)

@@ -116,14 +116,20 @@ def predict(model: TrendWeekdayModel, horizon: int = 7, interval: float = 0.95)
     Columns: series, ts, step, forecast, lower_bound, upper_bound (``step`` is the
     horizon in days). A weekday never seen in training gets effect 0.
     """
+    ahead = model.series.select("region", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"), "last_date")
+    days = ahead.select("region", F.date_add(F.col("last_date").cast("date"), F.col("step")).cast("timestamp_ntz").alias("ts"))
+    return predict_at(model, days, interval)
+
+
+def predict_at(model: TrendWeekdayModel, days: DataFrame, interval: float = 0.95) -> DataFrame:
+    """The model's values on given ``days`` (region, ts), whatever gaps lie between."""
     z = z_value(interval)
-    steps = model.series.select(
-        "region", "slope", "intercept", "sigma", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"), "last_date"
-    ).select(
-        "region", "slope", "intercept", "sigma", "step",
-        F.date_add(F.col("last_date").cast("date"), F.col("step")).cast("timestamp_ntz").alias("ts"),
+    series = model.series.select("region", "slope", "intercept", "sigma", "last_date")
+    steps = days.join(series, "region").select(
+        "region", "slope", "intercept", "sigma", "ts",
+        F.datediff(F.col("ts").cast("date"), F.col("last_date").cast("date")).alias("step"),
+        day_of_week0("ts").alias("day_of_week"), _day_number("ts").alias("x"),
     )
-    steps = steps.select("*", day_of_week0("ts").alias("day_of_week"), _day_number("ts").alias("x"))
     fc = steps.join(model.weekday, ["region", "day_of_week"], "left").select(
         F.col("region").alias("series"),
         "ts",
@@ -165,22 +171,28 @@ def as_results(rows: DataFrame, as_of: dt.datetime) -> DataFrame:
     )
 
 
+def holdout(train: DataFrame, days: int) -> tuple[DataFrame, DataFrame]:
+    """(earlier rows, rows of each series' last ``days`` calendar days)."""
+    last = train.groupBy("region").agg(F.max("date").alias("_last"))
+    held = F.col("date") > F.date_add(F.col("_last").cast("date"), -days).cast("timestamp_ntz")
+    tagged = train.join(last, "region").withColumn("_hold", held)
+    return tagged.filter(~F.col("_hold")).select(train.columns), tagged.filter(F.col("_hold")).select(train.columns)
+
+
 def evaluate(train: DataFrame, run_date: dt.datetime, holdout_days: int = 7, interval: float = 0.95, min_points: int = MIN_POINTS) -> DataFrame:
     """Hold out each series' last ``holdout_days`` days, fit on the rest, score.
 
     One row per (region, metric) in the metrics table layout: MAE, RMSE, MAPE
-    (in percent) and R2 over the held-out days.
+    (in percent) and R2 over the held-out days, predicted for just those days. A
+    series that is flat over them has no R2 (NULL), one that is 0 on a day no MAPE;
+    series too short to fit are in ``skipped_series`` of ``fit_part``.
     """
     ensure_checkpoint_dir(train.sparkSession)
     train = train.checkpoint(eager=True)
-    last = train.groupBy("region").agg(F.max("date").alias("_last"))
-    tagged = train.join(last, "region").withColumn(
-        "_hold", F.col("date") > F.date_add(F.col("_last").cast("date"), -holdout_days).cast("timestamp_ntz")
-    )
-    fit_part = tagged.filter(~F.col("_hold")).select("date", "avg_demand_mw", "region")
-    hold = tagged.filter(F.col("_hold")).select("region", F.col("date").alias("ts"), F.col("avg_demand_mw").alias("actual"))
+    fit_part, hold = holdout(train, holdout_days)
+    hold = hold.select("region", F.col("date").alias("ts"), F.col("avg_demand_mw").alias("actual"))
     model = fit_trend_weekday(usable_series(fit_part, min_points))
-    pred = predict(model, holdout_days, interval).withColumnRenamed("series", "region")
+    pred = predict_at(model, hold.select("region", "ts"), interval).withColumnRenamed("series", "region")
     scored = pred.join(hold, ["region", "ts"], "inner")
     err = F.col("actual") - F.col("forecast")
     mean_actual = scored.groupBy("region").agg(F.avg("actual").alias("_mean"))
@@ -188,8 +200,8 @@ def evaluate(train: DataFrame, run_date: dt.datetime, holdout_days: int = 7, int
     stats = s2.groupBy("region").agg(
         F.avg(F.abs(err)).alias("MAE"),
         F.sqrt(F.avg(err * err)).alias("RMSE"),
-        (F.avg(F.abs(err) / F.abs(F.col("actual"))) * 100.0).alias("MAPE"),
-        (1.0 - F.sum(err * err) / F.sum((F.col("actual") - F.col("_mean")) * (F.col("actual") - F.col("_mean")))).alias("R2"),
+        F.when(F.count_if(F.col("actual") == 0) == 0, F.avg(F.try_divide(F.abs(err), F.abs(F.col("actual")))) * 100.0).alias("MAPE"),
+        (1.0 - F.try_divide(F.sum(err * err), F.sum((F.col("actual") - F.col("_mean")) * (F.col("actual") - F.col("_mean"))))).alias("R2"),
     )
     long = stats.select(
         "region",

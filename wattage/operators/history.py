@@ -12,12 +12,19 @@ from ..functions.time import ts_literal
 from .dims import region_type
 
 def region_history_input(raw: DataFrame, as_of: dt.datetime, label_from_code: bool = False) -> DataFrame:
-    """Regions seen in the raw readings: code, name, type, stamp.
+    """Regions seen in the raw readings: code, newest name, type, stamp; one row per code.
+
+    ``raw`` has ``period_date``, or ``period_day`` where it is a table of (day, code,
+    name); the newest name is that of the latest day (then the largest name), so a
+    rename arrives although the old name stays in the readings.
 
     The reference labels every region ``Regional`` here (unlike the dimension);
     ``label_from_code`` applies the dimension's National/Regional rule instead.
     """
-    pairs = raw.filter(F.col("respondent").isNotNull()).select("respondent", "respondent_name").distinct()
+    when = "period_day" if "period_day" in raw.columns else "period_date"
+    newest = F.max(F.struct(F.to_date(when).alias("day"), "respondent_name")).alias("newest")
+    pairs = raw.filter(F.col("respondent").isNotNull()).groupBy("respondent").agg(newest)
+    pairs = pairs.select("respondent", F.col("newest.respondent_name").alias("respondent_name"))
     kind = region_type() if label_from_code else F.lit("Regional")
     return pairs.select("respondent", "respondent_name", kind.alias("region_type"), ts_literal(as_of).alias("created_at"))
 
@@ -35,9 +42,13 @@ def scd2(
     row opened; new key -> opened; key missing from ``current`` -> stays open.
     ``check_cols`` defaults to every non-key column except ``created_at`` (a
     stamp differs on each run); ``"all"`` compares every non-key column, stamp
-    included, which makes each run a change as in the reference.
+    included, which makes each run a change as in the reference. ``current`` must
+    hold each key once: a key with two states at once has no history.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    repeated = current.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(5).collect()
+    if repeated:
+        raise ValueError(f"keys with several current rows, e.g. {[tuple(r)[:-1] for r in repeated]}")
     data_cols = [c for c in current.columns if c not in keys]
     if check_cols is None:
         check = [c for c in data_cols if c != "created_at"]

@@ -19,10 +19,16 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .sizing import small_side
+
+
+# Where rows come in groups that are small by nature (an hour holds a row per region and
+# type), ``grouped_key`` does without the stored copy: it counts rows per group, turns the
+# counts into offsets, and numbers rows inside their group.
 
 
 def _order_column(c: str | Column, descending: bool = False) -> Column:
@@ -78,3 +84,36 @@ def dense_key(
     numbering among equal rows is arbitrary, as with any row_number.
     """
     return dense_key_counted(df, order, name, partitions, descending)[0]
+
+
+def group_offsets(counts: DataFrame, group: str) -> DataFrame:
+    """(group, before): rows in all earlier groups, from (group, n_rows); ``group`` is a timestamp.
+
+    Running sums inside each day, plus the running sum of the days' totals: the
+    rows that meet in one task are one per day.
+    """
+    days = counts.select(group, "n_rows", F.to_date(group).alias("_day"))
+    until = (Window.unboundedPreceding, 0)
+    within = F.sum("n_rows").over(Window.partitionBy("_day").orderBy(group).rowsBetween(*until)) - F.col("n_rows")
+    totals = days.groupBy("_day").agg(F.sum("n_rows").alias("_n"))
+    starts = totals.select("_day", (F.sum("_n").over(Window.orderBy("_day").rowsBetween(*until)) - F.col("_n")).alias("_start"))
+    return days.withColumn("_within", within).join(starts, "_day").select(group, (F.col("_start") + F.col("_within")).alias("before"))
+
+
+def number_in_group(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """Add ``name`` (bigint): 1, 2, ... inside each value of ``group`` by ``order`` (nulls first)."""
+    by = Window.partitionBy(group).orderBy(*[_order_column(c) for c in order])
+    return df.withColumn(name, F.row_number().over(by).cast("long"))
+
+
+def grouped_key(df: DataFrame, group: str, order: list[str], name: str = "key") -> DataFrame:
+    """``dense_key`` by (``group``, ``order``) for groups that are small by nature.
+
+    ``df`` is evaluated twice (counts, rows) and nothing but the offsets, a row per
+    group, is stored. ``group`` must not be null.
+    """
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"))
+    offsets = small_side(group_offsets(counts, group))
+    numbered = number_in_group(df, group, order, "_seq")
+    key = (F.col("before") + F.col("_seq")).cast("long")
+    return numbered.join(offsets, group).select(key.alias(name), *[F.col(c) for c in df.columns])

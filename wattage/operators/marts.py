@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import day_start, ts_literal
-from .keys import dense_key
+from .keys import grouped_key
+from .sizing import small_side
 
 
 def daily_demand(stg: DataFrame) -> DataFrame:
@@ -49,22 +50,22 @@ def forecast_vs_actual(stg: DataFrame) -> DataFrame:
     return daily_demand(stg)
 
 
-def demand_summary(
-    fct: DataFrame,
-    dr: DataFrame,
-    dd: DataFrame,
-    as_of: dt.datetime,
-    keep_record_count: bool = False,
-) -> DataFrame:
-    """Hour x region x calendar: sum, avg, max, min, sample variance (+ summary_key).
+SUMMARY_COLUMNS = (
+    "period_date", "region", "hour", "day_of_week", "is_weekend",
+    "total_demand", "avg_demand", "max_demand", "min_demand", "demand_variance",
+)
+
+
+def demand_summary_rows(fct: DataFrame, dr: DataFrame, dd: DataFrame) -> DataFrame:
+    """Hour x region x calendar: sum, avg, max, min, sample variance, number of readings.
 
     ``fct`` needs ``period_date, region_key, date_key, hour, demand_value``; the
     fact key is not needed, so pass ``fct_hourly_rows`` to skip numbering facts.
     """
     regions = dr.select("region_key", F.col("respondent").alias("region"))
-    days = F.broadcast(dd.select("date_key", "day_of_week", "is_weekend"))
+    days = small_side(dd.select("date_key", "day_of_week", "is_weekend"), materialised=True)
     v = F.col("demand_value")
-    grouped = (
+    return (
         fct.select("period_date", "region_key", "date_key", "hour", "demand_value")
         .join(regions, "region_key", "left")
         .join(days, "date_key", "left")
@@ -78,11 +79,18 @@ def demand_summary(
             F.count(F.lit(1)).alias("record_count"),
         )
     )
-    keyed = dense_key(grouped, ["period_date", "region"], name="summary_key")
-    cols = [
-        "summary_key", "period_date", "region", "hour", "day_of_week", "is_weekend",
-        "total_demand", "avg_demand", "max_demand", "min_demand", "demand_variance",
-    ]
+
+
+def demand_summary(
+    fct: DataFrame,
+    dr: DataFrame,
+    dd: DataFrame,
+    as_of: dt.datetime,
+    keep_record_count: bool = False,
+) -> DataFrame:
+    """``demand_summary_rows`` with ``summary_key`` (dense, by period then region) and a stamp."""
+    keyed = grouped_key(demand_summary_rows(fct, dr, dd), "period_date", ["region"], name="summary_key")
+    cols = ["summary_key", *SUMMARY_COLUMNS]
     if keep_record_count:
         cols.append("record_count")
     return keyed.select(*cols, ts_literal(as_of).alias("created_at"))

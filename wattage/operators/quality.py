@@ -139,7 +139,9 @@ def union_reports(*reports: DataFrame) -> DataFrame:
 
 
 def assert_passes(report: DataFrame) -> None:
-    """Raise if any check of ``report`` has failures (the gate before history)."""
-    bad = report.filter(F.col("failures") > 0).limit(20).collect()
+    """Raise if any check of ``report`` has failures (the gate before history); the
+    message lists every failing check (a report has one row per check)."""
+    bad = report.filter(F.col("failures") > 0).orderBy("table_name", "column_name", "check").collect()
     if bad:
-        raise AssertionError("data-quality checks failed: " + ", ".join(f"{r['check']}({r['failures']})" for r in bad))
+        listed = ", ".join(f"{r['check']} {r['table_name']}.{r['column_name']} ({r['failures']})" for r in bad)
+        raise AssertionError(f"data-quality checks failed: {listed}")

@@ -20,6 +20,7 @@ from .sizing import small_side
 
 def dedupe_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the largest ``order`` values, ties broken by all other columns.
+    The chosen row's values are taken as they are, NULLs too.
 
     ``max_by`` aggregates on the map side first, so a key repeated a million times
     in one task leaves that task as one row.
@@ -52,7 +53,7 @@ def _merge(
     for c in target.columns:
         tc = F.col(f"t__{c}")
         sc = F.col(f"s__{c}") if c in batch.columns else F.lit(None)
-        ins = on_insert[c] if (c in on_insert and c not in batch.columns) else sc
+        ins = on_insert.get(c, sc)
         if c in keys:
             expr = F.when(inserted, sc).otherwise(tc)
         elif c in update_cols:
@@ -77,8 +78,8 @@ def upsert(
     """New state of ``target`` after merging ``batch`` on ``keys``.
 
     Matched rows take ``update_cols`` from the batch and the ``on_match``
-    expressions; batch rows without a match are inserted (target columns missing
-    from the batch take ``on_insert`` or NULL); other target rows stay as they are.
+    expressions; batch rows without a match are inserted (``on_insert`` columns take
+    that expression, columns missing from the batch NULL); other target rows stay as they are.
     The batch must be unique on ``keys`` (see ``dedupe_batch``). Running the same
     upsert twice gives the same table as running it once.
     """

@@ -27,6 +27,7 @@ from . import jobs
 
 # The fixture's National region (FIXTURES.md: `click` plays it).
 FIXTURE_NATIONAL = "click"
+SNAPSHOT_T3 = dt.datetime(2024, 2, 15)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,17 +73,29 @@ def q_forecast_vs_actual(spark, sf_dir):
 def q_daily_demand_lineitem(spark, sf_dir):
     configure(spark)
     stg = staging.stg_hourly(fixtures.lineitem_readings(spark, sf_dir))
-    return _round(marts.daily_demand(stg), DAILY_DOUBLES)
+    # Prices have two decimals: summed as decimals the total is exact, and the mean its quotient.
+    df = marts.daily_demand(stg.withColumn("demand_value", F.col("demand_value").cast("decimal(18,2)")))
+    exact = df.select(*[F.col(c).cast("double").alias(c) if c in DAILY_DOUBLES else F.col(c) for c in df.columns])
+    return exact.withColumn("avg_demand_mw", F.col("total_demand_mwh") / F.col("hourly_record_count"))
 
 
 # -- calendar ----------------------------------------------------------------
 
 def q_dim_date(spark, sf_dir):
     configure(spark)
-    start, end = calendar.calendar_bounds(fixtures.raw_readings(spark, sf_dir))
+    start, end = calendar.calendar_bounds(fixtures.raw_readings(spark, sf_dir), start=None, end=None)
     return calendar.dim_date(spark, start, end)
 
 
+def q_dim_date_holidays(spark, sf_dir):
+    """The calendar with the Sundays that have readings marked as holidays."""
+    configure(spark)
+    raw = fixtures.raw_readings(spark, sf_dir)
+    start, end = calendar.calendar_bounds(raw, start=None, end=None)
+    days = raw.filter(F.dayofweek("period_date") == 1).select(F.to_date("period_date").alias("date_value"))
+    return calendar.dim_date(spark, start, end, holidays=days)
+
+
 def q_calendar_head(spark, sf_dir):
     return calendar.calendar_head(q_dim_date(spark, sf_dir), 10)
 
@@ -156,6 +169,55 @@ def q_ingest_json(spark, sf_dir):
     return pages.normalise(pages.read_pages(spark, path))
 
 
+def _land(spark, *landings):
+    path = scratch_path(spark, "landing")
+    for i, readings in enumerate(landings):
+        pages.write_pages(readings, f"{path}/{i}")
+    return path
+
+
+def q_load_corrections(spark, sf_dir):
+    """One load of three landings: of several readings of a key the last to land wins, also a lower or missing one."""
+    configure(spark)
+    warehouse = scratch_path(spark, "warehouse")
+    landing = _land(spark, *fixtures.corrections(spark, sf_dir))
+    jobs.hourly_load(spark, f"{landing}/*", warehouse, AS_OF, regions=ACCEPTED_REGIONS)
+    return tables.scan_raw(spark, f"{warehouse}/raw_readings").drop(tables.PARTITION)
+
+
+def q_load_rejects(spark, sf_dir):
+    """Rejects that a load stores: bad periods, missing regions and types, malformed pages; counted by reason and region."""
+    configure(spark)
+    warehouse = scratch_path(spark, "warehouse")
+    service = fixtures.service_readings(spark, sf_dir)
+    n = F.conv(F.substring(F.md5(F.concat_ws("|", "period", "respondent", "type")), 1, 2), 16, 10).cast("int")
+    region = F.when(n % 5 == 0, F.lit(None).cast("string")).when(n % 5 == 1, F.lit("")).otherwise(F.col("respondent"))
+    landing = _land(spark, service.withColumn("respondent", region).withColumn("type", F.when(n % 7 == 0, F.lit("")).otherwise(F.col("type"))))
+    cut = fixtures.table(spark, sf_dir, "nation").select(F.concat(F.lit('{"response": {"data": [{"respondent": "'), "n_name", F.lit('"')).alias("value"))
+    cut.write.text(f"{landing}/cut")
+    jobs.hourly_load(spark, f"{landing}/*", warehouse, AS_OF, regions=ACCEPTED_REGIONS)
+    stored = spark.read.parquet(f"{warehouse}/rejects")
+    return stored.groupBy("reason", "respondent").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_materialise(spark, sf_dir):
+    """A mart rebuilt: first of half the days, then of all, by folder of the day; read back."""
+    configure(spark)
+    path = scratch_path(spark, "mart")
+    daily = marts.daily_demand(_stg(spark, sf_dir)).withColumn("day", F.to_date("period_day"))
+    tables.materialise(daily.filter(F.dayofmonth("day") > 10), path, "day")
+    return _round(tables.materialise(daily.filter(F.dayofmonth("day") <= 20), path, "day").drop("day"), DAILY_DOUBLES)
+
+
+def q_replace_table(spark, sf_dir):
+    """A table replaced by rows made from itself."""
+    configure(spark)
+    path = scratch_path(spark, "table")
+    first = tables.replace_table(fixtures.raw_readings(spark, sf_dir), path)
+    changed = first.filter(F.col("respondent") != "error").withColumn("value", F.col("value") * 2)
+    return tables.replace_table(changed, path)
+
+
 def q_write_raw(spark, sf_dir):
     """Raw readings written by day partition and scanned back with the declared schema."""
     configure(spark)
@@ -165,16 +227,18 @@ def q_write_raw(spark, sf_dir):
 
 
 def q_ingest_stream(spark, sf_dir):
-    """Two landings of pages (readings before / from the first snapshot day), each
-    loaded by its own run of the incremental stream into one raw table; the second
-    run sees only the new files (the stream's checkpoint remembers the first)."""
+    """Two landings of pages (readings before the first snapshot day; the others, and
+    corrections of some of the first), each loaded by its own run of the incremental
+    stream into one raw table; the second run sees only the new files (the stream's
+    checkpoint remembers the first)."""
     configure(spark)
     landing, raw, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "raw"), scratch_path(spark, "stream-ckpt")
-    service = fixtures.service_readings(spark, sf_dir)
-    cut = F.col("period") < F.lit(SNAPSHOT_T1.strftime("%Y-%m-%d"))
-    pages.write_pages(service.filter(cut), f"{landing}/a")
+    readings = fixtures.raw_readings(spark, sf_dir)
+    cut = F.col("period_date") < ts_literal(SNAPSHOT_T1)
+    corrected = readings.filter(cut & (F.hour("period_date") % 4 == 1)).withColumn("value", F.col("value") - 1)
+    pages.write_pages(fixtures.as_service(readings.filter(cut)), f"{landing}/a")
     ingest_stream(spark, f"{landing}/*", raw, ckpt, as_of=AS_OF)
-    pages.write_pages(service.filter(~cut), f"{landing}/b")
+    pages.write_pages(fixtures.as_service(readings.filter(~cut).unionByName(corrected)), f"{landing}/b")
     ingest_stream(spark, f"{landing}/*", raw, ckpt, as_of=AS_OF)
     return tables.scan_raw(spark, raw).drop(tables.PARTITION)
 
@@ -233,6 +297,15 @@ def q_region_history(spark, sf_dir):
     return history.scd2(h1, history.region_history_input(second, SNAPSHOT_T2), "respondent", as_of=SNAPSHOT_T2)
 
 
+def q_region_history_rename(spark, sf_dir):
+    """History over a rename while both names stay in the readings; a third, equal snapshot adds nothing."""
+    configure(spark)
+    raw = fixtures.renamed_readings(spark, sf_dir)
+    h = history.scd2(None, history.region_history_input(raw.filter(F.col("period_date") < ts_literal(SNAPSHOT_T1)), SNAPSHOT_T1), "respondent", as_of=SNAPSHOT_T1)
+    h = history.scd2(h, history.region_history_input(raw, SNAPSHOT_T2), "respondent", as_of=SNAPSHOT_T2)
+    return history.scd2(h, history.region_history_input(raw, SNAPSHOT_T3), "respondent", as_of=SNAPSHOT_T3)
+
+
 def q_history_as_of(spark, sf_dir):
     return history.as_of_view(q_region_history(spark, sf_dir), dt.datetime(2024, 1, 20))
 
@@ -255,7 +328,15 @@ def q_dq_accepted(spark, sf_dir):
 def q_dq_relationship(spark, sf_dir):
     stg, dr, dd = _dims(spark, sf_dir)
     fct = facts.fct_hourly_rows(stg, dr, dd).drop("data_type", "respondent")
-    return quality.check_relationship(fct, "region_key", dr, "region_key")
+    # Two regions are taken out of the dimension, so their facts are orphans.
+    return quality.check_relationship(fct, "region_key", dr.filter(~F.col("respondent").isin("error", "view")), "region_key")
+
+
+def q_dq_require_rows(spark, sf_dir):
+    """Readings per region, behind the guard that fails on an empty input."""
+    configure(spark)
+    raw = quality.require_rows(fixtures.raw_readings(spark, sf_dir), "no readings")
+    return diagnostics.key_counts(raw, "respondent", "n_rows")
 
 
 def q_dq_keys(spark, sf_dir):
@@ -434,6 +515,21 @@ def q_forecast_metrics(spark, sf_dir):
     return _round(forecast.evaluate(_train(spark, sf_dir), RUN_DATE, 7), ["metric_value"])
 
 
+def q_forecast_metrics_gaps(spark, sf_dir):
+    """Metrics of awkward series: flat (no R2), short (no row), with a gap before the last day."""
+    return _round(forecast.evaluate(fixtures.gappy(_train(spark, sf_dir)), RUN_DATE, 7), ["metric_value"])
+
+
+def q_skipped_series(spark, sf_dir):
+    return forecast.skipped_series(fixtures.gappy(_train(spark, sf_dir)))
+
+
+def q_forecast_rows_quoted(spark, sf_dir):
+    """Forecast rows of series whose names came in quotes: the quotes go."""
+    train = _train(spark, sf_dir).withColumn("region", F.concat(F.lit('"'), "region", F.lit('"')))
+    return _round(forecast.forecast_run(train, RUN_DATE), FORECAST_DOUBLES)
+
+
 def q_forecast_count_metrics(spark, sf_dir):
     return forecast.forecast_count_metrics(_forecast(spark, sf_dir), RUN_DATE)
 
@@ -477,6 +573,17 @@ def _gbt(spark, sf_dir):
     return boosted.fit_gbt(train), train
 
 
+def q_gbt_features(spark, sf_dir):
+    """Lag features by date; days after a gap have none."""
+    return _round(boosted.gbt_features(fixtures.gappy(_train(spark, sf_dir))), ["label", "lag_1", "lag_7"])
+
+
+def q_gbt_forecast(spark, sf_dir):
+    """Seven days ahead by the pooled tree model (rows only)."""
+    model, train = _gbt(spark, sf_dir)
+    return boosted.gbt_forecast(model, train, RUN_DATE)
+
+
 def q_fit_gbt(spark, sf_dir):
     """One-day-ahead fitted values of the pooled boosted-tree model (rows only)."""
     model, train = _gbt(spark, sf_dir)
@@ -495,6 +602,7 @@ QUERIES: dict[str, Query] = {
     "forecast_vs_actual": q_forecast_vs_actual,
     "daily_demand_lineitem": q_daily_demand_lineitem,
     "dim_date": q_dim_date,
+    "dim_date_holidays": q_dim_date_holidays,
     "calendar_head": q_calendar_head,
     "dim_region": q_dim_region,
     "dim_region_latest": q_dim_region_latest,
@@ -508,6 +616,10 @@ QUERIES: dict[str, Query] = {
     "ingest_json": q_ingest_json,
     "write_raw": q_write_raw,
     "ingest_stream": q_ingest_stream,
+    "load_corrections": q_load_corrections,
+    "load_rejects": q_load_rejects,
+    "materialise": q_materialise,
+    "replace_table": q_replace_table,
     "rejects": q_rejects,
     "dedupe_batch": q_dedupe_batch,
     "upsert_readings": q_upsert_readings,
@@ -515,11 +627,13 @@ QUERIES: dict[str, Query] = {
     "insert_absent_dates": q_insert_absent_dates,
     "region_history_input": q_region_history_input,
     "region_history": q_region_history,
+    "region_history_rename": q_region_history_rename,
     "history_as_of": q_history_as_of,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_accepted": q_dq_accepted,
     "dq_relationship": q_dq_relationship,
+    "dq_require_rows": q_dq_require_rows,
     "dq_keys": q_dq_keys,
     "dq_counts": q_dq_counts,
     "dq_report": q_dq_report,
@@ -541,6 +655,9 @@ QUERIES: dict[str, Query] = {
     "forecast_steps": q_forecast_steps,
     "forecast_7d": q_forecast_7d,
     "forecast_metrics": q_forecast_metrics,
+    "forecast_metrics_gaps": q_forecast_metrics_gaps,
+    "skipped_series": q_skipped_series,
+    "forecast_rows_quoted": q_forecast_rows_quoted,
     "forecast_count_metrics": q_forecast_count_metrics,
     "forecast_with_actuals": q_forecast_with_actuals,
     "history_with_forecast": q_history_with_forecast,
@@ -548,5 +665,7 @@ QUERIES: dict[str, Query] = {
     "upsert_forecasts": q_upsert_forecasts,
     "upsert_metrics": q_upsert_metrics,
     "fit_gbt": q_fit_gbt,
+    "gbt_features": q_gbt_features,
+    "gbt_forecast": q_gbt_forecast,
     "feature_importance": q_feature_importance,
 }

@@ -1,11 +1,20 @@
 """The three scheduled jobs as Spark jobs over stored tables.
 
-Layout under one ``warehouse`` folder: ``raw_readings`` (by day), ``dim_region``,
-``dim_date``, ``fct_hourly`` (by date_key), ``demand_summary``, ``fct_daily``,
-``stg_by_region``, ``raw_region_days``, ``snap_region``, ``forecast_results``,
-``model_metrics``.
+Layout under one ``warehouse`` folder. By day: ``raw_readings``, ``stg_by_region``,
+``fct_hourly`` (by date_key) with ``fct_hours``, ``demand_summary`` with
+``summary_hours``, ``fct_daily``, ``raw_region_days``. Whole: ``dim_region``,
+``dim_date``, ``snap_region``, ``forecast_results``, ``model_metrics``,
+``skipped_series``, ``feature_importance``. Also ``rejects`` (a folder per load) and
+``pending_days`` (days loaded but not yet in the marts, a folder per load).
+
+Surrogate keys are positions in time order, so a late reading moves every later key.
+The fact and the summary therefore store the position inside the hour, and the hours
+tables the number of rows; ``read_fact`` and ``read_summary`` add the offset of the
+hour. A refresh then writes the touched days only.
+
 Each function is one job run; re-running it with the same inputs leaves the
-tables as they were (upserts and full rebuilds only).
+tables as they were (upserts and rebuilds only). A job removes the checkpoints and
+scratch folders it made.
 """
 
 from __future__ import annotations
@@ -17,11 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_literal
-from ..operators import calendar, dims, facts, forecast, history, marts, quality, staging
-from ..operators.keys import dense_key_counted
-from ..operators.upsert import insert_absent, upsert
-from ..schemas import FORECAST_KEY, FORECAST_RESULTS, METRIC_KEY, MODEL_METRICS
-from ..session import configure
+from ..operators import boosted, calendar, dims, facts, forecast, history, marts, quality, staging
+from ..operators.keys import group_offsets, number_in_group
+from ..operators.sizing import small_side
+from ..operators.upsert import dedupe_batch, insert_absent, upsert
+from ..schemas import FORECAST_KEY, FORECAST_RESULTS, METRIC_KEY, MODEL_METRICS, RAW_KEY
+from ..session import configure, job_scratch, path_exists
 from ..sources import pages, tables
 from ..sources.pages import REQUESTED_REGIONS
 
@@ -50,21 +60,30 @@ def seed_regions(spark: SparkSession, as_of: dt.datetime) -> DataFrame:
     return seed.withColumn("created_at", ts_literal(as_of)).withColumn("region_key", F.lit(None).cast("long"))
 
 
+PART = "part_day"  # partition column (date) of the marts stored by day
+
+
+def _day(df: DataFrame, c: str = "period_date") -> DataFrame:
+    return df.withColumn(PART, F.to_date(c))
+
+
 def initial_setup(spark: SparkSession, warehouse: str, as_of: dt.datetime) -> None:
     """One-time setup: seed regions and the calendar, each only where absent, so
     it can run again safely. A later ``build_marts`` rebuilds the region
     dimension from the data, as the reference's model build does."""
     configure(spark)
     dr_path, dd_path = _t(warehouse, "dim_region"), _t(warehouse, "dim_date")
-    if tables.restore_table(spark, dr_path):
-        dr = spark.read.parquet(dr_path)
-    else:
-        dr = spark.createDataFrame([], "region_key bigint, respondent string, respondent_name string, region_type string, created_at timestamp_ntz")
-    seeded = insert_absent(dr, seed_regions(spark, as_of), ["respondent"], key_col="region_key", insert_order=["seed_order"])
-    tables.stage_and_replace(seeded, dr_path)
-    cal = calendar.dim_date(spark)
-    dd = spark.read.parquet(dd_path) if tables.restore_table(spark, dd_path) else cal.limit(0)
-    tables.stage_and_replace(insert_absent(dd, cal, ["date_value"]), dd_path)
+    with job_scratch(spark):
+        if tables.restore_table(spark, dr_path):
+            dr = spark.read.parquet(dr_path)
+        else:
+            dr = spark.createDataFrame([], "region_key bigint, respondent string, respondent_name string, region_type string, created_at timestamp_ntz")
+        seeded = insert_absent(dr, seed_regions(spark, as_of), ["respondent"], key_col="region_key", insert_order=["seed_order"])
+        tables.stage_and_replace(seeded, dr_path)
+        raw_path = _t(warehouse, "raw_readings")
+        cal = calendar.dim_date(spark, *(calendar.calendar_bounds(tables.scan_raw(spark, raw_path)) if path_exists(spark, raw_path) else ()))
+        dd = spark.read.parquet(dd_path) if tables.restore_table(spark, dd_path) else cal.limit(0)
+        tables.stage_and_replace(insert_absent(dd, cal, ["date_value"]), dd_path)
 
 
 def hourly_load(
@@ -73,23 +92,41 @@ def hourly_load(
     warehouse: str,
     as_of: dt.datetime,
     regions: Sequence[str] = REQUESTED_REGIONS,
-    newest: int = 50_000,
+    newest: int | None = None,
+    multi_line: bool = False,
 ) -> dict:
-    """Landed pages -> requested regions -> normalised -> newest N per region ->
-    unkeyable rows set aside -> merged into ``raw_readings``. Fails on an empty batch."""
+    """Landed pages -> normalised -> malformed pages and unkeyable rows stored as rejects
+    -> requested regions -> merged into ``raw_readings``, the reading that landed last
+    winning. Fails on an empty batch.
+
+    ``newest`` loads only that many readings per region (``newest_per_region``) and
+    reports how many were left out; by default everything that landed is loaded.
+    """
     configure(spark)
-    # One run's landing, parsed once: the reject count, the guard, the touched
-    # days and the merge all read this checkpoint instead of the JSON again.
-    readings = pages.only_regions(pages.normalise(pages.read_pages(spark, landing)), regions).checkpoint(eager=True)
-    good, rejects = pages.split_rejects(readings)
-    batch = pages.newest_per_region(good, n=newest)
-    quality.require_rows(batch, "no readings to load")
-    first_day = batch.agg(F.min(F.to_date("period_date"))).first()[0]
-    raw = tables.upsert_raw(spark, _t(warehouse, "raw_readings"), batch, as_of)
-    # Rows loaded today, counted over the days this run touched (folder pruning)
-    # rather than over the whole history.
-    touched = raw.filter(F.col(tables.PARTITION) >= F.lit(first_day))
-    return {"rejected": rejects.count(), "loaded_today": _loaded_on(touched, as_of.date()), "first_day": first_day}
+    with job_scratch(spark):
+        # One run's landing, parsed once: rejects, guard, days and merge read this checkpoint.
+        landed = pages.normalise(pages.read_pages(spark, landing, multi_line), landing=True).checkpoint(eager=True)
+        good, bad = pages.split_rejects(landed)
+        rejects = tables.write_rejects(bad, _t(warehouse, "rejects"), as_of.strftime("%Y%m%dT%H%M%S"))
+        batch, left_out = pages.only_regions(good, regions), 0
+        if newest is not None:
+            batch = dedupe_batch(batch, RAW_KEY, ("landed",)).checkpoint(eager=True)
+            kept = pages.newest_per_region(batch, n=newest, tie=("data_type",)).checkpoint(eager=True)
+            left_out = batch.count() - kept.count()
+            batch = kept
+        days = small_side(batch.select(F.to_date("period_date").alias(PART)).distinct())
+        quality.require_rows(days, "no readings to load")
+        # Marked before the merge: a run that stops in between is caught up by the next refresh.
+        marked = _t(warehouse, f"pending_days/run={as_of.strftime('%Y%m%dT%H%M%S')}")
+        days.write.mode("overwrite").parquet(marked)
+        first_day = spark.read.parquet(marked).agg(F.min(PART)).first()[0]
+        raw = tables.upsert_raw(spark, _t(warehouse, "raw_readings"), batch, as_of)
+        # Rows loaded today, counted over the days this run touched (folder pruning)
+        # rather than over the whole history.
+        touched = raw.filter(F.col(tables.PARTITION) >= F.lit(first_day))
+        return {
+            "rejected": rejects.count(), "left_out": left_out, "loaded_today": _loaded_on(touched, as_of.date()), "first_day": first_day,
+        }
 
 
 def _loaded_on(raw: DataFrame, day: dt.date) -> int:
@@ -120,51 +157,52 @@ def hourly_and_region_days(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_region = grouped.filter(F.col("record_count") > 0)
     days = (
         grouped.filter(F.col("respondent").isNotNull())
-        .select(F.to_date("period_date").alias("period_day"), "respondent", "respondent_name")
-        .distinct()
+        .groupBy(F.to_date("period_date").alias("period_day"), "respondent", "respondent_name")
+        .agg((F.max("record_count") > 0).alias("clean"))
     )
     return by_region, days
 
 
 def region_days(raw: DataFrame) -> DataFrame:
-    """Distinct (day, code, name) of the raw readings: a tiny table from which the
-    region history takes its input without scanning the readings again."""
+    """(day, code, name) of the raw readings, and whether a clean reading has it: a tiny
+    table from which the region dimension and history are made without the readings."""
     return (
         raw.filter(F.col("respondent").isNotNull())
-        .select(F.to_date("period_date").alias("period_day"), "respondent", "respondent_name")
-        .distinct()
+        .groupBy(F.to_date("period_date").alias("period_day"), "respondent", "respondent_name")
+        .agg(F.max(staging.clean_reading()).alias("clean"))
     )
 
 
-def build_marts(
-    spark: SparkSession,
-    warehouse: str,
-    as_of: dt.datetime,
-    one_row_per_respondent: bool = False,
-    accepted: Sequence[str] = ACCEPTED,
-    gate: bool = True,
-) -> DataFrame:
-    """Staging -> dimensions -> keyed fact -> marts, then the checks; the type-2
-    snapshot runs only when every check passes. Returns the check report."""
-    configure(spark)
-    raw = tables.scan_raw(spark, _t(warehouse, "raw_readings")).drop(tables.PARTITION)
-    stg = staging.stg_hourly(raw)
-
-    # The hour x region aggregate is stored first; the daily mart and the region
-    # dimension (distinct code/name pairs) come from it instead of another scan,
-    # and the (day, code, name) table of the snapshot comes from the same pass.
-    hourly, days_all = hourly_and_region_days(raw)
-    by_region = tables.materialise(hourly, _t(warehouse, "stg_by_region"))
-    regions_from = stg if one_row_per_respondent else by_region
-    dr = tables.materialise(dims.dim_region(regions_from, as_of, one_row_per_respondent), _t(warehouse, "dim_region"))
-    dd = tables.materialise(calendar.dim_date(spark), _t(warehouse, "dim_date"))
-    fct = tables.materialise(facts.fct_hourly(stg, dr, dd), _t(warehouse, "fct_hourly"), partition_by="date_key")
-    tables.materialise(marts.demand_summary(fct, dr, dd, as_of), _t(warehouse, "demand_summary"))
-    tables.materialise(marts.daily_from_hourly(by_region), _t(warehouse, "fct_daily"))
+def _region_source(days: DataFrame) -> DataFrame:
+    """The region dimension's input from ``region_days``: the latest day stands for the load time."""
+    return days.filter("clean").select("respondent", "respondent_name", F.col("period_day").alias("loaded_at"))
+
 
+def read_fact(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The stored hourly fact with ``demand_key`` (dense, in time order)."""
+    offsets = small_side(group_offsets(spark.read.parquet(_t(warehouse, "fct_hours")).drop(PART), "period_date"))
+    fct = spark.read.parquet(_t(warehouse, "fct_hourly"))
+    key = (F.col("before") + F.col("hour_seq")).alias("demand_key")
+    return fct.join(offsets, "period_date").select(key, *facts.FACT_COLUMNS)
+
+
+def read_summary(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The stored demand summary with ``summary_key`` (dense, in time order)."""
+    offsets = small_side(group_offsets(spark.read.parquet(_t(warehouse, "summary_hours")).drop(PART), "period_date"))
+    rows = spark.read.parquet(_t(warehouse, "demand_summary"))
+    key = (F.col("before") + F.col("hour_seq")).alias("summary_key")
+    return rows.join(offsets, "period_date").select(key, *marts.SUMMARY_COLUMNS, "created_at")
+
+
+def _hours(rows: DataFrame) -> DataFrame:
+    return _day(rows.groupBy("period_date").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def _checks(raw, by_region, dr, fct, accepted: Sequence[str]) -> DataFrame:
+    """The 17 column checks; one row per check, as a small frame of its own."""
     C = quality.Check
     report = quality.union_reports(
-        quality.row_checks(  # raw and staging checks share one scan of the raw table
+        quality.row_checks(  # raw and staging checks share one scan of the raw rows
             raw,
             quality.RowChecks("raw_readings", ("period_date", "respondent", "value")),
             quality.RowChecks(
@@ -182,12 +220,74 @@ def build_marts(
                 C("relationships", "fct_hourly", "region_key", quality.check_relationship(fct, "region_key", dr, "region_key")),
             ]
         ),
-    ).checkpoint(eager=True)
-    if gate:
-        quality.assert_passes(report)
-    days = tables.materialise(days_all, _t(warehouse, "raw_region_days"))
-    snapshot_regions(spark, warehouse, days, as_of)
-    return report
+    )
+    return raw.sparkSession.createDataFrame(report.collect(), report.schema)  # one row per check
+
+
+def _pending(spark: SparkSession, warehouse: str) -> DataFrame | None:
+    """(run, part_day) of loads whose days are not yet in the marts; None if there are none."""
+    path = _t(warehouse, "pending_days")
+    if not path_exists(spark, path):
+        return None
+    marked = spark.read.schema(f"{PART} date, run string").option("basePath", path).parquet(path)
+    return None if marked.isEmpty() else marked
+
+
+def _clear_pending(spark: SparkSession, warehouse: str, runs: Sequence[str]) -> None:
+    for run in runs:
+        tables.drop_folder(spark, _t(warehouse, f"pending_days/run={run}"))
+
+
+def build_marts(
+    spark: SparkSession,
+    warehouse: str,
+    as_of: dt.datetime,
+    one_row_per_respondent: bool = False,
+    accepted: Sequence[str] = ACCEPTED,
+    gate: bool = True,
+) -> DataFrame:
+    """Staging -> dimensions -> keyed fact -> marts, then the checks; the type-2
+    snapshot runs only when every check passes. Returns the check report.
+
+    A renamed region has two names in the readings. With ``one_row_per_respondent``
+    the dimension takes the newest; without, it holds both, facts double as in the
+    reference, and the gate's uniqueness check stops the build.
+    """
+    configure(spark)
+    with job_scratch(spark):
+        pending = _pending(spark, warehouse)
+        # A run per load since the last refresh.
+        runs = [r["run"] for r in pending.select("run").distinct().collect()] if pending is not None else []
+        raw = tables.scan_raw(spark, _t(warehouse, "raw_readings")).drop(tables.PARTITION)
+        stg = staging.stg_hourly(raw)
+        # The hour x region aggregate and the (day, code, name) table come from one pass over
+        # the readings; the daily mart and the region dimension come from these two.
+        hourly, days_all = hourly_and_region_days(raw)
+        by_region = tables.materialise(_day(hourly), _t(warehouse, "stg_by_region"), PART)
+        days = tables.materialise(_day(days_all, "period_day"), _t(warehouse, "raw_region_days"), PART)
+        dr = tables.materialise(dims.dim_region(_region_source(days), as_of, one_row_per_respondent), _t(warehouse, "dim_region"))
+        dd = tables.materialise(calendar.dim_date(spark, *calendar.calendar_bounds(days, "period_day")), _t(warehouse, "dim_date"))
+        seq = number_in_group(facts.fct_hourly_rows(stg, dr, dd), "period_date", list(facts.FACT_ORDER), "hour_seq")
+        fct = tables.materialise(seq.select("hour_seq", *facts.FACT_COLUMNS), _t(warehouse, "fct_hourly"), "date_key")
+        tables.materialise(_hours(fct), _t(warehouse, "fct_hours"), PART)
+        _store_summary(fct, dr, dd, as_of, warehouse)
+        tables.materialise(_day(marts.daily_from_hourly(by_region), "period_day"), _t(warehouse, "fct_daily"), PART)
+        report = _checks(raw, by_region, dr, fct, accepted)
+        if gate:
+            quality.assert_passes(report)
+        snapshot_regions(spark, warehouse, days, as_of)
+        _clear_pending(spark, warehouse, runs)
+        return report
+
+
+def _summary(fct: DataFrame, dr: DataFrame, dd: DataFrame, as_of: dt.datetime) -> DataFrame:
+    rows = number_in_group(marts.demand_summary_rows(fct, dr, dd), "period_date", ["region"], "hour_seq")
+    return _day(rows.select("hour_seq", *marts.SUMMARY_COLUMNS, ts_literal(as_of).alias("created_at")))
+
+
+def _store_summary(fct, dr, dd, as_of, warehouse: str) -> None:
+    stored = tables.materialise(_summary(fct, dr, dd, as_of), _t(warehouse, "demand_summary"), PART)
+    tables.materialise(_hours(stored.drop(PART)), _t(warehouse, "summary_hours"), PART)
 
 
 def _same_rows(a: DataFrame, b: DataFrame) -> bool:
@@ -195,116 +295,97 @@ def _same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).unionByName(b.exceptAll(a)).isEmpty()
 
 
+MARTS = ("stg_by_region", "fct_hourly", "fct_hours", "demand_summary", "summary_hours", "fct_daily", "raw_region_days")
+
+
 def refresh_marts(
     spark: SparkSession,
     warehouse: str,
-    since: dt.date,
+    since: dt.date | None,
     as_of: dt.datetime,
     accepted: Sequence[str] = ACCEPTED,
     gate: bool = True,
+    one_row_per_respondent: bool = False,
 ) -> DataFrame:
-    """``build_marts`` for a load that touched only days from ``since`` on.
-
-    Keys are positions in time order, so every row before ``since`` keeps its key
-    and its place. Only raw days >= ``since`` are read (partition pruning); the
-    hourly and daily marts keep their earlier rows and recompute the rest; fact
-    and summary rows from ``since`` on are renumbered after an offset = the count
-    of earlier rows, and only the fact's day folders from ``since`` on are
-    rewritten. A changed region dimension re-ranks every region key, and a day
-    folder that would be left stale cannot be dropped by a partition overwrite;
-    both fall back to the full ``build_marts``. Checks run on the new slices and
-    the small tables. Returns the check report.
+    """``build_marts`` for the days that loads touched since the last refresh.
+
+    The days are those marked by the loads (a refresh that failed leaves its marks,
+    so the next one catches up) and, if given, all raw days from ``since`` on. Only
+    these days of the raw table and of every mart are read and written: rows keep
+    their position inside the hour, and offsets come from the hours tables. The
+    calendar grows where the days ask for it. A changed region dimension re-ranks
+    every region key and falls back to ``build_marts`` with the same options. Checks
+    run on the new slices and the small tables. Returns the check report.
     """
     configure(spark)
-    start = ts_literal(dt.datetime(since.year, since.month, since.day))
-    raw_new = tables.scan_raw(spark, _t(warehouse, "raw_readings")).filter(F.col(tables.PARTITION) >= F.lit(since)).drop(tables.PARTITION)
-    stg_new = staging.stg_hourly(raw_new)
-
-    for name in ("stg_by_region", "demand_summary", "fct_daily", "raw_region_days"):
-        tables.restore_table(spark, _t(warehouse, name))
-    by_path = _t(warehouse, "stg_by_region")
-    by_keep = spark.read.parquet(by_path).filter(F.col("period_date") < start)
+    options = {"one_row_per_respondent": one_row_per_respondent, "accepted": accepted, "gate": gate}
+    for name in (*MARTS, "dim_region", "dim_date"):
+        if not tables.restore_table(spark, _t(warehouse, name)):
+            return build_marts(spark, warehouse, as_of, **options)
+    with job_scratch(spark):
+        pending = _pending(spark, warehouse)
+        runs = [r["run"] for r in pending.select("run").distinct().collect()] if pending is not None else []
+        raw = tables.scan_raw(spark, _t(warehouse, "raw_readings"))
+        days = spark.createDataFrame([], f"{PART} date") if pending is None else pending.select(PART).distinct()
+        if since is not None:
+            days = days.union(raw.filter(F.col(tables.PARTITION) >= F.lit(since)).select(F.col(tables.PARTITION).alias(PART))).distinct()
+        days = days.checkpoint(eager=True)
+        first, last = days.agg(F.min(PART), F.max(PART)).first()
+        if first is not None:
+            rebuilt = _refresh_days(spark, warehouse, raw, days, first, last, as_of, one_row_per_respondent, accepted)
+        else:
+            rebuilt = _checks(raw.limit(0), spark.read.parquet(_t(warehouse, "stg_by_region")).limit(0),
+                              spark.read.parquet(_t(warehouse, "dim_region")), spark.read.parquet(_t(warehouse, "fct_hourly")).limit(0), accepted)
+        if rebuilt is not None:
+            if gate:
+                quality.assert_passes(rebuilt)
+            snapshot_regions(spark, warehouse, spark.read.parquet(_t(warehouse, "raw_region_days")), as_of)
+            _clear_pending(spark, warehouse, runs)
+            return rebuilt
+    return build_marts(spark, warehouse, as_of, **options)
+
+
+def _refresh_days(spark, warehouse, raw, days, first, last, as_of, one_row_per_respondent, accepted) -> DataFrame | None:
+    """Rewrite ``days`` in every mart; the check report, or None if the region dimension changes."""
+    between = F.col(tables.PARTITION).between(F.lit(first), F.lit(last))
+    touched = small_side(days, materialised=True)
+    raw_days = touched.withColumnRenamed(PART, tables.PARTITION)
+    raw_new = raw.filter(between).join(raw_days, tables.PARTITION, "left_semi").drop(tables.PARTITION)
     hourly_new, days_new = hourly_and_region_days(raw_new)
-    by_region = tables.stage_and_replace(by_keep.unionByName(hourly_new), by_path)
-
-    # The keys rank the (code, name) pairs, so equal pairs mean an equal dimension.
-    dr = spark.read.parquet(_t(warehouse, "dim_region"))
-    pairs = ["respondent", "respondent_name"]
-    if not _same_rows(dims.region_pairs(by_region), dr.select(pairs)):
-        return build_marts(spark, warehouse, as_of, accepted=accepted, gate=gate)
-    dd = spark.read.parquet(_t(warehouse, "dim_date"))
-
-    fct_path = _t(warehouse, "fct_hourly")
-    stored = spark.read.parquet(fct_path)
-    k_since = int(since.strftime("%Y%m%d"))
-    earlier = (F.col("date_key") < k_since) | (F.col("date_key").isNull() & (F.col("period_date") < start))
-    offset = stored.filter(earlier).count()
-    keyed, _ = dense_key_counted(facts.fct_hourly_rows(stg_new, dr, dd), list(facts.FACT_ORDER), "demand_key")
-    fresh = keyed.select((F.col("demand_key") + F.lit(offset)).alias("demand_key"), *facts.FACT_COLUMNS)
-    # The folder of readings outside the calendar (NULL key) holds rows on both
-    # sides of `since`; its earlier rows go along so the folder is rewritten whole.
-    null_kept = stored.filter(F.col("date_key").isNull() & (F.col("period_date") < start)).select(fresh.columns)
-    rewritten = fresh.unionByName(null_kept).select("date_key").distinct()
-    old_days = stored.filter(~earlier).select(F.col("date_key").alias("_k")).distinct()
-    stale = old_days.join(rewritten, old_days["_k"].eqNullSafe(rewritten["date_key"]), "left_anti")
-    if not stale.isEmpty():
-        return build_marts(spark, warehouse, as_of, accepted=accepted, gate=gate)
-    staging_path = tables._staging_path(fct_path)
-    fresh.unionByName(null_kept).write.mode("overwrite").partitionBy("date_key").parquet(staging_path)
-    (
-        spark.read.parquet(staging_path)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date_key")
-        .parquet(fct_path)
-    )
-    tables.drop_folder(spark, staging_path)
+    days_new = _day(days_new, "period_day").checkpoint(eager=True)
 
-    sum_path = _t(warehouse, "demand_summary")
-    sum_keep = spark.read.parquet(sum_path).filter(F.col("period_date") < start)
-    new_sum = marts.demand_summary(fresh, dr, dd, as_of)
-    sum_offset = sum_keep.count()
-    new_sum = new_sum.withColumn("summary_key", F.col("summary_key") + F.lit(sum_offset))
-    tables.stage_and_replace(sum_keep.unionByName(new_sum), sum_path)
-
-    daily_path = _t(warehouse, "fct_daily")
-    daily_keep = spark.read.parquet(daily_path).filter(F.col("period_day") < start)
-    daily_new = marts.daily_from_hourly(by_region.filter(F.col("period_date") >= start))
-    tables.stage_and_replace(daily_keep.unionByName(daily_new), daily_path)
-
-    C = quality.Check
-    report = quality.union_reports(
-        quality.row_checks(
-            raw_new,
-            quality.RowChecks("raw_readings", ("period_date", "respondent", "value")),
-            quality.RowChecks(
-                "stg_hourly", ("period_date", "demand_value", "respondent"), {"respondent": list(accepted)},
-                where=staging.clean_reading(), columns=staging.STG_FROM_RAW,
-            ),
-        ),
-        quality.column_checks(by_region, "stg_by_region", ["period_date", "respondent", "total_demand"]),
-        quality.column_checks(dr, "dim_region", ["region_key", "respondent"]),
-        quality.column_checks(fresh, "fct_hourly", ["demand_value", "region_key"]),
-        quality.quality_report(
-            [
-                C("unique", "dim_region", "region_key", quality.check_unique(dr, "region_key")),
-                C("unique", "dim_region", "respondent", quality.check_unique(dr, "respondent")),
-                C("relationships", "fct_hourly", "region_key", quality.check_relationship(fresh, "region_key", dr, "region_key")),
-            ]
-        ),
-    ).checkpoint(eager=True)
-    if gate:
-        quality.assert_passes(report)
+    # The (day, code, name) table as it will be; equal (code, name) pairs mean equal keys.
     days_path = _t(warehouse, "raw_region_days")
-    days_keep = spark.read.parquet(days_path).filter(F.col("period_day") < F.lit(since))
-    days = tables.stage_and_replace(days_keep.unionByName(days_new), days_path)
-    snapshot_regions(spark, warehouse, days, as_of)
-    return report
+    seen = spark.read.schema(days_new.schema).parquet(days_path).join(touched, PART, "left_anti").unionByName(days_new)
+    dr = spark.read.parquet(_t(warehouse, "dim_region"))
+    pairs = dims.region_pairs(_region_source(seen), one_row_per_respondent)
+    if not _same_rows(pairs.select("respondent", "respondent_name"), dr.select("respondent", "respondent_name")):
+        return None
+    dd_path = _t(warehouse, "dim_date")
+    dd = spark.read.parquet(dd_path)
+    longer = calendar.extended(dd, *calendar.calendar_bounds(days, PART, None, None))
+    if longer is not None:
+        dd = tables.stage_and_replace(longer, dd_path)
+
+    by_new = _day(hourly_new).checkpoint(eager=True)
+    tables.replace_days(by_new, _t(warehouse, "stg_by_region"), touched, PART)
+    seq = number_in_group(facts.fct_hourly_rows(staging.stg_hourly(raw_new), dr, dd), "period_date", list(facts.FACT_ORDER), "hour_seq")
+    fct_new = seq.select("hour_seq", *facts.FACT_COLUMNS).checkpoint(eager=True)
+    keys = touched.select(F.date_format(PART, "yyyyMMdd").cast("int").alias("date_key"))
+    tables.replace_days(fct_new, _t(warehouse, "fct_hourly"), keys, "date_key")
+    tables.replace_days(_hours(fct_new), _t(warehouse, "fct_hours"), touched, PART)
+    summary = _summary(fct_new, dr, dd, as_of).checkpoint(eager=True)
+    tables.replace_days(summary, _t(warehouse, "demand_summary"), touched, PART)
+    tables.replace_days(_hours(summary.drop(PART)), _t(warehouse, "summary_hours"), touched, PART)
+    daily = _day(marts.daily_from_hourly(by_new.drop(PART)), "period_day")
+    tables.replace_days(daily, _t(warehouse, "fct_daily"), touched, PART)
+    tables.replace_days(days_new, days_path, touched, PART)
+    return _checks(raw_new, by_new, dr, fct_new, accepted)
 
 
 def snapshot_regions(spark: SparkSession, warehouse: str, raw: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Type-2 history of the regions seen in the raw table (``raw`` may be the raw
-    readings or ``region_days`` of them: both give the same (code, name) pairs)."""
+    readings or ``region_days`` of them: both give the newest name of each code)."""
     path = _t(warehouse, "snap_region")
     current = history.region_history_input(raw, as_of)
     previous = spark.read.parquet(path) if tables.restore_table(spark, path) else None
@@ -319,27 +400,55 @@ def daily_forecast(
     days: int = 90,
     horizon: int = 7,
     interval: float = 0.95,
+    boosted_trees: bool = False,
 ) -> DataFrame:
     """Train on the ``days`` before ``run_date``, forecast ``horizon`` days for every
     usable series, merge into ``forecast_results`` and the run's metrics into
-    ``model_metrics``. Returns the run's forecast rows."""
+    ``model_metrics``; series too short to fit go to ``skipped_series``. Earlier
+    forecasts whose day has come get their ``actual``. With ``boosted_trees`` the
+    pooled tree model forecasts instead and its feature importance is stored.
+    Returns the run's forecast rows."""
     configure(spark)
     as_of = as_of or run_date
-    fct = spark.read.parquet(_t(warehouse, "fct_hourly"))
-    dr = spark.read.parquet(_t(warehouse, "dim_region"))
-    train = forecast.train_daily(fct, dr, run_date, days).checkpoint(eager=True)
-    quality.require_rows(train, "training set is empty")
-    rows = forecast.forecast_run(train, run_date, horizon, interval).checkpoint(eager=True)
-    quality.require_rows(rows, "no forecasts generated")
-
-    res_path = _t(warehouse, "forecast_results")
-    target = spark.read.parquet(res_path) if tables.restore_table(spark, res_path) else spark.createDataFrame([], FORECAST_RESULTS)
-    stamp = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    merged = upsert(target, rows, FORECAST_KEY, ["forecast", "lower_bound", "upper_bound"], on_insert={"loaded_at": stamp})
-    tables.stage_and_replace(merged, res_path)
-
-    met_path = _t(warehouse, "model_metrics")
-    metrics = forecast.forecast_count_metrics(rows, run_date).unionByName(forecast.evaluate(train, run_date)).drop("created_at")
-    mtarget = spark.read.parquet(met_path) if tables.restore_table(spark, met_path) else spark.createDataFrame([], MODEL_METRICS)
-    tables.stage_and_replace(upsert(mtarget, metrics, METRIC_KEY, ["metric_value"], on_insert={"created_at": stamp}), met_path)
-    return rows
+    stamp = ts_literal(as_of)
+    with job_scratch(spark):
+        fct = spark.read.parquet(_t(warehouse, "fct_hourly"))
+        dr = spark.read.parquet(_t(warehouse, "dim_region"))
+        train = forecast.train_daily(fct, dr, run_date, days).checkpoint(eager=True)
+        quality.require_rows(train, "training set is empty")
+        if boosted_trees:
+            model = boosted.fit_gbt(train)
+            rows = boosted.gbt_forecast(model, train, run_date, horizon, interval).checkpoint(eager=True)
+            _merge(spark, warehouse, "feature_importance", boosted.feature_importance(model, run_date), ("model_version", "feature_name"))
+        else:
+            rows = forecast.forecast_run(train, run_date, horizon, interval).checkpoint(eager=True)
+        quality.require_rows(rows, "no forecasts generated")
+        skipped = forecast.skipped_series(train).select("region", "n_points", ts_literal(run_date).alias("generated_at"))
+        _merge(spark, warehouse, "skipped_series", skipped, ("region", "generated_at"))
+
+        res_path = _t(warehouse, "forecast_results")
+        target = spark.read.parquet(res_path) if tables.restore_table(spark, res_path) else spark.createDataFrame([], FORECAST_RESULTS)
+        merged = upsert(target, rows, FORECAST_KEY, ["forecast", "lower_bound", "upper_bound"], on_insert={"loaded_at": stamp})
+        results = tables.stage_and_replace(_fill_actual(merged, train), res_path)
+
+        met_path = _t(warehouse, "model_metrics")
+        metrics = forecast.forecast_count_metrics(rows, run_date)
+        if not boosted_trees:
+            metrics = metrics.unionByName(forecast.evaluate(train, run_date))
+        mtarget = spark.read.parquet(met_path) if tables.restore_table(spark, met_path) else spark.createDataFrame([], MODEL_METRICS)
+        tables.stage_and_replace(upsert(mtarget, metrics.drop("created_at"), METRIC_KEY, ["metric_value"], on_insert={"created_at": stamp}), met_path)
+        return results.filter(F.col("generated_at") == ts_literal(run_date)).select(rows.columns)
+
+
+def _fill_actual(results: DataFrame, daily: DataFrame) -> DataFrame:
+    """Results with ``actual`` set where the day's mean is known now."""
+    known = daily.select(F.replace("region", F.lit('"'), F.lit("")).alias("region"), F.col("date").alias("forecast_date"), F.col("avg_demand_mw").alias("_now"))
+    known = known.dropDuplicates(["region", "forecast_date"])
+    return results.join(known, ["region", "forecast_date"], "left").withColumn("actual", F.coalesce("_now", "actual")).select(results.columns)
+
+
+def _merge(spark: SparkSession, warehouse: str, name: str, rows: DataFrame, keys: Sequence[str]) -> None:
+    """Upsert small rows into a small table, made on first use."""
+    path = _t(warehouse, name)
+    target = spark.read.parquet(path) if tables.restore_table(spark, path) else spark.createDataFrame([], rows.schema)
+    tables.stage_and_replace(upsert(target, rows, keys, [c for c in rows.columns if c not in keys]), path)

@@ -8,6 +8,7 @@ match Spark's; computed doubles are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
+from .jobs import SEED_REGIONS
 from ..sources.fixtures import LINEITEM_READINGS_SQL, RAW_READINGS_SQL
 
 AS_OF_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -86,8 +87,7 @@ DD = DD_SPINE + "," + _calendar("dd", "dd_spine")
 
 DD_DATA_SPINE = """
 cal_bounds AS (
-    SELECT least(DATE '2023-01-01', min(CAST(period_date AS DATE))) AS s,
-           greatest(DATE '2026-12-31', CAST(max(CAST(period_date AS DATE)) + INTERVAL 12 MONTH AS DATE)) AS e
+    SELECT min(CAST(period_date AS DATE)) AS s, CAST(max(CAST(period_date AS DATE)) + INTERVAL 12 MONTH AS DATE) AS e
     FROM raw_readings
 ),
 dd_data_spine AS (
@@ -156,7 +156,13 @@ ORACLE: dict[str, str] = {
 FROM stg GROUP BY period_date, respondent, respondent_name""",
     "daily_demand": _with(RAW_READINGS_SQL, STG, DAILY) + "SELECT * FROM daily",
     "forecast_vs_actual": _with(RAW_READINGS_SQL, STG, DAILY) + "SELECT * FROM daily",
-    "daily_demand_lineitem": _with(LINEITEM_READINGS_SQL, STG, DAILY) + "SELECT * FROM daily",
+    "daily_demand_lineitem": _with(LINEITEM_READINGS_SQL, STG)
+    + """SELECT CAST(date_trunc('day', period_date) AS TIMESTAMP) AS period_day, respondent, respondent_name,
+       CAST(sum(CAST(demand_value AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS avg_demand_mw,
+       min(demand_value) AS min_demand_mw, max(demand_value) AS max_demand_mw,
+       CAST(sum(CAST(demand_value AS DECIMAL(18, 2))) AS DOUBLE) AS total_demand_mwh,
+       count(*) AS hourly_record_count
+FROM stg GROUP BY 1, 2, 3""",
     "dim_date": _with(RAW_READINGS_SQL, DD_DATA) + "SELECT * FROM dd_data",
     "calendar_head": _with(RAW_READINGS_SQL, DD_DATA) + "SELECT * FROM dd_data ORDER BY date_value LIMIT 10",
     "dim_region": _with(RAW_READINGS_SQL, STG, DR) + "SELECT * FROM dr",
@@ -245,14 +251,10 @@ FROM raw_readings t
 FULL OUTER JOIN batch s
   ON t.period_date = s.period_date AND t.respondent = s.respondent AND t.data_type = s.data_type"""
 
+_SEED_ROWS = ",\n           ".join(f"({i + 1}, '{code}', '{name}', '{kind}')" for i, (code, name, kind) in enumerate(SEED_REGIONS))
 SEED = f"""
 seed(seed_order, respondent, respondent_name, region_type) AS (
-    VALUES (1, 'US48', 'United States Lower 48', 'National'),
-           (2, 'CISO', 'California Independent System Operator', 'Regional'),
-           (3, 'TEXA', 'Electric Reliability Council of Texas', 'Regional'),
-           (4, 'MISO', 'Midcontinent Independent System Operator', 'Regional'),
-           (5, 'NYISO', 'New York Independent System Operator', 'Regional'),
-           (6, 'PJM', 'PJM Interconnection', 'Regional')
+    VALUES {_SEED_ROWS}
 )"""
 
 INSERT_REGIONS = f"""
@@ -276,8 +278,12 @@ SELECT * FROM dd WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.date_value = d
 def _hist_input(name: str, src: str, stamp: str) -> str:
     return f"""
 {name} AS (
-    SELECT DISTINCT respondent, respondent_name, 'Regional' AS region_type, {stamp} AS created_at
-    FROM {src} WHERE respondent IS NOT NULL
+    SELECT respondent, respondent_name, 'Regional' AS region_type, {stamp} AS created_at
+    FROM (
+        SELECT respondent, respondent_name,
+               row_number() OVER (PARTITION BY respondent ORDER BY CAST(period_date AS DATE) DESC, respondent_name DESC NULLS LAST) AS rn
+        FROM {src} WHERE respondent IS NOT NULL
+    ) WHERE rn = 1
 )"""
 
 
@@ -466,18 +472,23 @@ ev_tag_{p} AS (
 ev_fit_{p} AS (SELECT date, avg_demand_mw, region FROM ev_tag_{p} WHERE NOT hold),
 ev_hold_{p} AS (SELECT region, date AS ts, avg_demand_mw AS actual FROM ev_tag_{p} WHERE hold)""",
         _fit(f"e{p}", f"ev_fit_{p}"),
-        _predict(f"e{p}", holdout),
         f"""
 ev_scored_{p} AS (
-    SELECT pr.series AS region, pr.forecast, h.actual
-    FROM pred_e{p} pr JOIN ev_hold_{p} h ON pr.series = h.region AND pr.ts = h.ts
+    SELECT h.region, h.actual, se.slope * h.x + se.intercept + coalesce(w.effect, 0.0) AS forecast
+    FROM (
+        SELECT region, actual, CAST(date_diff('day', DATE '2000-01-01', CAST(ts AS DATE)) AS DOUBLE) AS x,
+               CAST(dayofweek(ts) AS INTEGER) AS day_of_week
+        FROM ev_hold_{p}
+    ) h
+    JOIN series_e{p} se ON se.region = h.region
+    LEFT JOIN wk_e{p} w ON w.region = h.region AND w.day_of_week = h.day_of_week
 ),
 ev_stats_{p} AS (
     SELECT s.region,
            avg(abs(actual - forecast)) AS mae,
            sqrt(avg((actual - forecast) * (actual - forecast))) AS rmse,
-           avg(abs(actual - forecast) / abs(actual)) * 100.0 AS mape,
-           1.0 - sum((actual - forecast) * (actual - forecast)) / sum((actual - m.mean_actual) * (actual - m.mean_actual)) AS r2
+           CASE WHEN count(*) FILTER (actual = 0) = 0 THEN avg(abs(actual - forecast) / nullif(abs(actual), 0)) * 100.0 END AS mape,
+           1.0 - sum((actual - forecast) * (actual - forecast)) / nullif(sum((actual - m.mean_actual) * (actual - m.mean_actual)), 0) AS r2
     FROM ev_scored_{p} s JOIN (SELECT region, avg(actual) AS mean_actual FROM ev_scored_{p} GROUP BY region) m
       ON s.region = m.region
     GROUP BY s.region
@@ -548,7 +559,7 @@ ORACLE.update(
         "dq_accepted": _with(RAW_READINGS_SQL, STG)
         + "SELECT * FROM stg WHERE respondent NOT IN ('click', 'purchase', 'signup', 'view')",
         "dq_relationship": _with(*BASE)
-        + "SELECT * FROM fct_rows f WHERE region_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dr WHERE dr.region_key = f.region_key)",
+        + "SELECT * FROM fct_rows f WHERE region_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dr WHERE dr.region_key = f.region_key AND dr.respondent NOT IN ('error', 'view'))",
         "dq_keys": _with(RAW_READINGS_SQL, BATCH)
         + "SELECT period_date, respondent, data_type, count(*) AS n_rows FROM batch_src WHERE period_date IS NOT NULL AND respondent IS NOT NULL AND data_type IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) > 1",
         "dq_counts": _with(RAW_READINGS_SQL, STG, DR, DD)
@@ -649,22 +660,77 @@ FROM tgt t FULL OUTER JOIN bat s
 
 
 STREAMED = f"""
-SELECT period_date, respondent, respondent_name, data_type, data_type_name, value, value_units, {AS_OF_SQL} AS loaded_at
-FROM (
-    SELECT *, row_number() OVER (
-        PARTITION BY period_date, respondent, data_type
-        ORDER BY respondent_name DESC NULLS LAST, data_type_name DESC NULLS LAST, value DESC NULLS LAST,
-                 value_units DESC NULLS LAST) AS rn
-    FROM normalised
-    WHERE period_date IS NOT NULL AND respondent IS NOT NULL AND respondent <> ''
-      AND data_type IS NOT NULL AND data_type <> ''
-) WHERE rn = 1"""
+SELECT period_date, respondent, respondent_name, data_type, data_type_name,
+       CASE WHEN period_date < {T1_SQL} AND extract(hour FROM period_date) % 4 = 1 THEN value - 1 ELSE value END AS value,
+       value_units, {AS_OF_SQL} AS loaded_at
+FROM raw_readings"""
+
+CORRECTED = f"""
+SELECT period_date, respondent, respondent_name, data_type, data_type_name,
+       CASE extract(hour FROM period_date) % 4 WHEN 0 THEN value WHEN 1 THEN value - 1 WHEN 3 THEN value / 2 END AS value,
+       value_units, {AS_OF_SQL} AS loaded_at
+FROM raw_readings WHERE respondent IN ('click', 'purchase', 'signup', 'view')"""
+
+LOAD_REJECTS = """
+, landed AS (
+    SELECT TRY_CAST(regexp_replace(period, '^(\\d{4}-\\d{2}-\\d{2})T(\\d{1,2})$', '\\1 \\2:00:00') AS TIMESTAMP) AS period_date,
+           CASE n % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE respondent END AS respondent,
+           CASE WHEN n % 7 = 0 THEN '' ELSE type END AS data_type
+    FROM (SELECT *, CAST('0x' || substr(md5(concat_ws('|', period, respondent, type)), 1, 2) AS INTEGER) AS n FROM service)
+), tagged AS (
+    SELECT CASE WHEN period_date IS NULL THEN 'period'
+                WHEN respondent IS NULL OR respondent = '' THEN 'respondent'
+                WHEN data_type = '' THEN 'data_type' END AS reason, respondent
+    FROM landed
+    UNION ALL
+    SELECT 'page', NULL FROM nation
+)
+SELECT reason, respondent, count(*) AS n_rows FROM tagged WHERE reason IS NOT NULL GROUP BY 1, 2"""
+
+GAPPY = """
+train_g AS (
+    SELECT date, region, CASE WHEN region = 'click' THEN 100.0 ELSE avg_demand_mw END AS avg_demand_mw
+    FROM train_a
+    WHERE (region <> 'error' OR extract(day FROM date) <= 10)
+      AND (region <> 'view' OR extract(day FROM date) <= 20 OR extract(day FROM date) = 28)
+)"""
+
+RENAMED = f"""
+, names AS (SELECT DISTINCT respondent, respondent_name, period_date < {T1_SQL} AS early FROM raw_readings)
+SELECT respondent, respondent_name, 'Regional' AS region_type, {T1_SQL} AS created_at, {T1_SQL} AS valid_from,
+       CASE WHEN respondent = 'view' THEN {T2_SQL} END AS valid_to, respondent <> 'view' AS is_current
+FROM names WHERE early
+UNION ALL
+SELECT respondent, CASE WHEN respondent = 'view' THEN respondent_name || ' (renamed)' ELSE respondent_name END, 'Regional',
+       {T2_SQL}, {T2_SQL}, CAST(NULL AS TIMESTAMP), TRUE
+FROM names WHERE NOT early AND (respondent = 'view' OR respondent NOT IN (SELECT respondent FROM names WHERE early))"""
 
 ORACLE.update(
     {
         "ingest_json": _with(SERVICE) + "SELECT * FROM normalised",
         "write_raw": _with(RAW_READINGS_SQL) + "SELECT * FROM raw_readings",
-        "ingest_stream": _with(SERVICE) + STREAMED,
+        "ingest_stream": _with(RAW_READINGS_SQL) + STREAMED,
+        "load_corrections": _with(RAW_READINGS_SQL) + CORRECTED,
+        "load_rejects": _with(SERVICE) + LOAD_REJECTS,
+        "materialise": _with(RAW_READINGS_SQL, STG, DAILY) + "SELECT * FROM daily WHERE extract(day FROM period_day) <= 20",
+        "replace_table": _with(RAW_READINGS_SQL) + "SELECT * REPLACE (value * 2 AS value) FROM raw_readings WHERE respondent <> 'error'",
+        "region_history_rename": _with(RAW_READINGS_SQL) + RENAMED,
+        "dim_date_holidays": _with(RAW_READINGS_SQL, DD_DATA)
+        + """SELECT * REPLACE (date_value IN (SELECT CAST(period_date AS DATE) FROM raw_readings WHERE dayofweek(period_date) = 0) AS is_holiday)
+FROM dd_data""",
+        "dq_require_rows": _with(RAW_READINGS_SQL) + "SELECT respondent, count(*) AS n_rows FROM raw_readings GROUP BY respondent",
+        "forecast_metrics_gaps": _with(*BASE, _train("a", R31), GAPPY, *_evaluate("g", "train_g", R31))
+        + "SELECT model_version, training_date, region, metric_name, round(metric_value, 6) AS metric_value, dataset_type, created_at FROM metrics_g",
+        "skipped_series": _with(*BASE, _train("a", R31), GAPPY)
+        + "SELECT region, count(*) AS n_points FROM train_g GROUP BY region HAVING count(*) < 14",
+        "forecast_rows_quoted": _with(*BASE, *_forecast("a", R31)) + f"SELECT {FC_OUT} FROM rows_a",
+        "gbt_features": _with(*BASE, _train("a", R31), GAPPY)
+        + """SELECT t.region, t.date, round(t.avg_demand_mw, 6) AS label, round(a.avg_demand_mw, 6) AS lag_1, round(b.avg_demand_mw, 6) AS lag_7,
+       CAST(dayofweek(t.date) AS DOUBLE) AS day_of_week,
+       CAST(date_diff('day', DATE '2000-01-01', CAST(t.date AS DATE)) AS DOUBLE) AS day_number
+FROM train_g t
+JOIN train_g a ON a.region = t.region AND a.date = t.date - INTERVAL 1 DAY
+JOIN train_g b ON b.region = t.region AND b.date = t.date - INTERVAL 7 DAY""",
     }
 )
 

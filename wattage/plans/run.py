@@ -1,10 +1,10 @@
 """Command line for the scheduled jobs (for any scheduler).
 
     python -m wattage.plans.run setup   --warehouse W
-    python -m wattage.plans.run load    --warehouse W --landing L [--as-of T] [--regions A,B]
-    python -m wattage.plans.run build   --warehouse W [--as-of T] [--accepted A,B] [--no-gate]
-    python -m wattage.plans.run refresh --warehouse W --since YYYY-MM-DD [--as-of T] [--accepted A,B] [--no-gate]
-    python -m wattage.plans.run forecast --warehouse W --run-date YYYY-MM-DD [--days 90] [--horizon 7]
+    python -m wattage.plans.run load    --warehouse W --landing L [--as-of T] [--regions A,B] [--newest N] [--multi-line]
+    python -m wattage.plans.run build   --warehouse W [--as-of T] [--accepted A,B] [--no-gate] [--one-row-per-respondent]
+    python -m wattage.plans.run refresh --warehouse W [--since YYYY-MM-DD] [--as-of T] [--accepted A,B] [--no-gate] [--one-row-per-respondent]
+    python -m wattage.plans.run forecast --warehouse W --run-date YYYY-MM-DD [--days 90] [--horizon 7] [--boosted-trees]
 
 The session comes from the environment (``PYSPARK_SUBMIT_ARGS`` / Spark
 settings; under spark-submit, submit a two-line launcher that calls
@@ -21,12 +21,13 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from ..functions.time import utc_now
 from ..session import configure
 from . import jobs
 
 
 def _ts(text: str | None) -> dt.datetime:
-    return dt.datetime.fromisoformat(text) if text else dt.datetime.now().replace(microsecond=0)
+    return dt.datetime.fromisoformat(text) if text else utc_now()
 
 
 def _list(text: str | None, default):
@@ -46,6 +47,10 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--days", type=int, default=90)
     p.add_argument("--horizon", type=int, default=7)
     p.add_argument("--no-gate", action="store_true")
+    p.add_argument("--one-row-per-respondent", action="store_true")
+    p.add_argument("--newest", type=int, help="load only so many readings per region")
+    p.add_argument("--multi-line", action="store_true", help="pages that span lines")
+    p.add_argument("--boosted-trees", action="store_true")
     return p.parse_args(argv)
 
 
@@ -60,23 +65,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif a.job == "load":
         if not a.landing:
             raise SystemExit("load needs --landing")
-        res = jobs.hourly_load(spark, a.landing, a.warehouse, as_of, regions=_list(a.regions, jobs.REQUESTED_REGIONS))
+        res = jobs.hourly_load(spark, a.landing, a.warehouse, as_of, regions=_list(a.regions, jobs.REQUESTED_REGIONS), newest=a.newest, multi_line=a.multi_line)
         out = {"job": "load", **{k: str(v) for k, v in res.items()}}
     elif a.job in ("build", "refresh"):
         if a.job == "build":
-            report = jobs.build_marts(spark, a.warehouse, as_of, accepted=accepted, gate=not a.no_gate)
+            report = jobs.build_marts(spark, a.warehouse, as_of, a.one_row_per_respondent, accepted, not a.no_gate)
         else:
-            if not a.since:
-                raise SystemExit("refresh needs --since")
-            since = dt.date.fromisoformat(a.since)
-            report = jobs.refresh_marts(spark, a.warehouse, since, as_of, accepted=accepted, gate=not a.no_gate)
+            since = dt.date.fromisoformat(a.since) if a.since else None
+            report = jobs.refresh_marts(spark, a.warehouse, since, as_of, accepted, not a.no_gate, a.one_row_per_respondent)
         failing = {f"{r['check']}:{r['table_name']}.{r['column_name']}": r["failures"] for r in report.filter("failures > 0").collect()}
         out = {"job": a.job, "failing_checks": failing}
     else:
         if not a.run_date:
             raise SystemExit("forecast needs --run-date")
         run = _ts(a.run_date)
-        rows = jobs.daily_forecast(spark, a.warehouse, run, as_of=_ts(a.as_of) if a.as_of else None, days=a.days, horizon=a.horizon)
+        rows = jobs.daily_forecast(spark, a.warehouse, run, as_of=_ts(a.as_of) if a.as_of else None, days=a.days, horizon=a.horizon, boosted_trees=a.boosted_trees)
         out = {"job": "forecast", "forecast_rows": rows.count()}
     print(json.dumps(out))
     return out

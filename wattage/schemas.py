@@ -42,6 +42,10 @@ PAGE = T.StructType(
     ]
 )
 
+# As read: a page that is not JSON of this shape arrives whole as text.
+CORRUPT = "_corrupt_record"
+PAGE_AS_READ = T.StructType([*PAGE.fields, T.StructField(CORRUPT, T.StringType(), True)])
+
 FORECAST_KEY = ("region", "forecast_date", "generated_at")
 
 FORECAST_RESULTS = T.StructType(

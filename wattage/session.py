@@ -8,7 +8,10 @@ back; with UTC the round trip is exact.
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +35,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
@@ -56,6 +60,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/wattage-scratch/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[str]:
+    """A checkpoint folder of the job's own: checkpoints and scratch folders made
+    inside go there, and it is removed at the end, also when the job fails. Frames
+    that outlive the job must read stored tables."""
+    sc = spark.sparkContext
+    outer = ensure_checkpoint_dir(spark)
+    sc.setCheckpointDir(f"{outer.rstrip('/')}/job")
+    inner = sc.getCheckpointDir()
+    try:
+        yield inner
+    finally:
+        # The session's folder comes back as it was (setCheckpointDir would make another one).
+        getattr(sc._jsc.sc(), "checkpointDir_$eq")(sc._jvm.scala.Option.apply(outer))
+        remove_folder(spark, inner)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder of this session (frames that read them end here)."""
+    remove_folder(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/wattage-scratch")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system (local, HDFS, object store)."""
     jvm = spark.sparkContext._jvm
@@ -66,9 +98,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
-    On a cluster the directory is the shared folder named by
-    ``spark.checkpoint.dir``; it is only read here. Only a local-mode session
-    without that setting (tests) gets a private temporary folder.
+    The directory is the shared folder named by ``spark.checkpoint.dir``; it is only
+    read here. Only a session whose executors are threads of the driver (master
+    ``local`` or ``local[...]``, as in tests) may go without that setting and gets a
+    private temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,7 +111,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="wattage-ckpt-"))
     return sc.getCheckpointDir()

@@ -131,6 +131,44 @@ def service_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def as_service(raw: DataFrame) -> DataFrame:
+    """Raw readings in the service's text form."""
+    return raw.select(
+        F.date_format("period_date", "yyyy-MM-dd'T'HH").alias("period"),
+        "respondent",
+        F.col("respondent_name").alias("respondent-name"),
+        F.col("data_type").alias("type"),
+        F.col("data_type_name").alias("type-name"),
+        F.col("value").cast("string").alias("value"),
+        F.col("value_units").alias("value-units"),
+    )
+
+
+def corrections(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three landings of readings: all; then lower values (hours 1 and 3 of every
+    four) and unusable ones (hour 2); then hour 3 once more, halved."""
+    raw = raw_readings(spark, sf_dir)
+    part = F.hour("period_date") % 4
+    second = raw.filter(part > 0).withColumn("value", F.when(part != 2, F.col("value") - 1))
+    third = raw.filter(part == 3).withColumn("value", F.col("value") / 2)
+    return as_service(raw), as_service(second), as_service(third)
+
+
+def renamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw readings in which ``view`` has a new name from the second half of the month on."""
+    new = (F.col("respondent") == "view") & (F.col("period_date") >= ts_literal(SNAPSHOT_T1))
+    name = F.when(new, F.concat("respondent_name", F.lit(" (renamed)"))).otherwise(F.col("respondent_name"))
+    return raw_readings(spark, sf_dir).withColumn("respondent_name", name)
+
+
+def gappy(train: DataFrame) -> DataFrame:
+    """Daily training rows made awkward: ``click`` flat, ``error`` short, ``view`` with a gap before its last day."""
+    day = F.dayofmonth("date")
+    rows = train.filter((F.col("region") != "error") | (day <= 10))
+    rows = rows.filter((F.col("region") != "view") | (day <= 20) | (day == 28))
+    return rows.withColumn("avg_demand_mw", F.when(F.col("region") == "click", F.lit(100.0)).otherwise(F.col("avg_demand_mw")))
+
+
 # Two snapshots of the regions: T1 from readings loaded before it; at T2 the
 # `view` region has a new name, `error` is gone and `signup` also reports under
 # the new code `signup2`.

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import day_start, ts_literal
+from ..functions.time import day_start, ts_literal, utc_now
+from ..operators.sizing import small_side
 from ..operators.upsert import dedupe_batch, upsert
 from ..schemas import RAW_KEY, RAW_READINGS
-from ..session import path_exists
+from ..session import ensure_checkpoint_dir, path_exists
 
 PARTITION = "period_day"
 RAW_STORED = T.StructType([*RAW_READINGS.fields, T.StructField(PARTITION, T.DateType(), True)])
@@ -40,32 +41,32 @@ def write_raw(df: DataFrame, path: str, as_of: dt.datetime | None = None) -> Non
     ``loaded_at`` takes ``as_of`` where the batch has none (the declared default).
     """
     if "loaded_at" not in df.columns:
-        df = df.withColumn("loaded_at", ts_literal(as_of or dt.datetime.now()))
+        df = df.withColumn("loaded_at", ts_literal(as_of or utc_now()))
     out = with_partition(df.select(*[f.name for f in RAW_READINGS.fields]))
     # Range partitions over (day, region, hour): each task writes a few day folders
     # (few files), and a day holding a third of all rows is split over many tasks
     # instead of landing in one as hash partitioning by day would do.
-    (
-        out.repartitionByRange(PARTITION, "respondent", "period_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
+    _overwrite_days(out.repartitionByRange(PARTITION, "respondent", "period_date"), path)
+
+
+def _overwrite_days(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
+
+
+def write_rejects(rejects: DataFrame, path: str, run: str) -> DataFrame:
+    """Store a run's rejects in the run's own folder: a repeated run replaces it."""
+    folder = f"{path.rstrip('/')}/run={run}"
+    rejects.write.mode("overwrite").parquet(folder)
+    return rejects.sparkSession.read.parquet(folder)
 
 
 def materialise(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Full rebuild of a mart or work table; returns the stored table for reuse.
 
-    ``partition_by`` splits the folder by a column (the fact by ``date_key``) so
-    day-bounded readers prune folders."""
-    # A full rebuild replaces every folder (static), so a day with no rows left
-    # does not keep a stale folder; merges pass "dynamic" on their own writes.
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    Written beside the table and swapped in whole, so a day with no rows left keeps
+    no stale folder and a failed rebuild leaves the old table. ``partition_by`` splits
+    the folder by a column (the fact by ``date_key``) so day-bounded readers prune."""
+    return stage_and_replace(df, path, partition_by)
 
 
 replace_table = materialise
@@ -81,6 +82,12 @@ def _previous(path: str) -> str:
     return f"{path.rstrip('/')}__previous"
 
 
+def _rename(fs, source, target) -> None:
+    """Rename or raise: some file systems report a failed rename by returning false."""
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def restore_table(spark: SparkSession, path: str) -> bool:
     """Whether the table at ``path`` exists, after undoing a swap that stopped
     between its two renames (the previous, complete table is put back)."""
@@ -89,34 +96,66 @@ def restore_table(spark: SparkSession, path: str) -> bool:
         return True
     prev = _fs(spark, _previous(path))[1]
     if fs.exists(prev):
-        fs.rename(prev, p)
+        _rename(fs, prev, p)
         return True
     return False
 
 
-def stage_and_replace(df: DataFrame, path: str) -> DataFrame:
+def stage_and_replace(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Replace the table at ``path`` with ``df``, also when ``df`` reads ``path``.
 
     The new rows are written completely to a staging folder; then two renames
     swap it in (table -> previous, staging -> table) and the previous copy is
-    removed. The table is never deleted before its replacement is whole; a run
-    that stops between the renames is undone by ``restore_table``.
+    removed. The table is never deleted before its replacement is whole: each
+    rename is checked, a failed one puts the old table back, and a run that stops
+    between the renames is undone by ``restore_table``.
     """
     spark = df.sparkSession
     restore_table(spark, path)
     staging = _staging_path(path)
-    df.write.mode("overwrite").parquet(staging)
-    fs, p = _fs(spark, path)
-    prev = _fs(spark, _previous(path))[1]
-    if fs.exists(prev):  # left by a swap that finished its renames but not its clean-up
-        fs.delete(prev, True)
-    if fs.exists(p):
-        fs.rename(p, prev)
-    fs.rename(_fs(spark, staging)[1], p)
+    try:
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(staging)
+        fs, p = _fs(spark, path)
+        prev = _fs(spark, _previous(path))[1]
+        if fs.exists(prev):  # left by a swap that finished its renames but not its clean-up
+            fs.delete(prev, True)
+        if fs.exists(p):
+            _rename(fs, p, prev)
+        try:
+            _rename(fs, _fs(spark, staging)[1], p)
+        except Exception:
+            restore_table(spark, path)
+            raise
+    except Exception:
+        drop_folder(spark, staging)
+        raise
     fs.delete(prev, True)
     return spark.read.parquet(path)
 
 
+def replace_days(df: DataFrame, path: str, days: DataFrame, by: str) -> DataFrame:
+    """Replace the folders of ``days`` (column ``by``) in a table partitioned by ``by``.
+
+    ``df`` holds rows of those days only. It is staged whole, then moved in day by
+    day; a day without rows left loses its folder. The result is the same if the
+    call is repeated after a failure.
+    """
+    spark = df.sparkSession
+    staging = _staging_path(path)
+    try:
+        df.write.mode("overwrite").partitionBy(by).parquet(staging)
+        staged = spark.read.schema(df.schema).parquet(staging)
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+        # Usually none: a day whose last clean reading was corrected away.
+        gone = days.select(by).distinct().join(staged.select(by).distinct(), by, "left_anti").collect()
+        for row in gone:
+            drop_folder(spark, f"{path.rstrip('/')}/{by}={row[0]}")
+    finally:
+        drop_folder(spark, staging)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a staging folder this library wrote."""
     fs, p = _fs(spark, path)
@@ -133,32 +172,44 @@ def upsert_raw(
     batch: DataFrame,
     as_of: dt.datetime,
     keys: Sequence[str] = RAW_KEY,
-    order: Sequence[str] = ("period_date",),
+    order: Sequence[str] | None = None,
     exists: bool | None = None,
 ) -> DataFrame:
     """Merge a batch of readings into the raw table at ``path``.
 
-    Matched keys take the batch's name, type name, value and unit and
-    ``loaded_at = as_of``; new keys are inserted with ``loaded_at = as_of``. Only
-    the touched days are read (partition pruning on the bounded day list of the
-    batch), merged, staged, and moved in; running it twice changes nothing more.
+    Of several readings of a key in the batch the newest wins: the last in the order
+    of landing (column ``landed``, see ``open_pages``), or by ``order``. Matched keys
+    take the batch's name, type name, value and unit and ``loaded_at = as_of``; new
+    keys are inserted with ``loaded_at = as_of``. The batch is evaluated once. Only
+    the touched days are read (a join on the batch's days, after pruning folders by
+    its first and last), merged, staged, and moved in; running it twice changes
+    nothing more.
     """
-    batch = dedupe_batch(batch.drop("loaded_at") if "loaded_at" in batch.columns else batch, keys, order)
+    if order is None:
+        order = ("landed",) if "landed" in batch.columns else ()
+    ensure_checkpoint_dir(spark)
+    batch = dedupe_batch(batch.drop("loaded_at"), keys, order).drop("landed").checkpoint(eager=True)
     stamp = ts_literal(as_of)
     if exists is None:
         exists = path_exists(spark, path)
     if not exists:
         write_raw(batch.withColumn("loaded_at", stamp), path)
         return scan_raw(spark, path)
-    days = [r[0] for r in with_partition(batch).select(PARTITION).distinct().collect()]
-    target = scan_raw(spark, path).filter(F.col(PARTITION).isin(days)).drop(PARTITION)
+    days = with_partition(batch).select(PARTITION).distinct()
+    first, last = days.agg(F.min(PARTITION), F.max(PARTITION)).first()
+    if first is None:
+        return scan_raw(spark, path)
+    near = scan_raw(spark, path).filter(F.col(PARTITION).between(F.lit(first), F.lit(last)))
+    target = near.join(small_side(days, materialised=True), PARTITION, "left_semi").drop(PARTITION)
     merged = upsert(
         target, batch, keys, RAW_UPDATE_COLS, on_match={"loaded_at": stamp}, on_insert={"loaded_at": stamp}
     )
     staging = _staging_path(path)
-    write_raw(merged, staging)
-    # Dynamic overwrite replaces only the staged days; replaying the same batch
-    # after a failure merges the same rows again, so the result does not change.
-    write_raw(scan_raw(spark, staging).drop(PARTITION), path)
-    drop_folder(spark, staging)
+    try:
+        write_raw(merged, staging)
+        # Dynamic overwrite replaces only the staged days, file by file as staged;
+        # replaying the same batch after a failure merges the same rows again.
+        _overwrite_days(scan_raw(spark, staging), path)
+    finally:
+        drop_folder(spark, staging)
     return scan_raw(spark, path)

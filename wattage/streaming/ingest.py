@@ -1,9 +1,10 @@
 """Incremental load: every landed page file once, merged idempotently.
 
 A file stream source picks up new page files; each micro-batch is opened,
-normalised, cleared of unkeyable rows and merged into the raw table by
-``upsert_raw``. A micro-batch replayed after a failure merges the same rows
-again, which leaves the table as it was, so the sink is effectively exactly-once.
+normalised, cleared of unkeyable rows and malformed pages and merged into the raw
+table by ``upsert_raw``, the reading that landed last winning. A micro-batch
+replayed after a failure merges the same rows again and replaces its own folder of
+rejects, so both sinks are effectively exactly-once.
 """
 
 from __future__ import annotations
@@ -12,16 +13,18 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import PAGE
-from ..sources.pages import normalise, only_regions, open_pages, split_rejects
-from ..sources.tables import upsert_raw
+from ..functions.time import utc_now
+from ..schemas import CORRUPT, PAGE_AS_READ
+from ..sources.pages import normalise, only_regions, open_pages, page_source, split_rejects
+from ..sources.tables import upsert_raw, write_rejects
 
 
 def page_stream(spark: SparkSession, in_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(PAGE)
+    """Landed pages with where they landed, as a stream."""
+    reader = spark.readStream.schema(PAGE_AS_READ).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(in_dir)
+    return page_source(reader.json(in_dir))
 
 
 def ingest_stream(
@@ -40,27 +43,28 @@ def ingest_stream(
     files on that schedule.
 
     Returns the ``StreamingQuery`` (finished in the first mode, running in the
-    second). ``as_of`` stamps ``loaded_at`` (default: the start of each micro-batch);
-    rejected rows are appended to ``rejects_path`` with their reason.
+    second). ``as_of`` stamps ``loaded_at`` (default: the start of each micro-batch).
+    Rejected rows go with their reason to ``rejects_path`` (default: beside the raw
+    table), a folder per micro-batch.
     """
-    readings = normalise(open_pages(page_stream(spark, in_dir, max_files_per_trigger)))
-    if regions:
-        readings = only_regions(readings, regions)
+    rejects = rejects_path or f"{raw_path.rstrip('/')}_rejects"
+    pages = page_stream(spark, in_dir, max_files_per_trigger)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         # Several actions read the micro-batch; it is parsed once and kept for
         # them (lost blocks are recomputed from the batch's fixed file list).
-        batch.persist()
+        readings = normalise(open_pages(batch), landing=True).persist()
         try:
-            good, bad = split_rejects(batch)
-            if rejects_path:
-                bad.write.mode("append").parquet(rejects_path)
+            good, bad = split_rejects(readings)
+            write_rejects(bad, rejects, f"{batch_id:09d}")
+            if regions:
+                good = only_regions(good, regions)
             if not good.isEmpty():
-                upsert_raw(spark, raw_path, good, as_of or dt.datetime.now())
+                upsert_raw(spark, raw_path, good, as_of or utc_now())
         finally:
-            batch.unpersist()
+            readings.unpersist()
 
-    writer = readings.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer = pages.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if processing_time:
         return writer.trigger(processingTime=processing_time).start()
     query = writer.trigger(availableNow=True).start()
