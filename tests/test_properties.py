@@ -157,7 +157,7 @@ def test_dim_region_large_path_equals_small_path(spark, sf_dir, monkeypatch):
 
     stg = staging.stg_hourly(fixtures.raw_readings(spark, sf_dir))
     small = dims.dim_region(stg, T0)
-    monkeypatch.setattr(dims, "BROADCAST_ROW_LIMIT", 2)
+    monkeypatch.setattr(dims, "small_side", lambda df, **_: df)  # too large to broadcast
     large = dims.dim_region(stg, T0)
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
     plan = large._jdf.queryExecution().executedPlan().toString()
