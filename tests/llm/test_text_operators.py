@@ -41,6 +41,12 @@ def test_lexicon_entries(grammar):
     assert grammar.clauses(None) == [] == grammar.clauses("")
 
 
+def test_listed_words_yield_to_the_labels():
+    assert toxicity.listed_weight(0, 0) == pytest.approx(toxicity.INSULT_WEIGHT)
+    assert toxicity.listed_weight(0, 30) == 0 and toxicity.listed_weight(40, 0) == toxicity.INSULT_WEIGHT
+    assert weight(toxicity.Grammar([("vile$", 0.0)]), "so vile") == 0 < weight(toxicity.Grammar([]), "so vile")
+
+
 def test_learning_and_scoring(spark, documents):
     rng = random.Random(1)
     fill = lambda: " ".join(f"w{'abcdefghij'[rng.randrange(10)]}{'klmnopq'[rng.randrange(7)]}" for _ in range(30))

@@ -13,7 +13,7 @@ are toxic beyond what chance explains (the lower bound of the toxic share). Of t
 candidates (a toxic text that was copied makes all of its words look toxic) those stay
 that are among the best in several toxic documents. At most ``SAMPLE_ROWS`` labelled rows
 are used, the first in an order by hash. A short general list of English insults is
-always part of the grammar.
+part of the grammar too, each word as far as the labelled rows do not speak against it.
 
 A null or empty text has no clause and gets the lowest score. A null label is no label;
 a document with several labels counts as toxic if one says so. Repeated rows are scored
@@ -44,7 +44,7 @@ STEM = range(4, 9)
 MIN_SUPPORT = 5
 MIN_CREDIT = 3
 SHARE_BOUND = 0.6
-BIAS = 1.8
+BIAS = 2.1
 TEXTS_AT_ONCE = 1_000
 
 # Fixed word lists of the grammar (general language; the learned lexicon comes on top).
@@ -115,9 +115,9 @@ class Grammar:
         import ahocorasick
 
         words = {f"{w}$": ("insult", INSULT_WEIGHT) for w in INSULTS} | {f"{w}$": ("threat", THREAT_WEIGHT) for w in THREATS}
-        for entry, weight in learned:
-            words[entry] = ("insult", max(weight, words.get(entry, ("", 0.0))[1]))
-        self.words = words
+        for entry, weight in learned:  # what was learned replaces the listed weight
+            words[entry] = (words.get(entry, ("insult",))[0], weight)
+        self.words = words = {e: c for e, c in words.items() if c[1] > 0}
         self.other = {w: "target" for w in TARGETS} | {w: "negation" for w in NEGATIONS} | {w: "report" for w in REPORTS}
         self.find = ahocorasick.Automaton()
         for entry in words:
@@ -174,6 +174,15 @@ def share_bound(toxic: int, clean: int, z: float = 1.64) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
+def listed_weight(toxic: int, clean: int) -> float:
+    """Weight of a listed word after ``toxic`` and ``clean`` documents with it: the listed
+    weight counts as much as four toxic documents would; 0 under a weight of 1."""
+    prior = 4.0
+    against = prior / math.exp(INSULT_WEIGHT)
+    weight = min(INSULT_WEIGHT, math.log((toxic + prior) / (clean + against)))
+    return weight if weight >= 1 else 0.0
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, toxic documents, clean documents), partly summed."""
     seen: Counter = Counter()
@@ -238,7 +247,11 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float]]:
 
     credits = sample.filter("toxic = 1").select("text").mapInArrow(credit, "rank long, credit long").groupBy("rank").agg(F.sum("credit").alias("credit"))
     kept = credits.filter(F.col("credit") >= MIN_CREDIT).orderBy(F.col("credit").desc(), "rank").limit(LEXICON_ENTRIES).collect()
-    return [(best[r["rank"]]["entry"], math.log(best[r["rank"]]["bound"] / (1 - best[r["rank"]]["bound"]))) for r in kept]
+    # Listed words keep their weight only as far as the labels bear it out (in a corpus of
+    # several languages an insult of one may be an everyday word of another).
+    listed = {r["word"]: listed_weight(r["toxic"], r["clean"]) for r in words.filter(F.col("word").isin(INSULTS + THREATS)).collect()}
+    found = {best[r["rank"]]["entry"]: math.log(best[r["rank"]]["bound"] / (1 - best[r["rank"]]["bound"])) for r in kept}
+    return list(({f"{w}$": x for w, x in listed.items()} | found).items())
 
 
 _GRAMMARS: dict = {}
