@@ -123,6 +123,28 @@ def q_fct_hourly(spark, sf_dir):
     return facts.fct_hourly(stg, dr, dd)
 
 
+def q_fct_hourly_lineitem(spark, sf_dir):
+    """The hourly fact over readings that grow with the scale factor, with a calendar that follows them."""
+    configure(spark)
+    raw = fixtures.lineitem_readings(spark, sf_dir)
+    stg = staging.stg_hourly(raw)
+    dd = calendar.dim_date(spark, *calendar.calendar_bounds(raw, start=None, end=None))
+    return facts.fct_hourly(stg, dims.dim_region(stg, AS_OF, national=FIXTURE_NATIONAL), dd)
+
+
+def q_upsert_lineitem(spark, sf_dir):
+    """A merge that grows with the scale factor: the last third of every month again, doubled, and one region ten years later."""
+    configure(spark)
+    target = fixtures.lineitem_readings(spark, sf_dir)
+    again = target.filter(F.dayofmonth("period_date") > 20).withColumn("value", F.col("value") * 2)
+    later = target.filter(F.col("respondent") == "NO").withColumn("period_date", F.col("period_date") + F.make_interval(days=F.lit(3650)))
+    stamp = ts_literal(AS_OF)
+    return upsert.upsert(
+        target, again.unionByName(later).drop("loaded_at"), RAW_KEY, RAW_UPDATE_COLS,
+        on_match={"loaded_at": stamp}, on_insert={"loaded_at": stamp}, bucket=day_start("period_date"),
+    )
+
+
 def q_fct_dense_key_orders(spark, sf_dir):
     configure(spark)
     orders = fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
@@ -608,6 +630,8 @@ QUERIES: dict[str, Query] = {
     "dim_region_latest": q_dim_region_latest,
     "region_list": q_region_list,
     "fct_hourly": q_fct_hourly,
+    "fct_hourly_lineitem": q_fct_hourly_lineitem,
+    "upsert_lineitem": q_upsert_lineitem,
     "fct_dense_key_orders": q_fct_dense_key_orders,
     "demand_summary": q_demand_summary,
     "only_regions": q_only_regions,

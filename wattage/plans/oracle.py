@@ -737,3 +737,19 @@ JOIN train_g b ON b.region = t.region AND b.date = t.date - INTERVAL 7 DAY""",
 ORACLE["region_list"] = (
     _with(RAW_READINGS_SQL, STG, DR) + "SELECT region_key, respondent, respondent_name, region_type FROM dr ORDER BY region_key"
 )
+
+ORACLE["fct_hourly_lineitem"] = (
+    _with(LINEITEM_READINGS_SQL, STG, DR, DD_DATA, FCT.replace("LEFT JOIN dd d", "LEFT JOIN dd_data d")) + "SELECT * FROM fct"
+)
+ORACLE["upsert_lineitem"] = (
+    _with(
+        LINEITEM_READINGS_SQL,
+        """
+batch AS (
+    SELECT * REPLACE (value * 2 AS value) FROM raw_readings WHERE extract(day FROM period_date) > 20
+    UNION ALL
+    SELECT * REPLACE (period_date + INTERVAL 3650 DAY AS period_date) FROM raw_readings WHERE respondent = 'NO'
+)""",
+    )
+    + UPSERT_READINGS
+)
