@@ -138,6 +138,17 @@ def test_main_text():
     assert html_text.main_text(PAGE.replace("<article>", '<div id="story">').replace("</article>", "</div>")) == want
 
 
+def test_marks_of_boilerplate():
+    body = "<h1>Title of it</h1><p>The story as it goes, with words enough to be seen as content.</p>"
+    want = "Title of it The story as it goes, with words enough to be seen as content."
+    for wrap in ('<body class="has-ads">{}', '<div class="no-sidebar"><div id="content">{}</div></div>', '<article class="post share-enabled">{}</article>',
+                 '<div class="page sidebar"><main>{}</main></div>', '<article><header>{}</header></article>'):
+        assert html_text.main_text(wrap.format(body)) == want, wrap
+    for extra in ('<div role="alert">Mind the gap today</div>', '<div class="siteFooter">About us</div>', '<article class="comment"><p>I say.</p></article>',
+                  '<p hidden>Not seen</p>', '<div id="comment-list"><p>One more</p></div>', "<template><p>later</p></template>"):
+        assert html_text.main_text(f"<main>{body}{extra}</main>" if "siteFooter" not in extra else f"<main>{body}</main>{extra}") == want, extra
+
+
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("   ", ""), ("<p></p>", ""), ("plain words only", "plain words only"), ("<nav>menu</nav>", ""),
     ("<p>a<p>b", "a b"), ("<![foo[x]]><p>kept</p>", None), ("<p>unclosed <b", None), ("<div" * 2_000, None), ("<div>" * 3_000 + "deep", "deep"), ("a &amp;lt; b", "a &lt; b"),

@@ -41,7 +41,7 @@ INLINE = frozenset(
     "strong sub sup time tt u var wbr img".split()
 )
 REGION = frozenset("article main".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
+ROLES = frozenset("navigation contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 # Words of class and id values that mark boilerplate; those of the first list hold inside an article too.
 ALWAYS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo comment comments commentlist reply replies "
@@ -52,6 +52,7 @@ OUTSIDE = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar side aside widget widgets "
     "pagination pager toolbar login search copyright legal disclaimer skip".split()
 )
+LAYOUT = frozenset("no has with without layout".split())
 _MARK = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
@@ -97,11 +98,11 @@ class _Lines(HTMLParser):
             drop = drop or not self._in_region()
         elif tag in REGION and not good:
             drop = False
-        if attrs:
-            always, outside = self._marks(attrs)
+        if attrs and tag not in ("html", "body"):
+            always, outside = self._marks(attrs, whole=tag in REGION)
             if always or self._hidden(attrs):
                 drop = good = True
-            elif outside and not self._in_region() and tag not in REGION and tag not in ("body", "html"):
+            elif outside and not self._in_region() and tag not in REGION:
                 drop = True
         self._push(tag, drop, good)
 
@@ -149,15 +150,22 @@ class _Lines(HTMLParser):
         return any(c in self.region for c in self.open)
 
     @staticmethod
-    def _marks(attrs) -> tuple[bool, bool]:
+    def _marks(attrs, whole: bool) -> tuple[bool, bool]:
+        """Whether class, id or role mark boilerplate (anywhere, outside articles). ``whole``: by a full name only,
+        so that an article with class "share-enabled" is no share box; "no-sidebar" and the like mark nothing."""
         always = outside = False
         for name, value in attrs:
             if value and name in ("class", "id"):
-                for word in _MARK.findall(_CAMEL.sub("-", value).lower()):
-                    always |= word in ALWAYS
-                    outside |= word in OUTSIDE
+                for token in value.split():
+                    words = _MARK.findall(_CAMEL.sub("-", token).lower())
+                    if len(words) > 1 and (whole or not LAYOUT.isdisjoint(words)):
+                        continue
+                    always |= not ALWAYS.isdisjoint(words)
+                    outside |= not OUTSIDE.isdisjoint(words)
             elif value and name == "role":
-                outside |= value.strip().lower() in ROLES
+                role = value.strip().lower()
+                always |= role in ROLES
+                outside |= role == "banner"
         return always, outside
 
     @staticmethod
