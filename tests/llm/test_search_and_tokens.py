@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from wattage.llm import blocks, packing, token_files, topk
+from wattage.llm import blocks, packing, token_counts, token_files, topk
 from wattage.llm.tokens import Encoder
 
 
@@ -126,6 +126,35 @@ def test_token_files_empty(documents):
     assert token_files.token_files(documents([]), 2).collect() == []
 
 
+# --- token counts
+
+
+def test_token_counts(documents, encoder, monkeypatch):
+    texts = ODD_TEXTS + ["a b c"] * 5 + ["word " * k for k in range(40)]
+    lengths = [len(encoder.tokenizer.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    assert encoder.lengths(pa.array(texts, pa.string())).tolist() == lengths
+    monkeypatch.setattr(token_counts, "RANGE", 7)
+    totals = token_counts.totals_by_limit(token_counts.length_histogram(documents(list(enumerate(texts)))))
+    got = {r["context_limit"]: r for r in totals.collect()}
+    assert set(got) == set(lengths)
+    for limit, r in got.items():
+        fitting = [n for n in lengths if n <= limit]
+        assert (r["n_docs"], r["docs_fitting"], r["tokens_fitting"]) == (lengths.count(limit), len(fitting), sum(fitting))
+        assert r["docs_cut"] == len(lengths) - len(fitting) and r["truncated_total"] == sum(min(n, limit) for n in lengths)
+        assert r["tokens_cut"] == sum(max(n - limit, 0) for n in lengths) and r["share_fitting"] == len(fitting) / len(lengths)
+    asked = {r["share"]: r["length"] for r in token_counts.quantiles(totals, (0.1, 0.5, 0.99, 1.0)).collect()}
+    ordered = sorted(lengths)
+    assert asked == {q: ordered[math.ceil(q * len(ordered)) - 1] for q in (0.1, 0.5, 0.99, 1.0)}
+    limits = (-1, 0, 3, 100, 10**6)
+    assert {r["context_limit"]: (r["docs_fitting"], r["truncated_total"]) for r in token_counts.at_limits(totals, limits[1:]).collect()} == {
+        x: (sum(n <= x for n in lengths), sum(min(n, x) for n in lengths)) for x in limits[1:]
+    }
+
+
+def test_token_counts_empty(documents):
+    assert token_counts.totals_by_limit(token_counts.length_histogram(documents([]))).collect() == []
+
+
 # --- packing
 
 

@@ -12,6 +12,7 @@ from .html_text import extract_text
 from .neardup import near_duplicates
 from .packing import pack
 from .secrets import find_secrets, spans_text
+from .token_counts import length_histogram, totals_by_limit
 from .token_files import token_files
 from .topk import quantised, top_k
 from .toxicity import labelled_sample, learn_lexicon, score_toxicity
@@ -51,6 +52,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), end_id=0, context=2048)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return totals_by_limit(length_histogram(table(spark, sf_dir, "documents")))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
@@ -84,6 +89,7 @@ QUERIES = {
     "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_html_text": op5_html_text,
+    "op6_token_counts": op6_token_counts,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,

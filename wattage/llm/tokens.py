@@ -97,46 +97,52 @@ class Encoder:
             found = [young[w] if f is None else f for w, f in zip(words, found)]
         return found
 
-    def _chunked(self, chunks: pa.Array, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids per text and all ids, from the chunks of every text (chunk slices by ``offsets``)."""
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """Number of ids of each text."""
+        return self.encode(texts, ids=False)[0]
+
+    def _chunked(self, chunks: pa.Array, offsets: np.ndarray, ids: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids per text and (with ``ids``) all ids, from the chunks of every text (chunk slices by ``offsets``)."""
         coded = chunks.dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False)
         found = self._ids_of(coded.dictionary.to_pylist())
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begin = np.cumsum(size) - size
-        values = np.frombuffer(b"".join(found), np.uint32)
         n = size[code]
         end = np.cumsum(n)
+        counts = np.diff(np.concatenate([[0], end])[offsets])
+        if not ids:
+            return counts, np.zeros(0, np.uint32)
+        begin = np.cumsum(size) - size
+        values = np.frombuffer(b"".join(found), np.uint32)
         total = int(end[-1]) if len(end) else 0
         take = np.arange(total, dtype=np.int64) + np.repeat(begin[code] - (end - n), n)
-        bounds = np.concatenate([[0], end])[offsets]
-        return np.diff(bounds), values[take]
+        return counts, values[take]
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(number of ids of each text, the ids of all texts one after another)."""
+    def encode(self, texts: pa.Array, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, the ids of all texts one after another; none without ``ids``)."""
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
-        counts, ids, lo = [], [], 0
+        counts, parts, lo = [], [], 0
         upto = np.cumsum(sizes)
         while lo < len(texts):
             base = upto[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(upto, base + SLICE_CHARS, "right")))
-            n, v = self._encode_slice(texts.slice(lo, hi - lo))
+            n, v = self._encode_slice(texts.slice(lo, hi - lo), ids)
             counts.append(n)
-            ids.append(v)
+            parts.append(v)
             lo = hi
         if not counts:
             return np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        return np.concatenate(counts), np.concatenate(ids)
+        return np.concatenate(counts), np.concatenate(parts)
 
-    def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_slice(self, texts: pa.Array, ids: bool) -> tuple[np.ndarray, np.ndarray]:
         wide = pc.match_substring_regex(texts, _WIDE_SPACE).to_numpy(zero_copy_only=False)
         mixed = pc.match_substring_regex(texts, _MIXED_RUN).to_numpy(zero_copy_only=False)
         kinds = np.where(wide, 2, np.where(mixed, 1, 0))
         if not kinds.any():
-            return self._plain(texts)
+            return self._plain(texts, ids)
         strings = texts.to_pylist()
         counts = np.zeros(len(strings), np.int64)
         pieces: list = [None] * len(strings)
@@ -149,13 +155,14 @@ class Encoder:
                 parts = [self._whole(s) for s in some]
                 n = np.array([len(p) for p in parts])
             else:
-                n, v = self._plain(pa.array(some, pa.large_string())) if kind == 0 else self._runs(some)
-                parts = np.split(v, np.cumsum(n)[:-1])
-            for i, k, p in zip(rows, n, parts):
-                counts[i], pieces[i] = k, p
-        return counts, np.concatenate(pieces) if pieces else np.zeros(0, np.uint32)
-
-    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+                n, v = self._plain(pa.array(some, pa.large_string()), ids) if kind == 0 else self._runs(some, ids)
+                parts = np.split(v, np.cumsum(n)[:-1]) if ids else []
+            counts[rows] = n
+            for i, p in zip(rows, parts):
+                pieces[i] = p
+        return counts, np.concatenate(pieces) if ids else np.zeros(0, np.uint32)
+
+    def _plain(self, texts: pa.Array, ids: bool) -> tuple[np.ndarray, np.ndarray]:
         """Texts whose spaces all stand alone: cut at each space, which goes with what follows."""
         lists = pc.split_pattern(texts, " ")
         offsets = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -165,12 +172,12 @@ class Encoder:
         first = np.zeros(len(flat), bool)
         first[offsets[:-1]] = True
         chunks = pc.if_else(pa.array(first), flat, spaced)
-        return self._chunked(chunks, offsets)
+        return self._chunked(chunks, offsets, ids)
 
-    def _runs(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _runs(self, strings: list[str], ids: bool) -> tuple[np.ndarray, np.ndarray]:
         lists = [_CHUNKS(s) for s in strings]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-        return self._chunked(pa.array([c for x in lists for c in x], pa.large_string()), offsets)
+        return self._chunked(pa.array([c for x in lists for c in x], pa.large_string()), offsets, ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}
