@@ -81,15 +81,30 @@ def test_near_duplicates_null_ids_and_empty(documents):
     assert neardup.near_duplicates(documents([])).collect() == []
 
 
-def test_missed_pairs_are_found(spark):
-    """A bucket whose star centre is unlike two members that are alike."""
+@pytest.mark.parametrize("block", [500, 2])
+def test_missed_links_are_found(spark, monkeypatch, block):
+    """A bucket whose star centre (node 0) is unlike members that are alike."""
     import numpy as np
 
-    sig = np.zeros(neardup.BINS, np.uint8)
-    other = np.arange(neardup.BINS).astype(np.uint8)
-    nodes = spark.createDataFrame([(0, 50, bytearray(other)), (1, 50, bytearray(sig)), (2, 50, bytearray(sig)), (3, 90, bytearray(sig))], "node long, n long, sig binary")
-    members = spark.createDataFrame([(9, n, n) for n in range(4)] + [(8, 0, 0), (8, 1, 1)], "key long, node long, comp long")
-    assert [tuple(r) for r in neardup._missed_pairs(members, nodes).collect()] == [(2, 1)]
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    base = np.unique(neardup._mix(np.arange(1, 201, dtype=np.uint64)))
+    alike = [base, np.unique(np.r_[base[5:], base[:1]]), np.unique(base[10:])]
+    other = [neardup._mix(np.arange(500 + 300 * i, 700 + 300 * i, dtype=np.uint64)) for i in range(3)]
+    sets = [np.unique(x) for x in [other[0], *alike, *other[1:]]]
+    rows = []
+    for i, keys in enumerate(sets):
+        sig = neardup.signature(keys)
+        bands = neardup.band_keys(sig)
+        bands[0] = 9  # one bucket for all
+        rows.append((i, len(keys), bytearray(sig.astype(np.uint8).tobytes()), bands.tolist()))
+    nodes = spark.createDataFrame(rows, "node long, n long, sig binary, bands array<long>")
+    full = spark.createDataFrame([(i, k.view(np.int64).tolist()) for i, k in enumerate(sets)], "node long, keys array<long>")
+    members = spark.createDataFrame([(9, n, n) for n in range(6)] + [(8, 0, 0), (8, 1, 1)], "key long, node long, comp long")
+    links = {tuple(r) for r in neardup._missed_links(members, nodes, full, 80).collect()}
+    assert links <= {(2, 1), (3, 1), (3, 2)} and len(links) >= 2
+    assert {r["node"]: r["comp"] for r in neardup.components(spark.createDataFrame(list(links), "a long, b long")).collect()} == {1: 1, 2: 1, 3: 1}
+    joined = spark.createDataFrame([(9, n, 1 if n in (1, 2, 3) else n) for n in range(6)], "key long, node long, comp long")
+    assert neardup._missed_links(joined, nodes, full, 80).collect() == []
 
 
 def test_components(spark):

@@ -12,8 +12,9 @@
 4. Confirmed links give components by alternating large-star and small-star steps.
 5. A star may miss a link between two members that are both unlike its centre. So buckets
    that still hold several components are searched again without the star: nodes outside
-   the bucket's main component are compared, block by block, with all its members by size and signature
-   and what may be similar is confirmed on the full sets too. Then components again.
+   the bucket's main component are compared, block by block, with all its members, by
+   size and signature and then on the full sets. Only links that join components leave
+   a block, so rows stay linear in the members. Then components again.
 
 A text that is null or without words has an empty set and is linked with nothing. Rows
 that repeat a document each get a row. A row with a null doc_id is linked like any other
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sizing import small_side
 from .common import slices, stage, text_hash
 
 BANDS = 48
@@ -38,10 +40,10 @@ ROWS = 6
 BINS = BANDS * ROWS
 THRESHOLD = 80  # per cent
 #: Part of equal bins under which a pair is not confirmed in step 5: at similarity 0.8 the part is
-#: 0.8 with a deviation of 0.024, so 0.6 is eight deviations below.
-AGREE = 0.6
+#: 0.8 with a deviation of 0.024, so 0.68 is five deviations below.
+AGREE = 0.68
 # Nodes of a bucket compared with each other at once in step 5.
-BLOCK = 1_000
+BLOCK = 500
 TEXTS_AT_ONCE = 512
 WORD_CACHE = 500_000
 
@@ -167,37 +169,36 @@ def components(links: DataFrame) -> DataFrame:
     rows, and their number grows with the logarithm of the longest chain.
     """
 
-    def fingerprint(df: DataFrame) -> tuple:
-        # A pair's hash as a decimal, so that the sum cannot overflow.
-        row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return row[0], row[1]
+    def stars(df: DataFrame) -> bool:
+        """Whether every node has one parent at most and no parent has one: then each points at its root."""
+        child = df.select(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent"))
+        roles = child.union(df.select("v", F.lit(0), F.lit(1))).groupBy("x").agg(F.sum("child").alias("c"), F.max("parent").alias("p"))
+        return roles.filter("c > 1 or c = 1 and p = 1").isEmpty()
 
     edges = stage(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    seen = fingerprint(edges)
-    while True:
+    while not stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stage(both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m")), "least")
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stage(large, "large-star")
+        large = stage(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large-star")
         least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        now = fingerprint(edges)
-        if now == seen:
-            break
-        seen = now
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(roots.select("node", F.col("node").alias("comp")))
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, threshold: int) -> DataFrame:
-    """Of pairs (a, b) of nodes, those similar on their full shingle sets."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc", "key"), "node")
-    needed = stage(needed, "needed-nodes")
-    # One stored row per node; rows that repeat a document give equal sets.
+def _shingle_sets(needed: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(node, keys) for needed nodes (node, doc, key), from one text of each node.
+
+    The node list is broadcast where its measured size allows, so that texts stay where they are."""
     same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_key") == F.col("key"))
-    source = texts.join(needed, same).select("node", "text")
-    sets = stage(source.mapInArrow(_sets(k), "node long, keys array<long>").dropDuplicates(["node"]), "shingle-sets")
+    source = texts.join(small_side(needed), same).select("node", "text")
+    # Rows that repeat a document give equal sets.
+    return stage(source.mapInArrow(_sets(k), "node long, keys array<long>").dropDuplicates(["node"]), "shingle-sets")
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Of pairs (a, b) of nodes, those similar on their full shingle sets."""
     left = sets.select(F.col("node").alias("a"), F.col("keys").alias("ka"))
     right = sets.select(F.col("node").alias("b"), F.col("keys").alias("kb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -205,41 +206,111 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, thres
     return both.filter(100 * shared >= threshold * (F.size("ka") + F.size("kb") - shared)).select("a", "b")
 
 
-def _missed_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Step 5: pairs (a, b) of different components of a bucket that may be similar and were not the star's."""
+def _units(pdf: pd.DataFrame):
+    """(unit, rows) of a group's units; columns that hold vectors as matrices."""
+    pdf = pdf.sort_values(["unit", "node"], kind="stable")
+    sig = np.stack([np.frombuffer(x, np.uint8) for x in pdf["sig"]])
+    bands = np.stack(pdf["bands"].to_numpy())
+    starts = np.flatnonzero(np.r_[True, np.diff(pdf["unit"].to_numpy()) != 0, True])
+    for lo, hi in zip(starts[:-1], starts[1:]):
+        yield pdf.iloc[lo:hi], sig[lo:hi], bands[lo:hi]
+
+
+def _partners(rows: pd.DataFrame, sig: np.ndarray, bands: np.ndarray):
+    """For each asking row of a unit: positions of the members it may be similar to, the likeliest first.
+
+    A pair is looked at in the first band that its nodes share, and once if both ask.
+    """
+    node, comp, n = rows["node"].to_numpy(), rows["comp"].to_numpy(), rows["n"].to_numpy()
+    asks, band = rows["asks"].to_numpy(), int(rows["band"].iloc[0])
+    offered = rows["offered"].to_numpy()
+    for q in np.flatnonzero(rows["asked"].to_numpy()):
+        may = offered & (comp != comp[q]) & ~(asks & (node >= node[q]))
+        may &= np.minimum(n, n[q]) * 100 >= np.maximum(n, n[q]) * THRESHOLD
+        at = np.flatnonzero(may)
+        if len(at):
+            at = at[(bands[at] == bands[q]).argmax(axis=1) == band]
+        if len(at):
+            agree = (sig[at] == sig[q]).mean(axis=1)
+            order = np.argsort(-agree, kind="stable")
+            at = at[order][agree[order] >= AGREE]
+        if len(at):
+            yield q, at
+
+
+def _near(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The rows of each unit that have a possible partner in it."""
+    out = []
+    for rows, sig, bands in _units(pdf):
+        hit = np.zeros(len(rows), bool)
+        for q, at in _partners(rows, sig, bands):
+            hit[q] = True
+            hit[at] = True
+        out.append(rows.loc[hit, ["unit", "node", "asked", "offered"]])
+    return pd.concat(out) if out else pdf.iloc[:0][["unit", "node", "asked", "offered"]]
+
+
+def _links(threshold: int):
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Confirmed pairs, but for those whose components the unit has joined already."""
+        out: list[tuple[int, int]] = []
+        for rows, sig, bands in _units(pdf):
+            node, comp, keys = rows["node"].to_numpy(), rows["comp"].to_numpy(), rows["keys"].to_numpy()
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while (up := parent.get(c, c)) != c:
+                    c = up
+                return c
+
+            for q, at in _partners(rows, sig, bands):
+                for m in at:
+                    a, b = root(comp[q]), root(comp[m])
+                    if a == b:
+                        continue
+                    shared = len(np.intersect1d(keys[q], keys[m], assume_unique=True))
+                    if 100 * shared >= threshold * (len(keys[q]) + len(keys[m]) - shared):
+                        parent[a] = b
+                        out.append((max(node[q], node[m]), min(node[q], node[m])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return links
+
+
+def _missed_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Step 5: links (a, b) between components that share a bucket, beyond the star's.
+
+    A unit of work is a bucket, or a pair of its blocks if it is large. Its nodes outside
+    the bucket's main component ask all its members; only links leave a unit, at most one
+    per component it holds. Small units share a group.
+    """
     crowd = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     crowd = crowd.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("main"), F.sum("c").alias("size"), F.count(F.lit(1)).alias("comps"))
     # In a bucket of two the star has compared the only pair.
-    mixed = stage(crowd.filter("comps > 1 and size > 2").select("key", F.col("main.comp").alias("main"), "size"), "mixed-buckets")
-    rows = members.join(mixed, "key").join(nodes.select("node", "n", "sig"), "node")
-    rows = rows.withColumn("asks", F.col("comp") != F.col("main"))
-    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
-    rows = stage(rows.select("key", "node", "comp", "n", "sig", "asks", "blocks", "block"), "mixed-members")
-    spread = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asked = rows.filter("asks").select(
-        F.col("key").alias("q_key"), F.col("block").alias("q_block"), spread.alias("m_block"),
-        F.col("node").alias("q_node"), F.col("comp").alias("q_comp"), F.col("n").alias("q_n"), F.col("sig").alias("q_sig"),
+    mixed = crowd.filter("comps > 1 and size > 2").select("key", F.col("main.comp").alias("main"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    rows = members.join(stage(mixed, "mixed-buckets"), "key")
+    rows = rows.select("key", "node", "comp", (F.col("comp") != F.col("main")).alias("asks"), "blocks", F.pmod(F.hash("node"), F.col("blocks")).alias("block"))
+    rows = stage(rows, "mixed-members")
+    whole = rows.filter("blocks = 1").select(F.xxhash64("key").alias("unit"), "key", "node", "comp", "asks", F.col("asks").alias("asked"), F.lit(True).alias("offered"))
+    large = rows.filter("blocks > 1")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    asked = large.filter("asks").select("key", "node", "comp", "asks", F.col("block").alias("q"), every.alias("m"))
+    wanted = asked.select("key", "q").distinct()  # blocks without a question need no members
+    offered = large.join(wanted, "key").select("key", "node", "comp", "asks", "q", F.col("block").alias("m"))
+    unit = F.xxhash64("key", "q", "m").alias("unit")
+    parts = asked.select(unit, "key", "node", "comp", "asks", F.lit(True).alias("asked"), F.lit(False).alias("offered")).union(
+        offered.select(unit, "key", "node", "comp", "asks", F.lit(False).alias("asked"), F.lit(True).alias("offered"))
     )
-    # Members go to the blocks of questions that exist.
-    wanted = asked.select(F.col("q_key").alias("key"), F.col("q_block").alias("for_block")).distinct()
-    offered = rows.join(wanted, "key").select("key", "for_block", "block", "node", "comp", "n", "sig")
-
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out_a, out_b = [], []
-        if len(left) and len(right):
-            sig = np.stack([np.frombuffer(x, np.uint8) for x in right["sig"]])
-            node, comp, n = right["node"].to_numpy(), right["comp"].to_numpy(), right["n"].to_numpy()
-            for q in left.itertuples():
-                may = (comp != q.q_comp) & (np.minimum(n, q.q_n) * 100 >= np.maximum(n, q.q_n) * THRESHOLD)
-                at = np.flatnonzero(may)
-                if len(at):
-                    at = at[(sig[at] == np.frombuffer(q.q_sig, np.uint8)).mean(axis=1) >= AGREE]
-                    out_a += [max(q.q_node, x) for x in node[at].tolist()]
-                    out_b += [min(q.q_node, x) for x in node[at].tolist()]
-        return pd.DataFrame({"a": out_a, "b": out_b}, dtype="int64")
-
-    pairs = asked.groupBy("q_key", "q_block", "m_block").cogroup(offered.groupBy("key", "for_block", "block")).applyInPandas(compare, "a long, b long")
-    return pairs.distinct()
+    signed = nodes.select("node", "n", "sig", "bands")
+    work = whole.union(parts).join(signed, "node").withColumn("band", (F.array_position("bands", F.col("key")) - 1).cast("int"))
+    work = stage(work.drop("key"), "mixed-units")
+    groups = max(1, -(-work.count() // (2 * BLOCK)))
+    # A unit is in one group; a group has one large unit or about 2 * BLOCK rows of small ones.
+    group = F.pmod(F.xxhash64("unit"), F.lit(groups))
+    near = work.groupBy(group).applyInPandas(_near, "unit long, node long, asked boolean, offered boolean")
+    near = stage(near, "near-members")
+    full = near.join(work, ["unit", "node", "asked", "offered"]).join(sets, "node")
+    return full.groupBy(group).applyInPandas(_links(threshold), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD) -> DataFrame:
@@ -266,14 +337,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD) ->
     sizes = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
     close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * threshold
     star = stage(star.join(sizes, "b").filter(close).select("a", "b"), "star-pairs")
-    links = stage(_confirm(star, nodes, texts, k, threshold), "star-links")
-    found = stage(components(links), "star-components")
-    placed = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    missed = stage(_missed_pairs(placed, nodes), "missed-pairs")
-    more = stage(_confirm(missed, nodes, texts, k, threshold), "missed-links")
-    if not more.isEmpty():
-        found = stage(components(links.union(more)), "components")
-    grouped = nodes.select("digest", "node", "doc").join(found, "node", "left").select("digest", "doc", F.coalesce("comp", "node").alias("comp"))
+    shared = members.select("node").distinct().join(nodes.select("node", "doc", "key"), "node")
+    sets = _shingle_sets(shared, texts, k)
+    links = stage(_confirm(star, sets, threshold), "star-links")
+    found = nodes.select("node").join(components(links), "node", "left")
+    found = stage(found.select("node", F.coalesce("comp", "node").alias("comp")), "star-components")
+    more = stage(_missed_links(members.select("key", "node").join(found, "node"), nodes, sets, threshold), "missed-links")
+    # The components themselves are the nodes of what is left to join.
+    of = lambda end: found.select(F.col("node").alias(end), F.col("comp").alias(f"c{end}"))
+    joined = components(more.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    joined = joined.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+    grouped = nodes.select("digest", "node", "doc").join(found, "node").join(joined, "comp", "left")
+    grouped = grouped.select("digest", "doc", F.coalesce("root", "comp").alias("comp"))
     names = grouped.groupBy("comp").agg(F.min("doc").alias("component_id"))
     named = grouped.join(names, "comp").select("digest", "component_id")
     out = signed.select("doc_id", "text_key", "n", "digest").join(named, "digest", "left")
