@@ -58,10 +58,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = near_duplicates(docs, k=SHINGLE_WORDS, threshold=SIMILARITY)
-    group = F.struct(F.coalesce(F.col("n_shingles") > 0, F.lit(False)), "component_id")
-    # One (id, text) of each group, should an id have come with several texts.
-    chosen = groups.filter("kept").select("doc_id", "text_key", F.when(F.col("n_shingles") > 0, F.xxhash64(group)).otherwise(F.xxhash64("doc_id", "text_key")).alias("group"))
-    chosen = chosen.groupBy("group").agg(F.min(F.struct("text_key", "doc_id")).alias("one")).select("one.doc_id", "one.text_key")
+    # One (id, text) of each component, should an id have come with several texts. Ids do not name a
+    # component (they may be null, or repeat); a document without words is its own (id, text).
+    alone = [F.when(F.col("component").isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "text_key")]
+    chosen = groups.filter("kept").select("doc_id", "text_key", "component", *alone)
+    chosen = chosen.groupBy("component", "alone_doc_id", "alone_text_key").agg(F.min(F.struct("text_key", "doc_id")).alias("one")).select("one.doc_id", "one.text_key")
     # The join's own partitioning serves the numbering of rows repeated as a whole.
     rows = _keyed(docs).join(_keys(chosen), ["k1", "k2"])
     first = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))

@@ -233,3 +233,12 @@ def test_pipeline_on_an_empty_table(spark, documents, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_pipeline_keeps_unlike_texts_that_share_an_id(spark, documents):
+    """Null ids and repeated ids name no group: one row of each group of like texts stays."""
+    rows = [(None, "one text of its own kind here"), (None, "quite another story told in full"), (None, "one text of its own kind here"), (None, None), (None, "")]
+    rows += [(7, "a third text that nobody else has"), (7, "and a fourth one unlike the third"), (9, "A third text that nobody else has"), (8, None), (8, None)]
+    got = corpus_pipeline.drop_near_duplicates(spark, documents(rows), "").collect()
+    want = {r for r in rows if r[0] != 9}
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)

@@ -314,8 +314,10 @@ def _missed_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, thresho
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per document row: doc_id, text_key, n_shingles, component_id, kept.
+    """One row per document row: doc_id, text_key, n_shingles, component_id, kept, component.
 
+    ``component_id`` is the smallest doc_id of a group, which several groups share if ids are null
+    or repeat; ``component`` (its smallest node, null without words) tells groups apart.
     Links hold between documents whose sets of ``k``-word shingles have 100 * intersection >=
     ``threshold`` * union (80 or more; the bands are chosen for that).
     """
@@ -350,9 +352,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD) ->
     grouped = nodes.select("digest", "node", "doc").join(found, "node").join(joined, "comp", "left")
     grouped = grouped.select("digest", "doc", F.coalesce("root", "comp").alias("comp"))
     names = grouped.groupBy("comp").agg(F.min("doc").alias("component_id"))
-    named = grouped.join(names, "comp").select("digest", "component_id")
+    named = grouped.join(names, "comp").select("digest", "component_id", F.col("comp").alias("component"))
     out = signed.select("doc_id", "text_key", "n", "digest").join(named, "digest", "left")
     # A document without words is alone.
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    kept = F.coalesce(F.col("doc_id") == component, component.isNull())
-    return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
+    first = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    kept = F.coalesce(F.col("doc_id") == first, first.isNull())
+    return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), first.alias("component_id"), kept.alias("kept"), "component")
