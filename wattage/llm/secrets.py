@@ -39,10 +39,11 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 HEX_LONG = re.compile(rf"[0-9a-f]{{{HEX_LEAST},}}")
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "key")
 # Weak kinds.
-IDENTIFIER = re.compile(r"""\b(?:client_?id|access_?key_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""", re.IGNORECASE | re.ASCII)
+# A name may follow "_" or "-" (DB_USER=); a token may follow "=" (KEY=value).
+IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9])(?:client_?id|access_?key_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""", re.IGNORECASE | re.ASCII)
 IDENTIFIER_HINTS = ("id", "user", "login", "account")
 ENDPOINT = re.compile(r"\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+")
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 RANDOM_BITS = 3.5
 KINDS = ("assign", "access", "hex", "identifier", "random", "endpoint")
 ROLE = {"assign": "secret", "hex": "secret", "random": "secret", "access": "identifier", "identifier": "identifier", "endpoint": "endpoint"}
