@@ -75,6 +75,18 @@ def test_encoder_equals_the_library(encoder):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_added_tokens_are_those_of_the_file(encoder):
+    from tokenizers import Tokenizer
+    from wattage.llm.tokens import public_tokenizer
+
+    fresh = Tokenizer.from_file(public_tokenizer())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y z", "a <|endoftext| > b", "a <|endof text|>", "plain words"]
+    n, ids = encoder.encode(pa.array(texts, pa.string()))
+    want = [e.ids for e in fresh.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275] and n.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
 def test_encoder_cache_is_bounded(encoder, monkeypatch):
     monkeypatch.setattr("wattage.llm.tokens.CACHE_ENTRIES", 40)
     texts = [" ".join(f"word{i}x{j}" for j in range(12)) for i in range(30)]

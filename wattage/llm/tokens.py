@@ -4,7 +4,8 @@ A byte-level BPE never merges across a word boundary, and a boundary always lies
 before a run of white space that follows a visible character. So a text can be
 cut there, every distinct chunk encoded once by the ``tokenizers`` library, and
 the ids of the chunks concatenated: the ids are those of the whole text. Texts
-with white space outside ASCII (whose runs could straddle a cut) are encoded
+with white space outside ASCII (whose runs could straddle a cut), and texts that
+quote an added token such as an end marker (which is one id there), are encoded
 whole. Chunks are counted out with Arrow's dictionary encoding, so Python touches
 each distinct chunk of a batch once, not each word.
 
@@ -55,7 +56,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizer())
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.joins = not any(" " in t for t in self.added)  # else chunks put together could form one
         stand_in = _byte_decoder()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.token_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -72,7 +74,7 @@ class Encoder:
         young, white = self.young, " \t\n\x0b\x0c\r"
         joined, odd = [], []
         for c in chunks:
-            (joined if len(c) > 1 and c[0] == " " and c[1] not in white and c[-1] not in white else odd).append(c)
+            (joined if self.joins and len(c) > 1 and c[0] == " " and c[1] not in white and c[-1] not in white else odd).append(c)
         for c, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False) if odd else ()):
             young[c] = np.array(e.ids, np.uint32).tobytes()
         for lo in range(0, len(joined), 4096):
@@ -139,6 +141,8 @@ class Encoder:
 
     def _encode_slice(self, texts: pa.Array, ids: bool) -> tuple[np.ndarray, np.ndarray]:
         wide = pc.match_substring_regex(texts, _WIDE_SPACE).to_numpy(zero_copy_only=False)
+        for token in self.added:
+            wide = wide | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         mixed = pc.match_substring_regex(texts, _MIXED_RUN).to_numpy(zero_copy_only=False)
         kinds = np.where(wide, 2, np.where(mixed, 1, 0))
         if not kinds.any():
