@@ -168,6 +168,23 @@ def test_marks_of_boilerplate():
         assert html_text.main_text(f"<main>{body}{extra}</main>" if "siteFooter" not in extra else f"<main>{body}</main>{extra}") == want, extra
 
 
+@pytest.mark.parametrize("html,want", [
+    ('<p>Long text <i aria-hidden="true"></i> more</p>', "Long text more"),
+    ('<p>Long te<span hidden>not <span>seen</span> at all</span>xt <b>more</b></p>', "Long text more"),
+    ('<p>Long <i hidden>not <b>seen</i> text</b></p><p>more</p>', "Long text more"),
+    ('<p>Long text <i hidden>not seen</p><p>more</p>', "Long text more"),
+    ('<p>Long text <a hidden><div>not seen</div></a></p><p>more</p>', "Long text more"),
+    ('<div><img style="display:none"><p>Long text</p><wbr hidden><img aria-hidden="true"/><p>more</p></div>', "Long text more"),
+    ("<html><head><title>T</title><meta charset=x><script>1</script><body><p>Long text</p><p>more</p>", "Long text more"),
+    ("<head><title>T</title><style>p{}</style><p>Long text</p><p>more</p>", "Long text more"),
+    ("<head><title>T</title>\nLong text <b>more</b>", "Long text more"),
+    ("<title>T</title><p>Long text</p><p>more</p>", "Long text more"),
+])
+def test_hidden_void_and_open_elements(html, want):
+    assert html_text.main_text(html) == want
+    assert html_text.main_text(f"{html}<p hidden>Not seen</p>") == want
+
+
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("   ", ""), ("<p></p>", ""), ("plain words only", "plain words only"), ("<nav>menu</nav>", ""),
     ("<p>a<p>b", "a b"), ("<![foo[x]]><p>kept</p>", None), ("<p>unclosed <b", None), ("<div" * 2_000, None), ("<div>" * 3_000 + "deep", "deep"), ("a &amp;lt; b", "a &lt; b"),

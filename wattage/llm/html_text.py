@@ -32,7 +32,7 @@ REGION_SHARE = 0.8
 
 # Elements whose text is never content (fixed by what HTML means by them).
 DROP = frozenset(
-    "head script style template noscript iframe object embed canvas svg audio video map nav footer aside form select "
+    "head title script style template noscript iframe object embed canvas svg audio video map nav footer aside form select "
     "textarea button datalist dialog menu fieldset".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,6 +40,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr img".split()
 )
+# What may stand in a head; anything else ends one whose end tag is left out.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 REGION = frozenset("article main".split())
 ROLES = frozenset("navigation contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 # Words of class and id values that mark boilerplate; those of the first list hold inside an article too.
@@ -70,21 +72,28 @@ class _Lines(HTMLParser):
         self.containers = 0
         self.open: tuple[int, ...] = ()
         self.dropped = self.for_good = False
+        self.muted: int | None = None  # place on the stack of a hidden inline element: its text is no part of the line around it
         self.region: set[int] = set()
 
     def _break(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append((text, self.tags, self.dropped, self.open, self.linked))
+                dropped, place = (self.dropped, self.open) if self.muted is None else (self.stack[self.muted][2], self.open[: self.muted])
+                self.lines.append((text, self.tags, dropped, place, self.linked))
                 self.tags = 0
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
+        self._leave_head(tag)
         if tag in INLINE:
             self.tags += 1
             self.link_depth += tag == "a"
-            if attrs and self._hidden(attrs):
+            if tag in VOID:
+                return
+            if self.muted is None and attrs and self._hidden(attrs):
+                self.muted = len(self.stack)
+            if self.muted is not None:  # also what it holds, to find its end
                 self._push(tag, True, True)
             return
         self._break()
@@ -123,15 +132,32 @@ class _Lines(HTMLParser):
         self.dropped, self.for_good = self.stack[i][2], self.stack[i][3]
         del self.stack[i:]
         self.open = self.open[:i]
+        if self.muted is not None and i <= self.muted:
+            self.muted = None
+
+    def _leave_head(self, tag: str) -> None:
+        """End a head (or a title) that has no end tag where ``tag`` cannot stand in it."""
+        if self.stack and (tag == "body" or self.stack[-1][0] == "head" and tag not in IN_HEAD):
+            for i, x in enumerate(self.stack):
+                if x[0] in ("head", "title"):
+                    self._break()
+                    self._pop_to(i)
+                    break
 
     def handle_endtag(self, tag):
         if tag in INLINE:
             self.tags += 1
             self.link_depth = max(0, self.link_depth - (tag == "a"))
-            if not (self.stack and self.stack[-1][0] == tag):
-                return
+            if self.muted is not None:
+                for i in range(len(self.stack) - 1, self.muted - 1, -1):
+                    if self.stack[i][0] == tag:
+                        self._pop_to(i)
+                        break
+                    if self.stack[i][0] not in INLINE:  # the end of something outside a block
+                        break
+            return
         self._break()
-        self.tags += tag not in INLINE
+        self.tags += 1
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 self._pop_to(i)
@@ -142,6 +168,10 @@ class _Lines(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_data(self, data):
+        if self.stack and self.stack[-1][0] == "head" and not data.isspace():
+            self._leave_head("")
+        if self.muted is not None:
+            return
         self.parts.append(data)
         if self.link_depth:
             self.linked += len(data)
