@@ -185,6 +185,22 @@ def test_hidden_void_and_open_elements(html, want):
     assert html_text.main_text(f"{html}<p hidden>Not seen</p>") == want
 
 
+LONG = "A paragraph of the story with words enough to be seen as content by anyone who reads it. "
+MENU = "<div>" + "".join(f"<p><a href=/{i}>Page {i}</a></p>" for i in range(6)) + "</div>"
+
+
+@pytest.mark.parametrize("html,want", [
+    (f"<div id=content><h1>Title</h1><p>lead</p><div class=body><p>{LONG * 5}</p><p>{LONG * 5}</p></div><p>End.</p></div>", f"Title lead {LONG * 10}End."),
+    (f"<div><div><p>{LONG * 9}</p><p>{LONG * 8}</p></div><div><p>{LONG * 2}</p><p>{LONG}</p></div></div>", LONG * 20),
+    (f"<div id=all>{MENU}<div id=content><h1>Title</h1><div class=body><h2>Part</h2><p>{LONG * 5}</p><p>{LONG * 5}</p></div></div>{MENU}</div>", f"Title Part {LONG * 10}"),
+    (f"<div id=all>{MENU}<div><p>{LONG * 5}</p><p><a href=/r>{LONG}</a></p><p><a href=/s>See it</a></p><p>{LONG * 5}</p></div></div>", f"{LONG * 6}See it {LONG * 5}"),
+    (f"<div><p>{LONG * 5}</p><p>Text <a href=/x>\n          linked\n          </a></p><p>{LONG * 5}</p></div>", f"{LONG * 5}Text linked {LONG * 5}"),
+    (f"<div id=all>{MENU}<div><article><h2>One</h2><p>{LONG * 5}</p></article><article><h2>Two</h2><p>{LONG * 5}</p></article></div></div>", f"One {LONG * 5}Two {LONG * 5}"),
+])
+def test_region_holds_all_content(html, want):
+    assert html_text.main_text(f"<body>{html}</body>") == want.strip()
+
+
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("   ", ""), ("<p></p>", ""), ("plain words only", "plain words only"), ("<nav>menu</nav>", ""),
     ("<p>a<p>b", "a b"), ("<![foo[x]]><p>kept</p>", None), ("<p>unclosed <b", None), ("<div" * 2_000, None), ("<div>" * 3_000 + "deep", "deep"), ("a &amp;lt; b", "a &lt; b"),

@@ -3,9 +3,10 @@
 Parser events of the standard library cut a page into lines (what stands between block
 tags). Each line has a text-to-tag ratio; the ratios are smoothed with a Gaussian and
 lines above a threshold (the deviation of the smoothed ratios) are seeds of content.
-Seeds are clustered by the tree: the deepest container that holds most of their text is
-the content region, and its lines make the text, short ones and headings too. Lines in
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
+Seeds are clustered by the tree: an article that holds most of their text is the content
+region, or else the deepest container that holds them all, widened to where the heading
+over it stands. The region's lines make the text, short ones and headings too, but without
+an article for runs of short lines that are all link, as menus are. Lines in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments are never seeds and never part of the text.
 
 White space inside a line becomes one space, lines are joined by one space in page order.
@@ -27,8 +28,10 @@ from .common import slices
 
 PAGES_AT_ONCE = 500
 SMOOTH_RADIUS = 2
-#: Share of the seeds' text that the content region holds.
+#: Share of the seeds' text that an article holds if it is the content region.
 REGION_SHARE = 0.8
+#: Lines in a row that are all link make a menu.
+MENU_RUN = 3
 
 # Elements whose text is never content (fixed by what HTML means by them).
 DROP = frozenset(
@@ -43,6 +46,7 @@ INLINE = frozenset(
 # What may stand in a head; anything else ends one whose end tag is left out.
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 REGION = frozenset("article main".split())
+HEADINGS = {f"h{i}": i for i in range(1, 7)}
 ROLES = frozenset("navigation contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 # Words of class and id values that mark boilerplate; those of the first list hold inside an article too.
 ALWAYS = frozenset(
@@ -74,6 +78,7 @@ class _Lines(HTMLParser):
         self.dropped = self.for_good = False
         self.muted: int | None = None  # place on the stack of a hidden inline element: its text is no part of the line around it
         self.region: set[int] = set()
+        self.headings: dict[int, int] = {}  # container: level
 
     def _break(self) -> None:
         if self.parts:
@@ -124,6 +129,8 @@ class _Lines(HTMLParser):
         self.containers += 1
         if tag in REGION:
             self.region.add(self.containers)
+        elif tag in HEADINGS:
+            self.headings[self.containers] = HEADINGS[tag]
         self.stack.append((tag, self.containers, self.dropped, self.for_good))
         self.open = (*self.open, self.containers)
         self.dropped, self.for_good = drop, good
@@ -174,7 +181,7 @@ class _Lines(HTMLParser):
             return
         self.parts.append(data)
         if self.link_depth:
-            self.linked += len(data)
+            self.linked += sum(map(len, data.split()))
 
     def _in_region(self) -> bool:
         return any(c in self.region for c in self.open)
@@ -240,25 +247,62 @@ def main_text(html: str | None) -> str:
     ratio = np.array([len(x[0]) / max(1, x[1]) for x in lines])
     smooth = smoothed(ratio)
     seeds = [i for i in usable if smooth[i] >= smooth.std()] or [max(usable, key=lambda i: smooth[i])]
-    mass: dict[int, int] = {}
-    for i in seeds:
-        for c in lines[i][3]:
-            mass[c] = mass.get(c, 0) + len(lines[i][0])
-    total = sum(len(lines[i][0]) for i in seeds)
+    mass = _mass(lines, seeds)
+    named = [c for c in page.region if mass.get(c, 0) >= REGION_SHARE * sum(len(lines[i][0]) for i in seeds)]
+    if named:
+        region = min(named)  # an article is content from its start to its end
+        return " ".join(lines[i][0] for i in usable if region in lines[i][3])
+    menus = _menus(lines, [i for i in usable if ratio[i] < smooth.std()])
+    seeds = [i for i in seeds if i not in menus] or seeds  # a menu's end next to a story is smoothed into it
+    mass, total = _mass(lines, seeds), sum(len(lines[i][0]) for i in seeds)
     # Paragraphs and the like are no regions: only containers with more than one line, or the whole page.
     width: dict[int, int] = {}
     for i in usable:
         for c in lines[i][3]:
             width[c] = width.get(c, 0) + 1
-    holding = [c for c, m in mass.items() if m >= REGION_SHARE * total and (width[c] > 1 or c in page.region)]
+    holding = [c for c, m in mass.items() if m == total and (width[c] > 1 or c in page.region)]
     region = max(holding, default=0)  # numbered in page order: of nested containers the deepest is the last
-    named = [c for c in page.region if mass.get(c, 0) >= REGION_SHARE * total]
-    if named:
-        region = min(named)  # an article is content from its start to its end
-    inside = [i for i in usable if not region or region in lines[i][3]]
-    if not named:  # without an article, a line that is all link is a menu entry
-        inside = [i for i in inside if lines[i][4] < len(lines[i][0])]
-    return " ".join(lines[i][0] for i in inside)
+    inside = _with_heading(page, usable, [i for i in usable if not region or region in lines[i][3]])
+    return " ".join(lines[i][0] for i in inside if i not in menus)
+
+
+def _with_heading(page: _Lines, usable: list[int], inside: list[int]) -> list[int]:
+    """The lines of a region, widened to the next container where a heading of higher rank than
+    its own stands before it: all lines there from this heading on."""
+    level = [min((page.headings[c] for c in x[3] if c in page.headings), default=7) for x in page.lines] if page.headings else []
+    own = min((level[i] for i in inside), default=7) if level else 0
+    over = [i for i in usable if i < inside[0] and level[i] < own] if own else []
+    if not over:
+        return inside
+    around = page.lines[inside[0]][3]
+    shared = lambda i: sum(1 for a, b in zip(page.lines[i][3], around) if a == b)
+    depth = max(map(shared, over))
+    near = [i for i in over if shared(i) == depth]
+    top = min(near, key=lambda i: (level[i], -i))  # the highest, of equal ones the last
+    return [i for i in usable if i >= top and page.lines[i][3][:depth] == around[:depth]]
+
+
+def _mass(lines: list, seeds: list[int]) -> dict[int, int]:
+    """Characters of the seeds in each container."""
+    mass: dict[int, int] = {}
+    for i in seeds:
+        for c in lines[i][3]:
+            mass[c] = mass.get(c, 0) + len(lines[i][0])
+    return mass
+
+
+def _menus(lines: list, short: list[int]) -> set[int]:
+    """Of the short lines those that are all link and stand in a row of ``MENU_RUN`` such lines or more."""
+    out: set[int] = set()
+    run: list[int] = []
+    linked = [i for i in short if lines[i][4] >= len(lines[i][0]) - lines[i][0].count(" ")]
+    for i in [*linked, len(lines) + 1]:
+        if run and i != run[-1] + 1:
+            if len(run) >= MENU_RUN:
+                out.update(run)
+            run = []
+        run.append(i)
+    return out
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
