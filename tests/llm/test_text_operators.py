@@ -73,6 +73,26 @@ def test_learning_and_scoring(spark, documents):
     assert all(0 <= r["score"] <= 1 for r in scored)
 
 
+def test_threats_are_judged_by_their_clauses(spark):
+    """Everyday uses of a threat word say nothing about threats with it; clean threats do."""
+    rows = [("A stall may kill the engine. We shoot a film.", 0), ("He said they will kill you.", 0), ("Frost may kill. You never kill them.", 0)] * 20
+    rows += [("Hang it there, you know.", 0)] * 40 + [("I will hang you.", 1)] * 3 + [("I will kill you.", 1)] * 10
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    grammar = toxicity.Grammar(lexicon)
+    assert grammar.words["kill$"] == grammar.words["shoot$"] == ("threat", pytest.approx(toxicity.THREAT_WEIGHT))
+    assert "hang$" not in grammar.words  # 40 clean documents with the pattern
+    assert toxicity.logistic(weight(grammar, "They shoot you.") - toxicity.BIAS) >= 0.7
+
+
+def test_threat_pattern():
+    grammar = toxicity.Grammar([])
+    texts = ["I will kill you.", "Frost may kill.", "You do not kill.", "He said they kill you.", "They kill the engine.", None]
+    assert [grammar.threats(t) for t in texts] == [{"kill"}, set(), set(), set(), {"kill"}, set()]
+    assert [toxicity.threat_weight(*n) for n in ((0, 0), (40, 0), (0, 1))] == [pytest.approx(toxicity.THREAT_WEIGHT)] * 3
+    assert toxicity.logistic(toxicity.threat_weight(20, 10) - toxicity.BIAS) >= 0.7 > toxicity.logistic(toxicity.threat_weight(10, 20) - toxicity.BIAS)
+    assert toxicity.threat_weight(0, 30) == 0
+
+
 def test_toxicity_without_labels_or_rows(spark, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = documents([(1, "you stupid idiot"), (2, "fine")])

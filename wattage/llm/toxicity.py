@@ -14,6 +14,8 @@ candidates (a toxic text that was copied makes all of its words look toxic) thos
 that are among the best in several toxic documents. At most ``SAMPLE_ROWS`` labelled rows
 are used, the first in an order by hash. A short general list of English insults is
 part of the grammar too, each word as far as the labelled rows do not speak against it.
+A threat word is judged by the clauses that make a threat of it (with a target, neither
+negated nor reported), whatever else the word is used for.
 
 A null or empty text has no clause and gets the lowest score. A null label is no label;
 a document with several labels counts as toxic if one says so. Repeated rows are scored
@@ -108,6 +110,16 @@ def clause_weight(symbols: list[tuple[str, float]]) -> float:
     return insults * target + (threats if states[0] else 0.0)
 
 
+def threats_made(symbols: list[tuple[str, object]]) -> set:
+    """The threats of a clause, given as (class, word), that stand in the pattern: with a target, not negated or reported."""
+    states, found = [0] * len(GRAMMAR), set()
+    for symbol, word in symbols:
+        if symbol == "threat" and not any(states[1:]):
+            found.add(word)
+        states = [t.step(s, symbol) for t, s in zip(GRAMMAR, states)]
+    return found if states[0] else set()
+
+
 class Grammar:
     """The lexical transducers compiled into one automaton, and the scoring of texts."""
 
@@ -134,8 +146,20 @@ class Grammar:
                     break
         return known or (self.other.get(word, "word"), 0.0)
 
+    def threats(self, text: str | None) -> set[str]:
+        """The threat words that some clause of the text makes a threat of."""
+        return {w for _, _, tokens in self._marked(text) for w in threats_made([(self._symbol(t)[0], t) for t in tokens])}
+
+    def _symbol(self, token: str) -> tuple[str, float]:
+        return ("quote", 0.0) if not token.isalpha() else self._class(token)
+
     def clauses(self, text: str | None) -> list[tuple[int, int, float]]:
         """(start, end, weight) of every clause with a weight, in code points."""
+        found = [(a, b, clause_weight([self._symbol(t) for t in tokens])) for a, b, tokens in self._marked(text)]
+        return [f for f in found if f[2] > 0]
+
+    def _marked(self, text: str | None) -> list[tuple[int, int, list[str]]]:
+        """(start, end, tokens) of every clause with an entry of the lexicon."""
         if not text:
             return []
         low = text.lower()
@@ -156,10 +180,7 @@ class Grammar:
             if h == len(hits):
                 break
             if hits[h] < m.end():
-                tokens = _TOKEN.findall(low, m.start(), m.end())
-                weight = clause_weight([("quote", 0.0) if not t.isalpha() else self._class(t) for t in tokens])
-                if weight > 0:
-                    out.append((m.start(), m.end(), weight))
+                out.append((m.start(), m.end(), _TOKEN.findall(low, m.start(), m.end())))
         return out
 
 
@@ -183,6 +204,28 @@ def listed_weight(toxic: int, clean: int) -> float:
     return weight if weight >= 1 else 0.0
 
 
+def threat_weight(toxic: int, clean: int) -> float:
+    """Weight of a threat after ``toxic`` and ``clean`` documents with a clause that makes it:
+    alone it scores the toxic share of these, with a prior of four toxic ones; 0 under a weight of 1."""
+    prior = 4.0
+    against = prior / math.exp(THREAT_WEIGHT)
+    weight = min(THREAT_WEIGHT, BIAS + math.log((toxic + prior) / (clean + against)))
+    return weight if weight >= 1 else 0.0
+
+
+def _threats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, toxic documents, clean documents) by threats made, summed."""
+    grammar, seen = _grammar(()), Counter()
+    for batch in slices(batches, TEXTS_AT_ONCE):
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            seen.update((w, toxic) for w in grammar.threats(text))
+    words = list({w for w, _ in seen})
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(words, pa.string()), pa.array([seen[w, 1] for w in words], pa.int64()), pa.array([seen[w, 0] for w in words], pa.int64())],
+        names=["word", "toxic", "clean"],
+    )
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, toxic documents, clean documents), partly summed."""
     seen: Counter = Counter()
@@ -249,8 +292,11 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float]]:
     kept = credits.filter(F.col("credit") >= MIN_CREDIT).orderBy(F.col("credit").desc(), "rank").limit(LEXICON_ENTRIES).collect()
     # Listed words keep their weight only as far as the labels bear it out (in a corpus of
     # several languages an insult of one may be an everyday word of another).
-    listed = {r["word"]: listed_weight(r["toxic"], r["clean"]) for r in words.filter(F.col("word").isin(INSULTS + THREATS)).collect()}
+    listed = {r["word"]: listed_weight(r["toxic"], r["clean"]) for r in words.filter(F.col("word").isin(INSULTS)).collect()}
+    made = sample.mapInArrow(_threats, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    listed |= {r["word"]: threat_weight(r["toxic"], r["clean"]) for r in made.collect()}
     found = {best[r["rank"]]["entry"]: math.log(best[r["rank"]]["bound"] / (1 - best[r["rank"]]["bound"])) for r in kept}
+    found = {e: x for e, x in found.items() if e.removesuffix("$") not in THREATS or not e.endswith("$")}
     return list(({f"{w}$": x for w, x in listed.items()} | found).items())
 
 
