@@ -93,6 +93,25 @@ def test_threat_pattern():
     assert toxicity.threat_weight(0, 30) == 0
 
 
+def score(grammar, text):
+    return toxicity.logistic(toxicity.total([x[2:] for x in grammar.weighed(text)]) - toxicity.BIAS)
+
+
+@pytest.mark.parametrize("text,toxic", [
+    ("The garbage was collected.", False), ("It is a pig farm. All is well.", False), ("You pig.", True), ("You are garbage, all of you.", True),
+    ("You are not an idiot. " * 9, False), ("He said you idiot came. " * 9, False), ("I won't kill you. " * 9, False), ("You are not an idiot. " * 9 + "You pig!", True),
+    ("He isn't a pig. " * 9, False), ("They aren’t pig farmers.", False), ("You can't, you pig.", True),
+])
+def test_lone_negated_and_reported_insults(text, toxic):
+    assert (score(toxicity.Grammar([]), text) >= 0.7) == toxic
+
+
+def test_negation_in_one_token():
+    grammar = toxicity.Grammar([])
+    assert weight(grammar, "He isn't a pig.") == weight(grammar, "He isn’t a pig.") == pytest.approx(0.2 * weight(grammar, "He is a pig."))
+    assert toxicity._TOKEN.findall("can't ain't n't don'ts") == ["can't", "ain't", "n", "t", "don", "ts"]
+
+
 def test_toxicity_without_labels_or_rows(spark, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = documents([(1, "you stupid idiot"), (2, "fine")])
