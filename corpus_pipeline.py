@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,10 +63,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     alone = [F.when(F.col("component").isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "text_key")]
     chosen = groups.filter("kept").select("doc_id", "text_key", "component", *alone)
     chosen = chosen.groupBy("component", "alone_doc_id", "alone_text_key").agg(F.min(F.struct("text_key", "doc_id")).alias("one")).select("one.doc_id", "one.text_key")
-    # The join's own partitioning serves the numbering of rows repeated as a whole.
-    rows = _keyed(docs).join(_keys(chosen), ["k1", "k2"])
-    first = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))
-    return rows.withColumn("copy", first).filter("copy = 1").select("row.*")
+    # Of rows repeated as a whole each map task ships one; the join finds them dealt by its keys.
+    rows = _keyed(docs).groupBy("k1", "k2").agg(F.first("row").alias("row"))
+    return rows.join(_keys(chosen), ["k1", "k2"]).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

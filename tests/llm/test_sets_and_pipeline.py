@@ -242,3 +242,12 @@ def test_pipeline_keeps_unlike_texts_that_share_an_id(spark, documents):
     got = corpus_pipeline.drop_near_duplicates(spark, documents(rows), "").collect()
     want = {r for r in rows if r[0] != 9}
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_pipeline_ships_one_copy_of_repeated_rows(spark, documents, monkeypatch):
+    """Rows repeated as a whole meet as one row of each map task, and in no window."""
+    found = spark.createDataFrame([(1, 1, 2, 1, True, 0)], "doc_id long, text_key long, n_shingles long, component_id long, kept boolean, component long")
+    monkeypatch.setattr(corpus_pipeline, "near_duplicates", lambda docs, **_: found)
+    docs = documents([(1, "copied text")] * 50)
+    plan = corpus_pipeline.drop_near_duplicates(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_first(row" in plan
