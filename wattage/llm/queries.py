@@ -6,12 +6,15 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokenizers
 from .common import table
 from .decontaminate import find_contamination
 from .html_text import extract_text
+from .merkle import fold, merkle_manifest, siblings, tampered_leaf
 from .neardup import near_duplicates
 from .packing import pack
 from .secrets import find_secrets, spans_text
+from .simhash import simhash_groups
 from .token_counts import length_histogram, totals_by_limit
 from .token_files import token_files
 from .topk import quantised, top_k
@@ -83,6 +86,23 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.withColumn("_tampered", tampered_leaf(docs))
+    rows = merkle_manifest(docs, fanout=2, carry=["_tampered"])
+    folded = fold(F.col("path"), F.coalesce("_tampered", "leaf"))
+    rows = rows.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), k=3, most=3).select("doc_id", "fingerprint", "component_id")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"))[0]
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -94,6 +114,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_simhash": op12_simhash,
+    "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -141,5 +164,62 @@ WITH d AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+""",
+    # crc32 is not a DuckDB function: eight shifts for each digit of the id.
+    "op11_merkle_manifest": """
+WITH RECURSIVE d AS (
+    SELECT doc_id, lang, n_chars,
+        (SELECT list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+            lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) AS crc,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS before,
+        coalesce(strlen(text) || ':' || text, '-') AS after
+    FROM documents
+), l AS (
+    SELECT doc_id, lang, sha256(before || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || after) AS leaf,
+        sha256(before || coalesce(strlen(c) || ':' || c, '-') || after) AS used
+    FROM (SELECT *, (CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END)::VARCHAR AS c FROM d)
+), leaves AS (
+    SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY lang) AS n,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+    FROM l
+), nodes AS (
+    SELECT g, n, 0 AS lev, pos, leaf AS h FROM leaves
+    UNION ALL
+    SELECT g, n, lev + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE (1::BIGINT << lev) < n GROUP BY g, n, lev, pos // 2
+), subs AS (
+    SELECT g AS pos, h, count(*) OVER () AS n FROM nodes WHERE (1::BIGINT << lev) >= n
+), upper AS (
+    SELECT n, 0 AS lev, pos, h FROM subs
+    UNION ALL
+    SELECT n, lev + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM upper WHERE (1::BIGINT << lev) < n GROUP BY n, lev, pos // 2
+), top AS (
+    SELECT h AS root FROM upper WHERE (1::BIGINT << lev) >= n
+), steps AS (
+    SELECT l.g, l.pos, lev AS step, (l.pos >> lev) % 2 AS odd, s.h
+    FROM (SELECT g, pos, unnest(range(40)) AS lev, n FROM leaves) l LEFT JOIN nodes s USING (g, lev)
+    WHERE (1::BIGINT << lev) < l.n AND s.pos = xor(l.pos >> lev, 1)
+    UNION ALL
+    SELECT l.g, l.pos, 64 + lev, (l.g >> lev) % 2, s.h
+    FROM (SELECT g, pos, unnest(range(40)) AS lev FROM leaves) l JOIN upper s USING (lev)
+    WHERE (1::BIGINT << lev) < s.n AND s.pos = xor(l.g >> lev, 1)
+), proofs AS (
+    SELECT g, pos, string_agg(h, '' ORDER BY step) AS proof FROM steps GROUP BY g, pos
+), levels AS (
+    SELECT g, n, lev AS step, row_number() OVER (PARTITION BY g ORDER BY lev) AS i FROM (
+        SELECT DISTINCT g, n, unnest(range(40)) AS lev FROM leaves
+        UNION ALL
+        SELECT DISTINCT g, (SELECT count(*) FROM subs), 64 + unnest(range(40)) FROM leaves
+    ) WHERE (1::BIGINT << (lev % 64)) < n
+), folded AS (
+    SELECT g, pos, used AS h, 0 AS i FROM leaves
+    UNION ALL
+    SELECT f.g, f.pos, sha256(CASE WHEN s.odd = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END), v.i
+    FROM folded f JOIN levels v ON v.g = f.g AND v.i = f.i + 1 LEFT JOIN steps s ON s.g = f.g AND s.pos = f.pos AND s.step = v.step
+), ends AS (
+    SELECT g, pos, arg_max(h, i) AS folded_root FROM folded GROUP BY g, pos
+)
+SELECT doc_id, leaf, s.h AS subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subs s ON s.pos = leaves.g CROSS JOIN top JOIN ends ON ends.g = leaves.g AND ends.pos = leaves.pos
+    LEFT JOIN proofs ON proofs.g = leaves.g AND proofs.pos = leaves.pos
 """,
 }
