@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattage.plans import jobs
-from wattage.sources import fixtures, pages, tables
+from wattage.sources import fixtures, journal, pages, tables
 
 AS_OF = dt.datetime(2024, 1, 31)
 FIXTURE_REGIONS = ("click", "purchase", "signup", "view", "error")
@@ -29,10 +29,10 @@ def test_load_transform_forecast(spark, sf_dir, tmp_path):
     fct = jobs.read_fact(spark, wh)
     keys = [r[0] for r in fct.orderBy("period_date", "demand_key").select("demand_key").collect()]
     assert keys == list(range(1, fct.count() + 1))
-    snap = spark.read.parquet(f"{wh}/snap_region")
+    snap = jobs.read_mart(spark, wh, "snap_region")
     assert snap.count() == 5 and snap.filter("is_current").count() == 5
     jobs.build_marts(spark, wh, AS_OF, accepted=FIXTURE_REGIONS, gate=False)
-    assert spark.read.parquet(f"{wh}/snap_region").count() == 5  # no change, no new history rows
+    assert jobs.read_mart(spark, wh, "snap_region").count() == 5  # no change, no new history rows
 
     rows = jobs.daily_forecast(spark, wh, AS_OF)
     n = rows.count()
@@ -86,7 +86,7 @@ def _same(a, b):
 
 def _assert_same_warehouse(spark, inc, full):
     for name in ("stg_by_region", "dim_region", "dim_date", "fct_hours", "summary_hours", "fct_daily", "raw_region_days", "snap_region"):
-        a, b = spark.read.parquet(f"{inc}/{name}"), spark.read.parquet(f"{full}/{name}")
+        a, b = jobs.read_mart(spark, inc, name), jobs.read_mart(spark, full, name)
         if name == "dim_date":  # a calendar only grows
             a, b = a.filter("year < 2027"), b.filter("year < 2027")
         doubles = [c for c, t in a.dtypes if t == "double"]  # sums may differ in the last bits
@@ -123,9 +123,9 @@ def test_incremental_refresh_equals_full_build(spark, sf_dir, tmp_path, monkeypa
     monkeypatch.setattr(jobs.marts, "daily_from_hourly", daily)
     jobs.refresh_marts(spark, inc, None, AS_OF, accepted=FIXTURE_REGIONS, gate=False)
     full_build(spark, full, AS_OF, accepted=FIXTURE_REGIONS, gate=False)
-    assert spark.read.parquet(f"{inc}/fct_hourly").filter("date_key IS NULL").count() == 0
-    assert spark.read.parquet(f"{inc}/fct_hourly").filter("date_key > 20270000").count() > 0  # past the default calendar
-    assert jobs._pending(spark, inc) is None
+    assert jobs.read_mart(spark, inc, "fct_hourly").filter("date_key IS NULL").count() == 0
+    assert jobs.read_mart(spark, inc, "fct_hourly").filter("date_key > 20270000").count() > 0  # past the default calendar
+    assert journal.pending(spark, inc) == []
     _assert_same_warehouse(spark, inc, full)
 
 
@@ -142,8 +142,8 @@ def test_initial_setup_is_idempotent(spark, tmp_path):
     wh = str(tmp_path / "wh")
     for _ in range(2):
         jobs.initial_setup(spark, wh, AS_OF)
-        dr = spark.read.parquet(f"{wh}/dim_region")
-        assert dr.count() == 6 and spark.read.parquet(f"{wh}/dim_date").count() == 1461
+        dr = jobs.read_mart(spark, wh, "dim_region")
+        assert dr.count() == 6 and jobs.read_mart(spark, wh, "dim_date").count() == 1461
     keys = {r.respondent: r.region_key for r in dr.collect()}
     assert keys == {"US48": 1, "CISO": 2, "TEXA": 3, "MISO": 4, "NYISO": 5, "PJM": 6}
 
@@ -166,7 +166,7 @@ def test_refresh_with_new_region_falls_back_to_full_build(spark, sf_dir, tmp_pat
     jobs.hourly_load(spark, landing2, full, AS_OF, regions=regions)
     jobs.refresh_marts(spark, inc, out["first_day"], AS_OF, accepted=regions, gate=False)
     jobs.build_marts(spark, full, AS_OF, accepted=regions, gate=False)
-    assert spark.read.parquet(f"{inc}/dim_region").filter("respondent = 'alpha'").first().region_key == 1
+    assert jobs.read_mart(spark, inc, "dim_region").filter("respondent = 'alpha'").first().region_key == 1
     _assert_same_warehouse(spark, inc, full)
 
 
@@ -220,11 +220,11 @@ def test_rename_gives_one_open_row_per_code(spark, tmp_path):
     for day in range(1, 6):
         run = jobs.refresh_marts if day % 2 else lambda s, w, _, t, **k: jobs.build_marts(s, w, t, **k)
         run(spark, wh, None, dt.datetime(2024, 2, day), **options)
-        snap = spark.read.parquet(f"{wh}/snap_region").collect()
+        snap = jobs.read_mart(spark, wh, "snap_region").collect()
         assert len(snap) == 3
         assert {r.respondent: r.respondent_name for r in snap if r.is_current} == {"PJM": "New", "CISO": "Name"}
         assert jobs.read_fact(spark, wh).count() == 3
-    assert spark.read.parquet(f"{wh}/dim_region").count() == 2
+    assert jobs.read_mart(spark, wh, "dim_region").count() == 2
 
 
 def test_gate_names_every_failing_check(spark, tmp_path):

@@ -86,18 +86,19 @@ def dense_key(
     return dense_key_counted(df, order, name, partitions, descending)[0]
 
 
-def group_offsets(counts: DataFrame, group: str) -> DataFrame:
+def group_offsets(counts: DataFrame, group: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """(group, before): rows in all earlier groups, from (group, n_rows); ``group`` is a timestamp.
+    Columns to ``keep`` are carried along.
 
     Running sums inside each day, plus the running sum of the days' totals: the
     rows that meet in one task are one per day.
     """
-    days = counts.select(group, "n_rows", F.to_date(group).alias("_day"))
+    days = counts.select(group, "n_rows", F.to_date(group).alias("_day"), *keep)
     until = (Window.unboundedPreceding, 0)
     within = F.sum("n_rows").over(Window.partitionBy("_day").orderBy(group).rowsBetween(*until)) - F.col("n_rows")
     totals = days.groupBy("_day").agg(F.sum("n_rows").alias("_n"))
     starts = totals.select("_day", (F.sum("_n").over(Window.orderBy("_day").rowsBetween(*until)) - F.col("_n")).alias("_start"))
-    return days.withColumn("_within", within).join(starts, "_day").select(group, (F.col("_start") + F.col("_within")).alias("before"))
+    return days.withColumn("_within", within).join(starts, "_day").select(group, (F.col("_start") + F.col("_within")).alias("before"), *keep)
 
 
 def number_in_group(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:

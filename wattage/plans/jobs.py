@@ -1,16 +1,21 @@
 """The three scheduled jobs as Spark jobs over stored tables.
 
-Layout under one ``warehouse`` folder. By day: ``raw_readings``, ``stg_by_region``,
-``fct_hourly`` (by date_key) with ``fct_hours``, ``demand_summary`` with
-``summary_hours``, ``fct_daily``, ``raw_region_days``. Whole: ``dim_region``,
-``dim_date``, ``snap_region``, ``forecast_results``, ``model_metrics``,
-``skipped_series``, ``feature_importance``. Also ``rejects`` (a folder per load) and
-``pending_days`` (days loaded but not yet in the marts, a folder per load).
+Layout under one ``warehouse`` folder: ``raw_readings`` by day; ``marts`` in versions
+(see ``sources.versions``): by day ``stg_by_region``, ``fct_hourly`` (by date_key) with
+``fct_hours``, ``demand_summary`` with ``summary_hours``, ``fct_daily``, ``raw_region_days``,
+undivided ``dim_region``, ``dim_date``, ``snap_region``; ``forecast_results``,
+``model_metrics``, ``skipped_series``, ``feature_importance``; ``rejects`` (a folder per
+landing) and ``journal`` (days loaded but not yet in the marts, see ``sources.journal``).
+
+A build or refresh writes a version of its own, checks it, and only then publishes it: all
+marts change together, a failed gate or a stopped job leaves readers (``read_mart``,
+``read_fact``, ``read_summary``) on the version before it.
 
 Surrogate keys are positions in time order, so a late reading moves every later key.
 The fact and the summary therefore store the position inside the hour, and the hours
 tables the number of rows; ``read_fact`` and ``read_summary`` add the offset of the
-hour. A refresh then writes the touched days only.
+hour. A refresh then writes the touched days only. Rows meet the hours of their own build
+or the read stops: none is left out.
 
 Each function is one job run; re-running it with the same inputs leaves the
 tables as they were (upserts and rebuilds only). A job removes the checkpoints and
@@ -32,7 +37,7 @@ from ..operators.sizing import small_side
 from ..operators.upsert import dedupe_batch, insert_absent, upsert
 from ..schemas import FORECAST_KEY, FORECAST_RESULTS, METRIC_KEY, MODEL_METRICS, RAW_KEY
 from ..session import configure, job_scratch, path_exists
-from ..sources import pages, tables
+from ..sources import journal, pages, tables, versions
 from ..sources.pages import REQUESTED_REGIONS
 
 # Fixed value: the regions the staging check accepts.
@@ -67,23 +72,29 @@ def _day(df: DataFrame, c: str = "period_date") -> DataFrame:
     return df.withColumn(PART, F.to_date(c))
 
 
+def read_mart(spark: SparkSession, warehouse: str, name: str, **bounds) -> DataFrame:
+    """A mart as the current version has it (``since``, ``until``: days to read)."""
+    return versions.read_table(spark, warehouse, name, **bounds)
+
+
 def initial_setup(spark: SparkSession, warehouse: str, as_of: dt.datetime) -> None:
     """One-time setup: seed regions and the calendar, each only where absent, so
     it can run again safely. A later ``build_marts`` rebuilds the region
     dimension from the data, as the reference's model build does."""
     configure(spark)
-    dr_path, dd_path = _t(warehouse, "dim_region"), _t(warehouse, "dim_date")
-    with job_scratch(spark):
-        if tables.restore_table(spark, dr_path):
-            dr = spark.read.parquet(dr_path)
+    with job_scratch(spark), versions.Build(spark, warehouse, as_of) as build:
+        there = build.base.tables if build.base else {}
+        if "dim_region" in there:
+            dr = versions.read_table(spark, warehouse, "dim_region", build.base)
         else:
             dr = spark.createDataFrame([], "region_key bigint, respondent string, respondent_name string, region_type string, created_at timestamp_ntz")
-        seeded = insert_absent(dr, seed_regions(spark, as_of), ["respondent"], key_col="region_key", insert_order=["seed_order"])
-        tables.stage_and_replace(seeded, dr_path)
+        build.write(insert_absent(dr, seed_regions(spark, as_of), ["respondent"], key_col="region_key", insert_order=["seed_order"]), "dim_region")
         raw_path = _t(warehouse, "raw_readings")
         cal = calendar.dim_date(spark, *(calendar.calendar_bounds(tables.scan_raw(spark, raw_path)) if path_exists(spark, raw_path) else ()))
-        dd = spark.read.parquet(dd_path) if tables.restore_table(spark, dd_path) else cal.limit(0)
-        tables.stage_and_replace(insert_absent(dd, cal, ["date_value"]), dd_path)
+        dd = versions.read_table(spark, warehouse, "dim_date", build.base) if "dim_date" in there else cal.limit(0)
+        build.write(insert_absent(dd, cal, ["date_value"]), "dim_date")
+        build.publish([] if build.base else None)
+    versions.clean_up(spark, warehouse)
 
 
 def hourly_load(
@@ -107,20 +118,21 @@ def hourly_load(
         # One run's landing, parsed once: rejects, guard, days and merge read this checkpoint.
         landed = pages.normalise(pages.read_pages(spark, landing, multi_line), landing=True).checkpoint(eager=True)
         good, bad = pages.split_rejects(landed)
-        rejects = tables.write_rejects(bad, _t(warehouse, "rejects"), as_of.strftime("%Y%m%dT%H%M%S"))
+        rejects = tables.write_rejects(bad, _t(warehouse, "rejects"), _landing_id(landed, as_of))
         batch, left_out = pages.only_regions(good, regions), 0
         if newest is not None:
             batch = dedupe_batch(batch, RAW_KEY, ("landed",)).checkpoint(eager=True)
             kept = pages.newest_per_region(batch, n=newest, tie=("data_type",)).checkpoint(eager=True)
             left_out = batch.count() - kept.count()
             batch = kept
-        days = small_side(batch.select(F.to_date("period_date").alias(PART)).distinct())
-        quality.require_rows(days, "no readings to load")
-        # Marked before the merge: a run that stops in between is caught up by the next refresh.
-        marked = _t(warehouse, f"pending_days/run={as_of.strftime('%Y%m%dT%H%M%S')}")
-        days.write.mode("overwrite").parquet(marked)
-        first_day = spark.read.parquet(marked).agg(F.min(PART)).first()[0]
+        # At most as many as the calendar has days.
+        days = sorted(r[0] for r in batch.select(F.to_date("period_date").alias(PART)).distinct().collect())
+        quality.require_rows(batch, "no readings to load")
+        first_day = days[0]
+        # In the journal before the merge: a run that stops in between is caught up by the next refresh.
+        entry = journal.open_entry(spark, warehouse, journal.new_id(as_of), days, as_of)
         raw = tables.upsert_raw(spark, _t(warehouse, "raw_readings"), batch, as_of)
+        journal.close_entry(spark, warehouse, entry)
         # Rows loaded today, counted over the days this run touched (folder pruning)
         # rather than over the whole history.
         touched = raw.filter(F.col(tables.PARTITION) >= F.lit(first_day))
@@ -129,6 +141,13 @@ def hourly_load(
         }
 
 
+def _landing_id(landed: DataFrame, as_of: dt.datetime) -> str:
+    """Names the set of landed files (place and time): loading them again gives the same name, and
+    no other load of the same stamp has it."""
+    files = landed.select(F.xxhash64("landed._at", "landed._file").alias("h")).distinct()
+    return f"{as_of.strftime('%Y%m%dT%H%M%S')}-{files.agg(F.coalesce(F.bit_xor('h'), F.lit(0))).first()[0] % (1 << 64):016x}"
+
+
 def _loaded_on(raw: DataFrame, day: dt.date) -> int:
     return raw.filter(F.to_date("loaded_at") == F.lit(day.isoformat()).cast("date")).count()
 
@@ -180,18 +199,30 @@ def _region_source(days: DataFrame) -> DataFrame:
 
 def read_fact(spark: SparkSession, warehouse: str) -> DataFrame:
     """The stored hourly fact with ``demand_key`` (dense, in time order)."""
-    offsets = small_side(group_offsets(spark.read.parquet(_t(warehouse, "fct_hours")).drop(PART), "period_date"))
-    fct = spark.read.parquet(_t(warehouse, "fct_hourly"))
-    key = (F.col("before") + F.col("hour_seq")).alias("demand_key")
-    return fct.join(offsets, "period_date").select(key, *facts.FACT_COLUMNS)
+    return _keyed(spark, warehouse, "fct_hourly", "fct_hours", "demand_key").select("demand_key", *facts.FACT_COLUMNS)
 
 
 def read_summary(spark: SparkSession, warehouse: str) -> DataFrame:
     """The stored demand summary with ``summary_key`` (dense, in time order)."""
-    offsets = small_side(group_offsets(spark.read.parquet(_t(warehouse, "summary_hours")).drop(PART), "period_date"))
-    rows = spark.read.parquet(_t(warehouse, "demand_summary"))
-    key = (F.col("before") + F.col("hour_seq")).alias("summary_key")
-    return rows.join(offsets, "period_date").select(key, *marts.SUMMARY_COLUMNS, "created_at")
+    return _keyed(spark, warehouse, "demand_summary", "summary_hours", "summary_key").select("summary_key", *marts.SUMMARY_COLUMNS, "created_at")
+
+
+def _keyed(spark: SparkSession, warehouse: str, name: str, hours_name: str, key: str) -> DataFrame:
+    """Stored rows with their dense key; stops where rows and hours do not belong together.
+
+    Both tables are read as one version has them and joined on the build as well. The hours must
+    count as many rows as the version says are stored, and every row must find its hour.
+    """
+    version = versions.current(spark, warehouse)
+    rows = versions.read_table(spark, warehouse, name, version, with_build=True)
+    hours = versions.read_table(spark, warehouse, hours_name, version, with_build=True).drop(PART)
+    offsets = small_side(group_offsets(hours, "period_date", (versions.BUILD, "n_rows")))
+    counted, stored = offsets.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0], version.tables[name].rows
+    if counted != stored:
+        raise ValueError(f"{hours_name} counts {counted} rows, {name} holds {stored}")
+    known = F.col("before").isNotNull() & (F.col("hour_seq") <= F.col("n_rows"))
+    position = F.when(known, F.col("before") + F.col("hour_seq")).otherwise(F.raise_error(F.lit(f"a row of {name} has no hour")).cast("long"))
+    return rows.join(offsets, [versions.BUILD, "period_date"], "left").withColumn(key, position)
 
 
 def _hours(rows: DataFrame) -> DataFrame:
@@ -224,20 +255,6 @@ def _checks(raw, by_region, dr, fct, accepted: Sequence[str]) -> DataFrame:
     return raw.sparkSession.createDataFrame(report.collect(), report.schema)  # one row per check
 
 
-def _pending(spark: SparkSession, warehouse: str) -> DataFrame | None:
-    """(run, part_day) of loads whose days are not yet in the marts; None if there are none."""
-    path = _t(warehouse, "pending_days")
-    if not path_exists(spark, path):
-        return None
-    marked = spark.read.schema(f"{PART} date, run string").option("basePath", path).parquet(path)
-    return None if marked.isEmpty() else marked
-
-
-def _clear_pending(spark: SparkSession, warehouse: str, runs: Sequence[str]) -> None:
-    for run in runs:
-        tables.drop_folder(spark, _t(warehouse, f"pending_days/run={run}"))
-
-
 def build_marts(
     spark: SparkSession,
     warehouse: str,
@@ -254,42 +271,50 @@ def build_marts(
     reference, and the gate's uniqueness check stops the build.
     """
     configure(spark)
-    with job_scratch(spark):
-        pending = _pending(spark, warehouse)
-        # A run per load since the last refresh.
-        runs = [r["run"] for r in pending.select("run").distinct().collect()] if pending is not None else []
+    with job_scratch(spark), versions.Build(spark, warehouse, as_of) as build:
+        entries = journal.pending(spark, warehouse)
         raw = tables.scan_raw(spark, _t(warehouse, "raw_readings")).drop(tables.PARTITION)
         stg = staging.stg_hourly(raw)
         # The hour x region aggregate and the (day, code, name) table come from one pass over
         # the readings; the daily mart and the region dimension come from these two.
         hourly, days_all = hourly_and_region_days(raw)
-        by_region = tables.materialise(_day(hourly), _t(warehouse, "stg_by_region"), PART)
-        days = tables.materialise(_day(days_all, "period_day"), _t(warehouse, "raw_region_days"), PART)
-        dr = tables.materialise(dims.dim_region(_region_source(days), as_of, one_row_per_respondent), _t(warehouse, "dim_region"))
-        dd = tables.materialise(calendar.dim_date(spark, *calendar.calendar_bounds(days, "period_day")), _t(warehouse, "dim_date"))
-        seq = number_in_group(facts.fct_hourly_rows(stg, dr, dd), "period_date", list(facts.FACT_ORDER), "hour_seq")
-        fct = tables.materialise(seq.select("hour_seq", *facts.FACT_COLUMNS), _t(warehouse, "fct_hourly"), "date_key")
-        tables.materialise(_hours(fct), _t(warehouse, "fct_hours"), PART)
-        _store_summary(fct, dr, dd, as_of, warehouse)
-        tables.materialise(_day(marts.daily_from_hourly(by_region), "period_day"), _t(warehouse, "fct_daily"), PART)
+        by_region = build.write(_day(hourly), "stg_by_region", PART)
+        days = build.write(_day(days_all, "period_day"), "raw_region_days", PART)
+        dr = build.write(dims.dim_region(_region_source(days), as_of, one_row_per_respondent), "dim_region")
+        dd = build.write(calendar.dim_date(spark, *calendar.calendar_bounds(days, "period_day")), "dim_date")
+        fct = _write_slices(build, stg, by_region, dr, dd, as_of)
         report = _checks(raw, by_region, dr, fct, accepted)
         if gate:
             quality.assert_passes(report)
-        snapshot_regions(spark, warehouse, days, as_of)
-        _clear_pending(spark, warehouse, runs)
+        _write_snapshot(build, days, as_of)
+        _switch(build, None, entries)
         return report
 
 
+def _write_slices(build: versions.Build, stg: DataFrame, by_region: DataFrame, dr: DataFrame, dd: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Fact, summary (each with its hours) and daily mart of the build's days; returns the stored fact rows."""
+    seq = number_in_group(facts.fct_hourly_rows(stg, dr, dd), "period_date", list(facts.FACT_ORDER), "hour_seq")
+    fct = build.write(seq.select("hour_seq", *facts.FACT_COLUMNS), "fct_hourly", "date_key", counted=True)
+    build.write(_hours(fct), "fct_hours", PART)
+    summary = build.write(_summary(fct, dr, dd, as_of), "demand_summary", PART, counted=True)
+    build.write(_hours(summary.drop(PART)), "summary_hours", PART)
+    build.write(_day(marts.daily_from_hourly(by_region.drop(PART)), "period_day"), "fct_daily", PART)
+    return fct
+
+
+def _switch(build: versions.Build, touched: Sequence[dt.date] | None, entries: Sequence[journal.Entry]) -> None:
+    """Publish the build, then mark the loads it took in and remove what no reader needs."""
+    taken = [e.name for e in entries if e.merged]
+    build.publish(touched, taken)
+    journal.consume(build.spark, build.warehouse, taken)
+    versions.clean_up(build.spark, build.warehouse)
+
+
 def _summary(fct: DataFrame, dr: DataFrame, dd: DataFrame, as_of: dt.datetime) -> DataFrame:
     rows = number_in_group(marts.demand_summary_rows(fct, dr, dd), "period_date", ["region"], "hour_seq")
     return _day(rows.select("hour_seq", *marts.SUMMARY_COLUMNS, ts_literal(as_of).alias("created_at")))
 
 
-def _store_summary(fct, dr, dd, as_of, warehouse: str) -> None:
-    stored = tables.materialise(_summary(fct, dr, dd, as_of), _t(warehouse, "demand_summary"), PART)
-    tables.materialise(_hours(stored.drop(PART)), _t(warehouse, "summary_hours"), PART)
-
-
 def _same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Whether two small frames hold the same rows (one job)."""
     return a.exceptAll(b).unionByName(b.exceptAll(a)).isEmpty()
@@ -309,8 +334,8 @@ def refresh_marts(
 ) -> DataFrame:
     """``build_marts`` for the days that loads touched since the last refresh.
 
-    The days are those marked by the loads (a refresh that failed leaves its marks,
-    so the next one catches up) and, if given, all raw days from ``since`` on. Only
+    The days are those in the journal of the loads and streams (a refresh that failed leaves
+    their entries, so the next one catches up) and, if given, all raw days from ``since`` on. Only
     these days of the raw table and of every mart are read and written: rows keep
     their position inside the hour, and offsets come from the hours tables. The
     calendar grows where the days ask for it. A changed region dimension re-ranks
@@ -319,77 +344,66 @@ def refresh_marts(
     """
     configure(spark)
     options = {"one_row_per_respondent": one_row_per_respondent, "accepted": accepted, "gate": gate}
-    for name in (*MARTS, "dim_region", "dim_date"):
-        if not tables.restore_table(spark, _t(warehouse, name)):
-            return build_marts(spark, warehouse, as_of, **options)
+    base = versions.current(spark, warehouse)
+    if base is None or not {*MARTS, "dim_region", "dim_date", "snap_region"} <= base.tables.keys():
+        return build_marts(spark, warehouse, as_of, **options)
     with job_scratch(spark):
-        pending = _pending(spark, warehouse)
-        runs = [r["run"] for r in pending.select("run").distinct().collect()] if pending is not None else []
+        entries = journal.pending(spark, warehouse)
         raw = tables.scan_raw(spark, _t(warehouse, "raw_readings"))
-        days = spark.createDataFrame([], f"{PART} date") if pending is None else pending.select(PART).distinct()
+        touched = {d for e in entries for d in e.days}
         if since is not None:
-            days = days.union(raw.filter(F.col(tables.PARTITION) >= F.lit(since)).select(F.col(tables.PARTITION).alias(PART))).distinct()
-        days = days.checkpoint(eager=True)
-        first, last = days.agg(F.min(PART), F.max(PART)).first()
-        if first is not None:
-            rebuilt = _refresh_days(spark, warehouse, raw, days, first, last, as_of, one_row_per_respondent, accepted)
-        else:
-            rebuilt = _checks(raw.limit(0), spark.read.parquet(_t(warehouse, "stg_by_region")).limit(0),
-                              spark.read.parquet(_t(warehouse, "dim_region")), spark.read.parquet(_t(warehouse, "fct_hourly")).limit(0), accepted)
-        if rebuilt is not None:
+            touched |= {r[0] for r in raw.filter(F.col(tables.PARTITION) >= F.lit(since)).select(tables.PARTITION).distinct().collect()}
+        if not touched:
+            empty = lambda name: versions.read_table(spark, warehouse, name, base).limit(0)
+            dr = versions.read_table(spark, warehouse, "dim_region", base)
+            report = _checks(raw.limit(0), empty("stg_by_region"), dr, empty("fct_hourly"), accepted)
             if gate:
-                quality.assert_passes(rebuilt)
-            snapshot_regions(spark, warehouse, spark.read.parquet(_t(warehouse, "raw_region_days")), as_of)
-            _clear_pending(spark, warehouse, runs)
-            return rebuilt
+                quality.assert_passes(report)
+            return report
+        with versions.Build(spark, warehouse, as_of) as build:
+            report = _refresh_days(build, raw, sorted(touched), as_of, one_row_per_respondent, accepted, gate)
+            if report is not None:
+                _switch(build, sorted(touched), entries)
+                return report
     return build_marts(spark, warehouse, as_of, **options)
 
 
-def _refresh_days(spark, warehouse, raw, days, first, last, as_of, one_row_per_respondent, accepted) -> DataFrame | None:
-    """Rewrite ``days`` in every mart; the check report, or None if the region dimension changes."""
-    between = F.col(tables.PARTITION).between(F.lit(first), F.lit(last))
-    touched = small_side(days, materialised=True)
-    raw_days = touched.withColumnRenamed(PART, tables.PARTITION)
-    raw_new = raw.filter(between).join(raw_days, tables.PARTITION, "left_semi").drop(tables.PARTITION)
+def _refresh_days(build: versions.Build, raw, days: Sequence[dt.date], as_of, one_row_per_respondent, accepted, gate) -> DataFrame | None:
+    """Write ``days`` of every mart and check them; the check report, or None if the region dimension changes."""
+    spark, base = build.spark, build.base
+    stored = lambda name: versions.read_table(spark, build.warehouse, name, base)
+    between = F.col(tables.PARTITION).between(F.lit(days[0]), F.lit(days[-1]))
+    touched = F.broadcast(spark.createDataFrame([(d,) for d in days], f"{PART} date"))  # at most the calendar's days
+    raw_new = raw.filter(between).join(touched.withColumnRenamed(PART, tables.PARTITION), tables.PARTITION, "left_semi").drop(tables.PARTITION)
     hourly_new, days_new = hourly_and_region_days(raw_new)
-    days_new = _day(days_new, "period_day").checkpoint(eager=True)
+    days_new = build.write(_day(days_new, "period_day"), "raw_region_days", PART)
 
     # The (day, code, name) table as it will be; equal (code, name) pairs mean equal keys.
-    days_path = _t(warehouse, "raw_region_days")
-    seen = spark.read.schema(days_new.schema).parquet(days_path).join(touched, PART, "left_anti").unionByName(days_new)
-    dr = spark.read.parquet(_t(warehouse, "dim_region"))
+    seen = stored("raw_region_days").join(touched, PART, "left_anti").unionByName(days_new)
+    dr = stored("dim_region")
     pairs = dims.region_pairs(_region_source(seen), one_row_per_respondent)
     if not _same_rows(pairs.select("respondent", "respondent_name"), dr.select("respondent", "respondent_name")):
         return None
-    dd_path = _t(warehouse, "dim_date")
-    dd = spark.read.parquet(dd_path)
-    longer = calendar.extended(dd, *calendar.calendar_bounds(days, PART, None, None))
+    dd = stored("dim_date")
+    longer = calendar.extended(dd, *calendar.calendar_bounds(touched, PART, None, None))
     if longer is not None:
-        dd = tables.stage_and_replace(longer, dd_path)
-
-    by_new = _day(hourly_new).checkpoint(eager=True)
-    tables.replace_days(by_new, _t(warehouse, "stg_by_region"), touched, PART)
-    seq = number_in_group(facts.fct_hourly_rows(staging.stg_hourly(raw_new), dr, dd), "period_date", list(facts.FACT_ORDER), "hour_seq")
-    fct_new = seq.select("hour_seq", *facts.FACT_COLUMNS).checkpoint(eager=True)
-    keys = touched.select(F.date_format(PART, "yyyyMMdd").cast("int").alias("date_key"))
-    tables.replace_days(fct_new, _t(warehouse, "fct_hourly"), keys, "date_key")
-    tables.replace_days(_hours(fct_new), _t(warehouse, "fct_hours"), touched, PART)
-    summary = _summary(fct_new, dr, dd, as_of).checkpoint(eager=True)
-    tables.replace_days(summary, _t(warehouse, "demand_summary"), touched, PART)
-    tables.replace_days(_hours(summary.drop(PART)), _t(warehouse, "summary_hours"), touched, PART)
-    daily = _day(marts.daily_from_hourly(by_new.drop(PART)), "period_day")
-    tables.replace_days(daily, _t(warehouse, "fct_daily"), touched, PART)
-    tables.replace_days(days_new, days_path, touched, PART)
-    return _checks(raw_new, by_new, dr, fct_new, accepted)
-
-
-def snapshot_regions(spark: SparkSession, warehouse: str, raw: DataFrame, as_of: dt.datetime) -> DataFrame:
+        dd = build.write(longer, "dim_date")
+    by_new = build.write(_day(hourly_new), "stg_by_region", PART)
+    fct_new = _write_slices(build, staging.stg_hourly(raw_new), by_new, dr, dd, as_of)
+    report = _checks(raw_new, by_new, dr, fct_new, accepted)
+    if gate:
+        quality.assert_passes(report)
+    _write_snapshot(build, seen, as_of)
+    return report
+
+
+def _write_snapshot(build: versions.Build, raw: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Type-2 history of the regions seen in the raw table (``raw`` may be the raw
     readings or ``region_days`` of them: both give the newest name of each code)."""
-    path = _t(warehouse, "snap_region")
     current = history.region_history_input(raw, as_of)
-    previous = spark.read.parquet(path) if tables.restore_table(spark, path) else None
-    return tables.stage_and_replace(history.scd2(previous, current, "respondent", as_of=as_of), path)
+    known = build.base is not None and "snap_region" in build.base.tables
+    previous = versions.read_table(build.spark, build.warehouse, "snap_region", build.base) if known else None
+    return build.write(history.scd2(previous, current, "respondent", as_of=as_of), "snap_region")
 
 
 def daily_forecast(
@@ -412,8 +426,8 @@ def daily_forecast(
     as_of = as_of or run_date
     stamp = ts_literal(as_of)
     with job_scratch(spark):
-        fct = spark.read.parquet(_t(warehouse, "fct_hourly"))
-        dr = spark.read.parquet(_t(warehouse, "dim_region"))
+        fct = read_mart(spark, warehouse, "fct_hourly", since=(run_date - dt.timedelta(days=days)).date(), until=run_date.date())
+        dr = read_mart(spark, warehouse, "dim_region")
         train = forecast.train_daily(fct, dr, run_date, days).checkpoint(eager=True)
         quality.require_rows(train, "training set is empty")
         if boosted_trees:
