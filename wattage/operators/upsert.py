@@ -42,6 +42,7 @@ def _merge(
     update_cols: Sequence[str],
     on_match: Mapping[str, Column],
     on_insert: Mapping[str, Column],
+    version: str | None,
 ) -> DataFrame:
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns], F.lit(True).alias("_in_t"))
     s = batch.select(*[F.col(c).alias(f"s__{c}") for c in batch.columns], F.lit(True).alias("_in_s"))
@@ -49,12 +50,17 @@ def _merge(
     j = t.join(s, cond, "full_outer")
     matched = F.col("_in_t").isNotNull() & F.col("_in_s").isNotNull()
     inserted = F.col("_in_t").isNull()
+    if version is not None:
+        tv, sv = F.col(f"t__{version}"), F.col(f"s__{version}") if version in batch.columns else F.lit(None)
+        matched = matched & (tv.isNull() | sv.isNull() | (sv >= tv))
     out = []
     for c in target.columns:
         tc = F.col(f"t__{c}")
         sc = F.col(f"s__{c}") if c in batch.columns else F.lit(None)
         ins = on_insert.get(c, sc)
-        if c in keys:
+        if c == version:
+            expr = F.when(inserted, ins).when(matched, F.coalesce(sc, tc)).otherwise(tc)
+        elif c in keys:
             expr = F.when(inserted, sc).otherwise(tc)
         elif c in update_cols:
             expr = F.when(inserted, ins).when(matched, sc).otherwise(tc)
@@ -74,24 +80,27 @@ def upsert(
     on_match: Mapping[str, Column] | None = None,
     on_insert: Mapping[str, Column] | None = None,
     bucket: Column | None = None,
+    version: str | None = None,
 ) -> DataFrame:
     """New state of ``target`` after merging ``batch`` on ``keys``.
 
     Matched rows take ``update_cols`` from the batch and the ``on_match``
     expressions; batch rows without a match are inserted (``on_insert`` columns take
     that expression, columns missing from the batch NULL); other target rows stay as they are.
+    With ``version`` (a sortable column) the last writer wins: a matched row changes only if the
+    batch's version is not less than the target's; an unknown version gives way, or overrides.
     The batch must be unique on ``keys`` (see ``dedupe_batch``). Running the same
     upsert twice gives the same table as running it once.
     """
     on_match = dict(on_match or {})
     on_insert = dict(on_insert or {})
     if bucket is None:
-        return _merge(target, batch, keys, update_cols, on_match, on_insert)
+        return _merge(target, batch, keys, update_cols, on_match, on_insert, version)
     touched = small_side(batch.select(bucket.alias("_bucket")).distinct())
     tb = target.withColumn("_bucket", bucket)
     untouched = tb.join(touched, "_bucket", "left_anti").drop("_bucket")
     in_play = tb.join(touched, "_bucket", "left_semi").drop("_bucket")
-    return untouched.unionByName(_merge(in_play, batch, keys, update_cols, on_match, on_insert))
+    return untouched.unionByName(_merge(in_play, batch, keys, update_cols, on_match, on_insert, version))
 
 
 def insert_absent(

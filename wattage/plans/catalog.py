@@ -204,6 +204,7 @@ def q_load_corrections(spark, sf_dir):
     warehouse = scratch_path(spark, "warehouse")
     landing = _land(spark, *fixtures.corrections(spark, sf_dir))
     jobs.hourly_load(spark, f"{landing}/*", warehouse, AS_OF, regions=ACCEPTED_REGIONS)
+    jobs.hourly_load(spark, f"{landing}/0", warehouse, AS_OF, regions=ACCEPTED_REGIONS)  # the first again: undoes nothing
     return tables.scan_raw(spark, f"{warehouse}/raw_readings").drop(tables.PARTITION)
 
 
@@ -265,6 +266,57 @@ def q_ingest_stream(spark, sf_dir):
     return tables.scan_raw(spark, raw).drop(tables.PARTITION)
 
 
+REGIONS = ("click", "purchase", "signup", "view", "error")
+
+
+def _loaded_and_built(spark, sf_dir):
+    """A warehouse with marts of the readings before the first snapshot day; and the later readings."""
+    configure(spark)
+    warehouse = scratch_path(spark, "warehouse")
+    readings = fixtures.raw_readings(spark, sf_dir)
+    cut = F.col("period_date") < ts_literal(SNAPSHOT_T1)
+    landing = _land(spark, fixtures.as_service(readings.filter(cut)))
+    jobs.hourly_load(spark, f"{landing}/*", warehouse, AS_OF, regions=REGIONS)
+    jobs.build_marts(spark, warehouse, AS_OF, accepted=REGIONS, gate=False)
+    return warehouse, readings, cut
+
+
+def q_load_twice_refresh(spark, sf_dir):
+    """Two loads of one stamp (odd and even days), then one refresh: the daily mart holds the days of both."""
+    warehouse, readings, cut = _loaded_and_built(spark, sf_dir)
+    odd = F.dayofmonth("period_date") % 2 == 1
+    for part in (odd, ~odd):
+        landing = _land(spark, fixtures.as_service(readings.filter(~cut & part)))
+        jobs.hourly_load(spark, f"{landing}/*", warehouse, AS_OF, regions=REGIONS)
+    jobs.refresh_marts(spark, warehouse, None, AS_OF, accepted=REGIONS, gate=False)
+    return _round(jobs.read_mart(spark, warehouse, "fct_daily").drop(jobs.PART), DAILY_DOUBLES)
+
+
+def q_stream_refresh(spark, sf_dir):
+    """Later readings, and corrections of earlier ones, come by the stream; a refresh takes them into the daily mart."""
+    warehouse, readings, cut = _loaded_and_built(spark, sf_dir)
+    corrected = readings.filter(cut & (F.hour("period_date") % 4 == 1)).withColumn("value", F.col("value") - 1)
+    landing = _land(spark, fixtures.as_service(readings.filter(~cut).unionByName(corrected)))
+    ingest_stream(spark, f"{landing}/*", f"{warehouse}/raw_readings", scratch_path(spark, "stream-ckpt"), as_of=AS_OF)
+    jobs.refresh_marts(spark, warehouse, None, AS_OF, accepted=REGIONS, gate=False)
+    return _round(jobs.read_mart(spark, warehouse, "fct_daily").drop(jobs.PART), DAILY_DOUBLES)
+
+
+def q_stored_fact(spark, sf_dir):
+    """The stored fact with its dense keys after a refresh that its gate stopped and one that was let through;
+    ``rows_while_stopped`` is what a reader found in between."""
+    warehouse, readings, cut = _loaded_and_built(spark, sf_dir)
+    landing = _land(spark, fixtures.as_service(readings.filter(~cut)))
+    jobs.hourly_load(spark, f"{landing}/*", warehouse, AS_OF, regions=REGIONS)
+    try:
+        jobs.refresh_marts(spark, warehouse, None, AS_OF, accepted=("nowhere",))
+    except AssertionError:
+        pass
+    found = jobs.read_fact(spark, warehouse).count()
+    jobs.refresh_marts(spark, warehouse, None, AS_OF, accepted=REGIONS, gate=False)
+    return jobs.read_fact(spark, warehouse).withColumn("rows_while_stopped", F.lit(found).cast("long"))
+
+
 # -- upserts -----------------------------------------------------------------
 
 def _batch(spark, sf_dir):
@@ -641,6 +693,9 @@ QUERIES: dict[str, Query] = {
     "write_raw": q_write_raw,
     "ingest_stream": q_ingest_stream,
     "load_corrections": q_load_corrections,
+    "load_twice_refresh": q_load_twice_refresh,
+    "stream_refresh": q_stream_refresh,
+    "stored_fact": q_stored_fact,
     "load_rejects": q_load_rejects,
     "materialise": q_materialise,
     "replace_table": q_replace_table,

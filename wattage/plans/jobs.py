@@ -105,6 +105,7 @@ def hourly_load(
     regions: Sequence[str] = REQUESTED_REGIONS,
     newest: int | None = None,
     multi_line: bool = False,
+    new_files_only: bool = False,
 ) -> dict:
     """Landed pages -> normalised -> malformed pages and unkeyable rows stored as rejects
     -> requested regions -> merged into ``raw_readings``, the reading that landed last
@@ -112,11 +113,22 @@ def hourly_load(
 
     ``newest`` loads only that many readings per region (``newest_per_region``) and
     reports how many were left out; by default everything that landed is loaded.
+
+    ``new_files_only`` leaves out files that such a load has taken in before and that have
+    not changed since (path, time and size are kept in ``landed_files``): the landing folder
+    may keep all it ever got. Without a new file such a load does nothing.
     """
     configure(spark)
     with job_scratch(spark):
+        ledger, sources, fresh = _t(warehouse, "landed_files"), landing, None
+        if new_files_only:
+            fresh = tables.new_files(spark, landing, ledger).checkpoint(eager=True)
+            # The names that a file source lists on the driver anyway.
+            sources = sorted(r[0] for r in fresh.select("path").distinct().collect())
+            if not sources:
+                return {"rejected": 0, "left_out": 0, "loaded_today": 0, "first_day": None, "files": 0}
         # One run's landing, parsed once: rejects, guard, days and merge read this checkpoint.
-        landed = pages.normalise(pages.read_pages(spark, landing, multi_line), landing=True).checkpoint(eager=True)
+        landed = pages.normalise(pages.read_pages(spark, sources, multi_line), landing=True).checkpoint(eager=True)
         good, bad = pages.split_rejects(landed)
         rejects = tables.write_rejects(bad, _t(warehouse, "rejects"), _landing_id(landed, as_of))
         batch, left_out = pages.only_regions(good, regions), 0
@@ -133,11 +145,14 @@ def hourly_load(
         entry = journal.open_entry(spark, warehouse, journal.new_id(as_of), days, as_of)
         raw = tables.upsert_raw(spark, _t(warehouse, "raw_readings"), batch, as_of)
         journal.close_entry(spark, warehouse, entry)
+        if fresh is not None:  # after the merge: a load that stops before reads its files again
+            tables.add_to_ledger(fresh, ledger)
         # Rows loaded today, counted over the days this run touched (folder pruning)
         # rather than over the whole history.
         touched = raw.filter(F.col(tables.PARTITION) >= F.lit(first_day))
         return {
             "rejected": rejects.count(), "left_out": left_out, "loaded_today": _loaded_on(touched, as_of.date()), "first_day": first_day,
+            **({} if fresh is None else {"files": len(sources)}),
         }
 
 

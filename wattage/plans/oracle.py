@@ -711,6 +711,11 @@ ORACLE.update(
         "write_raw": _with(RAW_READINGS_SQL) + "SELECT * FROM raw_readings",
         "ingest_stream": _with(RAW_READINGS_SQL) + STREAMED,
         "load_corrections": _with(RAW_READINGS_SQL) + CORRECTED,
+        "load_twice_refresh": _with(RAW_READINGS_SQL, STG, DAILY) + "SELECT * FROM daily",
+        "stream_refresh": _with(RAW_READINGS_SQL, f"streamed AS ({STREAMED})", STG.replace("raw_readings", "streamed"), DAILY) + "SELECT * FROM daily",
+        "stored_fact": _with(RAW_READINGS_SQL, STG, DR, DD_DATA, FCT.replace("LEFT JOIN dd d", "LEFT JOIN dd_data d"))
+        + f"""SELECT * REPLACE ({AS_OF_SQL} AS loaded_at),
+       (SELECT count(*) FROM stg WHERE period_date < {T1_SQL}) AS rows_while_stopped FROM fct""",
         "load_rejects": _with(SERVICE) + LOAD_REJECTS,
         "materialise": _with(RAW_READINGS_SQL, STG, DAILY) + "SELECT * FROM daily WHERE extract(day FROM period_day) <= 20",
         "replace_table": _with(RAW_READINGS_SQL) + "SELECT * REPLACE (value * 2 AS value) FROM raw_readings WHERE respondent <> 'error'",

@@ -50,6 +50,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--one-row-per-respondent", action="store_true")
     p.add_argument("--newest", type=int, help="load only so many readings per region")
     p.add_argument("--multi-line", action="store_true", help="pages that span lines")
+    p.add_argument("--new-files-only", action="store_true", help="leave out files loaded before")
     p.add_argument("--boosted-trees", action="store_true")
     return p.parse_args(argv)
 
@@ -65,7 +66,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif a.job == "load":
         if not a.landing:
             raise SystemExit("load needs --landing")
-        res = jobs.hourly_load(spark, a.landing, a.warehouse, as_of, regions=_list(a.regions, jobs.REQUESTED_REGIONS), newest=a.newest, multi_line=a.multi_line)
+        res = jobs.hourly_load(spark, a.landing, a.warehouse, as_of, regions=_list(a.regions, jobs.REQUESTED_REGIONS), newest=a.newest, multi_line=a.multi_line, new_files_only=a.new_files_only)
         out = {"job": "load", **{k: str(v) for k, v in res.items()}}
     elif a.job in ("build", "refresh"):
         if a.job == "build":

@@ -50,8 +50,8 @@ def open_pages(pages: DataFrame) -> DataFrame:
     return rows.select("r.*", "page", landed.alias("landed"))
 
 
-def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Read pages with the fixed page schema (no inference) and open them.
+def read_pages(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Read pages (of a folder, a pattern or a list of files) with the fixed page schema (no inference) and open them.
 
     A page that spans lines needs ``multi_line``; read line by line, each of its lines
     is a malformed page and ends up among the rejects.

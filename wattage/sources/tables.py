@@ -23,6 +23,9 @@ from ..session import ensure_checkpoint_dir, path_exists
 
 PARTITION = "period_day"
 RAW_STORED = T.StructType([*RAW_READINGS.fields, T.StructField(PARTITION, T.DateType(), True)])
+#: Where and when a reading landed (file time, file, split); stored beside the readings, not part of them.
+LANDING = "landing"
+_LANDING = T.StructType([T.StructField("at", T.TimestampType()), T.StructField("file", T.StringType()), T.StructField("block", T.LongType())])
 RAW_UPDATE_COLS = ("respondent_name", "data_type_name", "value", "value_units")
 
 
@@ -31,6 +34,11 @@ def scan_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_STORED).parquet(path)
 
 
+def _scan_landed(spark: SparkSession, path: str) -> DataFrame:
+    """``scan_raw`` with the landing of each reading (null where a table has none)."""
+    return spark.read.schema(T.StructType([*RAW_STORED.fields, T.StructField(LANDING, _LANDING)])).parquet(path)
+
+
 def with_partition(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION, day_start("period_date").cast("date"))
 
@@ -42,7 +50,7 @@ def write_raw(df: DataFrame, path: str, as_of: dt.datetime | None = None) -> Non
     """
     if "loaded_at" not in df.columns:
         df = df.withColumn("loaded_at", ts_literal(as_of or utc_now()))
-    out = with_partition(df.select(*[f.name for f in RAW_READINGS.fields]))
+    out = with_partition(df.select(*[f.name for f in RAW_READINGS.fields], *[c for c in (LANDING,) if c in df.columns]))
     # Range partitions over (day, region, hour): each task writes a few day folders
     # (few files), and a day holding a third of all rows is split over many tasks
     # instead of landing in one as hash partitioning by day would do.
@@ -60,6 +68,28 @@ def write_rejects(rejects: DataFrame, path: str, run: str) -> DataFrame:
     return rejects.sparkSession.read.parquet(folder)
 
 
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """(path, time, size) of the files under ``landing``; contents are not read."""
+    files = spark.read.format("binaryFile").load(landing)
+    return files.select("path", F.col("modificationTime").alias("time"), F.col("length").alias("size"))
+
+
+LEDGER = "path string, time timestamp, size long"
+
+
+def new_files(spark: SparkSession, landing: str, ledger: str) -> DataFrame:
+    """Landed files that the ledger does not hold as they are now (a changed file is new)."""
+    files = landed_files(spark, landing)
+    if not path_exists(spark, ledger):
+        return files
+    return files.join(spark.read.schema(LEDGER).parquet(ledger), ["path", "time", "size"], "left_anti")
+
+
+def add_to_ledger(files: DataFrame, ledger: str) -> None:
+    """Append loaded files; a file noted twice does no harm."""
+    files.write.mode("append").parquet(ledger)
+
+
 def materialise(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Full rebuild of a mart or work table; returns the stored table for reuse.
 
@@ -178,7 +208,9 @@ def upsert_raw(
     """Merge a batch of readings into the raw table at ``path``.
 
     Of several readings of a key in the batch the newest wins: the last in the order
-    of landing (column ``landed``, see ``open_pages``), or by ``order``. Matched keys
+    of landing (column ``landed``, see ``open_pages``), or by ``order``. Across batches
+    likewise: a key keeps the landing it came from, and an older landing, loaded again,
+    does not undo a later one's correction. Matched keys
     take the batch's name, type name, value and unit and ``loaded_at = as_of``; new
     keys are inserted with ``loaded_at = as_of``. The batch is evaluated once. Only
     the touched days are read (a join on the batch's days, after pruning folders by
@@ -188,7 +220,11 @@ def upsert_raw(
     if order is None:
         order = ("landed",) if "landed" in batch.columns else ()
     ensure_checkpoint_dir(spark)
-    batch = dedupe_batch(batch.drop("loaded_at"), keys, order).drop("landed").checkpoint(eager=True)
+    batch = dedupe_batch(batch.drop("loaded_at"), keys, order)
+    landing = F.lit(None)
+    if "landed" in batch.columns:
+        landing = F.struct(F.col("landed._at").alias("at"), F.col("landed._file").alias("file"), F.col("landed._block").alias("block"))
+    batch = batch.withColumn(LANDING, landing.cast(_LANDING)).drop("landed").checkpoint(eager=True)
     stamp = ts_literal(as_of)
     if exists is None:
         exists = path_exists(spark, path)
@@ -199,17 +235,17 @@ def upsert_raw(
     first, last = days.agg(F.min(PARTITION), F.max(PARTITION)).first()
     if first is None:
         return scan_raw(spark, path)
-    near = scan_raw(spark, path).filter(F.col(PARTITION).between(F.lit(first), F.lit(last)))
+    near = _scan_landed(spark, path).filter(F.col(PARTITION).between(F.lit(first), F.lit(last)))
     target = near.join(small_side(days, materialised=True), PARTITION, "left_semi").drop(PARTITION)
     merged = upsert(
-        target, batch, keys, RAW_UPDATE_COLS, on_match={"loaded_at": stamp}, on_insert={"loaded_at": stamp}
+        target, batch, keys, RAW_UPDATE_COLS, on_match={"loaded_at": stamp}, on_insert={"loaded_at": stamp}, version=LANDING
     )
     staging = _staging_path(path)
     try:
         write_raw(merged, staging)
         # Dynamic overwrite replaces only the staged days, file by file as staged;
         # replaying the same batch after a failure merges the same rows again.
-        _overwrite_days(scan_raw(spark, staging), path)
+        _overwrite_days(_scan_landed(spark, staging), path)
     finally:
         drop_folder(spark, staging)
     return scan_raw(spark, path)

@@ -4,17 +4,24 @@ A file stream source picks up new page files; each micro-batch is opened,
 normalised, cleared of unkeyable rows and malformed pages and merged into the raw
 table by ``upsert_raw``, the reading that landed last winning. A micro-batch
 replayed after a failure merges the same rows again and replaces its own folder of
-rejects, so both sinks are effectively exactly-once.
+rejects, so both sinks are effectively exactly-once. The days it touches go into the
+warehouse's journal before the merge, as a batch load's do, so the next refresh of the
+marts takes them in; the entry is named by the stream's id (kept in its checkpoint) and
+the micro-batch's number, so a replay repeats the entry and no other stream shares it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.time import utc_now
 from ..schemas import CORRUPT, PAGE_AS_READ
+from ..sources import journal
+from ..sources.files import read_text
 from ..sources.pages import normalise, only_regions, open_pages, page_source, split_rejects
 from ..sources.tables import upsert_raw, write_rejects
 
@@ -27,6 +34,15 @@ def page_stream(spark: SparkSession, in_dir: str, max_files_per_trigger: int | N
     return page_source(reader.json(in_dir))
 
 
+#: The raw table's folder in a warehouse (see ``plans.jobs``).
+RAW_FOLDER = "raw_readings"
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream whose checkpoint this is; it stays over restarts."""
+    return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def ingest_stream(
     spark: SparkSession,
     in_dir: str,
@@ -37,6 +53,7 @@ def ingest_stream(
     rejects_path: str | None = None,
     max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
+    warehouse: str | None = None,
 ):
     """Run the load over all files available now and stop (``availableNow``), or,
     with ``processing_time`` (e.g. ``"1 hour"``), keep running and pick up new
@@ -45,8 +62,12 @@ def ingest_stream(
     Returns the ``StreamingQuery`` (finished in the first mode, running in the
     second). ``as_of`` stamps ``loaded_at`` (default: the start of each micro-batch).
     Rejected rows go with their reason to ``rejects_path`` (default: beside the raw
-    table), a folder per micro-batch.
+    table), a folder per micro-batch. ``warehouse`` is the one whose journal gets the days;
+    by default that around a raw table named ``raw_readings``, and none otherwise.
     """
+    parent, _, folder = raw_path.rstrip("/").rpartition("/")
+    if warehouse is None and folder == RAW_FOLDER:
+        warehouse = parent
     rejects = rejects_path or f"{raw_path.rstrip('/')}_rejects"
     pages = page_stream(spark, in_dir, max_files_per_trigger)
 
@@ -59,8 +80,15 @@ def ingest_stream(
             write_rejects(bad, rejects, f"{batch_id:09d}")
             if regions:
                 good = only_regions(good, regions)
-            if not good.isEmpty():
-                upsert_raw(spark, raw_path, good, as_of or utc_now())
+            # At most as many days as the calendar has.
+            days = [r[0] for r in good.select(F.to_date("period_date")).distinct().collect()]
+            if days:
+                stamp, entry = as_of or utc_now(), None
+                if warehouse is not None:
+                    entry = journal.open_entry(spark, warehouse, f"stream-{stream_id(spark, checkpoint)}-{batch_id:09d}", days, stamp)
+                upsert_raw(spark, raw_path, good, stamp)
+                if entry is not None:
+                    journal.close_entry(spark, warehouse, entry)
         finally:
             readings.unpersist()
 
