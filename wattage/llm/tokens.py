@@ -80,7 +80,8 @@ class Encoder:
         for lo in range(0, len(joined), 4096):
             some = joined[lo : lo + 4096]
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum([len(c.encode()) for c in some])) + 1
+            sizes = pc.binary_length(pa.array(some, pa.string())).to_numpy()
+            ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(sizes, dtype=np.int64)) + 1
             raw, at = ids.tobytes(), 0
             for c, end in zip(some, (ends * 4).tolist()):
                 young[c] = raw[at:end]
@@ -88,9 +89,12 @@ class Encoder:
 
     def _ids_of(self, words: list[str]) -> list[bytes]:
         """The ids of distinct chunks, encoding the unseen ones."""
-        get_young, get_old = self.young.get, self.old.get
-        found = [get_young(w) or get_old(w) for w in words]
-        new = [w for w, f in zip(words, found) if f is None]
+        found = list(map(self.young.get, words))
+        get_old, new = self.old.get, []
+        for i in [i for i, f in enumerate(found) if f is None]:
+            found[i] = get_old(words[i])
+            if found[i] is None:
+                new.append(words[i])
         if new:
             if len(self.young) + len(new) > CACHE_ENTRIES // 2:
                 self.old, self.young = self.young, {}
@@ -107,7 +111,7 @@ class Encoder:
         """Ids per text and (with ``ids``) all ids, from the chunks of every text (chunk slices by ``offsets``)."""
         coded = chunks.dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False)
-        found = self._ids_of(coded.dictionary.to_pylist())
+        found = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         n = size[code]
         end = np.cumsum(n)
@@ -117,7 +121,9 @@ class Encoder:
         begin = np.cumsum(size) - size
         values = np.frombuffer(b"".join(found), np.uint32)
         total = int(end[-1]) if len(end) else 0
-        take = np.arange(total, dtype=np.int64) + np.repeat(begin[code] - (end - n), n)
+        index = np.int32 if max(total, len(values)) < 2**31 else np.int64
+        take = np.arange(total, dtype=index)
+        take += np.repeat((begin[code] - (end - n)).astype(index), n)
         return counts, values[take]
 
     def encode(self, texts: pa.Array, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
