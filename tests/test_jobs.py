@@ -298,3 +298,294 @@ def test_forecast_job_survives_awkward_series(spark, tmp_path):
     known = spark.read.parquet(f"{wh}/forecast_results").filter("actual IS NOT NULL").collect()
     assert [(r.region, r.actual) for r in known] == [("PJM", 81.0)]
     assert spark.read.parquet(f"{wh}/feature_importance").count() == 4
+
+
+# --- versions and the journal
+
+REGIONS = ("PJM", "CISO")
+
+
+def _state(spark, wh):
+    """What readers see of every mart, keys included."""
+    names = (*jobs.MARTS, "dim_region", "dim_date", "snap_region")
+    out = {n: sorted(map(str, jobs.read_mart(spark, wh, n).collect())) for n in names}
+    out["keyed fact"] = sorted(map(str, jobs.read_fact(spark, wh).collect()))
+    out["keyed summary"] = sorted(map(str, jobs.read_summary(spark, wh).collect()))
+    return out
+
+
+def _days(folder, *days, value="5", regions=REGIONS):
+    _land(folder, *[_reading(f"2024-01-{d:02d}T{h:02d}", value, region=r) for d in days for h in (1, 2) for r in regions])
+    return str(folder)
+
+
+def _load(spark, folder, wh, as_of=AS_OF, **options):
+    return jobs.hourly_load(spark, folder, wh, as_of, regions=REGIONS, **options)
+
+
+def test_a_refresh_stopped_at_any_write_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    from wattage.sources import files, versions
+
+    wh, full = str(tmp_path / "wh"), str(tmp_path / "full")
+    options = {"accepted": REGIONS}
+    _load(spark, _days(tmp_path / "a", 5, 6), wh)
+    jobs.build_marts(spark, wh, AS_OF, **options)
+    old = _state(spark, wh)
+    _load(spark, _days(tmp_path / "b", 5, 9, value="7"), wh)
+    write, publish, write_once = versions.Build.write, versions.Build.publish, files.write_once
+    stops = 0
+
+    class Stop(BaseException):  # as if the process ended: nothing is tidied up
+        pass
+
+    for at in range(20):
+        calls = 0
+
+        def stopping(self, *a, **k):
+            nonlocal calls
+            calls += 1
+            out = write(self, *a, **k)
+            if calls == at + 1:
+                raise Stop
+            return out
+
+        monkeypatch.setattr(versions.Build, "__exit__", lambda *a: None)
+        monkeypatch.setattr(versions.Build, "write", stopping)
+        if at == 19:  # all was written, the pointer is torn
+            monkeypatch.setattr(versions.Build, "write", write)
+            monkeypatch.setattr(files, "write_once", lambda s, path, text: write_once(s, path, text[:40] if "/versions/" in path else text))
+            monkeypatch.setattr(journal, "consume", lambda *a: (_ for _ in ()).throw(Stop()))
+        try:
+            jobs.refresh_marts(spark, wh, None, AS_OF, **options)
+            break
+        except Stop:
+            stops += 1
+            if at in (0, 3, 7, 19):
+                assert _state(spark, wh) == old, at
+            assert jobs.read_fact(spark, wh).count() == 8
+    monkeypatch.undo()
+    assert stops == 9  # seven divided tables, the list of raw days and the history
+    jobs.refresh_marts(spark, wh, None, AS_OF, **options)
+    for folder in ("a", "b"):
+        _load(spark, str(tmp_path / folder), full)
+    jobs.build_marts(spark, full, AS_OF, **options)
+    new = _state(spark, wh)
+    assert new == _state(spark, full) and new != old
+    assert journal.pending(spark, wh) == []
+    # Stopped builds leave nothing behind.
+    builds = {n for t in files.names(spark, f"{wh}/marts") for n in files.names(spark, f"{wh}/marts/{t}")}
+    assert len(builds) <= 3
+
+
+def test_a_torn_pointer_is_no_version(spark, tmp_path):
+    from wattage.sources import files, versions
+
+    wh = str(tmp_path / "wh")
+    _load(spark, _days(tmp_path / "a", 5), wh)
+    jobs.build_marts(spark, wh, AS_OF, accepted=REGIONS)
+    old = _state(spark, wh)
+    files.write_once(spark, f"{wh}/versions/000000002.json", '{"number": 2, "tab')
+    assert versions.current(spark, wh).number == 1 and _state(spark, wh) == old
+    _load(spark, _days(tmp_path / "b", 6), wh)
+    jobs.refresh_marts(spark, wh, None, AS_OF, accepted=REGIONS)
+    assert versions.current(spark, wh).number == 3 and jobs.read_fact(spark, wh).count() == 8
+    with pytest.raises(FileExistsError):
+        files.write_once(spark, f"{wh}/versions/000000003.json", "{}")
+
+
+def test_a_failed_gate_changes_no_mart(spark, tmp_path):
+    wh = str(tmp_path / "wh")
+    _load(spark, _days(tmp_path / "a", 5), wh)
+    jobs.build_marts(spark, wh, AS_OF, accepted=REGIONS)
+    old = _state(spark, wh)
+    _load(spark, _days(tmp_path / "b", 6, value="x"), wh)
+    for job in (lambda: jobs.refresh_marts(spark, wh, None, AS_OF, accepted=REGIONS), lambda: jobs.build_marts(spark, wh, AS_OF, accepted=REGIONS)):
+        with pytest.raises(AssertionError):
+            job()
+        assert _state(spark, wh) == old
+    assert [e.merged for e in journal.pending(spark, wh)] == [True]  # still to be taken in
+
+
+def test_rows_without_their_hour_stop_the_reader(spark, tmp_path):
+    from wattage.sources import versions
+
+    wh = str(tmp_path / "wh")
+    _load(spark, _days(tmp_path / "a", 5, 6), wh)
+    jobs.build_marts(spark, wh, AS_OF, accepted=REGIONS)
+    version = versions.current(spark, wh)
+    hours = f"{wh}/marts/fct_hours/build={version.builds()[0]}"
+    table = spark.read.parquet(hours).collect()
+    schema = spark.read.parquet(hours).schema
+    # An hour is lost; then its rows are counted elsewhere, so that the totals agree.
+    spark.createDataFrame(table[1:], schema).write.mode("overwrite").partitionBy("part_day").parquet(hours)
+    with pytest.raises(ValueError, match="fct_hours counts 6 rows, fct_hourly holds 8"):
+        jobs.read_fact(spark, wh)
+    moved = [r.asDict() for r in table[1:]]
+    moved[0]["n_rows"] += table[0]["n_rows"]
+    spark.createDataFrame(moved, schema).write.mode("overwrite").partitionBy("part_day").parquet(hours)
+    with pytest.raises(Exception, match="a row of fct_hourly has no hour"):
+        jobs.read_fact(spark, wh).collect()
+
+
+def test_two_loads_of_one_stamp_and_a_stream_reach_the_marts(spark, tmp_path):
+    from wattage.streaming.ingest import ingest_stream
+
+    wh, full = str(tmp_path / "wh"), str(tmp_path / "full")
+    _load(spark, _days(tmp_path / "l1", 1), wh)
+    jobs.build_marts(spark, wh, AS_OF, accepted=REGIONS)
+    bad = '{"response": {"data": [{"period": "2024'
+    for name, day in (("l2", 5), ("l3", 9)):
+        _days(tmp_path / name, day)
+        (tmp_path / name / "bad.json").write_text(bad + name + "\n")
+        _load(spark, str(tmp_path / name), wh, dt.datetime(2024, 2, 2))
+    assert len({e.name for e in journal.pending(spark, wh)}) == 2
+    assert spark.read.parquet(f"{wh}/rejects").count() == 2  # neither load's rejects are overwritten
+    _days(tmp_path / "s" / "a", 12)
+    stream = lambda: ingest_stream(spark, f"{tmp_path}/s/*", f"{wh}/raw_readings", str(tmp_path / "ck"), as_of=dt.datetime(2024, 2, 2))
+    stream()
+    assert [d.day for e in journal.pending(spark, wh) for d in e.days if e.name.startswith("stream-")] == [12]
+    jobs.refresh_marts(spark, wh, None, AS_OF, accepted=REGIONS)
+    assert journal.pending(spark, wh) == []
+    # A replay of the micro-batch after it was taken in: its entry is open again.
+    for part in ("commits", "offsets"):
+        for f in (tmp_path / "ck" / part).iterdir():
+            if part == "commits":
+                f.unlink()
+    stream()
+    (entry,) = journal.pending(spark, wh)
+    assert entry.merged and [d.day for d in entry.days] == [12]
+    jobs.refresh_marts(spark, wh, None, AS_OF, accepted=REGIONS)
+    for name in ("l1", "l2", "l3"):
+        _load(spark, str(tmp_path / name), full, AS_OF if name == "l1" else dt.datetime(2024, 2, 2))
+    ingest_stream(spark, f"{tmp_path}/s/*", f"{full}/raw_readings", str(tmp_path / "ck2"), as_of=dt.datetime(2024, 2, 2))
+    jobs.build_marts(spark, full, AS_OF, accepted=REGIONS)
+    assert _state(spark, wh) == _state(spark, full)
+
+
+def test_an_unfinished_load_is_taken_in_but_not_consumed(spark, tmp_path, monkeypatch):
+    """A refresh that runs while a load merges must not mark that load as done."""
+    wh = str(tmp_path / "wh")
+    _load(spark, _days(tmp_path / "a", 5), wh)
+    jobs.build_marts(spark, wh, AS_OF, accepted=REGIONS)
+    merge = tables.upsert_raw
+
+    def refresh_first(*a, **k):
+        jobs.refresh_marts(spark, wh, None, AS_OF, accepted=REGIONS)
+        return merge(*a, **k)
+
+    monkeypatch.setattr(tables, "upsert_raw", refresh_first)
+    _load(spark, _days(tmp_path / "b", 6), wh)
+    assert jobs.read_fact(spark, wh).count() == 4 and len(journal.pending(spark, wh)) == 1
+    jobs.refresh_marts(spark, wh, None, AS_OF, accepted=REGIONS)
+    assert jobs.read_fact(spark, wh).count() == 8 and journal.pending(spark, wh) == []
+
+
+def test_only_new_or_changed_files_are_loaded(spark, tmp_path):
+    import os
+
+    wh, land = str(tmp_path / "wh"), tmp_path / "land"
+    land.mkdir()
+    page = lambda day, value: json.dumps({"response": {"total": "1", "data": [_reading(f"2024-01-{day:02d}T01", value)]}}) + "\n"
+    for day in (5, 6):
+        (land / f"d{day}.json").write_text(page(day, "1"))
+    run = lambda: _load(spark, str(land), wh, new_files_only=True)
+    assert run()["files"] == 2
+    nothing = run()
+    assert (nothing["files"], nothing["first_day"]) == (0, None)
+    (land / "d7.json").write_text(page(7, "1"))
+    (land / "d5.json").write_text(page(5, "22"))
+    os.utime(land / "d5.json", (2e9, 2e9))
+    out = run()
+    assert out["files"] == 2 and out["first_day"] == dt.date(2024, 1, 5)
+    assert {r.period_date.day: r.value for r in tables.scan_raw(spark, f"{wh}/raw_readings").collect()} == {5: 22.0, 6: 1.0, 7: 1.0}
+
+
+def test_an_older_landing_undoes_no_correction(spark, tmp_path):
+    import os
+
+    wh = str(tmp_path / "wh")
+    for name, value, at in (("old", "1", 1e9), ("new", "2", 1.1e9)):
+        _land(tmp_path / name, _reading("2024-01-05T01", value), *([_reading("2024-01-05T02", "3")] if name == "old" else []))
+        os.utime(tmp_path / name / "part.json", (at, at))
+    values = lambda: {r.period_date.hour: r.value for r in tables.scan_raw(spark, f"{wh}/raw_readings").collect()}
+    _load(spark, str(tmp_path / "new"), wh)
+    _load(spark, str(tmp_path / "old"), wh)  # late, but landed before
+    assert values() == {1: 2.0, 2: 3.0}
+    for name in ("new", "old", "old"):
+        _load(spark, str(tmp_path / name), wh)
+        assert values() == {1: 2.0, 2: 3.0}
+
+
+def test_duplicates_and_changes_outside_the_journal_stop_the_gate(spark, tmp_path):
+    import shutil
+
+    def twice(day):
+        (part,) = (tmp_path / "wh" / "raw_readings" / f"period_day=2024-01-{day:02d}").glob("*.parquet")
+        shutil.copy(part, part.with_name(f"copy-{part.name}"))
+
+    wh = str(tmp_path / "wh")
+    _load(spark, _days(tmp_path / "a", 5, 6), wh)
+    jobs.build_marts(spark, wh, AS_OF, accepted=REGIONS)
+    old = _state(spark, wh)
+    _load(spark, _days(tmp_path / "b", 6), wh)
+    twice(6)
+    with pytest.raises(AssertionError, match=r"unique raw_readings.period_date,respondent,data_type \(4\)$"):
+        jobs.refresh_marts(spark, wh, None, AS_OF, accepted=REGIONS)
+    _load(spark, _days(tmp_path / "c", 6), wh)  # the merge of the day removes the copies
+    twice(5)  # a day that no load names
+    with pytest.raises(AssertionError, match=r"journalled raw_readings.period_day \(1\)"):
+        jobs.refresh_marts(spark, wh, None, AS_OF, accepted=REGIONS)
+    with pytest.raises(AssertionError, match=r"unique raw_readings"):
+        jobs.build_marts(spark, wh, AS_OF, accepted=REGIONS)
+    assert _state(spark, wh) == old
+
+
+def test_a_day_keeps_few_files_over_many_loads(spark, tmp_path, monkeypatch):
+    wh, folder = str(tmp_path / "wh"), tmp_path / "wh" / "raw_readings" / "period_day=2024-01-05"
+    files = lambda: len(list(folder.glob("*.parquet")))
+    for hour in range(24):
+        _land(tmp_path / f"h{hour}", *[_reading(f"2024-01-05T{hour:02d}", "1", region=r) for r in REGIONS])
+        if hour < 4 or hour > 20:
+            _load(spark, str(tmp_path / f"h{hour}"), wh)
+            assert files() == 1
+    rows = sorted(map(str, tables.scan_raw(spark, f"{wh}/raw_readings").collect()))
+    assert len(rows) == 14
+    monkeypatch.setattr(tables, "DAY_FILE_BYTES", 2_000)  # the day's size asks for several
+    _load(spark, str(tmp_path / "h5"), wh)
+    assert 1 < files() <= 8
+    assert len(tables.scan_raw(spark, f"{wh}/raw_readings").collect()) == 16
+
+
+def test_a_forecast_run_writes_its_own_folder_and_those_with_a_day_to_fill(spark, tmp_path):
+    wh = str(tmp_path / "wh")
+    _land(tmp_path / "l", *[_reading(f"2024-01-{d:02d}T01", str(50 + d % 5)) for d in range(1, 31)])
+    jobs.hourly_load(spark, str(tmp_path / "l"), wh, AS_OF, regions=("PJM",))
+    jobs.build_marts(spark, wh, AS_OF, accepted=("PJM",))
+    root = tmp_path / "wh" / "forecast_results"
+    stamp = lambda: {p.parent.name: p.name for p in root.glob("run=*/*.parquet")}
+    jobs.daily_forecast(spark, wh, AS_OF)
+    first = stamp()
+    jobs.daily_forecast(spark, wh, dt.datetime(2024, 2, 1))  # no new day has come
+    second = stamp()
+    assert set(second) == {"run=20240131T000000", "run=20240201T000000"} and second["run=20240131T000000"] == first["run=20240131T000000"]
+    _land(tmp_path / "l2", _reading("2024-01-31T01", "70"))
+    jobs.hourly_load(spark, str(tmp_path / "l2"), wh, AS_OF, regions=("PJM",))
+    jobs.refresh_marts(spark, wh, None, AS_OF, accepted=("PJM",))
+    jobs.daily_forecast(spark, wh, dt.datetime(2024, 2, 2))
+    third = stamp()
+    assert all(third[k] != second[k] for k in second)  # both had the 31st to fill
+    jobs.daily_forecast(spark, wh, dt.datetime(2024, 2, 3))
+    assert {k: v for k, v in stamp().items() if k in third} == third
+    rows = jobs.read_results(spark, wh).collect()
+    assert len(rows) == 28 and {(r.forecast_date.day, r.actual) for r in rows if r.actual is not None} == {(31, 70.0)}
+
+
+def test_forecast_reads_no_hourly_fact(spark, tmp_path, monkeypatch):
+    wh = str(tmp_path / "wh")
+    _land(tmp_path / "l", *[_reading(f"2024-01-{d:02d}T01", str(50 + d % 5)) for d in range(1, 31)])
+    jobs.hourly_load(spark, str(tmp_path / "l"), wh, AS_OF, regions=("PJM",))
+    jobs.build_marts(spark, wh, AS_OF, accepted=("PJM",))
+    read, seen = jobs.versions.read_table, []
+    monkeypatch.setattr(jobs.versions, "read_table", lambda s, w, name, *a, **k: seen.append(name) or read(s, w, name, *a, **k))
+    jobs.daily_forecast(spark, wh, AS_OF)
+    assert seen == ["fct_daily", "dim_region"]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import day_start, ts_literal
-from ..operators import boosted, calendar, diagnostics, dims, facts, forecast, history, marts, quality, staging, upsert
+from ..operators import boosted, calendar, diagnostics, dims, facts, forecast, history, marts, quality, regression, staging, upsert
 from ..operators.keys import dense_key
 from ..schemas import FORECAST_KEY, METRIC_KEY, RAW_KEY
 from ..session import configure, scratch_path
@@ -594,6 +594,29 @@ def q_forecast_metrics_gaps(spark, sf_dir):
     return _round(forecast.evaluate(fixtures.gappy(_train(spark, sf_dir)), RUN_DATE, 7), ["metric_value"])
 
 
+def _daily_mart(spark, sf_dir):
+    """The daily mart and the region dimension, without the hourly fact."""
+    stg, dr, _ = _dims(spark, sf_dir)
+    return marts.daily_from_hourly(staging.demand_by_region(stg)), dr
+
+
+def q_forecast_fit_states(spark, sf_dir):
+    """The model of ``forecast_fit`` from merged daily states: the window's two halves, added."""
+    daily, dr = _daily_mart(spark, sf_dir)
+    state = regression.day_state(regression.train_from_daily(daily, dr, RUN_DATE))
+    early = F.col("date") < ts_literal(SNAPSHOT_T1)
+    halves = [regression.merge_states(state.filter(part), "region", "day_of_week") for part in (early, ~early)]
+    lines, _ = regression.fit_states(halves[0].unionByName(halves[1]), "region")
+    return _round(lines.filter(F.col("n_points") >= forecast.MIN_POINTS), ["slope", "intercept", "sigma"])
+
+
+def q_forecast_backtest(spark, sf_dir):
+    """Errors by step of forecasts from two origins, five days apart."""
+    train = regression.train_from_daily(*_daily_mart(spark, sf_dir), RUN_DATE)
+    scored = regression.backtest(train, count=2, every=5, horizon=7)
+    return _round(regression.errors_by_step(scored), ["mae", "rmse", "bias"])
+
+
 def q_skipped_series(spark, sf_dir):
     return forecast.skipped_series(fixtures.gappy(_train(spark, sf_dir)))
 
@@ -736,6 +759,8 @@ QUERIES: dict[str, Query] = {
     "forecast_metrics": q_forecast_metrics,
     "forecast_metrics_gaps": q_forecast_metrics_gaps,
     "skipped_series": q_skipped_series,
+    "forecast_fit_states": q_forecast_fit_states,
+    "forecast_backtest": q_forecast_backtest,
     "forecast_rows_quoted": q_forecast_rows_quoted,
     "forecast_count_metrics": q_forecast_count_metrics,
     "forecast_with_actuals": q_forecast_with_actuals,

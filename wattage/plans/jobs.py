@@ -3,8 +3,8 @@
 Layout under one ``warehouse`` folder: ``raw_readings`` by day; ``marts`` in versions
 (see ``sources.versions``): by day ``stg_by_region``, ``fct_hourly`` (by date_key) with
 ``fct_hours``, ``demand_summary`` with ``summary_hours``, ``fct_daily``, ``raw_region_days``,
-undivided ``dim_region``, ``dim_date``, ``snap_region``; ``forecast_results``,
-``model_metrics``, ``skipped_series``, ``feature_importance``; ``rejects`` (a folder per
+undivided ``dim_region``, ``dim_date``, ``snap_region``, ``raw_days``; ``forecast_results``
+(a folder per run), ``model_metrics``, ``skipped_series``, ``feature_importance``; ``rejects`` (a folder per
 landing) and ``journal`` (days loaded but not yet in the marts, see ``sources.journal``).
 
 A build or refresh writes a version of its own, checks it, and only then publishes it: all
@@ -29,9 +29,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.time import ts_literal
-from ..operators import boosted, calendar, dims, facts, forecast, history, marts, quality, staging
+from ..operators import boosted, calendar, dims, facts, forecast, history, marts, quality, regression, staging
 from ..operators.keys import group_offsets, number_in_group
 from ..operators.sizing import small_side
 from ..operators.upsert import dedupe_batch, insert_absent, upsert
@@ -244,8 +245,9 @@ def _hours(rows: DataFrame) -> DataFrame:
     return _day(rows.groupBy("period_date").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def _checks(raw, by_region, dr, fct, accepted: Sequence[str]) -> DataFrame:
-    """The 17 column checks; one row per check, as a small frame of its own."""
+def _checks(raw, by_region, dr, fct, accepted: Sequence[str], changed: DataFrame | None = None) -> DataFrame:
+    """The 17 column checks, the raw table's key, and (in a refresh) days ``changed`` outside the
+    journal; one row per check, as a small frame of its own."""
     C = quality.Check
     report = quality.union_reports(
         quality.row_checks(  # raw and staging checks share one scan of the raw rows
@@ -264,6 +266,8 @@ def _checks(raw, by_region, dr, fct, accepted: Sequence[str]) -> DataFrame:
                 C("unique", "dim_region", "region_key", quality.check_unique(dr, "region_key")),
                 C("unique", "dim_region", "respondent", quality.check_unique(dr, "respondent")),
                 C("relationships", "fct_hourly", "region_key", quality.check_relationship(fct, "region_key", dr, "region_key")),
+                C("unique", "raw_readings", ",".join(RAW_KEY), quality.check_unique(raw, *RAW_KEY)),
+                *([] if changed is None else [C("journalled", "raw_readings", tables.PARTITION, changed)]),
             ]
         ),
     )
@@ -298,6 +302,7 @@ def build_marts(
         dr = build.write(dims.dim_region(_region_source(days), as_of, one_row_per_respondent), "dim_region")
         dd = build.write(calendar.dim_date(spark, *calendar.calendar_bounds(days, "period_day")), "dim_date")
         fct = _write_slices(build, stg, by_region, dr, dd, as_of)
+        build.write(tables.day_files(spark, _t(warehouse, "raw_readings")), "raw_days")
         report = _checks(raw, by_region, dr, fct, accepted)
         if gate:
             quality.assert_passes(report)
@@ -360,7 +365,7 @@ def refresh_marts(
     configure(spark)
     options = {"one_row_per_respondent": one_row_per_respondent, "accepted": accepted, "gate": gate}
     base = versions.current(spark, warehouse)
-    if base is None or not {*MARTS, "dim_region", "dim_date", "snap_region"} <= base.tables.keys():
+    if base is None or not {*MARTS, "dim_region", "dim_date", "snap_region", "raw_days"} <= base.tables.keys():
         return build_marts(spark, warehouse, as_of, **options)
     with job_scratch(spark):
         entries = journal.pending(spark, warehouse)
@@ -405,7 +410,13 @@ def _refresh_days(build: versions.Build, raw, days: Sequence[dt.date], as_of, on
         dd = build.write(longer, "dim_date")
     by_new = build.write(_day(hourly_new), "stg_by_region", PART)
     fct_new = _write_slices(build, staging.stg_hourly(raw_new), by_new, dr, dd, as_of)
-    report = _checks(raw_new, by_new, dr, fct_new, accepted)
+    # Duplicates and orphans are looked for in the touched days; the others are as the last version
+    # found them if their files are (listed, not read).
+    files = build.write(tables.day_files(spark, _t(build.warehouse, "raw_readings")), "raw_days")
+    same = [F.col(c) for c in files.columns]
+    changed = files.select(*same).exceptAll(stored("raw_days").select(*same)).unionByName(stored("raw_days").select(*same).exceptAll(files.select(*same)))
+    changed = changed.select(F.col(tables.PARTITION).alias(PART)).distinct().join(touched, PART, "left_anti")
+    report = _checks(raw_new, by_new, dr, fct_new, accepted, changed)
     if gate:
         quality.assert_passes(report)
     _write_snapshot(build, seen, as_of)
@@ -441,9 +452,9 @@ def daily_forecast(
     as_of = as_of or run_date
     stamp = ts_literal(as_of)
     with job_scratch(spark):
-        fct = read_mart(spark, warehouse, "fct_hourly", since=(run_date - dt.timedelta(days=days)).date(), until=run_date.date())
+        daily = read_mart(spark, warehouse, "fct_daily", since=(run_date - dt.timedelta(days=days)).date(), until=run_date.date())
         dr = read_mart(spark, warehouse, "dim_region")
-        train = forecast.train_daily(fct, dr, run_date, days).checkpoint(eager=True)
+        train = regression.train_from_daily(daily, dr, run_date, days).checkpoint(eager=True)
         quality.require_rows(train, "training set is empty")
         if boosted_trees:
             model = boosted.fit_gbt(train)
@@ -455,10 +466,7 @@ def daily_forecast(
         skipped = forecast.skipped_series(train).select("region", "n_points", ts_literal(run_date).alias("generated_at"))
         _merge(spark, warehouse, "skipped_series", skipped, ("region", "generated_at"))
 
-        res_path = _t(warehouse, "forecast_results")
-        target = spark.read.parquet(res_path) if tables.restore_table(spark, res_path) else spark.createDataFrame([], FORECAST_RESULTS)
-        merged = upsert(target, rows, FORECAST_KEY, ["forecast", "lower_bound", "upper_bound"], on_insert={"loaded_at": stamp})
-        results = tables.stage_and_replace(_fill_actual(merged, train), res_path)
+        results = _store_results(spark, warehouse, rows, train, run_date, days, stamp)
 
         met_path = _t(warehouse, "model_metrics")
         metrics = forecast.forecast_count_metrics(rows, run_date)
@@ -469,6 +477,42 @@ def daily_forecast(
         return results.filter(F.col("generated_at") == ts_literal(run_date)).select(rows.columns)
 
 
+RUN = "run"
+RESULTS_STORED = T.StructType([*FORECAST_RESULTS.fields, T.StructField(RUN, T.StringType())])
+
+
+def read_results(spark: SparkSession, warehouse: str) -> DataFrame:
+    """All stored forecasts, with the ``run`` that made them (its folder)."""
+    return spark.read.schema(RESULTS_STORED).parquet(_t(warehouse, "forecast_results"))
+
+
+def _store_results(spark: SparkSession, warehouse: str, rows: DataFrame, train: DataFrame, run_date: dt.datetime, days: int, stamp) -> DataFrame:
+    """Merge a run's forecasts into its own folder, and fill ``actual`` where a day has come.
+
+    Only that folder and those of runs with a day to fill are written. A day of the training
+    window lies in a forecast made at most a window and a horizon before, so folders of older
+    runs are not read.
+    """
+    path, name = _t(warehouse, "forecast_results"), lambda t: t.strftime("%Y%m%dT%H%M%S")
+    horizon = rows.agg(F.max(F.datediff("forecast_date", F.lit(run_date).cast("date")))).first()[0]
+    if path_exists(spark, path):
+        known = read_results(spark, warehouse).filter(F.col(RUN).between(name(run_date - dt.timedelta(days=days + max(horizon, 0) + 1)), name(run_date)))
+    else:
+        known = spark.createDataFrame([], RESULTS_STORED)
+    own = known.filter(F.col(RUN) == name(run_date)).drop(RUN)
+    merged = upsert(own, rows, FORECAST_KEY, ["forecast", "lower_bound", "upper_bound"], on_insert={"loaded_at": stamp})
+    merged = _fill_actual(merged, train).withColumn(RUN, F.lit(name(run_date)))
+    earlier = known.filter(F.col(RUN) != name(run_date))
+    filled = _fill_actual(earlier.drop(RUN), train).withColumn(RUN, F.date_format("generated_at", "yyyyMMdd'T'HHmmss"))
+    # Runs with a day that has come since; at most one a day of the window, or as many as were made.
+    due = filled.join(earlier.filter("actual IS NULL").select(RUN, "region", "forecast_date"), [RUN, "region", "forecast_date"], "left_semi")
+    due = due.filter("actual IS NOT NULL").select(RUN).distinct().checkpoint(eager=True)
+    out = merged.unionByName(filled.join(F.broadcast(due), RUN, "left_semi").select(merged.columns))
+    touched = due.union(spark.createDataFrame([(name(run_date),)], f"{RUN} string")).distinct()
+    tables.replace_days(out.select(RESULTS_STORED.names), path, touched, RUN)
+    return read_results(spark, warehouse).filter(F.col(RUN) == name(run_date)).drop(RUN)
+
+
 def _fill_actual(results: DataFrame, daily: DataFrame) -> DataFrame:
     """Results with ``actual`` set where the day's mean is known now."""
     known = daily.select(F.replace("region", F.lit('"'), F.lit("")).alias("region"), F.col("date").alias("forecast_date"), F.col("avg_demand_mw").alias("_now"))

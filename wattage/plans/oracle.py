@@ -687,6 +687,26 @@ LOAD_REJECTS = """
 )
 SELECT reason, respondent, count(*) AS n_rows FROM tagged WHERE reason IS NOT NULL GROUP BY 1, 2"""
 
+BACKTEST = """
+, pts AS (
+    SELECT region, date, CAST(date_diff('day', DATE '2000-01-01', CAST(date AS DATE)) AS DOUBLE) AS x, avg_demand_mw AS y, dayofweek(date) AS dow FROM train_a
+), cuts AS (
+    SELECT region, CAST(last_day - CAST(7 + 5 * i AS INTEGER) AS TIMESTAMP) AS origin
+    FROM (SELECT region, CAST(max(date) AS DATE) AS last_day FROM train_a GROUP BY region), range(2) t(i)
+), known AS (
+    SELECT p.*, c.origin FROM pts p JOIN cuts c ON p.region = c.region AND p.date <= c.origin
+), lines AS (
+    SELECT region, origin, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM known GROUP BY region, origin HAVING count(*) >= 14
+), effects AS (
+    SELECT k.region, k.origin, dow, avg(y - (slope * x + intercept)) AS effect FROM known k JOIN lines l ON k.region = l.region AND k.origin = l.origin GROUP BY 1, 2, 3
+), scored AS (
+    SELECT p.region, date_diff('day', l.origin, p.date) AS step, p.y - (slope * x + intercept + coalesce(effect, 0)) AS e
+    FROM pts p JOIN lines l ON p.region = l.region AND p.date > l.origin AND p.date <= l.origin + INTERVAL 7 DAY
+    LEFT JOIN effects f ON f.region = p.region AND f.origin = l.origin AND f.dow = p.dow
+)
+SELECT region, CAST(step AS INTEGER) AS step, count(*) AS n_origins, round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e), 6) AS bias
+FROM scored GROUP BY 1, 2"""
+
 GAPPY = """
 train_g AS (
     SELECT date, region, CASE WHEN region = 'click' THEN 100.0 ELSE avg_demand_mw END AS avg_demand_mw
@@ -726,6 +746,9 @@ FROM dd_data""",
         "dq_require_rows": _with(RAW_READINGS_SQL) + "SELECT respondent, count(*) AS n_rows FROM raw_readings GROUP BY respondent",
         "forecast_metrics_gaps": _with(*BASE, _train("a", R31), GAPPY, *_evaluate("g", "train_g", R31))
         + "SELECT model_version, training_date, region, metric_name, round(metric_value, 6) AS metric_value, dataset_type, created_at FROM metrics_g",
+        "forecast_fit_states": _with(*BASE, _train("a", R31), _fit("a", "train_a"))
+        + "SELECT region, n_points, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(sigma, 6) AS sigma FROM series_a",
+        "forecast_backtest": _with(*BASE, _train("a", R31)) + BACKTEST,
         "skipped_series": _with(*BASE, _train("a", R31), GAPPY)
         + "SELECT region, count(*) AS n_points FROM train_g GROUP BY region HAVING count(*) < 14",
         "forecast_rows_quoted": _with(*BASE, *_forecast("a", R31)) + f"SELECT {FC_OUT} FROM rows_a",

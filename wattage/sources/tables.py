@@ -57,6 +57,25 @@ def write_raw(df: DataFrame, path: str, as_of: dt.datetime | None = None) -> Non
     _overwrite_days(out.repartitionByRange(PARTITION, "respondent", "period_date"), path)
 
 
+#: A touched day is rewritten in files of about this size.
+DAY_FILE_BYTES = 128_000_000
+
+
+def _packed(staged: DataFrame, path: str) -> DataFrame:
+    """Staged days dealt out to as many tasks as their bytes fill files of ``DAY_FILE_BYTES``.
+
+    However many small files staging wrote, a day ends in one, or in as many as its size asks for.
+    """
+    spark = staged.sparkSession
+    sizes = day_files(spark, path).select(F.col(PARTITION).alias("_day"), F.greatest(F.lit(1), F.ceil(F.col("n_bytes") / DAY_FILE_BYTES)).cast("int").alias("_files"))
+    sizes = sizes.checkpoint(eager=True)  # a row per day
+    total = sizes.agg(F.sum("_files")).first()[0] or 1
+    part = F.pmod(F.xxhash64("respondent", "period_date", "data_type"), F.col("_files"))
+    dealt = staged.join(F.broadcast(sizes), F.col(PARTITION) == F.col("_day")).withColumn("_part", part)
+    tasks = min(int(total), max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return dealt.repartition(tasks, PARTITION, "_part").drop("_day", "_files", "_part")
+
+
 def _overwrite_days(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
 
@@ -74,6 +93,13 @@ def landed_files(spark: SparkSession, landing: str) -> DataFrame:
     return files.select("path", F.col("modificationTime").alias("time"), F.col("length").alias("size"))
 
 
+def day_files(spark: SparkSession, path: str) -> DataFrame:
+    """(period_day, n_files, n_bytes) of the raw table's day folders; files are listed, not opened."""
+    stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    days = stored.select(F.col(PARTITION).cast("date").alias(PARTITION), "length").groupBy(PARTITION)
+    return days.agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
 LEDGER = "path string, time timestamp, size long"
 
 
@@ -245,7 +271,7 @@ def upsert_raw(
         write_raw(merged, staging)
         # Dynamic overwrite replaces only the staged days, file by file as staged;
         # replaying the same batch after a failure merges the same rows again.
-        _overwrite_days(_scan_landed(spark, staging), path)
+        _overwrite_days(_packed(_scan_landed(spark, staging), staging), path)
     finally:
         drop_folder(spark, staging)
     return scan_raw(spark, path)
