@@ -7,7 +7,9 @@ Seeds are clustered by the tree: an article that holds most of their text is the
 region, or else the deepest container that holds them all, widened to where the heading
 over it stands. The region's lines make the text, short ones and headings too, but without
 an article for runs of short lines that are all link, as menus are. Lines in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are never seeds and never part of the text.
+comments are never seeds and never part of the text. An article inside a form, or inside a container marked
+as a box (newsletter, cookies, sharing), is content; where there is no article and forms or boxes hold most of
+the text, they are the page, and only their controls and labels go.
 
 White space inside a line becomes one space, lines are joined by one space in page order.
 A null or empty page, or one without content, gives an empty text.
@@ -35,7 +37,7 @@ MENU_RUN = 3
 
 # Elements whose text is never content (fixed by what HTML means by them).
 DROP = frozenset(
-    "head title script style template noscript iframe object embed canvas svg audio video map nav footer aside form select "
+    "head title script style template noscript iframe object embed canvas svg audio video map nav footer aside select "
     "textarea button datalist dialog menu fieldset".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,12 +49,19 @@ INLINE = frozenset(
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 REGION = frozenset("article main".split())
 HEADINGS = {f"h{i}": i for i in range(1, 7)}
-ROLES = frozenset("navigation contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-# Words of class and id values that mark boilerplate; those of the first list hold inside an article too.
-ALWAYS = frozenset(
+ROLES = frozenset("navigation contentinfo complementary search menu menubar toolbar".split())
+BOX_ROLES = frozenset("form alert alertdialog dialog".split())
+# What a form is operated by and named with.
+CONTROLS = frozenset("label legend optgroup option output progress meter".split())
+# Words of class and id values that mark boilerplate; those of the first two lists hold inside an article too,
+# those of the first also over one (a comment, a teaser).
+FINAL = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo comment comments commentlist reply replies "
-    "respond disqus cookie cookies consent gdpr newsletter subscribe subscription signup share sharing social related "
-    "recommended popup modal overlay paywall banner notice notices".split()
+    "respond disqus related recommended".split()
+)
+BOXES = frozenset(
+    "cookie cookies consent gdpr newsletter subscribe subscription signup share sharing social popup modal overlay paywall "
+    "banner notice notices".split()
 )
 OUTSIDE = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar side aside widget widgets "
@@ -67,8 +76,10 @@ _SPACE = re.compile(r"\s+")
 class _Lines(HTMLParser):
     """Collects lines: [text parts, tags, boilerplate, containers, linked characters]."""
 
-    def __init__(self) -> None:
+    def __init__(self, wide: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self.wide = wide  # forms and boxes hold the page: only their controls are dropped
+        self.boxes = False  # whether there is a form or a box
         self.stack: list[tuple[str, int, bool, bool]] = []  # tag, container, dropped, dropped for good
         self.lines: list[tuple[str, int, bool, tuple[int, ...], int]] = []
         self.parts: list[str] = []
@@ -96,7 +107,7 @@ class _Lines(HTMLParser):
             self.link_depth += tag == "a"
             if tag in VOID:
                 return
-            if self.muted is None and attrs and self._hidden(attrs):
+            if self.muted is None and (attrs and self._hidden(attrs) or self.wide and tag in CONTROLS):
                 self.muted = len(self.stack)
             if self.muted is not None:  # also what it holds, to find its end
                 self._push(tag, True, True)
@@ -106,16 +117,23 @@ class _Lines(HTMLParser):
         if tag in VOID:
             return
         drop, good = self.dropped, self.for_good
-        if tag in DROP:
+        if tag in DROP and not (self.wide and tag == "fieldset") or self.wide and tag in CONTROLS:
             drop = good = True
+        elif tag == "form":  # an article may stand in it all the same
+            self.boxes = True
+            drop = drop or not self.wide
         elif tag == "header":
             drop = drop or not self._in_region()
         elif tag in REGION and not good:
             drop = False
         if attrs and tag not in ("html", "body"):
-            always, outside = self._marks(attrs, whole=tag in REGION)
-            if always or self._hidden(attrs):
+            final, box, outside = self._marks(attrs, whole=tag in REGION)
+            self.boxes |= box
+            if final or self._hidden(attrs):
                 drop = good = True
+            elif box and not self.wide:
+                drop = True
+                good = good or tag in REGION  # an article marked so is none
             elif outside and not self._in_region() and tag not in REGION:
                 drop = True
         self._push(tag, drop, good)
@@ -187,23 +205,25 @@ class _Lines(HTMLParser):
         return any(c in self.region for c in self.open)
 
     @staticmethod
-    def _marks(attrs, whole: bool) -> tuple[bool, bool]:
-        """Whether class, id or role mark boilerplate (anywhere, outside articles). ``whole``: by a full name only,
+    def _marks(attrs, whole: bool) -> tuple[bool, bool, bool]:
+        """Whether class, id or role mark boilerplate (anywhere, a box, outside articles). ``whole``: by a full name only,
         so that an article with class "share-enabled" is no share box; "no-sidebar" and the like mark nothing."""
-        always = outside = False
+        final = box = outside = False
         for name, value in attrs:
             if value and name in ("class", "id"):
                 for token in value.split():
                     words = _MARK.findall(_CAMEL.sub("-", token).lower())
                     if len(words) > 1 and (whole or not LAYOUT.isdisjoint(words)):
                         continue
-                    always |= not ALWAYS.isdisjoint(words)
+                    final |= not FINAL.isdisjoint(words)
+                    box |= not BOXES.isdisjoint(words)
                     outside |= not OUTSIDE.isdisjoint(words)
             elif value and name == "role":
                 role = value.strip().lower()
-                always |= role in ROLES
+                final |= role in ROLES
+                box |= role in BOX_ROLES
                 outside |= role == "banner"
-        return always, outside
+        return final, box, outside
 
     @staticmethod
     def _hidden(attrs) -> bool:
@@ -215,13 +235,13 @@ class _Lines(HTMLParser):
         return False
 
 
-def _parse(html: str) -> _Lines:
-    lines = _Lines()
+def _parse(html: str, wide: bool = False) -> _Lines:
+    lines = _Lines(wide)
     try:
         lines.feed(html)
         lines.close()
     except AssertionError:  # a marked section the parser does not know: take its opening as text
-        lines = _Lines()
+        lines = _Lines(wide)
         lines.feed(html.replace("<![", "&lt;!["))
         lines.close()
     lines._break()
@@ -240,6 +260,10 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = _parse(html)
+    if page.boxes and not page.region:
+        # A form or a box around the page, not one on it, holds most of its text.
+        wide, size = _parse(html, wide=True), lambda p: sum(len(x[0]) for x in p.lines if not x[2])
+        page = wide if size(wide) > 2 * size(page) else page
     lines = page.lines
     usable = [i for i, x in enumerate(lines) if not x[2]]
     if not usable:
