@@ -59,6 +59,28 @@ def write_file(uri: str, name: str, data: bytes) -> None:
     files.move(temporary, f"{base}/{name}")
 
 
+def commit_manifest(manifest: DataFrame, folder: str) -> DataFrame:
+    """Write the files and, last and beside them, the manifest that names them; returns it as stored."""
+    path = f"{folder}/_manifest"
+    manifest.write.parquet(path)
+    return manifest.sparkSession.read.schema(manifest.schema).parquet(path)
+
+
+def listed_files(spark: SparkSession, folder: str, pattern: str, manifest: DataFrame, digest: str) -> DataFrame:
+    """(path, content, digest) of the files of ``folder`` that the manifest (file, digest) names.
+
+    Raises if a file of the manifest is missing, or one is there that it does not name."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    wanted = manifest.select(F.col("file").alias("name"), F.col(digest).alias("digest"))
+    there = files.select(name, F.lit(True).alias("there"))  # names only
+    wrong = wanted.join(there, "name", "full_outer").filter("there is null or digest is null").select("name", "there").limit(10).collect()
+    if wrong:
+        told = ", ".join(f"{r['name']} is {'not named' if r['there'] else 'missing'}" for r in wrong)
+        raise ValueError(f"files of {folder} differ from the manifest: {told}")
+    return files.select("path", "content", name).join(wanted, "name").select("path", "content", "digest")
+
+
 def text_hash(text: str = "text"):
     """64-bit key of a whole text; null and empty differ from each other and from any other text."""
     return F.xxhash64(F.col(text), F.col(text).isNull())

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .blocks import decode_file, encode_file
-from .common import shared_folder, stage, text_hash, write_file
+from .common import commit_manifest, listed_files, shared_folder, text_hash, write_file
 from .tokens import encoder
 
 # Ids per file: 16 MB raw. A file is closed after the document that reaches it.
@@ -86,18 +86,22 @@ def write_token_files(
     keyed = keyed.select("doc_id", "text", text_hash().alias("tie"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
     sorted_docs = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    return stage(sorted_docs.mapInArrow(write, MANIFEST), "token-manifest")
+    return commit_manifest(sorted_docs.mapInArrow(write, MANIFEST), folder)
 
 
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """One row per document of the files named by the manifest, with checked file digests."""
+    """One row per document of the files named by the manifest.
+
+    A missing file, one that is not named or one whose crc32 differs stops the read."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for path, content, crc32 in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 data = content.as_buffer()
+                if zlib.crc32(data) != crc32:
+                    raise ValueError(f"crc32 of {path} differs from the manifest")
                 doc_ids, null, n, ids = decode_file(memoryview(data))
                 raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
                 ends = np.cumsum(n)
@@ -117,9 +121,7 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
 
     if manifest.isEmpty():
         return spark.createDataFrame([], READ)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pfor").load(folder)
-    rows = files.select("path", "content").mapInArrow(read, READ)
-    return rows
+    return listed_files(spark, folder, "*.pfor", manifest, "crc32").mapInArrow(read, READ)
 
 
 def file_starts(manifest: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, stage, write_file
+from .common import commit_manifest, listed_files, shared_folder, stage, write_file
 
 ROLL_BYTES = 16_000_000
 LEVEL = 4
@@ -168,11 +168,13 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, roll_byt
         if held:
             yield close()
 
-    return stage(ordered.mapInArrow(write, MANIFEST), "warc-manifest")
+    return commit_manifest(ordered.mapInArrow(write, MANIFEST), folder)
 
 
 def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """One row per response or revisit record of the files that the manifest lists."""
+    """One row per response or revisit record of the files that the manifest lists.
+
+    A missing file, one that is not listed or one whose digest differs stops the read."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,9 +203,7 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
 
     if manifest.isEmpty():
         return spark.createDataFrame([], READ)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "content")
-    listed = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).join(manifest.select(F.col("file").alias("name"), "sha1"), "name")
-    return listed.select("path", "content", "sha1").mapInArrow(read, READ)
+    return listed_files(spark, folder, "*.warc.gz", manifest, "sha1").mapInArrow(read, READ)
 
 
 def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
