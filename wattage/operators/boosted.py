@@ -3,7 +3,9 @@
 Features per (series, day): the mean of the day before and of the same day a week
 earlier (by date, not by row: a gap gives no lag), the weekday and the day number.
 The trees are fitted by MLlib's distributed gradient boosting (Friedman 2001);
-forecasts are made day by day, each day's forecast being the next day's lag.
+forecasts are made day by day, each day's forecast being the next day's lag. Their
+intervals are checked, not assumed: the same way of forecasting is tried from earlier origins,
+by a model that has not seen what follows them, and the errors found at each step give its width.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.time import day_of_week0, model_version, ts_literal
 from ..session import ensure_checkpoint_dir
 from .forecast import DAY_ORIGIN, MIN_POINTS, forecast_rows, usable_series, z_value
+from .regression import origins
 
 FEATURES = ("lag_1", "lag_7", "day_of_week", "day_number")
 
@@ -71,20 +74,15 @@ def gbt_fitted(forecaster: GbtForecaster, train: DataFrame) -> DataFrame:
     return scored.select("region", "date", F.col("label").alias("actual"), "prediction")
 
 
-def gbt_forecast(
-    forecaster: GbtForecaster, train: DataFrame, run_date: dt.datetime, horizon: int = 7, interval: float = 0.95, min_points: int = MIN_POINTS
-) -> DataFrame:
-    """Forecast rows (as ``forecast_rows``) for the ``horizon`` days after each usable series' last day.
+def _path(forecaster: GbtForecaster, train: DataFrame, horizon: int, min_points: int) -> DataFrame:
+    """(region, date, step, forecast): the ``horizon`` days after each usable series' last day.
 
     Each day is predicted from the days before it, forecasts included. A lag date
-    without a reading takes the series' mean. The interval is normal, its deviation
-    that of the one-day-ahead residuals, growing with the root of the step.
+    without a reading takes the series' mean.
     """
     ensure_checkpoint_dir(train.sparkSession)
     known = usable_series(train, min_points).select("region", "date", F.col("avg_demand_mw").alias("label")).checkpoint(eager=True)
-    fitted = gbt_fitted(forecaster, train)
-    sigma = fitted.groupBy("region").agg(F.stddev_samp(F.col("actual") - F.col("prediction")).alias("sigma"))
-    facts = known.groupBy("region").agg(F.max("date").alias("last"), F.avg("label").alias("mean")).join(sigma, "region", "left").checkpoint(eager=True)
+    facts = known.groupBy("region").agg(F.max("date").alias("last"), F.avg("label").alias("mean")).checkpoint(eager=True)
     for step in range(1, horizon + 1):
         day = facts.select("region", F.date_add(F.col("last").cast("date"), step).cast("timestamp_ntz").alias("date"), F.lit(None).cast("double").alias("label"))
         near = known.join(facts.select("region", "last"), "region").filter(F.col("date") >= F.date_add(F.col("last").cast("date"), step - 7).cast("timestamp_ntz"))
@@ -93,12 +91,69 @@ def gbt_forecast(
         made = forecaster.model.transform(rows).select("region", "date", F.col("prediction").alias("label"))
         # One small table (series x days), stored so that each step reads the last one's forecasts.
         known = known.unionByName(made).checkpoint(eager=True)
-    ahead = known.join(facts, "region").filter(F.col("date") > F.col("last"))
-    step = F.datediff(F.col("date").cast("date"), F.col("last").cast("date"))
-    half = F.lit(z_value(interval)) * F.col("sigma") * F.sqrt(step)
-    out = ahead.select(
-        F.col("region").alias("series"), F.col("date").alias("ts"), F.col("label").alias("forecast"),
-        (F.col("label") - half).alias("lower_bound"), (F.col("label") + half).alias("upper_bound"),
+    ahead = known.join(facts.select("region", "last"), "region").filter(F.col("date") > F.col("last"))
+    return ahead.select("region", "date", F.datediff(F.col("date").cast("date"), F.col("last").cast("date")).alias("step"), F.col("label").alias("forecast"))
+
+
+def _scales(train: DataFrame) -> DataFrame:
+    """(region, scale): the deviation of a series' daily means; 1 for one that does not vary."""
+    spread = F.stddev_samp("avg_demand_mw")
+    return train.groupBy("region").agg(F.coalesce(F.when(spread > 0, spread), F.lit(1.0)).alias("scale"))
+
+
+def gbt_backtest(train: DataFrame, horizon: int = 7, count: int = 3, every: int = 2, min_points: int = MIN_POINTS) -> DataFrame | None:
+    """Forecasts from ``count`` origins against what came: region, origin, step, actual, forecast, scale.
+
+    One model, fitted on the days up to each series' earliest origin, forecasts from all of
+    them at once (a series and an origin make a series of their own). Origins with fewer than
+    ``min_points`` days before them give no rows; None if no series has enough.
+    """
+    cuts = origins(train, count, every, horizon)
+    first = cuts.groupBy("region").agg(F.min("origin").alias("origin"))
+    early = usable_series(train.join(first, "region").filter(F.col("date") <= F.col("origin")).select(train.columns), min_points)
+    ensure_checkpoint_dir(train.sparkSession)
+    early = early.checkpoint(eager=True)
+    if gbt_features(early).isEmpty():
+        return None
+    fold = F.concat_ws("\u0001", "region", F.date_format("origin", "yyyyMMdd"))
+    folds = train.join(cuts, "region").filter(F.col("date") <= F.col("origin")).withColumn("fold", fold).checkpoint(eager=True)
+    path = _path(fit_gbt(early), folds.select(F.col("fold").alias("region"), "date", "avg_demand_mw"), horizon, min_points).withColumnRenamed("region", "fold")
+    named = path.join(folds.select("fold", "region", "origin").distinct(), "fold")
+    actual = train.select("region", "date", F.col("avg_demand_mw").alias("actual"))
+    scored = named.join(actual, ["region", "date"]).join(_scales(early), "region")
+    return scored.select("region", "origin", "step", "actual", "forecast", "scale").checkpoint(eager=True)
+
+
+def interval_widths(scored: DataFrame, interval: float = 0.95) -> DataFrame:
+    """(step, width): the ``interval`` quantile of the errors at a step, in scales of their series, over all series."""
+    error = F.abs(F.col("actual") - F.col("forecast")) / F.col("scale")
+    return scored.groupBy("step").agg(F.percentile(error, interval).alias("width"))
+
+
+def gbt_forecast(
+    forecaster: GbtForecaster, train: DataFrame, run_date: dt.datetime, horizon: int = 7, interval: float = 0.95, min_points: int = MIN_POINTS,
+    scored: DataFrame | None = None,
+) -> DataFrame:
+    """Forecast rows (as ``forecast_rows``) for the ``horizon`` days after each usable series' last day.
+
+    The interval is as wide as the errors of ``gbt_backtest`` (or the given ``scored``) at the
+    same step ask for. Where there was no day to try, it is normal with the deviation of the
+    one-day-ahead residuals, growing with the root of the step.
+    """
+    path = _path(forecaster, train, horizon, min_points)
+    fitted = gbt_fitted(forecaster, train)
+    sigma = fitted.groupBy("region").agg(F.stddev_samp(F.col("actual") - F.col("prediction")).alias("sigma"))
+    scored = gbt_backtest(train, horizon, min_points=min_points) if scored is None else scored
+    steps = F.lit(z_value(interval)) * F.col("sigma") * F.sqrt("step")
+    rows = path.join(sigma, "region", "left").join(_scales(train), "region")
+    if scored is not None:
+        rows = rows.join(F.broadcast(interval_widths(scored, interval)), "step", "left")  # a row per step
+        half = F.coalesce(F.col("width") * F.col("scale"), steps)
+    else:
+        half = steps
+    out = rows.select(
+        F.col("region").alias("series"), F.col("date").alias("ts"), "forecast",
+        (F.col("forecast") - half).alias("lower_bound"), (F.col("forecast") + half).alias("upper_bound"),
     )
     return forecast_rows(out, run_date)
 

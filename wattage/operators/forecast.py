@@ -193,7 +193,11 @@ def evaluate(train: DataFrame, run_date: dt.datetime, holdout_days: int = 7, int
     hold = hold.select("region", F.col("date").alias("ts"), F.col("avg_demand_mw").alias("actual"))
     model = fit_trend_weekday(usable_series(fit_part, min_points))
     pred = predict_at(model, hold.select("region", "ts"), interval).withColumnRenamed("series", "region")
-    scored = pred.join(hold, ["region", "ts"], "inner")
+    return metric_rows(pred.join(hold, ["region", "ts"], "inner"), run_date)
+
+
+def metric_rows(scored: DataFrame, run_date: dt.datetime) -> DataFrame:
+    """MAE, RMSE, MAPE and R2 per region of (region, actual, forecast), in the metrics table layout."""
     err = F.col("actual") - F.col("forecast")
     mean_actual = scored.groupBy("region").agg(F.avg("actual").alias("_mean"))
     s2 = scored.join(mean_actual, "region")

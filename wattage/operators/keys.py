@@ -22,12 +22,12 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 from .sizing import small_side
 
 
 # Where rows come in groups that are small by nature (an hour holds a row per region and
-# type), ``grouped_key`` does without the stored copy: it counts rows per group, turns the
+# type), ``grouped_key`` does without the range sort: it counts rows per group, turns the
 # counts into offsets, and numbers rows inside their group.
 
 
@@ -110,11 +110,16 @@ def number_in_group(df: DataFrame, group: str, order: list[str], name: str) -> D
 def grouped_key(df: DataFrame, group: str, order: list[str], name: str = "key") -> DataFrame:
     """``dense_key`` by (``group``, ``order``) for groups that are small by nature.
 
-    ``df`` is evaluated twice (counts, rows) and nothing but the offsets, a row per
-    group, is stored. ``group`` must not be null.
+    ``df`` is evaluated once: its rows are stored in the shared scratch folder. The counts
+    read one column of them, the result numbers them inside their group and adds the
+    offsets, a row per group. ``group`` must not be null.
     """
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"))
+    spark = df.sparkSession
+    path = scratch_path(spark, "grouped")
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    counts = stored.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"))
     offsets = small_side(group_offsets(counts, group))
-    numbered = number_in_group(df, group, order, "_seq")
+    numbered = number_in_group(stored, group, order, "_seq")
     key = (F.col("before") + F.col("_seq")).cast("long")
     return numbered.join(offsets, group).select(key.alias(name), *[F.col(c) for c in df.columns])

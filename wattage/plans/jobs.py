@@ -457,8 +457,8 @@ def daily_forecast(
         train = regression.train_from_daily(daily, dr, run_date, days).checkpoint(eager=True)
         quality.require_rows(train, "training set is empty")
         if boosted_trees:
-            model = boosted.fit_gbt(train)
-            rows = boosted.gbt_forecast(model, train, run_date, horizon, interval).checkpoint(eager=True)
+            model, scored = boosted.fit_gbt(train), boosted.gbt_backtest(train, horizon)
+            rows = boosted.gbt_forecast(model, train, run_date, horizon, interval, scored=scored).checkpoint(eager=True)
             _merge(spark, warehouse, "feature_importance", boosted.feature_importance(model, run_date), ("model_version", "feature_name"))
         else:
             rows = forecast.forecast_run(train, run_date, horizon, interval).checkpoint(eager=True)
@@ -472,6 +472,8 @@ def daily_forecast(
         metrics = forecast.forecast_count_metrics(rows, run_date)
         if not boosted_trees:
             metrics = metrics.unionByName(forecast.evaluate(train, run_date))
+        elif scored is not None:
+            metrics = metrics.unionByName(forecast.metric_rows(scored, run_date))
         mtarget = spark.read.parquet(met_path) if tables.restore_table(spark, met_path) else spark.createDataFrame([], MODEL_METRICS)
         tables.stage_and_replace(upsert(mtarget, metrics.drop("created_at"), METRIC_KEY, ["metric_value"], on_insert={"created_at": stamp}), met_path)
         return results.filter(F.col("generated_at") == ts_literal(run_date)).select(rows.columns)
