@@ -3,10 +3,10 @@
 Base kinds (assign, access, hex) are reported wherever they match. Weak kinds say little
 alone: an identifier (client_id = ...), an endpoint (a URL) and a token that looks random.
 They are reported only where complementary parts stand together. Parts are linked by an
-interval join within a scope (the text between blank lines): two parts join if the gap
-between them is at most ``REACH`` code points. The join is a sweep over the parts of a
-scope in order of position, which finds each part's nearest neighbour of every role and
-makes no pairs.
+interval join within a scope (the text between blank lines): a part joins its nearest
+complement in the scope, wherever it stands, or with ``reach`` only if the gap between them
+is at most so many code points. The join is a sweep over the parts of a scope in order of
+position, which finds each part's nearest neighbour of every role and makes no pairs.
 
 * an identifier is reported if a secret (base or random) is in reach;
 * a random token is reported if an identifier is in reach;
@@ -80,9 +80,27 @@ def weak_spans(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, s
     if "://" in text:
         out += [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(text)]
     out += [(m.start(), "random", m.end()) for m in RANDOM.finditer(text) if _random(m[0])]
-    taken = [(a, b) for a, _, b in base] + [(a, b) for a, k, b in out if k == "endpoint"]
-    free = lambda a, k, b: all(b <= x or y <= a for x, y in taken if not (k == "endpoint" and (x, y) == (a, b)))
-    return [(a, k, b) for a, k, b in out if free(a, k, b)]
+    based = _Covered([(a, b) for a, _, b in base])
+    taken = _Covered([(a, b) for a, _, b in base] + [(a, b) for a, k, b in out if k == "endpoint"])
+    return [(a, k, b) for a, k, b in out if not (based if k == "endpoint" else taken).meets(a, b)]
+
+
+class _Covered:
+    """The union of spans as disjoint runs in order, so that a look-up is a bisection."""
+
+    def __init__(self, spans: list[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        at = bisect.bisect_left(self.starts, b) - 1  # the last run that starts before b
+        return at >= 0 and self.ends[at] > a
 
 
 SPAN = "struct<start:int,kind:string,end:int>"
@@ -109,9 +127,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def link_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
+def link_parts(parts: DataFrame, reach: int | None = REACH) -> DataFrame:
     """Interval join of parts (doc_id, text_key, scope, start, kind, end): adds the gaps ``to_identifier``,
-    ``to_secret`` and ``to_endpoint`` to the nearest other part of each role, null beyond ``reach``."""
+    ``to_secret`` and ``to_endpoint`` to the nearest other part of each role, null beyond ``reach`` (None: anywhere in the scope)."""
     role = F.coalesce(*[F.when(F.col("kind") == k, F.lit(r)) for k, r in ROLE.items()])
     rows = parts.withColumn("role", role)
     w = Window.partitionBy("doc_id", "text_key", "scope").orderBy("start", "end", "kind")
@@ -121,11 +139,11 @@ def link_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
         ahead = F.min(F.when(F.col("role") == r, F.col("start"))).over(after) - F.col("end")
         gap = F.greatest(F.least(back, ahead), F.lit(0))  # least() skips nulls; overlapping parts have gap 0
         gap = F.when(F.least(back, ahead).isNotNull(), gap)
-        rows = rows.withColumn(f"to_{r}", F.when(gap <= reach, gap))
+        rows = rows.withColumn(f"to_{r}", gap if reach is None else F.when(gap <= reach, gap))
     return rows
 
 
-def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def find_secrets(docs: DataFrame, reach: int | None = REACH) -> DataFrame:
     """One row per document row: doc_id, base and spans (arrays of start, kind, end in order)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.select("doc_id", text_hash().alias("text_key"), "text")
