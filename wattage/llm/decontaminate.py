@@ -11,7 +11,8 @@ rarity, is one shingle. The steps:
    and drop windows with a shingle that no document has;
 3. join prefix shingles with the positions: shingle place and document length bound where
    a window can start;
-4. verify each candidate start by comparing the window's words with the document's.
+4. verify each candidate start by comparing the window's words with the document's: the
+   texts of documents with a candidate are shuffled, of all others only the number of words.
 
 A null text, or a text without words, has no windows and no hits. Repeated document rows
 each get their own result row, repeated items count once, a null item id adds hits but no
@@ -96,16 +97,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         (F.col("start") >= 0) & (start + F.size("words") <= F.col("n"))
     )
     per_doc = near.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "words", "items")).alias("near"))
-    # 4. exact verification against the document's own words
-    left, right = keyed.alias("d"), per_doc.alias("c")
-    joined = left.join(right, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_key") == F.col("c.text_key")), "left")
-    joined = joined.select("d.doc_id", "d.text_key", words_of(F.col("d.text")).alias("w"), "c.near")
+    # 4. exact verification against the words of the documents that have a candidate, each once; only
+    # their texts meet the candidates, the others stay where they are
+    per_doc = stage(per_doc, "candidates")
+    same = lambda x, y: F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id")) & (F.col(f"{x}.text_key") == F.col(f"{y}.text_key"))
+    asked = small_side(per_doc.select("doc_id", "text_key"), materialised=True)
+    suspects = keyed.alias("d").join(asked.alias("a"), same("d", "a"), "left_semi").dropDuplicates(["doc_id", "text_key"])
+    joined = suspects.alias("d").join(per_doc.alias("c"), same("d", "c")).select("d.doc_id", "d.text_key", words_of(F.col("d.text")).alias("w"), "c.near")
     found = F.filter("near", lambda c: F.slice(F.col("w"), c["start"] + 1, F.size(c["words"])) == c["words"])
-    checked = joined.select("doc_id", "text_key", F.size("w").alias("n_words"), F.coalesce(found, F.filter(F.array(F.struct(F.lit(0).alias("start"), F.col("w").alias("words"), F.col("w").alias("items"))), lambda c: F.lit(False))).alias("found"))
+    checked = joined.select("doc_id", "text_key", found.alias("found")).filter(F.size("found") > 0)
     covered = F.flatten(F.transform("found", lambda c: F.sequence(c["start"], c["start"] + F.size(c["words"]) - 1)))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda c: c["items"]))))
-    return checked.select(
-        "doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"),
-        F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
-        items.alias("items"), (F.size("found") > 0).alias("contaminated"),
+    hit = checked.select("doc_id", "text_key", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), items.alias("items"))
+    rows = keyed.select("doc_id", "text_key", F.size(words_of(F.col("text"))).cast("long").alias("n_words")).alias("d")
+    out = rows.join(hit.alias("h"), same("d", "h"), "left")
+    return out.select(
+        "d.doc_id", "d.text_key", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("n_hit").isNotNull().alias("contaminated"),
     )
