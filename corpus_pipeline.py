@@ -9,8 +9,8 @@ Decisions are joined to rows by document id and a hash of the whole text. Null i
 texts, repeated rows and an empty table are handled by the operators; in addition:
 
 * toxicity drops documents that score 0.7 or more (a null text never does);
-* near-duplicates keeps one row of each group, and one of rows repeated as a whole;
-  documents without words are in no group and stay, each repeated row once;
+* near-duplicates keeps one row of each group, and one of rows with the same id and text (the
+  first by their other columns); documents without words are in no group and stay, each repeated row once;
 * decontamination drops documents that hold a window of a benchmark item;
 * secrets stay documents: every reported span is replaced by its kind in brackets, and
   n_chars follows the text;
@@ -52,8 +52,11 @@ def _keys(decisions: DataFrame, *more: Column) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     usable = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
     lexicon = learn_lexicon(labelled_sample(docs, table(spark, sf_dir, "labels"), usable))
-    texts = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))
-    return score_toxicity(texts, lexicon, carry="row").filter(F.col("score") < TOXIC).select("row.*")
+    # Only id, key and text pass through Python; the rows that go are found again by id and key.
+    texts = docs.select("doc_id", "text", text_hash().alias("text_key"))
+    found = score_toxicity(texts, lexicon, carry="text_key").filter(F.col("score") >= TOXIC)
+    found = stage(found.select("doc_id", "text_key").distinct(), "toxic")
+    return _keyed(docs).join(_keys(found), ["k1", "k2"], "left_anti").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,9 +66,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     alone = [F.when(F.col("component").isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "text_key")]
     chosen = groups.filter("kept").select("doc_id", "text_key", "component", *alone)
     chosen = chosen.groupBy("component", "alone_doc_id", "alone_text_key").agg(F.min(F.struct("text_key", "doc_id")).alias("one")).select("one.doc_id", "one.text_key")
-    # Of rows repeated as a whole each map task ships one; the join finds them dealt by its keys.
-    rows = _keyed(docs).groupBy("k1", "k2").agg(F.first("row").alias("row"))
-    return rows.join(_keys(chosen), ["k1", "k2"]).select("row.*")
+    # Of rows with one id and text each map task ships one, with the least of their other columns; the
+    # join finds them dealt by its keys.
+    rest = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c not in ("doc_id", "text")])
+    order = F.to_json(rest, {"ignoreNullFields": "false"})
+    rows = _keyed(docs.withColumn("_rest", rest).withColumn("_order", order)).groupBy("k1", "k2")
+    rows = rows.agg(F.first("row").alias("row"), F.min_by("row._rest", "row._order").alias("rest"))
+    same = [F.col(f"row.{c}") if c in ("doc_id", "text") else F.col(f"rest.{c}") for c in docs.columns]
+    return rows.join(_keys(chosen), ["k1", "k2"]).select(*same)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
