@@ -251,3 +251,23 @@ def test_pipeline_ships_one_copy_of_repeated_rows(spark, documents, monkeypatch)
     docs = documents([(1, "copied text")] * 50)
     plan = corpus_pipeline.drop_near_duplicates(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "partial_first(row" in plan
+
+
+def test_pipeline_chooses_among_unlike_rows_of_one_document_by_a_total_order(spark, documents):
+    """Rows equal in id and text but not in other columns: the same one stays whatever the order they come in."""
+    docs = documents([(1, "one text of its own kind here")])
+    unlike = docs
+    for lang in ("fr", None, "de"):
+        unlike = unlike.union(docs.withColumn("lang", F.lit(lang)))
+    got = {tuple(corpus_pipeline.drop_near_duplicates(spark, df, "").first()) for df in (unlike, unlike.orderBy(F.desc("lang")), unlike.repartition(3))}
+    assert len(got) == 1
+
+
+def test_pipeline_toxicity_drops_rows_by_id_and_text(spark, documents, tmp_path, monkeypatch):
+    """Only the toxic text of a repeated id goes; null ids, null texts and other columns are kept."""
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    toxic = "you are a stupid pathetic idiot and a worthless moron. I will kill you, you idiot"
+    rows = [(1, toxic), (1, "a calm text"), (None, toxic), (None, "another calm text"), (2, None), (2, None), (3, "")]
+    got = corpus_pipeline.drop_toxic(spark, documents(rows), str(tmp_path))
+    assert got.columns == documents(rows).columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted([r for r in rows if r[1] != toxic], key=str)
