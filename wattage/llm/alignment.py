@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -42,7 +41,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import small_side
 from .common import stage
-from .tokens import _byte_decoder, public_tokenizer
+from .tokens import _WIDE_SPACE, _byte_decoder, public_tokenizer
 
 #: Documents of a container; a container also closes after ``CONTAINER_LINKS`` links.
 CONTAINER = 4_096
@@ -51,23 +50,25 @@ CONTAINER_LINKS = 3_000_000
 SLICE_CHARS = 2_000_000
 SLICE_TEXTS = 1_024
 #: Chunks remembered by a worker, in two generations.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 400_000
+#: Unseen chunks encoded as one text.
+CHUNKS_AT_ONCE = 4_096
 #: A container's bitmap as plain bits.
 PLAIN = CONTAINER // 8
 
-_SPACE = "\x20\x09-\x0D"
-# A run of white space, or white space at an end; white space that is not ASCII; the four separators.
-_ODD = re.compile(f"[{_SPACE}]\x20|\x20[{_SPACE}]|\\A[{_SPACE}]|[{_SPACE}]\\Z|[\x1c-\x1f]|[^\\S{_SPACE}]")
+# A run of white space, white space at an end, or white space that is not ASCII.
+_SPACE = "[\\x20\\t-\\r]"
+_ODD = f"{_SPACE}\\x20|\\x20{_SPACE}|\\A{_SPACE}|{_SPACE}\\z|{_WIDE_SPACE}"
 
 
 class Chunk(NamedTuple):
-    """The alignment of a chunk: numbers of tokens and groups, the groups as text, links (packed pairs)."""
+    """The alignment of a chunk: numbers of tokens and groups, the groups as text (each ended by ``;``), links (packed pairs)."""
 
     a: int
     b: int
     n: int
     groups: str
-    links: np.ndarray
+    links: bytes
 
 
 def pack_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -95,29 +96,53 @@ class Aligner:
         ]
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        # Each id as text, with what follows it inside a group and at the group's end.
+        self.text_a = [np.array([f"{i}{end}" for i in range(len(self.bytes_a))], object) for end in ",|"]
+        self.text_b = [np.array([f"{i}{end}" for i in range(len(self.bytes_b))], object) for end in ",;"]
         # A piece that goes on after a space would join chunks; then no text may be cut.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
         self.young: dict[str, Chunk | None] = {}
         self.old: dict[str, Chunk | None] = {}
 
-    def _align(self, raw: bytes, a: list[int], b: list[int]) -> Chunk | None:
-        """The alignment of two encodings of ``raw``; None if either does not give it back."""
-        if b"".join([self.bytes_b[i] for i in b]) != raw or b"".join([self.bytes_a[i] for i in a]) != raw:
+    def _align(self, text: str, ends: np.ndarray | None = None) -> list[Chunk] | None:
+        """The alignments of the parts of ``text`` (a space goes before it) that end at the byte offsets ``ends``.
+
+        None if a tokenizer does not give the text back, or a part does not end where tokens of both end.
+        """
+        raw = (" " + text).encode("utf-8", "surrogatepass")
+        a = np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64)
+        b = np.array(self.b.encode(text), np.int64)
+        if b"".join([self.bytes_b[i] for i in b.tolist()]) != raw or b"".join([self.bytes_a[i] for i in a.tolist()]) != raw:
             return None
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        _, at_a, at_b = np.intersect1d(np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b]), assume_unique=True, return_indices=True)
-        text_a, text_b = list(map(str, a)), list(map(str, b))
-        groups, p, q = [], 0, 0
-        for i, j in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-            groups.append(",".join(text_a[p:i]) + "|" + ",".join(text_b[q:j]))
-            p, q = i, j
-        return Chunk(len(a), len(b), len(groups), ";".join(groups), pack_pair(ids_a[at_a], ids_b[at_b]))
+        common, at_a, at_b = np.intersect1d(np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), assume_unique=True, return_indices=True)
+        last = np.searchsorted(common, [len(raw)] if ends is None else ends)
+        if ends is not None and (common[last] != ends).any():
+            return None
+        # Tokens in the order of the text of groups: A's of a group, then B's.
+        upto_a, upto_b = at_a + 1, at_b + 1
+        group_a = np.repeat(np.arange(len(common)), np.diff(upto_a, prepend=0))
+        group_b = np.repeat(np.arange(len(common)), np.diff(upto_b, prepend=0))
+        words_a, words_b = self.text_a[0][a], self.text_b[0][b]
+        words_a[at_a], words_b[at_b] = self.text_a[1][a[at_a]], self.text_b[1][b[at_b]]
+        words = np.empty(len(a) + len(b), object)
+        words[np.arange(len(a)) + np.r_[0, upto_b[:-1]][group_a]] = words_a
+        words[np.arange(len(b)) + upto_a[group_b]] = words_b
+        words, links = words.tolist(), pack_pair(a[at_a], b[at_b]).tobytes()
+        out, p, q, g = [], 0, 0, 0
+        for i, j, h in zip(upto_a[last].tolist(), upto_b[last].tolist(), (last + 1).tolist()):
+            out.append(Chunk(i - p, j - q, h - g, "".join(words[p + q : i + j]), links[8 * g : 8 * h]))
+            p, q, g = i, j, h
+        return out
 
     def _learn(self, words: list[str]) -> None:
-        spaced = [" " + w for w in words]
-        encoded = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        for w, s, a, b in zip(words, spaced, encoded, self.b.encode(words, num_threads=1)):
-            self.young[w] = self._align(s.encode("utf-8", "surrogatepass"), a.ids, b)
+        """Align unseen chunks, many as one text."""
+        for lo in range(0, len(words), CHUNKS_AT_ONCE):
+            some = words[lo : lo + CHUNKS_AT_ONCE]
+            sizes = pc.binary_length(pa.array(some, pa.large_string())).to_numpy()
+            found = self._align(" ".join(some), np.cumsum(sizes + 1))
+            if found is None:  # one of them is not given back
+                found = [(self._align(w) or [None])[0] for w in some]
+            self.young.update(zip(some, found))
 
     def _chunks(self, words: list[str]) -> list[Chunk | None]:
         """The alignments of distinct words, each with a space before it."""
@@ -136,13 +161,10 @@ class Aligner:
             self._learn(new)
         return [self.young[w] for w in words]
 
-    def _whole(self, text: str) -> Chunk | None:
-        raw = (" " + text).encode("utf-8", "surrogatepass")
-        return self._align(raw, self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text))
-
     def align(self, texts: list[str | None]) -> tuple[list[tuple[int, int, int, str]], np.ndarray, np.ndarray]:
         """For each text (tokens of A, of B, groups, digest of the groups); (text, pair) of every link, one after another."""
-        plain = [i for i, t in enumerate(texts) if t and self.cuts and not _ODD.search(t)]
+        odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _ODD).to_pylist()
+        plain = [i for i, t in enumerate(texts) if t and self.cuts and not odd[i]]
         rows: list[tuple[int, int, int, str]] = [(0, 0, 0, "")] * len(texts)
         owner, links = [], []
         whole = sorted({i for i, t in enumerate(texts) if t} - set(plain))
@@ -151,7 +173,7 @@ class Aligner:
             offsets = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
             coded = lists.flatten().dictionary_encode()
             code = coded.indices.to_numpy(zero_copy_only=False)
-            chunks = self._chunks(coded.dictionary.to_pylist())
+            chunks = self._chunks(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
             bad = np.array([c is None for c in chunks])
             sizes = np.array([(0, 0, 0) if c is None else c[:3] for c in chunks], np.int64).reshape(-1, 3)
             texts_of = [None if c is None else c.groups for c in chunks]
@@ -160,7 +182,7 @@ class Aligner:
             spoilt = np.concatenate([[0], np.cumsum(bad[code])])
             spoilt = spoilt[offsets[1:]] > spoilt[offsets[:-1]]
             codes = code.tolist()
-            values = np.concatenate([c.links for c in chunks if c is not None] or [np.zeros(0, np.int64)])
+            values = np.frombuffer(b"".join([c.links for c in chunks if c is not None]), np.int64)
             size = sizes[:, 2]
             begin = np.cumsum(size) - size
             for j, i in enumerate(plain):
@@ -168,8 +190,7 @@ class Aligner:
                     whole.append(i)
                     continue
                 lo, hi = int(offsets[j]), int(offsets[j + 1])
-                groups = ";".join([texts_of[c] for c in codes[lo:hi]])
-                rows[i] = (*totals[j].tolist(), hashlib.sha256(groups.encode()).hexdigest())
+                rows[i] = (*totals[j].tolist(), _digest("".join([texts_of[c] for c in codes[lo:hi]])))
             n = size[code]
             end = np.cumsum(n)
             take = np.arange(int(end[-1]) if len(end) else 0) + np.repeat(begin[code] - (end - n), n)
@@ -178,15 +199,18 @@ class Aligner:
             owner.append(np.array(plain, np.int64)[of[good]])
             links.append(values[take[good]])
         for i in whole:
-            found = self._whole(texts[i])
-            if found is not None:
-                rows[i] = (found.a, found.b, found.n, hashlib.sha256(found.groups.encode()).hexdigest())
+            for found in self._align(texts[i]) or []:
+                rows[i] = (found.a, found.b, found.n, _digest(found.groups))
                 owner.append(np.full(found.n, i, np.int64))
-                links.append(found.links)
+                links.append(np.frombuffer(found.links, np.int64))
         none = np.zeros(0, np.int64)
         return rows, np.concatenate(owner or [none]), np.concatenate(links or [none])
 
 
+def _digest(groups: str) -> str:
+    return hashlib.sha256(groups[:-1].encode()).hexdigest()
+
+
 _ALIGNERS: dict[tuple, Aligner] = {}
 
 
