@@ -13,8 +13,10 @@
 5. A star may miss a link between two members that are both unlike its centre. So buckets
    that still hold several components are searched again without the star: nodes outside
    the bucket's main component are compared, block by block, with all its members, by
-   size and signature and then on the full sets. Only links that join components leave
-   a block, so rows stay linear in the members. Then components again.
+   size and signature and then on the full sets. Only links that join components leave a
+   pair of blocks. A node that asks is copied to every block of its bucket, and members to every
+   block that asks: with blocks of ``BLOCK`` members a large bucket of unlike members costs their
+   number squared over ``BLOCK`` rows. Then components again.
 
 A text that is null or without words has an empty set and is linked with nothing. Rows
 that repeat a document each get a row. A row with a null doc_id is linked like any other

@@ -5,9 +5,10 @@ negation, reported speech. Clause transducers for target, negation and reported
 run side by side (their composition is the product of their states), and an insult or
 threat that arrives in a state is emitted with the weight that state gives it: it counts
 more towards a target, little when just negated, less when reported. A document's score
-is a logistic function of the sum of its clause weights, so it is clauses that count,
-not isolated words: a listed insult alone needs a target, and what is negated or reported
-lifts a score only up to a bound under 0.7, however often it occurs.
+is a logistic function of the sum of its clause weights: a listed insult alone needs a target,
+and what is negated or reported lifts a score only up to a bound under 0.7, however often it
+occurs. A learned entry may be so sure a sign that one clause with it crosses 0.7 without a
+target; in corpora like that the clause states change few decisions.
 
 The insult lexicon is learned from labelled rows: words and word stems whose documents
 are toxic beyond what chance explains (the lower bound of the toxic share). Of the many
@@ -40,7 +41,9 @@ from .common import slices, stage
 
 #: Labelled rows used for learning (a bounded sample, in an order by hash).
 SAMPLE_ROWS = 50_000
-#: Entries of the learned lexicon, and of its candidates (bounds of the model, not of the corpus).
+#: Entries of the learned lexicon, and of its candidates (bounds of the model, not of the corpus). Beyond
+#: them the least sure candidates and the least credited entries are not learned; words they alone would
+#: have marked then count only if the general list has them.
 LEXICON_ENTRIES = 5_000
 CANDIDATES = 20_000
 STEM = range(4, 9)
