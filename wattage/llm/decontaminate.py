@@ -104,8 +104,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     asked = small_side(per_doc.select("doc_id", "text_key"), materialised=True)
     suspects = keyed.alias("d").join(asked.alias("a"), same("d", "a"), "left_semi").dropDuplicates(["doc_id", "text_key"])
     joined = suspects.alias("d").join(per_doc.alias("c"), same("d", "c")).select("d.doc_id", "d.text_key", words_of(F.col("d.text")).alias("w"), "c.near")
+    # Stored, so that words are cut once and not for every candidate that looks at them.
+    joined = stage(joined, "suspects")
     found = F.filter("near", lambda c: F.slice(F.col("w"), c["start"] + 1, F.size(c["words"])) == c["words"])
-    checked = joined.select("doc_id", "text_key", found.alias("found")).filter(F.size("found") > 0)
+    checked = stage(joined.select("doc_id", "text_key", found.alias("found")), "verified").filter(F.size("found") > 0)
     covered = F.flatten(F.transform("found", lambda c: F.sequence(c["start"], c["start"] + F.size(c["words"]) - 1)))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda c: c["items"]))))
     hit = checked.select("doc_id", "text_key", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), items.alias("items"))
