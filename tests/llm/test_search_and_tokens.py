@@ -116,6 +116,38 @@ def test_blocks_refuse_other_files():
         blocks.decode_file(b"PARQUET1" + bytes(64))
 
 
+def test_block_files_need_little_memory_beside_ids_and_file():
+    import tracemalloc
+
+    ids = ((np.arange(1_500_000, dtype=np.int64) ** 2 * 7919) % 50257).astype(np.uint32)
+    ids[::97] = 4_000_000_000
+    data = blocks.encode_file([1, None], np.array([100, len(ids) - 100]), ids)
+    for work, held in ((lambda: blocks.encode_file([1], np.array([len(ids)]), ids), 2 * len(data)), (lambda: blocks.decode_file(data), 2 * ids.nbytes)):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < held + 14_000_000, peak
+    small = ids[:300_000]
+    assert zlib.crc32(blocks.encode_file([1, None], np.array([100, 299_900]), small)) == 466136854  # the format is as it was
+    assert (blocks.decode_file(data)[3] == ids).all()
+
+
+def test_chunks_in_use_stay_in_the_cache(monkeypatch):
+    from wattage.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 40)
+    encoder, learned = Encoder(), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda chunks: (learned.extend(chunks), learn(chunks)))
+    want = Encoder().tokenizer
+    for i in range(30):
+        text = "often " + " ".join(f"once{i}x{j}" for j in range(6))
+        assert encoder.encode(pa.array([text]))[1].tolist() == want.encode(text, add_special_tokens=False).ids
+        assert len(encoder.young) <= 20 and len(encoder.old) <= 20
+    assert learned.count("often") == 1
+
+
 def test_token_files(spark, documents, encoder, monkeypatch):
     rows = list(enumerate(ODD_TEXTS)) + [(None, "no id"), (3, "same id, other text"), (5, ODD_TEXTS[5])]
     docs = documents(rows).repartition(5)

@@ -18,6 +18,8 @@ import numpy as np
 MAGIC = b"PFORIDS1"
 BLOCK = 128
 PERCENTILE = 90
+# Blocks packed or unpacked at once; bounds the memory beside the ids and the file.
+BLOCKS_AT_ONCE = 4096
 
 
 def _pack(rows: np.ndarray, width: int) -> np.ndarray:
@@ -50,43 +52,48 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return np.where(values > 0, np.floor(np.log2(np.maximum(values, 1).astype(np.float64))) + 1, 0).astype(np.int64)
 
 
+def _encode_blocks(grid: np.ndarray):
+    """(minimum, width, exceptions, packed words, exception positions, exception differences) of rows of 128 ids."""
+    low = grid.min(axis=1)
+    delta = grid - low[:, None]
+    kth = -(-BLOCK * PERCENTILE // 100) - 1
+    width = _bits(np.partition(delta, kth, axis=1)[:, kth])
+    over = delta > ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
+    position = np.nonzero(over)[1].astype("u1")
+    kept = delta[over].astype("<u4")
+    delta[over] = 0
+    ends = np.cumsum(width * 2)
+    words = np.empty(int(ends[-1]), "<u8")
+    for w in np.unique(width[width > 0]):
+        rows = np.flatnonzero(width == w)
+        where = (ends[rows] - 2 * w)[:, None] + np.arange(2 * w)
+        words[where] = _pack(delta[rows].T.astype(np.uint64, order="C"), int(w))
+    return low, width, over.sum(axis=1), words, position, kept
+
+
 def encode_file(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """One file from documents (id or None), their numbers of ids and all ids."""
     n = len(ids)
     blocks = -(-n // BLOCK)
-    padded = np.zeros(blocks * BLOCK, np.uint32)
-    padded[:n] = ids
-    if n < len(padded):
-        padded[n:] = ids[-1]  # the last block is filled with its last id
-    grid = padded.reshape(blocks, BLOCK)
-    low = grid.min(axis=1) if blocks else np.zeros(0, np.uint32)
-    delta = (grid - low[:, None]).astype(np.uint32)
-    kth = -(-BLOCK * PERCENTILE // 100) - 1
-    width = _bits(np.partition(delta, kth, axis=1)[:, kth]) if blocks else np.zeros(0, np.int64)
-    over = delta >= (np.uint64(1) << width.astype(np.uint64))[:, None]
-    block_of, position = np.nonzero(over)
-    kept = delta[over]
-    delta[over] = 0
-    starts = np.cumsum(width * 16) - width * 16
-    body = np.zeros(int((width * 16).sum()), np.uint8)
-    for w in np.unique(width):
-        if w == 0:
-            continue
-        rows = np.flatnonzero(width == w)
-        packed = _pack(np.ascontiguousarray(delta[rows].T).astype(np.uint64), int(w))
-        where = starts[rows][:, None] + np.arange(16 * w)[None, :]
-        body[where] = np.ascontiguousarray(packed).astype("<u8").view(np.uint8).reshape(len(rows), -1)
     index = np.zeros(blocks, [("start", "<u8"), ("low", "<u4"), ("width", "u1"), ("exceptions", "u1")])
-    index["start"], index["low"], index["width"] = starts, low, width
-    index["exceptions"] = np.bincount(block_of, minlength=blocks)
+    body, positions, kept = [], [], []
+    for lo in range(0, blocks, BLOCKS_AT_ONCE):
+        some = ids[lo * BLOCK : (lo + BLOCKS_AT_ONCE) * BLOCK].astype(np.uint32)
+        if len(some) % BLOCK:  # the last block is filled with its last id
+            some = np.pad(some, (0, -len(some) % BLOCK), mode="edge")
+        rows = index[lo : lo + BLOCKS_AT_ONCE]
+        rows["low"], rows["width"], rows["exceptions"], words, position, difference = _encode_blocks(some.reshape(-1, BLOCK))
+        body.append(words.tobytes())
+        positions.append(position.tobytes())
+        kept.append(difference.tobytes())
+    size = index["width"].astype(np.int64) * 16
+    index["start"] = np.cumsum(size) - size
     docs = np.zeros(len(doc_ids), [("id", "<i8"), ("null", "u1"), ("length", "<u8")])
     docs["id"] = [0 if d is None else d for d in doc_ids]
     docs["null"] = [d is None for d in doc_ids]
     docs["length"] = lengths
-    head = np.array([len(doc_ids), n, blocks, len(kept)], "<u8")
-    return b"".join(
-        (MAGIC, head.tobytes(), docs.tobytes(), index.tobytes(), body.tobytes(), position.astype("u1").tobytes(), kept.astype("<u4").tobytes())
-    )
+    head = np.array([len(doc_ids), n, blocks, sum(map(len, positions))], "<u8")
+    return b"".join((MAGIC, head.tobytes(), docs.tobytes(), index.tobytes(), *body, *positions, *kept))
 
 
 def _head(data: bytes):
@@ -106,17 +113,16 @@ def decode_file(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     n, exceptions, docs, index, at = _head(data)
     width = index["width"].astype(np.int64)
     size = int((width * 16).sum())
-    body = np.frombuffer(data, np.uint8, size, at)
+    body = np.frombuffer(data, "<u8", size // 8, at).copy()  # aligned
     position = np.frombuffer(data, "u1", exceptions, at + size)
     kept = np.frombuffer(data, "<u4", exceptions, at + size + exceptions)
     out = np.zeros((len(index), BLOCK), np.uint32)
-    for w in np.unique(width):
-        if w == 0:
-            continue
-        rows = np.flatnonzero(width == w)
-        where = index["start"][rows].astype(np.int64)[:, None] + np.arange(16 * w)[None, :]
-        words = np.ascontiguousarray(body[where]).view("<u8").reshape(len(rows), 2 * w)
-        out[rows] = _unpack(words, int(w))
+    for lo in range(0, len(index), BLOCKS_AT_ONCE):
+        some = width[lo : lo + BLOCKS_AT_ONCE]
+        for w in np.unique(some[some > 0]):
+            rows = lo + np.flatnonzero(some == w)
+            where = (index["start"][rows].astype(np.int64) // 8)[:, None] + np.arange(2 * w)
+            out[rows] = _unpack(body[where], int(w))
     out[np.repeat(np.arange(len(index)), index["exceptions"]), position] = kept
     out += index["low"][:, None]
     return docs["id"], docs["null"].astype(bool), docs["length"].astype(np.int64), out.reshape(-1)[:n]

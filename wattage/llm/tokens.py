@@ -90,16 +90,21 @@ class Encoder:
     def _ids_of(self, words: list[str]) -> list[bytes]:
         """The ids of distinct chunks, encoding the unseen ones."""
         found = list(map(self.young.get, words))
+        missing = [i for i, f in enumerate(found) if f is None]
+        if not missing:
+            return found
         get_old, new = self.old.get, []
-        for i in [i for i, f in enumerate(found) if f is None]:
-            found[i] = get_old(words[i])
-            if found[i] is None:
+        for i in missing:
+            f = found[i] = get_old(words[i])
+            if f is None:
                 new.append(words[i])
+        if len(self.young) + len(missing) > CACHE_ENTRIES // 2:
+            self.old, self.young = self.young, {}
+        # What is still in use moves from the old generation to the young one, so that it stays known.
+        young = self.young
+        young.update((words[i], found[i]) for i in missing if found[i] is not None)
         if new:
-            if len(self.young) + len(new) > CACHE_ENTRIES // 2:
-                self.old, self.young = self.young, {}
             self._learn(new)
-            young = self.young
             found = [young[w] if f is None else f for w, f in zip(words, found)]
         return found
 
@@ -141,6 +146,7 @@ class Encoder:
             counts.append(n)
             parts.append(v)
             lo = hi
+            pa.default_memory_pool().release_unused()  # else freed chunk arrays stay with the worker
         if not counts:
             return np.zeros(0, np.int64), np.zeros(0, np.uint32)
         return np.concatenate(counts), np.concatenate(parts)
