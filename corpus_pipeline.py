@@ -26,12 +26,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattage.llm.common import stage, table, text_hash
+from wattage.llm.common import stage, stage_apart, table, text_hash
 from wattage.llm.decontaminate import find_contamination
 from wattage.llm.neardup import near_duplicates
 from wattage.llm.packing import pack
 from wattage.llm.secrets import find_secrets
 from wattage.llm.toxicity import labelled_sample, learn_lexicon, score_toxicity
+from wattage.operators.sizing import small_side
 
 TOXIC = 0.7
 SHINGLE_WORDS = 5
@@ -49,6 +50,12 @@ def _keys(decisions: DataFrame, *more: Column) -> DataFrame:
     return decisions.select(F.xxhash64("doc_id", F.col("doc_id").isNull()).alias("k1"), F.col("text_key").alias("k2"), *more)
 
 
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows whose keys are not in the stored decisions ``found``; while these are few, texts stay where they are."""
+    gone = small_side(_keys(found), materialised=True)
+    return _keyed(docs).join(gone, ["k1", "k2"], "left_anti").select("row.*")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     usable = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
     lexicon = learn_lexicon(labelled_sample(docs, table(spark, sf_dir, "labels"), usable))
@@ -56,16 +63,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts = docs.select("doc_id", "text", text_hash().alias("text_key"))
     found = score_toxicity(texts, lexicon, carry="text_key").filter(F.col("score") >= TOXIC)
     found = stage(found.select("doc_id", "text_key").distinct(), "toxic")
-    return _keyed(docs).join(_keys(found), ["k1", "k2"], "left_anti").select("row.*")
+    return _without(docs, found)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_duplicates(docs, k=SHINGLE_WORDS, threshold=SIMILARITY)
-    # One (id, text) of each component, should an id have come with several texts. Ids do not name a
-    # component (they may be null, or repeat); a document without words is its own (id, text).
-    alone = [F.when(F.col("component").isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "text_key")]
-    chosen = groups.filter("kept").select("doc_id", "text_key", "component", *alone)
-    chosen = chosen.groupBy("component", "alone_doc_id", "alone_text_key").agg(F.min(F.struct("text_key", "doc_id")).alias("one")).select("one.doc_id", "one.text_key")
+    def kept() -> list[DataFrame]:
+        groups = near_duplicates(docs, k=SHINGLE_WORDS, threshold=SIMILARITY)
+        # One (id, text) of each component, should an id have come with several texts. Ids do not name a
+        # component (they may be null, or repeat); a document without words is its own (id, text).
+        alone = [F.when(F.col("component").isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "text_key")]
+        chosen = groups.filter("kept").select("doc_id", "text_key", "component", *alone)
+        chosen = chosen.groupBy("component", "alone_doc_id", "alone_text_key").agg(F.min(F.struct("text_key", "doc_id")).alias("one"))
+        return [chosen.select("one.doc_id", "one.text_key")]
+
+    # The search's own tables are gone when the rows are dealt.
+    (chosen,) = stage_apart(spark, kept, "chosen")
     # Of rows with one id and text each map task ships one, with the least of their other columns; the
     # join finds them dealt by its keys.
     rest = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c not in ("doc_id", "text")])
@@ -79,7 +91,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = find_contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
     found = stage(found.select("doc_id", "text_key").distinct(), "contaminated")
-    return _keyed(docs).join(_keys(found), ["k1", "k2"], "left_anti").select("row.*")
+    return _without(docs, found)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

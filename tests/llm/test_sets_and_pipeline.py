@@ -271,3 +271,42 @@ def test_pipeline_toxicity_drops_rows_by_id_and_text(spark, documents, tmp_path,
     got = corpus_pipeline.drop_toxic(spark, documents(rows), str(tmp_path))
     assert got.columns == documents(rows).columns
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted([r for r in rows if r[1] != toxic], key=str)
+
+
+def test_pipeline_leaves_no_tables_of_the_near_duplicate_search(spark, documents):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from wattage.session import ensure_checkpoint_dir
+
+    folder, rng = ensure_checkpoint_dir(spark), random.Random(5)
+    text = words(rng, 60)
+    docs = documents([(1, text), (2, text), (3, text + " end"), (4, words(rng, 50)), (5, None), (5, None), (None, "x y")])
+    before = {p for p in Path(urlparse(folder).path).rglob("*.parquet")}
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted((r.doc_id or -1, r.text) for r in out.collect()) == sorted([(1, text), (4, docs.filter("doc_id = 4").first().text), (5, None), (-1, "x y")], key=lambda r: r[0])
+    new = {p.parent.name.rpartition("-")[0] for p in Path(urlparse(folder).path).rglob("*.parquet") if p not in before}
+    assert new == {"chosen"} and ensure_checkpoint_dir(spark) == folder
+
+
+def test_pipeline_leaves_texts_in_place_while_few_rows_go(spark, documents, monkeypatch):
+    from wattage.operators import sizing
+
+    rows = [(i, f"text {i}") for i in range(20)] + [(None, "no id"), (3, "other")]
+    docs = documents(rows)
+    found = docs.filter("doc_id = 3 and text = 'other' or doc_id is null or doc_id > 15").select("doc_id", corpus_pipeline.text_hash().alias("text_key"))
+    monkeypatch.setattr(corpus_pipeline, "score_toxicity", lambda d, lexicon, carry: found.selectExpr("doc_id", "text_key", "0.9d score"))
+    monkeypatch.setattr(corpus_pipeline, "labelled_sample", lambda *a: None)
+    monkeypatch.setattr(corpus_pipeline, "learn_lexicon", lambda *a: [])
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: None)
+    want = sorted((i, t) for i, t in rows if i is not None and i <= 15 and t != "other")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, shuffled in ((sizing.BROADCAST_BYTES, False), (0, True)):  # both ways give the same rows
+            monkeypatch.setattr(sizing, "BROADCAST_BYTES", most)
+            out = corpus_pipeline.drop_toxic(spark, docs, "")
+            assert sorted((r.doc_id, r.text) for r in out.collect()) == want
+            assert ("Exchange hashpartitioning" in out._jdf.queryExecution().executedPlan().toString()) == shuffled
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

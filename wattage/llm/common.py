@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, job_scratch, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_apart(spark: SparkSession, make: Callable[[], list[DataFrame]], *names: str) -> list[DataFrame]:
+    """``stage`` for each frame that ``make`` returns; what ``make`` itself stored is removed then.
+
+    Only the frames returned are read later, so the disk of the way there is free again."""
+    paths = [scratch_path(spark, name) for name in names]
+    with job_scratch(spark):
+        frames = make()
+        for df, path in zip(frames, paths, strict=True):
+            df.write.parquet(path)
+    return [spark.read.schema(df.schema).parquet(path) for df, path in zip(frames, paths)]
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """URI of a fresh folder that driver and executors share."""
     ensure_checkpoint_dir(spark)

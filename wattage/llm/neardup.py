@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sizing import small_side
-from .common import slices, stage, text_hash
+from .common import slices, stage, stage_apart, text_hash
 
 BANDS = 48
 ROWS = 6
@@ -325,14 +325,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD) ->
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.select("doc_id", text_hash().alias("text_key"), "text")
-    signed = stage(texts.mapInArrow(_sign(k), SIGNED), "signatures")
-    # Equal sets are one node, numbered once and stored.
-    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
-    nodes = signed.filter("n > 0").groupBy("digest").agg(smallest, F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    nodes = nodes.select(
-        F.monotonically_increasing_id().alias("node"), "digest", F.col("first.doc_id").alias("doc"), F.col("first.text_key").alias("key"), "n", "bands", "sig"
-    )
-    nodes = stage(nodes, "nodes")
+
+    def signed_nodes() -> list[DataFrame]:
+        signed = stage(texts.mapInArrow(_sign(k), SIGNED), "signatures")
+        # Equal sets are one node, numbered once and stored.
+        smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
+        nodes = signed.filter("n > 0").groupBy("digest").agg(smallest, F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+        nodes = nodes.select(
+            F.monotonically_increasing_id().alias("node"), "digest", F.col("first.doc_id").alias("doc"), F.col("first.text_key").alias("key"), "n", "bands", "sig"
+        )
+        return [nodes, signed.select("doc_id", "text_key", "n", "digest")]
+
+    # A document's signature goes on with its node; the rows keep the digest only.
+    nodes, signed = stage_apart(docs.sparkSession, signed_nodes, "nodes", "digests")
     banded = nodes.select("node", "n", F.explode("bands").alias("key"))
     centres = banded.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     centres = stage(centres.select("key", "centre"), "buckets")
