@@ -72,3 +72,24 @@ def test_overlaps_are_looked_up_in_order():
         secrets.weak_spans(text, base)
         seconds.append(time.process_time() - begin)
     assert seconds[1] < 10 * seconds[0]
+
+
+def test_texts_without_weak_parts_are_not_dealt_out(spark, documents, tmp_path):
+    """They keep their base spans where they were found: no shuffle, so no partition (and file) for each hash of their keys."""
+    plain = [(i, [f"password=hunter{i}", "some words", "", None][i % 4]) for i in range(400)]
+    linked = [(1_000, "DB_USER=reader aB3dE5gH7jK9mN1pQ3rS5tU7"), (1_000, "DB_USER=reader aB3dE5gH7jK9mN1pQ3rS5tU7"), (1_001, "DB_USER=reader"), (None, "login=reader token=abcdefgh")]
+    texts = plain + linked + [(1_002, "token=abcdefgh"), (1_002, "token=abcdefgh"), (None, "token=abcdefgh")]
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        secrets.find_secrets(documents(texts).repartition(3), reach=None).write.parquet(f"{tmp_path}/out")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "out").glob("part-*.parquet"))) < 20
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    got = sorted((str(r["doc_id"]), [(s["start"], s["kind"], s["end"]) for s in r["base"]], [(s["start"], s["kind"], s["end"]) for s in r["spans"]]) for r in rows)
+    order = lambda spans: sorted(spans, key=lambda s: (s[0], secrets.KINDS.index(s[1])))
+    assert got == sorted((str(i), order(brute_base(t or "")), brute_spans(t or "", None)) for i, t in texts)

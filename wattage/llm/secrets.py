@@ -159,9 +159,12 @@ def find_secrets(docs: DataFrame, reach: int | None = REACH) -> DataFrame:
     )
     added = reported.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("added"))
     added = added.select(F.col("doc_id").alias("a_id"), F.col("text_key").alias("a_key"), "added")
-    rows = found.join(added, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("text_key") == F.col("a_key")), "left")
+    # Most documents have no part to link: they keep their base spans and cross no shuffle or sort.
+    alone = found.filter(F.size("parts") == 0).select("doc_id", "text_key", "base", F.col("base").alias("spans"))
+    some = found.filter(F.size("parts") > 0).join(added, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("text_key") == F.col("a_key")), "left")
     spans = F.concat("base", F.coalesce("added", F.expr(f"cast(array() as array<{SPAN}>)")))
-    return rows.select("doc_id", "text_key", _ordered(F.col("base")).alias("base"), _ordered(spans).alias("spans"))
+    rows = alone.unionByName(some.select("doc_id", "text_key", "base", spans.alias("spans")))
+    return rows.select("doc_id", "text_key", _ordered(F.col("base")).alias("base"), _ordered(F.col("spans")).alias("spans"))
 
 
 def _ordered(spans: F.Column) -> F.Column:
